@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from oracles import ORACLE_SQL
 from tallyroom.operators import boxes, crossings, daily, roster
-from tallyroom.operators.observations import observations
+from tallyroom.plans.daily_report import daily_report
 from tallyroom.plans.roster_job import refresh_roster, scored_roster
 from tallyroom.plans.stages import scratch_folder
 from tallyroom.sources import testdata as td
@@ -70,16 +71,9 @@ def _box_mix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _observations(spark: SparkSession, sf: str) -> DataFrame:
-    return observations(
-        _revenue_by_product(spark, sf),
-        _top_boxes(spark, sf),
-        _top_spenders(spark, sf),
-        _top_box_openers(spark, sf),
-        _cohort_kpis(spark, sf),
-        _returning_payers(spark, sf),
-        _box_mix(spark, sf),
-        DAY,
-    )
+    return daily_report(
+        td.logins(spark, sf), td.purchases(spark, sf), td.box_events(spark, sf), DAY, td.EXCLUDED
+    ).observations
 
 
 def _vendor_cost_by_user(spark: SparkSession, sf: str) -> DataFrame:
@@ -174,8 +168,6 @@ def _hot_list(spark: SparkSession, sf: str) -> DataFrame:
 
 def _write_roster_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     """Publishes the roster and reads the stored version back."""
-    import uuid
-
     return refresh_roster(
         td.user_crm(spark, sf, td.ROSTER_AS_OF),
         td.orders_created(spark, sf),

@@ -24,16 +24,13 @@ def whole_pct(part: Column, whole: Column) -> Column:
 def py_round1(value: Column) -> Column:
     """One decimal digit, rounded on the exact binary value with ties to even.
 
-    ``round`` and ``bround`` both decide on the printed digits of a double, which calls a tie
-    where the stored number lies just beside it. Scaling by a power of two turns the double
-    into an integer without loss, so the comparison with one half is exact. Defined for
-    0 <= value < 2**54.
+    ``round`` and ``bround`` decide on the printed digits of a double and call a tie where the
+    stored number lies just beside it. Here only the product ``10 * value`` can be inexact, and
+    it matters only when it lands on a half: then its error, which the sum below yields without
+    any rounding, tells on which side the stored number is.
     """
-    # Below 1/16 the result is 0.0 or 0.1 and 58 fraction bits decide it.
-    exponent = F.floor(F.log2(F.greatest(value, F.lit(0.0625))))
-    scale = F.pow(F.lit(2.0), F.lit(54) - exponent).cast("bigint")
-    tenths = (value * scale).cast("bigint") * 10
-    whole = F.call_function("div", tenths, scale)
-    rest = tenths % scale
-    up = (rest * 2 > scale) | ((rest * 2 == scale) & (whole % 2 == 1))
-    return (whole + up.cast("bigint")) / F.lit(10.0)
+    tenfold = value * 10.0
+    error = (value * 8.0 - tenfold) + value * 2.0
+    on_half = tenfold - F.floor(tenfold) == 0.5
+    beside = F.when(on_half, tenfold + F.signum(error) * 0.25).otherwise(tenfold)
+    return F.rint(beside) / 10.0

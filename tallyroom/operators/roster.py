@@ -41,18 +41,36 @@ def procurement_cost_by_user(orders_created: DataFrame, latest_pricing: DataFram
     """Latest price and fee over a user's orders, each counted as 0 where it is missing.
 
     Repeated events of one order by one user are counted before the join, so an order id that
-    holds a large share of all rows reaches it as one row per user.
+    holds a large share of all rows reaches it as one row per user. Events without an order id
+    cannot match and go around the join instead of piling up in one of its partitions.
     """
     cost = F.coalesce("vendor_price", F.lit(0)) + F.coalesce("vendor_fee", F.lit(0))
-    events = orders_created.groupBy("order_id", "user_id").agg(F.count("*").alias("events"))
+    ordered = F.col("order_id").isNotNull()
+    events = (
+        orders_created.filter(ordered)
+        .groupBy("order_id", "user_id")
+        .agg(F.count("*").cast("decimal(18,0)").alias("events"))
+    )
+    priced = events.join(latest_pricing, "order_id", "left").select(
+        "user_id", (cost * F.col("events")).alias("cost")
+    )
+    unpriced = orders_created.filter(~ordered).select("user_id", F.lit(0).alias("cost"))
     return (
-        events.join(latest_pricing, "order_id", "left")
+        priced.unionByName(unpriced)
         .groupBy("user_id")
-        .agg(
-            F.sum(cost * F.col("events").cast("decimal(18,0)"))
-            .cast("double")
-            .alias("total_procurement_cost")
-        )
+        .agg(F.sum("cost").cast("double").alias("total_procurement_cost"))
+    )
+
+
+def vip_users(
+    user_crm: DataFrame,
+    internal_users: DataFrame,
+    tiers: Sequence[tuple[float, str]] = params.TIERS,
+) -> DataFrame:
+    """Rows of the outside users at or above the lowest tier."""
+    lowest = params.ordered_tiers(tiers)[-1]
+    return user_crm.filter(F.col("lifetime_purchases_usd") >= lowest.threshold).join(
+        internal_users.select("user_id"), "user_id", "left_anti"
     )
 
 
@@ -62,7 +80,7 @@ def vip_roster(
     internal_users: DataFrame,
     tiers: Sequence[tuple[float, str]] = params.TIERS,
 ) -> DataFrame:
-    """Outside users at or above the lowest tier with their figures, highest value first."""
+    """The VIP users' tier and figures, highest value first."""
     ranked = params.ordered_tiers(tiers)
     spent = F.col("lifetime_purchases_usd")
     tier = reduce(
@@ -72,8 +90,7 @@ def vip_roster(
     )
     cost = F.coalesce("total_procurement_cost", F.lit(0.0))
     return (
-        user_crm.filter(spent >= ranked[-1].threshold)
-        .join(internal_users.select("user_id"), "user_id", "left_anti")
+        vip_users(user_crm, internal_users, tiers)
         .join(procurement_costs, "user_id", "left")
         .select(
             "user_id",
@@ -127,7 +144,9 @@ def heat_scores(merged: DataFrame, today: dt.date | str) -> DataFrame:
     """Recency, context and heat score of every roster row, coldest first."""
     per_day = F.col("days_since_last_session").cast("double") / F.lit(float(params.RECENCY_DAYS))
     left = F.lit(100.0) - per_day * F.lit(100.0)
-    recency = F.coalesce(py_round1(F.greatest(F.lit(0.0), left)), F.lit(0.0))
+    # Whole days give whole thirds of a tenth: no ties, so the nearest tenth needs no care.
+    days_known = F.col("days_since_last_session").isNotNull()
+    recency = F.when(days_known, F.rint(F.greatest(F.lit(0.0), left) * 10.0) / 10.0).otherwise(0.0)
     has_notes = reduce(or_, [stripped(F.coalesce(note, F.lit(""))) != "" for note in NOTE_COLUMNS])
     context = F.when(has_notes, params.CONTEXT_WITH_NOTES).otherwise(params.CONTEXT_WITHOUT_NOTES)
     scored = merged.withColumns({"recency_score": recency, "context_score": context})

@@ -6,12 +6,13 @@ import datetime as dt
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyroom import params
 from tallyroom.operators import boxes, daily
 from tallyroom.operators.common import Excluded, on_day, without_users
 from tallyroom.operators.observations import observations
-from tallyroom.plans.stages import narrowed, staged
+from tallyroom.plans.stages import narrowed, staged, staged_together
 
 
 @dataclass(frozen=True)
@@ -44,39 +45,50 @@ def daily_report(
     n_spenders: int = params.TOP_SPENDERS,
     n_observations: int = params.TOP_OBSERVATIONS,
 ) -> DailyReport:
-    """All results of one day with every large input read once.
+    """All results of one day, each large input read once and each result computed once.
 
     The day's purchases, the box rollup and the payer cohort are staged, since several outputs
     read them; the history behind the cohort is narrowed to the day's payers when their counted
     number allows it, and aggregated in full otherwise.
     """
-    day = staged(without_users(on_day(purchases, report_date), excluded))
-    payers = day.select("user_id").distinct()
-    history = narrowed(purchases, staged(payers))
-    active = staged(daily.daily_active_users(logins, report_date, excluded))
-    summary = daily.purchase_summary(day, report_date, excluded)
-    products = daily.revenue_by_product(day, report_date, excluded)
-    spenders = daily.top_spenders(day, report_date, excluded, n_spenders)
-    cohort = staged(daily.payer_cohort(history, report_date, excluded))
-    activity = staged(boxes.payer_box_activity(box_events, day, report_date, excluded))
-    top = boxes.top_boxes_of(activity, n_boxes)
-    openers = boxes.top_box_openers_of(activity)
-    kpis = daily.cohort_kpis(active, summary, cohort)
+    first = staged_together(
+        day=without_users(on_day(purchases, report_date), excluded),
+        active=daily.daily_active_users(logins, report_date, excluded),
+    )
+    day, active = first["day"], first["active"]
+    payers = staged(day.select("user_id").distinct())
+    second = staged_together(
+        summary=daily.purchase_summary(day, report_date, excluded),
+        products=daily.revenue_by_product(day, report_date, excluded),
+        spenders=daily.top_spenders(day, report_date, excluded, n_spenders),
+        cohort=daily.payer_cohort(narrowed(purchases, payers), report_date, excluded),
+        activity=boxes.payer_box_activity(box_events, day, report_date, excluded),
+    )
+    cohort, activity = second["cohort"], second["activity"]
+    third = staged_together(
+        top=boxes.top_boxes_of(activity, n_boxes),
+        openers=boxes.top_box_openers_of(activity),
+    )
+    kpis = daily.cohort_kpis(active, second["summary"], cohort)
     returning = daily.returning_payers(cohort)
-    mix = boxes.box_mix(top, openers)
+    mix = boxes.box_mix(third["top"], third["openers"])
+    found = observations(
+        second["products"], third["top"], second["spenders"], third["openers"], kpis, returning,
+        mix, report_date, n_observations,
+    )
     return DailyReport(
         daily_active_users=active,
-        purchase_summary=summary,
-        revenue_by_product=products,
-        top_boxes=top,
+        purchase_summary=second["summary"],
+        revenue_by_product=second["products"].orderBy(F.desc("revenue_usd"), "product_slug"),
+        top_boxes=third["top"].orderBy(
+            F.desc("total_opens"), "box_display_name", "box_volatility"
+        ),
         top_openers=boxes.top_openers_of(activity, n_openers),
-        top_spenders=spenders,
-        payer_cohort=cohort.orderBy("payer_type", cohort.lifetime_value_usd.desc(), "user_id"),
-        top_box_openers=openers,
+        top_spenders=second["spenders"].orderBy(F.desc("total_spend_usd"), "user_id"),
+        payer_cohort=cohort.orderBy("payer_type", F.desc("lifetime_value_usd"), "user_id"),
+        top_box_openers=third["openers"].orderBy(F.desc("opens"), "user_id"),
         cohort_kpis=kpis,
         returning_payers=returning,
         box_mix=mix,
-        observations=observations(
-            products, top, spenders, openers, kpis, returning, mix, report_date, n_observations
-        ),
+        observations=found,
     )

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 
 from tallyroom import params
 from tallyroom.operators import roster as ops
-from tallyroom.sources.roster_store import publish_roster, read_roster
+from tallyroom.plans.stages import fits_broadcast, kept, narrowed, staged
+from tallyroom.sources.roster_store import EmptyRosterError, publish_roster, read_roster
 
 
 @dataclass(frozen=True)
@@ -65,13 +66,23 @@ def refresh_roster(
     """Publish a refreshed roster in ``store`` and summarise what was stored.
 
     The previous roster is the published one unless another (such as an edited sheet) is given.
-    The scored roster is computed once: the summaries read the published files.
+    The VIP users are staged first. While they, and then their orders, are few enough to
+    broadcast, the order and pricing tables are narrowed to them at the scan; beyond that both
+    are aggregated in full. The scored roster is computed once: the summaries read the published
+    files.
     """
     spark = user_crm.sparkSession
     if roster_prev is None:
         roster_prev = read_roster(spark, store)
+    vips = staged(ops.vip_users(user_crm, internal_users, tiers))
+    if vips.isEmpty():
+        raise EmptyRosterError("no user qualifies, the stored roster is kept")
+    if fits_broadcast(vips):
+        orders_created = staged(kept(orders_created.select("order_id", "user_id"), vips))
+        order_ids = orders_created.select("order_id").distinct()
+        vendor_pricing = narrowed(vendor_pricing, order_ids, "order_id")
     scored = scored_roster(
-        user_crm, orders_created, vendor_pricing, internal_users, roster_prev, today,
+        vips, orders_created, vendor_pricing, internal_users, roster_prev, today,
         tiers, tie_break, sheet_order,
     )
     version = publish_roster(scored, store, today)

@@ -1,15 +1,16 @@
-"""Intermediate results of a job, and narrowing large tables to a measured set of users."""
+"""Intermediate results of a job, and narrowing large tables to a measured set of keys."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A user set is broadcast only when it was counted and stays within both bounds.
-MAX_BROADCAST_USERS = 500_000
+# A key set is broadcast only when it was counted and stays within both bounds.
+MAX_BROADCAST_KEYS = 500_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
@@ -40,24 +41,40 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(target)
 
 
-def narrowed(
-    rows: DataFrame,
-    users: DataFrame,
-    max_users: int = MAX_BROADCAST_USERS,
-    max_bytes: int = MAX_BROADCAST_BYTES,
-) -> DataFrame:
-    """Drop rows of other users at the scan when ``users`` is small enough to broadcast.
+def staged_together(**frames: DataFrame) -> dict[str, DataFrame]:
+    """Stage independent results at the same time: small ones do not wait for large ones."""
+    for frame in frames.values():
+        scratch_folder(frame.sparkSession)
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        return dict(zip(frames, pool.map(staged, frames.values()), strict=True))
 
-    Otherwise the rows come back unchanged: callers join or filter by user afterwards anyway,
-    behind their own aggregation, so the result is the same and only the road differs.
-    ``users`` should be staged, it is counted here (one small job) and read again by the join.
-    """
-    wanted = users.select("user_id")
+
+def fits_broadcast(
+    keys: DataFrame,
+    on: str = "user_id",
+    max_keys: int = MAX_BROADCAST_KEYS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> bool:
+    """Count a key set (one small job, bounded by ``max_keys``) and hold it against the limits."""
     size = (
-        wanted.limit(max_users + 1)
-        .agg(F.count("*").alias("n"), F.sum(F.octet_length("user_id")).alias("bytes"))
+        keys.select(F.col(on).cast("string").alias("key"))
+        .limit(max_keys + 1)
+        .agg(F.count("*").alias("n"), F.sum(F.octet_length("key")).alias("bytes"))
         .first()
     )
-    if size["n"] > max_users or (size["bytes"] or 0) > max_bytes:
-        return rows
-    return rows.join(F.broadcast(wanted), "user_id", "left_semi")
+    return size["n"] <= max_keys and (size["bytes"] or 0) <= max_bytes
+
+
+def kept(rows: DataFrame, keys: DataFrame, on: str = "user_id") -> DataFrame:
+    """Rows of a key set that ``fits_broadcast`` has passed; the others go at the scan."""
+    return rows.join(F.broadcast(keys.select(on)), on, "left_semi")
+
+
+def narrowed(rows: DataFrame, keys: DataFrame, on: str = "user_id", **limits: int) -> DataFrame:
+    """Drop rows of other keys at the scan when ``keys`` is small enough to broadcast.
+
+    Otherwise the rows come back unchanged: callers join or filter by the key afterwards anyway,
+    behind their own aggregation, so the result is the same and only the road differs. ``keys``
+    should be staged, it is counted here and read again by the join.
+    """
+    return kept(rows, keys, on) if fits_broadcast(keys, on, **limits) else rows

@@ -88,5 +88,11 @@ SHEET_ORDER = ("sheet_file", "sheet_block", "sheet_row")
 def write_sheet_csv(roster: DataFrame, path: str) -> None:
     """The roster as CSV text with a header row, for hand editing; NULL becomes blank."""
     roster.select(*ROSTER_COLUMNS).write.mode("error").csv(
-        path, header=True, escape='"', nullValue="", emptyValue=""
+        path,
+        header=True,
+        escape='"',
+        nullValue="",
+        emptyValue="",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
     )
