@@ -67,7 +67,7 @@ def _box_mix(spark: SparkSession, sf: str) -> DataFrame:
     activity = boxes.payer_box_activity(
         td.box_events(spark, sf), td.purchases(spark, sf), DAY, td.EXCLUDED
     )
-    return boxes.box_mix(boxes.top_boxes_of(activity), boxes.top_box_openers_of(activity))
+    return boxes.box_mix(boxes.top_boxes_of(activity), boxes.top_box_opener_rows(activity))
 
 
 def _observations(spark: SparkSession, sf: str) -> DataFrame:

@@ -78,8 +78,8 @@ def top_openers_of(activity: DataFrame, n: int = params.TOP_OPENERS) -> DataFram
     )
 
 
-def top_box_openers_of(activity: DataFrame) -> DataFrame:
-    """Who opened the first box of ``top_boxes_of``, over all its volatilities."""
+def top_box_opener_rows(activity: DataFrame) -> DataFrame:
+    """Who opened the first box of ``top_boxes_of``, over all its volatilities, in no order."""
     leader = (
         top_boxes_of(activity, 1)
         .filter(F.col("box_display_name") != "")
@@ -92,10 +92,14 @@ def top_box_openers_of(activity: DataFrame) -> DataFrame:
             F.sum("opens").alias("opens"),
             round2(F.sum("coins")).alias("coins_spent"),
         )
-        .orderBy(F.desc("opens"), "user_id")
     )
 
 
+def opener_order(openers: DataFrame) -> DataFrame:
+    """Most opens first."""
+    return openers.orderBy(F.desc("opens"), "user_id")
+
+
 def top_boxes(
     box_events: DataFrame,
     purchases: DataFrame,
@@ -122,7 +126,8 @@ def top_box_openers(
     box_events: DataFrame, purchases: DataFrame, report_date: Day, excluded: Excluded = ()
 ) -> DataFrame:
     """All payers who opened the day's top box."""
-    return top_box_openers_of(payer_box_activity(box_events, purchases, report_date, excluded))
+    activity = payer_box_activity(box_events, purchases, report_date, excluded)
+    return opener_order(top_box_opener_rows(activity))
 
 
 def box_mix(boxes: DataFrame, openers: DataFrame) -> DataFrame:

@@ -55,23 +55,24 @@ def newly_crossed(
     )
 
 
-def priced_crossings(crossed: DataFrame, vendor_costs: DataFrame) -> DataFrame:
+def priced_rows(crossed: DataFrame, vendor_costs: DataFrame) -> DataFrame:
     """Net spend of the crossing users; the flag tells who has no pricing row at all."""
     costs = vendor_costs.withColumn("priced", F.lit(True))
     cost = F.coalesce("total_vendor_cost", F.lit(0.0))
-    return (
-        crossed.join(costs, "user_id", "left")
-        .select(
-            "user_id",
-            "ltv_usd",
-            round2(F.col("ltv_usd") - cost).alias("net_spend_usd"),
-            F.col("priced").isNull().alias("no_vendor_pricing"),
-            "tier_crossed",
-        )
-        .orderBy(F.desc("ltv_usd"), "user_id")
+    return crossed.join(costs, "user_id", "left").select(
+        "user_id",
+        "ltv_usd",
+        round2(F.col("ltv_usd") - cost).alias("net_spend_usd"),
+        F.col("priced").isNull().alias("no_vendor_pricing"),
+        "tier_crossed",
     )
 
 
+def crossing_order(crossings: DataFrame) -> DataFrame:
+    """Highest lifetime value first."""
+    return crossings.orderBy(F.desc("ltv_usd"), "user_id")
+
+
 def tier_crossings(
     user_crm: DataFrame,
     vendor_pricing: DataFrame,
@@ -81,16 +82,16 @@ def tier_crossings(
 ) -> DataFrame:
     """Crossing users of the past 24 h with their net spend, highest lifetime value first."""
     crossed = newly_crossed(user_crm, internal_users, as_of, tiers)
-    return priced_crossings(crossed, vendor_cost_by_user(vendor_pricing))
+    return crossing_order(priced_rows(crossed, vendor_cost_by_user(vendor_pricing)))
 
 
-def entrant_last_purchases(
+def last_purchase_rows(
     crossings: DataFrame,
     purchases: DataFrame,
     as_of: AsOf,
     n: int = params.ENTRANT_PURCHASES,
 ) -> DataFrame:
-    """The newest n purchases of each crossing user before ``as_of``.
+    """The newest n purchases of each crossing user before ``as_of``, in no order.
 
     The ranking comes before the join: it keeps n rows per user already ahead of its shuffle,
     so no user's whole history travels, and the join then finds its partitioning in place.
@@ -111,10 +112,19 @@ def entrant_last_purchases(
         .filter(F.col("rn") <= n)
         .withColumn("rn", big("rn"))
         .join(crossings.select("user_id"), "user_id", "left_semi")
-        .orderBy("user_id", "rn")
     )
 
 
+def entrant_last_purchases(
+    crossings: DataFrame,
+    purchases: DataFrame,
+    as_of: AsOf,
+    n: int = params.ENTRANT_PURCHASES,
+) -> DataFrame:
+    """The newest n purchases of each crossing user, newest first within a user."""
+    return last_purchase_rows(crossings, purchases, as_of, n).orderBy("user_id", "rn")
+
+
 def entrant_feed(
     crossings: DataFrame,
     last_purchases: DataFrame,
@@ -131,12 +141,10 @@ def entrant_feed(
     lists = last_purchases.groupBy("user_id").agg(
         F.sort_array(F.collect_list(shown)).alias("purchases")
     )
-    return (
-        crossings.join(lists, "user_id", "left")
-        .select(
+    return crossing_order(
+        crossings.join(lists, "user_id", "left").select(
             *crossings.columns,
             "purchases",
             big(F.coalesce(F.size("purchases"), F.lit(0))).alias("purchase_count"),
         )
-        .orderBy(F.desc("ltv_usd"), "user_id")
     )

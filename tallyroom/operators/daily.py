@@ -105,8 +105,8 @@ def top_spenders(
     )
 
 
-def payer_cohort(purchases: DataFrame, report_date: Day, excluded: Excluded = ()) -> DataFrame:
-    """New or returning state and history of each of the day's payers.
+def cohort_rows(purchases: DataFrame, report_date: Day, excluded: Excluded = ()) -> DataFrame:
+    """New or returning state and history of each of the day's payers, in no order.
 
     One pass over the history up to the day: conditional aggregates per user, then the users
     without a purchase on the day drop out. Rows are combined before the shuffle and no payer
@@ -125,23 +125,29 @@ def payer_cohort(purchases: DataFrame, report_date: Day, excluded: Excluded = ()
             "today_revenue_usd"
         ),
     )
-    return (
-        per_user.filter(F.col("today_purchases") > 0)
-        .select(
-            "user_id",
-            F.when(F.col("last_prior_purchase_date").isNull(), "new")
-            .otherwise("return")
-            .alias("payer_type"),
-            "lifetime_purchases",
-            "lifetime_value_usd",
-            "today_revenue_usd",
-            "last_prior_purchase_date",
-            big(F.date_diff(day, "last_prior_purchase_date")).alias("days_since_last_purchase"),
-        )
-        .orderBy("payer_type", F.desc("lifetime_value_usd"), "user_id")
+    return per_user.filter(F.col("today_purchases") > 0).select(
+        "user_id",
+        F.when(F.col("last_prior_purchase_date").isNull(), "new")
+        .otherwise("return")
+        .alias("payer_type"),
+        "lifetime_purchases",
+        "lifetime_value_usd",
+        "today_revenue_usd",
+        "last_prior_purchase_date",
+        big(F.date_diff(day, "last_prior_purchase_date")).alias("days_since_last_purchase"),
     )
 
 
+def cohort_order(cohort: DataFrame) -> DataFrame:
+    """New payers first, each group by lifetime value."""
+    return cohort.orderBy("payer_type", F.desc("lifetime_value_usd"), "user_id")
+
+
+def payer_cohort(purchases: DataFrame, report_date: Day, excluded: Excluded = ()) -> DataFrame:
+    """The day's payers with their state and history, ordered."""
+    return cohort_order(cohort_rows(purchases, report_date, excluded))
+
+
 def returning_payers(cohort: DataFrame) -> DataFrame:
     """Returning part of the cohort, highest lifetime value first."""
     return (

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from tallyroom import params
 from tallyroom.operators import crossings
-from tallyroom.plans.stages import narrowed, staged
+from tallyroom.plans.stages import fits_broadcast, kept, staged, staged_together
 
 
 @dataclass(frozen=True)
@@ -43,13 +43,16 @@ def crossings_report(
     for that, both are aggregated in full and joined by shuffle.
     """
     crossed = staged(crossings.newly_crossed(user_crm, internal_users, as_of, tiers))
-    costs = crossings.vendor_cost_by_user(narrowed(vendor_pricing, crossed))
-    found = crossings.priced_crossings(crossed, costs)
-    latest = staged(
-        crossings.entrant_last_purchases(crossed, narrowed(purchases, crossed), as_of, n_purchases)
+    if fits_broadcast(crossed):
+        vendor_pricing, purchases = kept(vendor_pricing, crossed), kept(purchases, crossed)
+    costs = crossings.vendor_cost_by_user(vendor_pricing)
+    parts = staged_together(
+        found=crossings.priced_rows(crossed, costs),
+        latest=crossings.last_purchase_rows(crossed, purchases, as_of, n_purchases),
     )
+    found, latest = parts["found"], parts["latest"]
     return CrossingsReport(
-        tier_crossings=found,
+        tier_crossings=crossings.crossing_order(found),
         entrant_last_purchases=latest.orderBy("user_id", "rn"),
         entrant_feed=crossings.entrant_feed(found, latest),
     )

@@ -61,13 +61,13 @@ def daily_report(
         summary=daily.purchase_summary(day, report_date, excluded),
         products=daily.revenue_by_product(day, report_date, excluded),
         spenders=daily.top_spenders(day, report_date, excluded, n_spenders),
-        cohort=daily.payer_cohort(narrowed(purchases, payers), report_date, excluded),
+        cohort=daily.cohort_rows(narrowed(purchases, payers), report_date, excluded),
         activity=boxes.payer_box_activity(box_events, day, report_date, excluded),
     )
     cohort, activity = second["cohort"], second["activity"]
     third = staged_together(
         top=boxes.top_boxes_of(activity, n_boxes),
-        openers=boxes.top_box_openers_of(activity),
+        openers=boxes.top_box_opener_rows(activity),
     )
     kpis = daily.cohort_kpis(active, second["summary"], cohort)
     returning = daily.returning_payers(cohort)
@@ -85,8 +85,8 @@ def daily_report(
         ),
         top_openers=boxes.top_openers_of(activity, n_openers),
         top_spenders=second["spenders"].orderBy(F.desc("total_spend_usd"), "user_id"),
-        payer_cohort=cohort.orderBy("payer_type", F.desc("lifetime_value_usd"), "user_id"),
-        top_box_openers=third["openers"].orderBy(F.desc("opens"), "user_id"),
+        payer_cohort=daily.cohort_order(cohort),
+        top_box_openers=boxes.opener_order(third["openers"]),
         cohort_kpis=kpis,
         returning_payers=returning,
         box_mix=mix,

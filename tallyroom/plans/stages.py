@@ -55,13 +55,13 @@ def fits_broadcast(
     max_keys: int = MAX_BROADCAST_KEYS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> bool:
-    """Count a key set (one small job, bounded by ``max_keys``) and hold it against the limits."""
-    size = (
-        keys.select(F.col(on).cast("string").alias("key"))
-        .limit(max_keys + 1)
-        .agg(F.count("*").alias("n"), F.sum(F.octet_length("key")).alias("bytes"))
-        .first()
-    )
+    """Measure a staged key set and hold it against the limits.
+
+    One column is read and every task returns one row; a ``limit`` would instead gather that
+    many rows of each partition in a single task.
+    """
+    key = F.col(on).cast("string")
+    size = keys.agg(F.count("*").alias("n"), F.sum(F.octet_length(key)).alias("bytes")).first()
     return size["n"] <= max_keys and (size["bytes"] or 0) <= max_bytes
 
 

@@ -37,12 +37,22 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*typed, *[name for name in have if name not in schema.names])
 
 
-def read_table(spark: SparkSession, location: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """One canonical table from ``<location>/<name>``, or from the catalog when ``fmt`` is "table"."""
+def read_table(
+    spark: SparkSession,
+    location: str,
+    name: str,
+    fmt: str = "parquet",
+    stored_as: str | None = None,
+) -> DataFrame:
+    """One canonical table from ``<location>/<name>``, or from the catalog when ``fmt`` is "table".
+
+    ``stored_as`` names the folder or table where it differs from the canonical name.
+    """
+    stored = stored_as or name
     if fmt == "table":
-        raw = spark.table(f"{location}.{name}")
+        raw = spark.table(f"{location}.{stored}")
     else:
-        raw = spark.read.format(fmt).load(f"{location.rstrip('/')}/{name}")
+        raw = spark.read.format(fmt).load(f"{location.rstrip('/')}/{stored}")
     return conform(raw, SCHEMAS[name])
 
 

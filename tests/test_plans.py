@@ -7,7 +7,7 @@ import __spark_entry__ as registry
 from tallyroom.operators import boxes, crossings, daily, roster
 from tallyroom.operators.common import on_day
 from tallyroom.sources import testdata as td
-from tests.frames import DAY, logins, purchases
+from tests.frames import DAY, logins, pricing, purchases
 
 SF = "/root/testdata/sf0.01"
 QUERIES = registry.queries()
@@ -18,6 +18,13 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture(autouse=True)
+def untruncated(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    yield
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
 @pytest.fixture
 def no_small_tables(spark):
     """Plan as if no table could be broadcast by its estimated size."""
@@ -28,18 +35,14 @@ def no_small_tables(spark):
 
 
 @pytest.mark.parametrize("name", LAZY)
-def test_no_cross_joins_no_python(spark, no_small_tables, name):
+def test_joins(spark, no_small_tables, name):
+    """No cross joins, no Python, and a broadcast hint only on frames cut by a limit."""
     text = plan(QUERIES[name](spark, SF))
     for unwanted in ("CartesianProduct", "NestedLoop", "Python", "ArrowEval", "Pandas"):
         assert unwanted not in text
-
-
-@pytest.mark.parametrize("name", LAZY)
-def test_only_limited_frames_are_broadcast_by_hint(spark, no_small_tables, name):
-    text = plan(QUERIES[name](spark, SF))
-    allowed = {"top_spenders": 1, "top_box_openers": 1, "box_mix": 1}
-    assert text.count("BroadcastExchange") == allowed.get(name, 0)
-    if name in allowed:
+    limited = {"top_spenders", "top_box_openers", "box_mix"}
+    assert text.count("BroadcastExchange") == (name in limited)
+    if name in limited:
         assert "TakeOrderedAndProject" in text.split("BroadcastExchange")[1]
 
 
@@ -81,8 +84,10 @@ def test_cohort_is_one_scan_and_one_shuffle_by_user(spark, no_small_tables):
     assert "partial_sum" in text and "Join" not in text
 
 
-def test_rows_are_limited_ahead_of_the_shuffle(spark, no_small_tables):
-    latest = plan(roster.latest_vendor_pricing(td.vendor_pricing(spark, SF)))
+def test_rows_are_limited_ahead_of_the_shuffle(spark, no_small_tables, tmp_path):
+    path = str(tmp_path / "pricing")
+    pricing(spark, (1, "a", "01:00", 5, 1)).write.parquet(path)
+    latest = plan(roster.latest_vendor_pricing(spark.read.parquet(path)))
     assert latest.count("WindowGroupLimit") == 2
     crossed = crossings.newly_crossed(
         td.user_crm(spark, SF, td.CROSSINGS_AS_OF), td.internal_users(spark, SF),

@@ -86,7 +86,8 @@ def test_jobs_give_the_same_on_either_road(spark, monkeypatch, tmp_path, limits)
             return real(keys, on, **bounds)
 
         monkeypatch.setattr(stages, "fits_broadcast", bounded)
-        monkeypatch.setattr("tallyroom.plans.roster_job.fits_broadcast", bounded)
+        for job in ("roster_job", "crossings_job"):
+            monkeypatch.setattr(f"tallyroom.plans.{job}.fits_broadcast", bounded)
     as_of = td.CROSSINGS_AS_OF
     crossed = crossings_report(
         td.user_crm(spark, SF, as_of), td.vendor_pricing(spark, SF), td.internal_users(spark, SF),
