@@ -146,11 +146,10 @@ def _heat_scores(spark: SparkSession, sf: str) -> DataFrame:
     return scored_roster(
         td.user_crm(spark, sf, td.ROSTER_AS_OF),
         td.orders_created(spark, sf),
-        td.vendor_pricing(spark, sf),
+        _latest_vendor_pricing(spark, sf),
         td.internal_users(spark, sf),
         td.roster_prev(spark, sf),
         td.ROSTER_AS_OF[:10],
-        tie_break=td.PRICING_TIE_BREAK,
     )
 
 

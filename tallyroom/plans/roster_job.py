@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from tallyroom import params
 from tallyroom.operators import roster as ops
-from tallyroom.plans.stages import fits_broadcast, kept, narrowed, staged
+from tallyroom.plans.stages import fits_broadcast, kept, staged
 from tallyroom.sources.roster_store import EmptyRosterError, publish_roster, read_roster
 
 
@@ -34,18 +34,15 @@ class RosterRefresh:
 def scored_roster(
     user_crm: DataFrame,
     orders_created: DataFrame,
-    vendor_pricing: DataFrame,
+    latest_pricing: DataFrame,
     internal_users: DataFrame,
     roster_prev: DataFrame,
     today: dt.date | str,
     tiers: Sequence[tuple[float, str]] = params.TIERS,
-    tie_break: Sequence[str] = (),
     sheet_order: Sequence[str] = ("sheet_row",),
 ) -> DataFrame:
     """The merged and scored roster as one lazy plan."""
-    costs = ops.procurement_cost_by_user(
-        orders_created, ops.latest_vendor_pricing(vendor_pricing, tie_break)
-    )
+    costs = ops.procurement_cost_by_user(orders_created, latest_pricing)
     fresh = ops.vip_roster(user_crm, costs, internal_users, tiers)
     return ops.heat_scores(ops.merge_roster(fresh, roster_prev, sheet_order), today)
 
@@ -67,9 +64,10 @@ def refresh_roster(
 
     The previous roster is the published one unless another (such as an edited sheet) is given.
     The VIP users are staged first. While they, and then their orders, are few enough to
-    broadcast, the order and pricing tables are narrowed to them at the scan; beyond that both
-    are aggregated in full. The scored roster is computed once: the summaries read the published
-    files.
+    broadcast, the order and pricing tables are narrowed to them at the scan. Beyond that both
+    are aggregated in full, and the latest prices are staged: orders and prices then meet in a
+    plain join of two shuffles, of which adaptive execution can split an order id shared by very
+    many users. The scored roster is computed once: the summaries read the published files.
     """
     spark = user_crm.sparkSession
     if roster_prev is None:
@@ -77,13 +75,17 @@ def refresh_roster(
     vips = staged(ops.vip_users(user_crm, internal_users, tiers))
     if vips.isEmpty():
         raise EmptyRosterError("no user qualifies, the stored roster is kept")
+    few_orders = False
     if fits_broadcast(vips):
         orders_created = staged(kept(orders_created.select("order_id", "user_id"), vips))
         order_ids = orders_created.select("order_id").distinct()
-        vendor_pricing = narrowed(vendor_pricing, order_ids, "order_id")
+        few_orders = fits_broadcast(order_ids, "order_id")
+        if few_orders:
+            vendor_pricing = kept(vendor_pricing, order_ids, "order_id")
+    latest = ops.latest_vendor_pricing(vendor_pricing, tie_break)
     scored = scored_roster(
-        vips, orders_created, vendor_pricing, internal_users, roster_prev, today,
-        tiers, tie_break, sheet_order,
+        vips, orders_created, latest if few_orders else staged(latest), internal_users,
+        roster_prev, today, tiers, sheet_order,
     )
     version = publish_roster(scored, store, today)
     stored = read_roster(spark, store, version).drop("sheet_row")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,18 +15,23 @@ MAX_BROADCAST_KEYS = 500_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tallyroom-")
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``.
+    """The shared folder named in ``spark.checkpoint.dir``, or set on the Spark context.
 
-    Only a local session may go without it and gets a temporary folder; on a cluster that
+    Only a local session may go without either and gets a temporary folder; on a cluster that
     would lie on one machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not spark.conf.get("spark.master").startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="tallyroom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _local_folder()
     return folder.rstrip("/")
 
 
@@ -43,8 +49,6 @@ def staged(df: DataFrame) -> DataFrame:
 
 def staged_together(**frames: DataFrame) -> dict[str, DataFrame]:
     """Stage independent results at the same time: small ones do not wait for large ones."""
-    for frame in frames.values():
-        scratch_folder(frame.sparkSession)
     with ThreadPoolExecutor(max_workers=len(frames)) as pool:
         return dict(zip(frames, pool.map(staged, frames.values()), strict=True))
 

@@ -112,3 +112,32 @@ def test_box_rows_are_combined_ahead_of_every_shuffle(spark, no_small_tables):
 def test_sorting_is_dropped_where_the_order_is_not_kept(spark, no_small_tables):
     text = plan(QUERIES["heat_summary"](spark, SF))
     assert "rangepartitioning" not in text
+
+
+def test_an_order_id_of_many_users_is_split(spark, no_small_tables, tmp_path):
+    """Over stored prices, adaptive execution cuts the hot key's partition into several tasks."""
+    path = str(tmp_path / "latest")
+    spark.range(2000).selectExpr(
+        "id AS order_id", "CAST(1 AS DECIMAL(18,2)) AS vendor_price",
+        "CAST(0.5 AS DECIMAL(18,2)) AS vendor_fee",
+    ).write.parquet(path)
+    orders = spark.range(60000).repartition(8).selectExpr(
+        "if(id % 3 = 0, 7, id % 2000) AS order_id", "CAST(id AS STRING) AS user_id"
+    )
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        costs = roster.procurement_cost_by_user(orders, spark.read.parquet(path))
+        assert costs.filter("total_procurement_cost = 1.5").count() == 60000
+        collected = costs.filter("total_procurement_cost > 1")
+        collected.collect()
+        assert "SortMergeJoin(skew=true)" in plan(collected)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

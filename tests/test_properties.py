@@ -119,3 +119,22 @@ def test_key_sets_are_measured(spark):
     assert not stages.fits_broadcast(keys, max_keys=9)
     assert not stages.fits_broadcast(keys, max_bytes=49)
     assert stages.fits_broadcast(keys.limit(0), max_keys=0, max_bytes=0)
+
+
+class _Session:
+    """Stands in for a session that names no scratch folder."""
+
+    def __init__(self, master, folder=None, context_folder=None):
+        self.sparkContext = self
+        self.conf = {"spark.checkpoint.dir": folder}
+        self.master = master
+        self.getCheckpointDir = lambda: context_folder
+
+
+def test_scratch_folder():
+    assert stages.scratch_folder(_Session("yarn", "/shared/scratch/")) == "/shared/scratch"
+    assert stages.scratch_folder(_Session("yarn", None, "hdfs:/c/1")) == "hdfs:/c/1"
+    local = stages.scratch_folder(_Session("local[2]"))
+    assert local == stages.scratch_folder(_Session("local[*]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        stages.scratch_folder(_Session("yarn"))
