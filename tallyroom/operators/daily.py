@@ -94,7 +94,8 @@ def top_spenders(
         .groupBy(*keys, minute.alias("minute"))
         .agg(
             F.expr(
-                "listagg(product_slug, ', ') WITHIN GROUP (ORDER BY event_timestamp, event_id)"
+                "listagg(product_slug, ', ') WITHIN GROUP "
+                "(ORDER BY event_timestamp, event_id, product_slug)"
             ).alias("part")
         )
     )

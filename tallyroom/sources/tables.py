@@ -9,14 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType, TimestampType
+from pyspark.sql.types import DataType, StructField, StructType, TimestampType
 
 from tallyroom.sources.schemas import SCHEMAS
 
 
-def _typed(df: DataFrame, name: str, source: DataType, target: DataType):
+TIE_BREAKS = {"event_id"}
+AS_STORED = {"order_id"}
+
+
+def _typed(name: str, source: DataType, target: DataType) -> Column:
     column = F.col(name)
     if source == target:
         return column
@@ -27,13 +31,25 @@ def _typed(df: DataFrame, name: str, source: DataType, target: DataType):
     return column.cast(target).alias(name)
 
 
+def _column(field: StructField, have: dict[str, DataType]) -> Column:
+    if field.name in AS_STORED:
+        return F.col(field.name)
+    if field.name not in have:
+        return F.lit(None).cast(field.dataType).alias(field.name)
+    return _typed(field.name, have[field.name], field.dataType)
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Bring the schema's columns to its types, keep further columns, complain about absent ones."""
+    """Bring the schema's columns to its types and keep further columns.
+
+    An absent tie-break column becomes NULL, any other absent column is an error. Order ids keep
+    the type they are stored in.
+    """
     have = {field.name: field.dataType for field in df.schema}
-    absent = [name for name in schema.names if name not in have]
+    absent = [name for name in schema.names if name not in have and name not in TIE_BREAKS]
     if absent:
         raise ValueError(f"missing columns: {', '.join(absent)}")
-    typed = [_typed(df, field.name, have[field.name], field.dataType) for field in schema]
+    typed = [_column(field, have) for field in schema]
     return df.select(*typed, *[name for name in have if name not in schema.names])
 
 

@@ -1,13 +1,13 @@
-"""Canonical tables derived from the generic test tables by plain column expressions."""
+"""Canonical tables derived from the generic test tables by plain SQL expressions."""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroom.functions import date_literal, utc_literal
+from tallyroom.functions import utc_literal
 
 # Parameters of the test runs.
 REPORT_DATE = "2024-01-04"
@@ -16,148 +16,128 @@ ROSTER_AS_OF = "2024-01-31 00:00:00"
 EXCLUDED = tuple(str(user) for user in (3, 7, 11, 19, 23, 29, 31, 37, 41, 43, 47, 53, 59))
 PRICING_TIE_BREAK = ("l_linenumber", "l_partkey", "l_suppkey")
 
+_K = "CAST(get_json_object(props, '$.k') AS INT)"
+_EVENT = ("event_id", "CAST(user_id AS STRING) AS user_id", "ts AS event_timestamp")
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _uid() -> Column:
-    return F.col("user_id").cast("string").alias("user_id")
-
-
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
-
-
 def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    views = _table(spark, sf_dir, "events").filter(F.col("event_type") == "view")
-    return views.select("event_id", _uid(), F.col("ts").alias("event_timestamp"))
+    return _table(spark, sf_dir, "events").where("event_type = 'view'").selectExpr(*_EVENT)
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = _k()
-    slug = (
-        F.when(k % 6 == 0, "5k-coins-shop-item")
-        .when(k % 6 == 1, "starter-pack-shop-item")
-        .when(k % 6 == 2, "coin-pack-small-shop-item")
-        .when(k % 6 == 3, "coin-pack-large-shop-item")
-        .when(k % 6 == 4, "season-bundle")
-    )
-    bought = _table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
-    return bought.select(
-        "event_id",
-        _uid(),
-        F.col("ts").alias("event_timestamp"),
-        F.col("value").cast("decimal(18,2)").alias("amount_usd"),
-        slug.alias("product_slug"),
-        F.when(k % 3 == 0, F.concat(F.lit("SAVE"), k.cast("string"))).alias("coupon_code"),
+    return (
+        _table(spark, sf_dir, "events")
+        .where("event_type = 'purchase'")
+        .selectExpr("*", f"{_K} AS k")
+        .selectExpr(
+            *_EVENT,
+            "CAST(value AS DECIMAL(18,2)) AS amount_usd",
+            "CASE k % 6 WHEN 0 THEN '5k-coins-shop-item' WHEN 1 THEN 'starter-pack-shop-item' "
+            "WHEN 2 THEN 'coin-pack-small-shop-item' WHEN 3 THEN 'coin-pack-large-shop-item' "
+            "WHEN 4 THEN 'season-bundle' END AS product_slug",
+            "CASE WHEN k % 3 = 0 THEN concat('SAVE', k) END AS coupon_code",
+        )
     )
 
 
 def box_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = _k()
-    opened = _table(spark, sf_dir, "events").filter(F.col("event_type").isin("click", "error"))
-    return opened.select(
-        "event_id",
-        _uid(),
-        F.col("ts").alias("event_timestamp"),
-        F.concat(F.lit("Box "), (k % 12).cast("string")).alias("box_display_name"),
-        ((k % 12) * 8 + F.when(k >= 96, 5).otherwise(0)).alias("box_volatility"),
-        (F.col("event_id") % 6).alias("boxes_opened_count"),
-        F.col("value").cast("decimal(18,2)").alias("total_coins_spent"),
+    return (
+        _table(spark, sf_dir, "events")
+        .where("event_type IN ('click', 'error')")
+        .selectExpr("*", f"{_K} AS k")
+        .selectExpr(
+            *_EVENT,
+            "concat('Box ', k % 12) AS box_display_name",
+            "k % 12 * 8 + if(k >= 96, 5, 0) AS box_volatility",
+            "event_id % 6 AS boxes_opened_count",
+            "CAST(value AS DECIMAL(18,2)) AS total_coins_spent",
+        )
     )
 
 
 def orders_created(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("o_orderdate").alias("event_timestamp"),
+    return _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        "CAST(o_custkey AS STRING) AS user_id",
+        "o_orderdate AS event_timestamp",
     )
 
 
 def vendor_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    priced = _table(spark, sf_dir, "orders").filter(F.col("o_custkey") % 10 != 0)
+    priced = _table(spark, sf_dir, "orders").where("o_custkey % 10 <> 0")
     lines = _table(spark, sf_dir, "lineitem")
-    return lines.join(priced, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("l_shipdate").alias("event_timestamp"),
-        "l_linenumber",
-        "l_partkey",
-        "l_suppkey",
-        F.col("l_quantity").cast("decimal(18,2)").alias("vendor_price"),
-        F.when(F.col("l_returnflag") != "R", (F.col("l_tax") * 10).cast("decimal(18,2)")).alias(
-            "vendor_fee"
-        ),
+    return lines.join(priced, F.expr("l_orderkey = o_orderkey")).selectExpr(
+        "l_orderkey AS order_id",
+        "CAST(o_custkey AS STRING) AS user_id",
+        "l_shipdate AS event_timestamp",
+        *PRICING_TIE_BREAK,
+        "CAST(l_quantity AS DECIMAL(18,2)) AS vendor_price",
+        "CASE WHEN l_returnflag <> 'R' THEN CAST(l_tax * 10 AS DECIMAL(18,2)) END AS vendor_fee",
     )
 
 
 def internal_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staff = _table(spark, sf_dir, "events").filter(F.col("user_id") % 13 == 0)
-    return staff.select(_uid()).distinct()
+    staff = _table(spark, sf_dir, "events").where("user_id % 13 = 0")
+    return staff.selectExpr("CAST(user_id AS STRING) AS user_id").distinct()
 
 
 def user_crm(spark: SparkSession, sf_dir: str, as_of: dt.datetime | str) -> DataFrame:
     """One row per user with a purchase before ``as_of``, in one pass over the events."""
-    now = utc_literal(as_of)
-    is_purchase = F.col("event_type") == "purchase"
-    is_session = (F.col("event_type") == "signup") & (_k() < 10)
-    amount = F.col("value").cast("decimal(18,2)")
+    bought = "event_type = 'purchase'"
+    seen = f"event_type = 'signup' AND {_K} < 10"
     per_user = (
         _table(spark, sf_dir, "events")
-        .filter(F.col("event_type").isin("purchase", "signup") & (F.col("ts") < now))
+        .where("event_type IN ('purchase', 'signup')")
+        .where(F.col("ts") < utc_literal(as_of))
+        .withColumn("amount", F.expr("CAST(value AS DECIMAL(18,2))"))
         .groupBy("user_id")
         .agg(
-            F.sum(F.when(is_purchase, amount)).alias("lifetime_purchases_usd"),
-            F.max(
-                F.when(is_purchase, F.struct("ts", "event_id", amount.alias("amount")))
-            ).alias("last"),
-            F.count_if(is_purchase).alias("total_purchases"),
-            F.max(F.when(is_session, F.col("ts"))).alias("last_session_at"),
+            F.expr(f"CAST(sum(amount) FILTER (WHERE {bought}) AS DECIMAL(18,2)) AS ltv"),
+            F.expr(f"max(struct(ts, event_id, amount)) FILTER (WHERE {bought}) AS last"),
+            F.expr(f"count_if({bought}) AS n"),
+            F.expr(f"max(ts) FILTER (WHERE {seen}) AS session"),
         )
-        .filter(F.col("total_purchases") > 0)
+        .where("n > 0")
+        .withColumn("today", F.to_date(utc_literal(as_of)))
     )
     customers = _table(spark, sf_dir, "customer").join(
-        _table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+        _table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"), "left"
     )
-    today = F.to_date(now)
-    return per_user.join(customers, F.col("user_id") == F.col("c_custkey"), "left").select(
-        _uid(),
-        F.col("lifetime_purchases_usd").cast("decimal(18,2)").alias("lifetime_purchases_usd"),
-        F.col("last.amount").alias("last_purchase_amount_usd"),
-        F.col("last.ts").alias("last_purchase_at"),
-        "total_purchases",
-        F.date_diff(today, F.to_date("last.ts")).alias("days_since_last_purchase"),
-        F.date_diff(today, F.to_date("last_session_at")).alias("days_since_last_session"),
-        F.when(F.col("total_purchases") >= 10, "loyal").otherwise("active").alias(
-            "lifecycle_state"
-        ),
-        F.col("n_name").alias("country"),
-        F.col("c_mktsegment").alias("favorite_box_category"),
+    return per_user.join(customers, F.expr("user_id = c_custkey"), "left").selectExpr(
+        "CAST(user_id AS STRING) AS user_id",
+        "ltv AS lifetime_purchases_usd",
+        "last.amount AS last_purchase_amount_usd",
+        "last.ts AS last_purchase_at",
+        "n AS total_purchases",
+        "date_diff(today, to_date(last.ts)) AS days_since_last_purchase",
+        "date_diff(today, to_date(session)) AS days_since_last_session",
+        "if(n >= 10, 'loyal', 'active') AS lifecycle_state",
+        "n_name AS country",
+        "c_mktsegment AS favorite_box_category",
     )
 
 
 def roster_prev(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
     return (
         _table(spark, sf_dir, "customer")
-        .filter(key % 3 != 0)
-        .select(
-            key.alias("sheet_row"),
-            key.cast("string").alias("user_id"),
-            F.lit("Customer").alias("first_name"),
-            F.substring_index("c_name", "#", -1).alias("last_name"),
-            F.concat(F.lit("u"), key.cast("string"), F.lit("@example.com")).alias("email"),
-            F.lit("email").alias("preferred_channel"),
-            F.when(key % 4 == 0, "new")
-            .when(key % 4 == 1, "engaged")
-            .when(key % 4 == 3, " new ")
-            .alias("relationship_stage"),
-            F.lit(None).cast("string").alias("last_contacted_at"),
-            F.when(key % 5 == 0, F.col("c_mktsegment")).alias("conversation_note_1"),
-            F.when(key % 5 == 1, "   ").alias("conversation_note_2"),
-            F.lit(None).cast("string").alias("conversation_note_3"),
-            F.lit(None).cast("string").alias("manager_notes"),
+        .where("c_custkey % 3 <> 0")
+        .selectExpr(
+            "c_custkey AS sheet_row",
+            "CAST(c_custkey AS STRING) AS user_id",
+            "'Customer' AS first_name",
+            "substring_index(c_name, '#', -1) AS last_name",
+            "concat('u', c_custkey, '@example.com') AS email",
+            "'email' AS preferred_channel",
+            "CASE c_custkey % 4 WHEN 0 THEN 'new' WHEN 1 THEN 'engaged' WHEN 3 THEN ' new ' END "
+            "AS relationship_stage",
+            "CAST(NULL AS STRING) AS last_contacted_at",
+            "CASE WHEN c_custkey % 5 = 0 THEN c_mktsegment END AS conversation_note_1",
+            "CASE WHEN c_custkey % 5 = 1 THEN '   ' END AS conversation_note_2",
+            "CAST(NULL AS STRING) AS conversation_note_3",
+            "CAST(NULL AS STRING) AS manager_notes",
         )
     )

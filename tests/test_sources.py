@@ -28,6 +28,14 @@ def test_conform_casts_keeps_extras_and_names_what_is_missing(spark):
         conform(raw.drop("event_timestamp"), SCHEMAS["logins"])
 
 
+def test_conform_fills_tie_breaks_and_leaves_order_ids(spark):
+    events = purchases(spark, ("a", "01:00", 1, "y"), ("a", "01:00", 1, "x")).drop("event_id")
+    stored = conform(events, SCHEMAS["purchases"])
+    assert one(daily.top_spenders(stored, DAY))["products_bought"] == "x, y"
+    orders = spark.sql("SELECT 'o-1' AS order_id, 'a' AS user_id")
+    assert conform(orders, SCHEMAS["orders_created"]).first().order_id == "o-1"
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "table"])
 def test_formats(spark, tmp_path, fmt):
     events = purchases(spark, ("a", "01:00", "1.50", "x", None), ("b", "23:59", "2.25", None, "S"))
