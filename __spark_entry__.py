@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from oracles import ORACLE_SQL
 from tallyroom.operators import boxes, crossings, daily, roster
-from tallyroom.plans.daily_report import daily_report
-from tallyroom.plans.roster_job import refresh_roster, scored_roster
+from tallyroom.plans import crossings_report, daily_report, refresh_roster
+from tallyroom.plans.roster_job import scored_roster
 from tallyroom.plans.stages import scratch_folder
 from tallyroom.sources import testdata as td
 
@@ -104,9 +104,13 @@ def _entrant_last_purchases(as_of: str) -> Query:
 
 def _entrant_feed(as_of: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        feed = crossings.entrant_feed(
-            _tier_crossings(as_of)(spark, sf), _entrant_last_purchases(as_of)(spark, sf)
-        )
+        feed = crossings_report(
+            td.user_crm(spark, sf, as_of),
+            td.vendor_pricing(spark, sf),
+            td.internal_users(spark, sf),
+            td.purchases(spark, sf),
+            as_of,
+        ).entrant_feed
         # The comparison with SQL needs flat columns.
         line = F.transform(
             "purchases",

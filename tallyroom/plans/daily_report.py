@@ -12,7 +12,7 @@ from tallyroom import params
 from tallyroom.operators import boxes, daily
 from tallyroom.operators.common import Excluded, on_day, without_users
 from tallyroom.operators.observations import observations
-from tallyroom.plans.stages import narrowed, staged, staged_together
+from tallyroom.plans.stages import narrowed, staged_together
 
 
 @dataclass(frozen=True)
@@ -56,7 +56,7 @@ def daily_report(
         active=daily.daily_active_users(logins, report_date, excluded),
     )
     day, active = first["day"], first["active"]
-    payers = staged(day.select("user_id").distinct())
+    payers = day.select("user_id").distinct()
     second = staged_together(
         summary=daily.purchase_summary(day, report_date, excluded),
         products=daily.revenue_by_product(day, report_date, excluded),

@@ -59,7 +59,7 @@ def fits_broadcast(
     max_keys: int = MAX_BROADCAST_KEYS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> bool:
-    """Measure a staged key set and hold it against the limits.
+    """Measure a key set taken from a staged table and hold it against the limits.
 
     One column is read and every task returns one row; a ``limit`` would instead gather that
     many rows of each partition in a single task.
@@ -79,6 +79,6 @@ def narrowed(rows: DataFrame, keys: DataFrame, on: str = "user_id", **limits: in
 
     Otherwise the rows come back unchanged: callers join or filter by the key afterwards anyway,
     behind their own aggregation, so the result is the same and only the road differs. ``keys``
-    should be staged, it is counted here and read again by the join.
+    should come from a staged table: it is counted here and read again by the join.
     """
     return kept(rows, keys, on) if fits_broadcast(keys, on, **limits) else rows
