@@ -30,7 +30,9 @@ def _daily(spark: SparkSession, args: argparse.Namespace) -> None:
     )
     excluded = [user for user in args.excluded.split(",") if user]
     if args.excluded_table:
-        excluded = read_table(spark, args.tables, "internal_users", args.format, args.excluded_table)
+        excluded = read_table(
+            spark, args.tables, "internal_users", args.format, args.excluded_table
+        )
     report = daily_report(**tables, report_date=args.date, excluded=excluded)
     _write(report.results(), f"{args.out}/{args.date}")
 

@@ -21,7 +21,9 @@ ENTRANT_PURCHASES = 2
 NEEDS_ATTENTION = 5
 CROSSING_WINDOW_HOURS = 24
 DISPLAY_OFFSET_HOURS = 3
-HEAT_LABELS: tuple[tuple[str, int], ...] = (("Hot", 70), ("Warm", 40), ("Cold", 15), ("Inactive", 0))
+HEAT_LABELS: tuple[tuple[str, int], ...] = (
+    ("Hot", 70), ("Warm", 40), ("Cold", 15), ("Inactive", 0),
+)
 RECENCY_DAYS = 30
 CONTEXT_WITH_NOTES = 70
 CONTEXT_WITHOUT_NOTES = 50

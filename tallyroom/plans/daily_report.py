@@ -45,9 +45,10 @@ def daily_report(
     n_spenders: int = params.TOP_SPENDERS,
     n_observations: int = params.TOP_OBSERVATIONS,
 ) -> DailyReport:
-    """All results of one day, each large input read once and each result computed once.
+    """All results of one day, each computed once.
 
-    The day's purchases, the box rollup and the payer cohort are staged, since several outputs
+    Logins and box events are read once, purchases twice: the day and the history. The day's
+    purchases, the box rollup and the payer cohort are staged, since several outputs
     read them; the history behind the cohort is narrowed to the day's payers when their counted
     number allows it, and aggregated in full otherwise.
     """
