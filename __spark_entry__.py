@@ -12,7 +12,7 @@ from oracles import ORACLE_SQL
 from tallyroom.operators import boxes, crossings, daily, roster
 from tallyroom.plans import crossings_report, daily_report, refresh_roster
 from tallyroom.plans.roster_job import scored_roster
-from tallyroom.plans.stages import scratch_folder
+from tallyroom.plans.stages import scratch_folder, staged
 from tallyroom.sources import testdata as td
 
 DAY = td.REPORT_DATE
@@ -47,12 +47,19 @@ def _payer_cohort(spark: SparkSession, sf: str) -> DataFrame:
     return daily.payer_cohort(td.purchases(spark, sf), DAY, td.EXCLUDED)
 
 
-def _top_box_openers(spark: SparkSession, sf: str) -> DataFrame:
-    return boxes.top_box_openers(
-        td.box_events(spark, sf), td.purchases(spark, sf), DAY, td.EXCLUDED
+def _box_activity(spark: SparkSession, sf: str) -> DataFrame:
+    """The rollup of payers' opens, staged because its readers need it twice."""
+    return staged(
+        boxes.payer_box_activity(
+            td.box_events(spark, sf), td.purchases(spark, sf), DAY, td.EXCLUDED
+        )
     )
 
 
+def _top_box_openers(spark: SparkSession, sf: str) -> DataFrame:
+    return boxes.opener_order(boxes.top_box_opener_rows(_box_activity(spark, sf)))
+
+
 def _cohort_kpis(spark: SparkSession, sf: str) -> DataFrame:
     return daily.cohort_kpis(
         _daily_active_users(spark, sf), _purchase_summary(spark, sf), _payer_cohort(spark, sf)
@@ -64,9 +71,7 @@ def _returning_payers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _box_mix(spark: SparkSession, sf: str) -> DataFrame:
-    activity = boxes.payer_box_activity(
-        td.box_events(spark, sf), td.purchases(spark, sf), DAY, td.EXCLUDED
-    )
+    activity = _box_activity(spark, sf)
     return boxes.box_mix(boxes.top_boxes_of(activity), boxes.top_box_opener_rows(activity))
 
 

@@ -7,6 +7,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import cache
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,9 +49,13 @@ def staged(df: DataFrame) -> DataFrame:
 
 
 def staged_together(**frames: DataFrame) -> dict[str, DataFrame]:
-    """Stage independent results at the same time: small ones do not wait for large ones."""
+    """Stage independent results at the same time: small ones do not wait for large ones.
+
+    The threads take over the caller's job group and scheduler pool.
+    """
+    stage = inheritable_thread_target(staged)
     with ThreadPoolExecutor(max_workers=len(frames)) as pool:
-        return dict(zip(frames, pool.map(staged, frames.values()), strict=True))
+        return dict(zip(frames, pool.map(stage, frames.values()), strict=True))
 
 
 def fits_broadcast(

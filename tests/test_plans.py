@@ -7,7 +7,7 @@ import __spark_entry__ as registry
 from tallyroom.operators import boxes, crossings, daily, roster
 from tallyroom.operators.common import on_day
 from tallyroom.sources import testdata as td
-from tests.frames import DAY, logins, pricing, purchases
+from tests.frames import DAY, crm, logins, pricing, purchases, users
 
 SF = "/root/testdata/sf0.01"
 QUERIES = registry.queries()
@@ -141,3 +141,22 @@ def test_an_order_id_of_many_users_is_split(spark, no_small_tables, tmp_path):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_user_table_filters_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "crm")
+    crm(spark, ("a", 100, 1, "10:00")).write.parquet(path)
+    people, nobody = spark.read.parquet(path), users(spark)
+    vips = plan(roster.vip_users(people, nobody))
+    assert "GreaterThanOrEqual(lifetime_purchases_usd,100.00)" in vips
+    crossed = plan(crossings.newly_crossed(people, nobody, "2024-03-10 12:00:00"))
+    assert "GreaterThanOrEqual(last_purchase_at,2024-03-09T12:00)" in crossed
+
+
+def test_history_is_cut_at_the_scan(spark, tmp_path):
+    path = str(tmp_path / "purchases")
+    purchases(spark, ("a", "10:00", 1)).write.parquet(path)
+    stored = spark.read.parquet(path)
+    newest = plan(crossings.last_purchase_rows(users(spark, "a"), stored, "2024-03-10 12:00:00"))
+    assert "LessThan(event_timestamp,2024-03-10T12:00)" in newest
+    assert "coupon_code" not in newest

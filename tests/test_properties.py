@@ -121,6 +121,20 @@ def test_key_sets_are_measured(spark):
     assert stages.fits_broadcast(keys.limit(0), max_keys=0, max_bytes=0)
 
 
+def test_staging_keeps_rows_types_and_the_job_group(spark):
+    frames = {"a": spark.range(5), "b": spark.sql("SELECT CAST(1 AS DECIMAL(38,22)) AS x")}
+    context = spark.sparkContext
+    context.setJobGroup("staging", "two frames")
+    try:
+        done = stages.staged_together(**frames)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("staging")) >= 2
+    for name, frame in frames.items():
+        assert done[name].dtypes == frame.dtypes
+        assert rows(done[name]) == rows(frame)
+
+
 class _Session:
     """Stands in for a session that names no scratch folder."""
 
