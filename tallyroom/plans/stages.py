@@ -51,9 +51,10 @@ def staged(df: DataFrame) -> DataFrame:
 def staged_together(**frames: DataFrame) -> dict[str, DataFrame]:
     """Stage independent results at the same time: small ones do not wait for large ones.
 
-    The threads take over the caller's job group and scheduler pool.
+    The threads take over the caller's job group, tags and scheduler pool.
     """
-    stage = inheritable_thread_target(staged)
+    session = next(iter(frames.values())).sparkSession
+    stage = inheritable_thread_target(session)(staged)
     with ThreadPoolExecutor(max_workers=len(frames)) as pool:
         return dict(zip(frames, pool.map(stage, frames.values()), strict=True))
 
