@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
 from collections.abc import Callable
+from functools import cache, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +19,14 @@ from tallyroom.plans.roster_job import scored_roster
 from tallyroom.plans.stages import scratch_folder, staged
 from tallyroom.sources import testdata as td
 
+try:
+    import corpus_pipeline
+    from tallyroom.llm import registry as llm
+except ModuleNotFoundError as missing:  # the optional folder is not there; other errors surface
+    if not (missing.name or "").startswith(("corpus_pipeline", "tallyroom.llm")):
+        raise
+    corpus_pipeline = llm = None
+
 DAY = td.REPORT_DATE
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -188,12 +200,41 @@ def _write_roster_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     ).roster
 
 
+@cache
+def _own_scratch() -> str:
+    folder = tempfile.mkdtemp(prefix="tallyroom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def _with_scratch(query: Query) -> Query:
+    """On one machine a session without ``spark.checkpoint.dir`` gets a folder; a cluster must set it."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        context = spark.sparkContext
+        named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        if named is None and context.master.startswith("local["):
+            context.setCheckpointDir(_own_scratch())
+        return query(spark, sf)
+
+    return run
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The scored loyalty roster at the smallest scale."""
-    return _heat_scores(spark, "/root/testdata/sf0.001")
+    return _with_scratch(_heat_scores)(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
+    """All queries; those of the optional folder only where it can be imported."""
+    found = base_queries()
+    if llm:
+        found |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    return {name: _with_scratch(query) for name, query in found.items()}
+
+
+def base_queries() -> dict[str, Query]:
     return {
         "daily_active_users": _daily_active_users,
         "purchase_summary": _purchase_summary,
@@ -226,4 +267,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE_SQL)
+    found = dict(ORACLE_SQL)
+    if llm:
+        found |= llm.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
