@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from tallyroom.llm.chat_format import OP8_SQL, op8_chat_format
 from tallyroom.llm.exact_dedup import OP10_SQL, op10_exact_dedup
+from tallyroom.llm.source_mix import OP4_SQL, op4_source_mix
 
 QUERIES = {
+    "op4_source_mix": op4_source_mix,
     "op8_chat_format": op8_chat_format,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op4_source_mix": OP4_SQL,
     "op8_chat_format": OP8_SQL,
     "op10_exact_dedup": OP10_SQL,
 }
