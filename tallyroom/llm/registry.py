@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from tallyroom.llm.chat_format import OP8_SQL, op8_chat_format
 from tallyroom.llm.exact_dedup import OP10_SQL, op10_exact_dedup
+from tallyroom.llm.packing import op5_packing
 from tallyroom.llm.secret_scan import op3_secret_scan
 from tallyroom.llm.source_mix import OP4_SQL, op4_source_mix
 
 QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_source_mix": op4_source_mix,
+    "op5_packing": op5_packing,
     "op8_chat_format": op8_chat_format,
     "op10_exact_dedup": op10_exact_dedup,
 }
