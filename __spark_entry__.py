@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -207,12 +208,16 @@ def _own_scratch() -> str:
     return folder
 
 
-def _with_scratch(query: Query) -> Query:
-    """On one machine a session without ``spark.checkpoint.dir`` gets a folder; a cluster must set it."""
+def _prepared(query: Query) -> Query:
+    """On one machine a session without ``spark.checkpoint.dir`` gets a folder; a cluster must set it.
+
+    Python workers find the package beside this file, wherever the session was started from.
+    """
 
     @wraps(query)
     def run(spark: SparkSession, sf: str) -> DataFrame:
         context = spark.sparkContext
+        context.environment.setdefault("PYTHONPATH", os.path.dirname(os.path.abspath(__file__)))
         named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
         if named is None and context.master.startswith("local["):
             context.setCheckpointDir(_own_scratch())
@@ -223,7 +228,7 @@ def _with_scratch(query: Query) -> Query:
 
 def entry(spark: SparkSession) -> DataFrame:
     """The scored loyalty roster at the smallest scale."""
-    return _with_scratch(_heat_scores)(spark, "/root/testdata/sf0.001")
+    return _prepared(_heat_scores)(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
@@ -231,7 +236,7 @@ def queries() -> dict[str, Query]:
     found = base_queries()
     if llm:
         found |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
-    return {name: _with_scratch(query) for name, query in found.items()}
+    return {name: _prepared(query) for name, query in found.items()}
 
 
 def base_queries() -> dict[str, Query]:
