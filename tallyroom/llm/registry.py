@@ -5,12 +5,14 @@ from __future__ import annotations
 from tallyroom.llm.chat_format import OP8_SQL, op8_chat_format
 from tallyroom.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 from tallyroom.llm.imatch import op7_imatch
+from tallyroom.llm.jaccard_join import op2_jaccard_join
 from tallyroom.llm.license_scan import OP9_SQL, op9_license_scan
 from tallyroom.llm.packing import op5_packing
 from tallyroom.llm.secret_scan import op3_secret_scan
 from tallyroom.llm.source_mix import OP4_SQL, op4_source_mix
 
 QUERIES = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_secret_scan": op3_secret_scan,
     "op4_source_mix": op4_source_mix,
     "op5_packing": op5_packing,
