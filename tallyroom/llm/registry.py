@@ -8,6 +8,7 @@ from tallyroom.llm.imatch import op7_imatch
 from tallyroom.llm.jaccard_join import op2_jaccard_join
 from tallyroom.llm.license_scan import OP9_SQL, op9_license_scan
 from tallyroom.llm.packing import op5_packing
+from tallyroom.llm.personal_data import op6_personal_data
 from tallyroom.llm.secret_scan import op3_secret_scan
 from tallyroom.llm.source_mix import OP4_SQL, op4_source_mix
 
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_source_mix": op4_source_mix,
     "op5_packing": op5_packing,
+    "op6_personal_data": op6_personal_data,
     "op7_imatch": op7_imatch,
     "op8_chat_format": op8_chat_format,
     "op9_license_scan": op9_license_scan,
