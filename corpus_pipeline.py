@@ -3,20 +3,46 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyroom.llm import exact_dedup
+from tallyroom.llm import exact_dedup, jaccard_join, packing, quality, source_mix
 from tallyroom.llm.stages import run_stages
 
 
-def _exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score reaches the threshold stay."""
+    return quality.accepted(docs, quality.learned(spark, docs, sf_dir))
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The largest id of every group of equal texts stays."""
     return exact_dedup.dedup(docs, keep="max")
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of every component of linked documents stays."""
+    return jaccard_join.one_of_each(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for every use of a document in the mix, cut where its source's target ends."""
+    return source_mix.mixed_documents(docs).withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the training sequences, with their ids."""
+    return packing.pack(docs).withColumnRenamed("id", "doc_id")
+
+
 STAGES = [
-    ("exact_dedup", _exact_dedup),
+    ("quality_classifier", quality_classifier),
+    ("exact_dedup", exact_duplicates),
+    ("jaccard_join", near_duplicates),
+    ("source_mix", source_mixing),
+    ("packing", sequence_packing),
 ]
 
-# The classifier and the packing cannot be put into SQL.
+# A learned score and the ids of a tokenizer cannot be put into SQL.
 ORACLE_SQL = None
 
 

@@ -9,10 +9,12 @@ from tallyroom.llm.jaccard_join import op2_jaccard_join
 from tallyroom.llm.license_scan import OP9_SQL, op9_license_scan
 from tallyroom.llm.packing import op5_packing
 from tallyroom.llm.personal_data import op6_personal_data
+from tallyroom.llm.quality import op1_quality
 from tallyroom.llm.secret_scan import op3_secret_scan
 from tallyroom.llm.source_mix import OP4_SQL, op4_source_mix
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_secret_scan": op3_secret_scan,
     "op4_source_mix": op4_source_mix,
