@@ -14,9 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oracles import ORACLE_SQL
+from tallyroom import params
 from tallyroom.operators import boxes, crossings, daily, roster
 from tallyroom.plans import crossings_report, daily_report, refresh_roster
-from tallyroom.plans.roster_job import scored_roster
+from tallyroom.plans.crossings_job import crossing_users
+from tallyroom.plans.daily_report import narrowed_cohort
+from tallyroom.plans.roster_job import roster_inputs, scored_roster
 from tallyroom.plans.stages import scratch_folder, staged
 from tallyroom.sources import testdata as td
 
@@ -56,8 +59,12 @@ def _top_spenders(spark: SparkSession, sf: str) -> DataFrame:
     return daily.top_spenders(td.purchases(spark, sf), DAY, td.EXCLUDED)
 
 
+def _cohort(spark: SparkSession, sf: str) -> DataFrame:
+    return narrowed_cohort(td.purchases(spark, sf), DAY, td.EXCLUDED)
+
+
 def _payer_cohort(spark: SparkSession, sf: str) -> DataFrame:
-    return daily.payer_cohort(td.purchases(spark, sf), DAY, td.EXCLUDED)
+    return daily.cohort_order(_cohort(spark, sf))
 
 
 def _box_activity(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,12 +82,12 @@ def _top_box_openers(spark: SparkSession, sf: str) -> DataFrame:
 
 def _cohort_kpis(spark: SparkSession, sf: str) -> DataFrame:
     return daily.cohort_kpis(
-        _daily_active_users(spark, sf), _purchase_summary(spark, sf), _payer_cohort(spark, sf)
+        _daily_active_users(spark, sf), _purchase_summary(spark, sf), _cohort(spark, sf)
     )
 
 
 def _returning_payers(spark: SparkSession, sf: str) -> DataFrame:
-    return daily.returning_payers(_payer_cohort(spark, sf))
+    return daily.returning_payers(_cohort(spark, sf))
 
 
 def _box_mix(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,22 +107,23 @@ def _vendor_cost_by_user(spark: SparkSession, sf: str) -> DataFrame:
 
 def _tier_crossings(as_of: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return crossings.tier_crossings(
-            td.user_crm(spark, sf, as_of),
+        crossed, [pricing] = crossing_users(
+            td.user_crm(spark, sf, as_of), td.internal_users(spark, sf), as_of, params.TIERS,
             td.vendor_pricing(spark, sf),
-            td.internal_users(spark, sf),
-            as_of,
-        )
+        )
+        costs = crossings.vendor_cost_by_user(pricing)
+        return crossings.crossing_order(crossings.priced_rows(crossed, costs))
 
     return run
 
 
 def _entrant_last_purchases(as_of: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        crossed = crossings.newly_crossed(
-            td.user_crm(spark, sf, as_of), td.internal_users(spark, sf), as_of
-        )
-        return crossings.entrant_last_purchases(crossed, td.purchases(spark, sf), as_of)
+        crossed, [purchases] = crossing_users(
+            td.user_crm(spark, sf, as_of), td.internal_users(spark, sf), as_of, params.TIERS,
+            td.purchases(spark, sf),
+        )
+        return crossings.entrant_last_purchases(crossed, purchases, as_of)
 
     return run
 
@@ -152,27 +160,27 @@ def _procurement_cost_by_user(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _vip_roster(spark: SparkSession, sf: str) -> DataFrame:
-    return roster.vip_roster(
+def _roster_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return roster_inputs(
         td.user_crm(spark, sf, td.ROSTER_AS_OF),
-        _procurement_cost_by_user(spark, sf),
+        td.orders_created(spark, sf),
+        td.vendor_pricing(spark, sf),
         td.internal_users(spark, sf),
+        tie_break=td.PRICING_TIE_BREAK,
     )
 
 
+def _vip_roster(spark: SparkSession, sf: str) -> DataFrame:
+    return roster.roster_rows(*_roster_inputs(spark, sf))
+
+
 def _merge_roster(spark: SparkSession, sf: str) -> DataFrame:
     return roster.merge_roster(_vip_roster(spark, sf), td.roster_prev(spark, sf))
 
 
 def _heat_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return scored_roster(
-        td.user_crm(spark, sf, td.ROSTER_AS_OF),
-        td.orders_created(spark, sf),
-        _latest_vendor_pricing(spark, sf),
-        td.internal_users(spark, sf),
-        td.roster_prev(spark, sf),
-        td.ROSTER_AS_OF[:10],
-    )
+    vips, costs = _roster_inputs(spark, sf)
+    return scored_roster(vips, costs, td.roster_prev(spark, sf), td.ROSTER_AS_OF[:10])
 
 
 def _heat_summary(spark: SparkSession, sf: str) -> DataFrame:

@@ -68,6 +68,13 @@ def _money(x: str) -> str:
     return f"CAST(round(CAST({x} AS DECIMAL(38,6)), 2) AS DOUBLE)"
 
 
+def _mean(units: str, n: str, scale: int = 2) -> str:
+    """``units * 10 ** -scale / n`` in two digits, half up once; whole numbers, nothing over nothing."""
+    cent = f"(CAST(nullif({n}, 0) AS HUGEINT) * {10 ** (scale - 2)})"
+    units = f"CAST({units} AS HUGEINT)"
+    return f"(sign({units}) * ((2 * abs({units}) + {cent}) // (2 * {cent})) / 100.0::DOUBLE)"
+
+
 def _pct(part: str, whole: str) -> str:
     """Whole percent, half to even; 0 over nothing."""
     return (
@@ -112,6 +119,7 @@ def _crossing(as_of: str) -> str:
               WHEN {over(100)} THEN 'VIP' END AS tier_crossed
   FROM ({_crm(as_of)}) crm
   WHERE last_purchase_at >= TIMESTAMP '{as_of} 00:00:00' - INTERVAL 24 HOURS
+    AND last_purchase_at <= TIMESTAMP '{as_of} 00:00:00'
     AND NOT EXISTS (SELECT 1 FROM internal_users i WHERE i.user_id = crm.user_id)
     AND ({over(1000)} OR {over(250)} OR {over(100)})"""
 
@@ -135,6 +143,12 @@ def _newest(crossed: str, as_of: str) -> str:
   QUALIFY rn <= 2"""
 
 
+# Coins per opened box in whole units of the twelfth digit.
+_BOX_PRICE = (
+    "CASE WHEN boxes_opened_count > 0 THEN (2 * CAST(total_coins_spent * 100 AS HUGEINT) * 10000000000 "
+    "+ boxes_opened_count) // (2 * boxes_opened_count) END"
+)
+
 # name -> (steps it reads, SELECT)
 STEPS: dict[str, tuple[list[str], str]] = {
     "d_active": ([], f"""
@@ -143,7 +157,7 @@ STEPS: dict[str, tuple[list[str], str]] = {
     "d_summary": ([], f"""
   SELECT count(DISTINCT user_id) AS total_payers, count(*) AS total_transactions,
          {_money("sum(amount_usd)")} AS total_revenue_usd,
-         {_money("avg(amount_usd)")} AS avg_transaction_usd,
+         {_mean("sum(CAST(amount_usd * 100 AS BIGINT))", "count(amount_usd)")} AS avg_transaction_usd,
          CAST(count(*) FILTER (coupon_code IS NOT NULL) AS BIGINT) AS transactions_with_coupon
   FROM day_purchases"""),
     "d_products": ([], f"""
@@ -153,12 +167,12 @@ STEPS: dict[str, tuple[list[str], str]] = {
                               '[A-Za-z]+|[^A-Za-z]+'),
            lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', '') AS product_label,
          count(DISTINCT user_id) AS payers, count(*) AS transactions,
-         {_money("sum(amount_usd)")} AS revenue_usd, {_money("avg(amount_usd)")} AS avg_usd
+         {_money("sum(amount_usd)")} AS revenue_usd, {_mean("sum(CAST(amount_usd * 100 AS BIGINT))", "count(amount_usd)")} AS avg_usd
   FROM day_purchases GROUP BY product_slug"""),
     "d_boxes": ([], f"""
   SELECT box_display_name, box_volatility, CAST(sum(boxes_opened_count) AS BIGINT) AS total_opens,
          count(DISTINCT user_id) AS unique_openers,
-         {_money("avg(total_coins_spent / nullif(boxes_opened_count, 0))")} AS box_price_coins
+         {_mean(f"sum({_BOX_PRICE})", f"count({_BOX_PRICE})", 12)} AS box_price_coins
   FROM day_boxes GROUP BY box_display_name, box_volatility
   ORDER BY total_opens DESC NULLS LAST, box_display_name, box_volatility LIMIT 10"""),
     "d_openers": ([], """
@@ -389,7 +403,7 @@ STEPS: dict[str, tuple[list[str], str]] = {
            AS net_spend_usd,
          CAST(last_purchase_at AS DATE) AS last_purchase_date,
          days_since_last_purchase, days_since_last_session, lifecycle_state, total_purchases,
-         {_money("lifetime_purchases_usd / nullif(total_purchases, 0)")} AS avg_transaction_usd,
+         {_mean("lifetime_purchases_usd * 100", "total_purchases")} AS avg_transaction_usd,
          country, favorite_box_category
   FROM ({_crm("2024-01-31")}) crm LEFT JOIN procurement c ON c.user_id = crm.user_id
   WHERE lifetime_purchases_usd >= 100

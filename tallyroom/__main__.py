@@ -2,10 +2,12 @@
 
     daily      --tables T --out O --date 2024-01-04 [--excluded id,id | --excluded-table NAME]
     crossings  --tables T --out O --as-of "2024-01-05 00:00:00"
-    roster     --tables T --store S --date 2024-01-31 [--sheet sheet.csv]
+    roster     --tables T --store S --date 2024-01-31 [--sheet in.csv] [--export-sheet out.csv]
 
 ``T`` is a folder with one table per name, or a catalog schema with ``--format table``.
-Each result is written as Parquet under ``O/<day>/<name>``.
+``--partition-date COLUMN`` (daily, crossings) names the column of the UTC day by which the event
+tables are laid out. Each result is written as Parquet under ``O/<day>/<name>``; intermediate
+tables go to ``spark.checkpoint.dir`` and are deleted at the end.
 """
 
 from __future__ import annotations
@@ -15,8 +17,9 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyroom.plans import crossings_report, daily_report, refresh_roster
+from tallyroom.plans.stages import stage_scope
 from tallyroom.sources import read_sheet_csv, read_table, read_tables
-from tallyroom.sources.roster_store import SHEET_ORDER
+from tallyroom.sources.roster_store import SHEET_ORDER, write_sheet_csv
 
 
 def _write(results: dict[str, DataFrame], folder: str) -> None:
@@ -33,14 +36,16 @@ def _daily(spark: SparkSession, args: argparse.Namespace) -> None:
         excluded = read_table(
             spark, args.tables, "internal_users", args.format, args.excluded_table
         )
-    report = daily_report(**tables, report_date=args.date, excluded=excluded)
+    report = daily_report(
+        **tables, report_date=args.date, excluded=excluded, partition_date=args.partition_date
+    )
     _write(report.results(), f"{args.out}/{args.date}")
 
 
 def _crossings(spark: SparkSession, args: argparse.Namespace) -> None:
     names = ("user_crm", "vendor_pricing", "internal_users", "purchases")
     tables = read_tables(spark, args.tables, names, args.format)
-    report = crossings_report(**tables, as_of=args.as_of)
+    report = crossings_report(**tables, as_of=args.as_of, partition_date=args.partition_date)
     _write(report.results(), f"{args.out}/{args.as_of[:10]}")
 
 
@@ -54,6 +59,8 @@ def _roster(spark: SparkSession, args: argparse.Namespace) -> None:
     results = refresh.results()
     del results["roster"]  # already published
     _write(results, f"{args.store}/summaries/{refresh.version}")
+    if args.export_sheet:
+        write_sheet_csv(refresh.roster, args.export_sheet)
     print(refresh.version)
 
 
@@ -72,15 +79,19 @@ def main(argv: list[str] | None = None) -> None:
     roster.add_argument("--date", required=True)
     roster.add_argument("--store", required=True)
     roster.add_argument("--sheet")
+    roster.add_argument("--export-sheet")
     roster.set_defaults(run=_roster)
     for job in (daily, crossings, roster):
         job.add_argument("--tables", required=True)
         job.add_argument("--format", default="parquet")
     for job in (daily, crossings):
         job.add_argument("--out", required=True)
+        job.add_argument("--partition-date")
     args = parser.parse_args(argv)
     builder = SparkSession.builder.appName(f"tallyroom-{args.job}")
-    args.run(builder.config("spark.sql.session.timeZone", "UTC").getOrCreate(), args)
+    spark = builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    with stage_scope(spark):
+        args.run(spark, args)
 
 
 if __name__ == "__main__":

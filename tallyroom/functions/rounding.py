@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,12 +11,27 @@ from pyspark.sql import functions as F
 def round2(value: Column) -> Column:
     """Two-digit money as DOUBLE, rounded half up on an exact decimal.
 
-    Going through six decimal digits first makes averages and ratios independent of the
-    precision the engine happens to carry (a double 1.005 lies below the tie, a decimal on it).
+    For sums and differences. A mean or ratio has no exact decimal: ``mean2`` rounds it once.
     """
     return F.round(value.cast("decimal(38,6)"), 2).cast("double")
 
 
+def mean2(total: Column, n: Column, scale: int = 2) -> Column:
+    """``total / n`` in two digits as DOUBLE, rounded half up once, on whole numbers.
+
+    ``total`` is a decimal in units of ``10 ** -scale``; ``n`` is a count, and 0 gives NULL.
+    """
+    cent = (F.nullif(n, F.lit(0)).cast("decimal(20,0)") * F.lit(Decimal(10 ** (scale - 2)))).cast("decimal(38,0)")
+    twice = (F.abs(total).cast("decimal(38,0)") * 2).cast("decimal(38,0)")
+    cents = F.call_function("div", twice + cent, cent * 2)
+    return F.signum(total.cast("double")) * cents / 100.0
+
+
+def cents(money: Column) -> Column:
+    """Two-digit money in whole cents."""
+    return (money * 100).cast("decimal(38,0)")
+
+
 def whole_pct(part: Column, whole: Column) -> Column:
     """Share in whole percent, half to even; 0 when there is nothing to share."""
     share = part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)) * 100

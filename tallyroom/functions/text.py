@@ -1,4 +1,4 @@
-"""Text expressions: product labels, money, counts and clock times."""
+"""Text expressions: product labels and clock times."""
 
 from __future__ import annotations
 
@@ -29,16 +29,6 @@ def product_label(slug: Column) -> Column:
     return F.array_join(F.transform(F.split(words, _PIECE_START), F.initcap), "")
 
 
-def money_text(value: Column) -> Column:
-    """``1,234.50``"""
-    return F.format_number(value.cast("double"), 2)
-
-
-def count_text(value: Column) -> Column:
-    """``1,234``"""
-    return F.format_number(value.cast("bigint"), 0)
-
-
 def clock_text(ts: Column, offset_hours: int) -> Column:
     """``Sat Jan 6, 12:07 AM`` at a fixed offset from UTC.
 

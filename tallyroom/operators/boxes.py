@@ -9,12 +9,13 @@ broadcasts the payers only when they really are small.
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom import params
-from tallyroom.functions import round2, whole_pct
+from tallyroom.functions import mean2, round2, whole_pct
 from tallyroom.operators.common import (
     Excluded,
     big,
@@ -28,14 +29,22 @@ from tallyroom.operators.common import (
 
 Day = dt.date | str
 
+# A box price is a ratio; it is kept in whole units of its twelfth digit until the mean is rounded.
+PRICE_SCALE = 12
+
 
 def payer_box_activity(
-    box_events: DataFrame, purchases: DataFrame, report_date: Day, excluded: Excluded = ()
+    box_events: DataFrame,
+    purchases: DataFrame,
+    report_date: Day,
+    excluded: Excluded = (),
+    partition_date: str | None = None,
 ) -> DataFrame:
     """Opens, coins and price parts per payer, box and volatility: one row each."""
-    price = F.col("total_coins_spent") / F.nullif("boxes_opened_count", F.lit(0))
+    units = F.col("total_coins_spent").cast("decimal(18,2)") * F.lit(Decimal(10**PRICE_SCALE))
+    price = F.round(units / F.nullif("boxes_opened_count", F.lit(0)), 0).cast("decimal(38,0)")
     per_user = (
-        without_users(on_day(box_events, report_date), excluded)
+        without_users(on_day(box_events, report_date, partition_date), excluded)
         .groupBy("user_id", "box_display_name", "box_volatility")
         .agg(
             F.sum("boxes_opened_count").alias("opens"),
@@ -44,7 +53,7 @@ def payer_box_activity(
             F.count(price).alias("price_rows"),
         )
     )
-    payers = payers_of_day(purchases, report_date, excluded)
+    payers = payers_of_day(purchases, report_date, excluded, partition_date)
     return per_user.join(payers, "user_id", "left_semi")
 
 
@@ -55,9 +64,7 @@ def top_boxes_of(activity: DataFrame, n: int = params.TOP_BOXES) -> DataFrame:
         .agg(
             F.sum("opens").alias("total_opens"),
             F.count("*").alias("unique_openers"),
-            round2(F.sum("price_sum") / F.nullif(F.sum("price_rows"), F.lit(0))).alias(
-                "box_price_coins"
-            ),
+            mean2(F.sum("price_sum"), F.sum("price_rows"), PRICE_SCALE).alias("box_price_coins"),
         )
         .orderBy(F.desc("total_opens"), "box_display_name", "box_volatility")
         .limit(n)
@@ -106,9 +113,10 @@ def top_boxes(
     report_date: Day,
     excluded: Excluded = (),
     n: int = params.TOP_BOXES,
+    partition_date: str | None = None,
 ) -> DataFrame:
     """The day's n most opened (box, volatility) pairs among payers."""
-    return top_boxes_of(payer_box_activity(box_events, purchases, report_date, excluded), n)
+    return top_boxes_of(payer_box_activity(box_events, purchases, report_date, excluded, partition_date), n)
 
 
 def top_openers(
@@ -117,16 +125,21 @@ def top_openers(
     report_date: Day,
     excluded: Excluded = (),
     n: int = params.TOP_OPENERS,
+    partition_date: str | None = None,
 ) -> DataFrame:
     """The day's n payers with most opens."""
-    return top_openers_of(payer_box_activity(box_events, purchases, report_date, excluded), n)
+    return top_openers_of(payer_box_activity(box_events, purchases, report_date, excluded, partition_date), n)
 
 
 def top_box_openers(
-    box_events: DataFrame, purchases: DataFrame, report_date: Day, excluded: Excluded = ()
+    box_events: DataFrame,
+    purchases: DataFrame,
+    report_date: Day,
+    excluded: Excluded = (),
+    partition_date: str | None = None,
 ) -> DataFrame:
     """All payers who opened the day's top box."""
-    activity = payer_box_activity(box_events, purchases, report_date, excluded)
+    activity = payer_box_activity(box_events, purchases, report_date, excluded, partition_date)
     return opener_order(top_box_opener_rows(activity))
 
 

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.functions import date_literal
+from tallyroom.functions import date_literal, day_of, within
 
 Excluded = Sequence[str] | DataFrame
 
@@ -28,25 +28,43 @@ def without_users(rows: DataFrame, excluded: Excluded) -> DataFrame:
     return rows.filter(kept)
 
 
-def on_day(rows: DataFrame, day: dt.date | str) -> DataFrame:
-    """Rows of one UTC day; a table laid out by ``event_date`` is pruned to that partition."""
-    picked = F.to_date("event_timestamp") == date_literal(day)
-    if "event_date" in rows.columns:
-        picked &= F.col("event_date") == date_literal(day)
-    return rows.filter(picked)
+def _midnight(day: dt.date | str) -> dt.datetime:
+    return dt.datetime.combine(day_of(day), dt.time())
 
 
-def up_to_day(rows: DataFrame, day: dt.date | str) -> DataFrame:
+def on_day(rows: DataFrame, day: dt.date | str, partition_date: str | None = None) -> DataFrame:
+    """Rows of one UTC day.
+
+    ``partition_date`` names a column that holds each row's UTC day, if the table is laid out by
+    one; the scan is then pruned to that partition.
+    """
+    start = _midnight(day)
+    if partition_date:
+        rows = rows.filter(F.col(partition_date) == date_literal(day))
+    return within(rows, "event_timestamp", since=start, below=start + dt.timedelta(days=1))
+
+
+def before(
+    rows: DataFrame, moment: dt.datetime, partition_date: str | None = None
+) -> DataFrame:
+    """Rows before a UTC moment."""
+    if partition_date:
+        last = (moment - dt.timedelta(microseconds=1)).date()
+        rows = rows.filter(F.col(partition_date) <= date_literal(last))
+    return within(rows, "event_timestamp", below=moment)
+
+
+def up_to_day(rows: DataFrame, day: dt.date | str, partition_date: str | None = None) -> DataFrame:
     """Rows up to and including one UTC day."""
-    picked = F.to_date("event_timestamp") <= date_literal(day)
-    if "event_date" in rows.columns:
-        picked &= F.col("event_date") <= date_literal(day)
-    return rows.filter(picked)
+    return before(rows, _midnight(day) + dt.timedelta(days=1), partition_date)
 
 
-def payers_of_day(purchases: DataFrame, day: dt.date | str, excluded: Excluded) -> DataFrame:
+def payers_of_day(
+    purchases: DataFrame, day: dt.date | str, excluded: Excluded, partition_date: str | None = None
+) -> DataFrame:
     """The distinct users who bought that day."""
-    return without_users(on_day(purchases, day), excluded).select("user_id").distinct()
+    day_rows = on_day(purchases, day, partition_date)
+    return without_users(day_rows, excluded).select("user_id").distinct()
 
 
 def limited(df: DataFrame, n: int) -> DataFrame:

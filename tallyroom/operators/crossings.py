@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroom import params
-from tallyroom.functions import clock_text, round2, utc_literal
-from tallyroom.operators.common import big
+from tallyroom.functions import clock_text, round2, within
+from tallyroom.functions.time import utc_time
+from tallyroom.operators.common import before, big
 
 AsOf = dt.datetime | str
 
@@ -35,16 +36,20 @@ def newly_crossed(
     as_of: AsOf,
     tiers: Sequence[tuple[float, str]] = params.TIERS,
 ) -> DataFrame:
-    """Outside users whose purchase of the past 24 h crossed a tier, with the highest one."""
+    """Outside users whose purchase of the past 24 h crossed a tier, with the highest one.
+
+    A purchase after ``as_of`` belongs to a later report and does not count.
+    """
     ranked = params.ordered_tiers(tiers)
-    since = utc_literal(as_of) - F.make_dt_interval(hours=F.lit(params.CROSSING_WINDOW_HOURS))
+    now = utc_time(as_of)
+    since = now - dt.timedelta(hours=params.CROSSING_WINDOW_HOURS)
     label = reduce(
         lambda case, tier: case.when(_crossed(tier.threshold), tier.label),
         ranked[1:],
         F.when(_crossed(ranked[0].threshold), ranked[0].label),
     )
     return (
-        user_crm.filter(F.col("last_purchase_at") >= since)
+        within(user_crm, "last_purchase_at", since=since, upto=now)
         .filter(reduce(or_, [_crossed(tier.threshold) for tier in ranked]))
         .join(internal_users.select("user_id"), "user_id", "left_anti")
         .select(
@@ -90,6 +95,7 @@ def last_purchase_rows(
     purchases: DataFrame,
     as_of: AsOf,
     n: int = params.ENTRANT_PURCHASES,
+    partition_date: str | None = None,
 ) -> DataFrame:
     """The newest n purchases of each crossing user before ``as_of``, in no order.
 
@@ -100,7 +106,7 @@ def last_purchase_rows(
         F.desc("event_timestamp"), F.desc("event_id"), F.desc("amount_usd"), F.desc("product_slug")
     )
     return (
-        purchases.filter(F.col("event_timestamp") < utc_literal(as_of))
+        before(purchases, utc_time(as_of), partition_date)
         .filter(F.col("user_id").isNotNull())
         .select(
             "user_id",
@@ -120,9 +126,10 @@ def entrant_last_purchases(
     purchases: DataFrame,
     as_of: AsOf,
     n: int = params.ENTRANT_PURCHASES,
+    partition_date: str | None = None,
 ) -> DataFrame:
     """The newest n purchases of each crossing user, newest first within a user."""
-    return last_purchase_rows(crossings, purchases, as_of, n).orderBy("user_id", "rn")
+    return last_purchase_rows(crossings, purchases, as_of, n, partition_date).orderBy("user_id", "rn")
 
 
 def entrant_feed(

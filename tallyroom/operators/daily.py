@@ -1,4 +1,7 @@
-"""Purchases and logins of one UTC day: totals, products, spenders, payer cohort, KPIs."""
+"""Purchases and logins of one UTC day: totals, products, spenders, payer cohort, KPIs.
+
+``partition_date`` names the column of each row's UTC day where the tables are laid out by one.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom import params
-from tallyroom.functions import date_literal, product_label, round2, whole_pct
+from tallyroom.functions import cents, date_literal, mean2, product_label, round2, whole_pct
 from tallyroom.operators.common import (
     Excluded,
     big,
@@ -22,36 +25,49 @@ from tallyroom.operators.common import (
 Day = dt.date | str
 
 
-def daily_active_users(logins: DataFrame, report_date: Day, excluded: Excluded = ()) -> DataFrame:
+def daily_active_users(
+    logins: DataFrame,
+    report_date: Day,
+    excluded: Excluded = (),
+    partition_date: str | None = None,
+) -> DataFrame:
     """Distinct users who logged in that day (one row)."""
-    day = without_users(on_day(logins, report_date), excluded)
+    day = without_users(on_day(logins, report_date, partition_date), excluded)
     return day.agg(F.count_distinct("user_id").alias("daily_active_users"))
 
 
-def purchase_summary(purchases: DataFrame, report_date: Day, excluded: Excluded = ()) -> DataFrame:
+def purchase_summary(
+    purchases: DataFrame,
+    report_date: Day,
+    excluded: Excluded = (),
+    partition_date: str | None = None,
+) -> DataFrame:
     """Totals of the day (one row; the sums are NULL on a day without purchases)."""
-    day = without_users(on_day(purchases, report_date), excluded)
+    day = without_users(on_day(purchases, report_date, partition_date), excluded)
     return day.agg(
         F.count_distinct("user_id").alias("total_payers"),
         F.count("*").alias("total_transactions"),
         round2(F.sum("amount_usd")).alias("total_revenue_usd"),
-        round2(F.avg("amount_usd")).alias("avg_transaction_usd"),
+        mean2(cents(F.sum("amount_usd")), F.count("amount_usd")).alias("avg_transaction_usd"),
         F.count("coupon_code").alias("transactions_with_coupon"),
     )
 
 
 def revenue_by_product(
-    purchases: DataFrame, report_date: Day, excluded: Excluded = ()
+    purchases: DataFrame,
+    report_date: Day,
+    excluded: Excluded = (),
+    partition_date: str | None = None,
 ) -> DataFrame:
     """Payers, transactions and revenue per product, highest revenue first."""
-    day = without_users(on_day(purchases, report_date), excluded)
+    day = without_users(on_day(purchases, report_date, partition_date), excluded)
     return (
         day.groupBy("product_slug")
         .agg(
             F.count_distinct("user_id").alias("payers"),
             F.count("*").alias("transactions"),
             round2(F.sum("amount_usd")).alias("revenue_usd"),
-            round2(F.avg("amount_usd")).alias("avg_usd"),
+            mean2(cents(F.sum("amount_usd")), F.count("amount_usd")).alias("avg_usd"),
         )
         .select(
             "product_slug",
@@ -70,13 +86,14 @@ def top_spenders(
     report_date: Day,
     excluded: Excluded = (),
     n: int = params.TOP_SPENDERS,
+    partition_date: str | None = None,
 ) -> DataFrame:
     """The day's n highest spenders with the products they bought, in time order.
 
     Only the leaders' purchases are listed. Their lists are put together per minute first, so
     even a user with a large share of the day's rows is sorted in up to 1,440 parts.
     """
-    day = without_users(on_day(purchases, report_date), excluded)
+    day = without_users(on_day(purchases, report_date, partition_date), excluded)
     leaders = (
         day.groupBy("user_id")
         .agg(
@@ -106,7 +123,12 @@ def top_spenders(
     )
 
 
-def cohort_rows(purchases: DataFrame, report_date: Day, excluded: Excluded = ()) -> DataFrame:
+def cohort_rows(
+    purchases: DataFrame,
+    report_date: Day,
+    excluded: Excluded = (),
+    partition_date: str | None = None,
+) -> DataFrame:
     """New or returning state and history of each of the day's payers, in no order.
 
     One pass over the history up to the day: conditional aggregates per user, then the users
@@ -116,7 +138,7 @@ def cohort_rows(purchases: DataFrame, report_date: Day, excluded: Excluded = ())
     """
     day = date_literal(report_date)
     event_day = F.to_date("event_timestamp")
-    history = without_users(up_to_day(purchases, report_date), excluded)
+    history = without_users(up_to_day(purchases, report_date, partition_date), excluded)
     per_user = history.groupBy("user_id").agg(
         F.max(F.when(event_day < day, event_day)).alias("last_prior_purchase_date"),
         F.count_if(event_day == day).alias("today_purchases"),
@@ -144,9 +166,14 @@ def cohort_order(cohort: DataFrame) -> DataFrame:
     return cohort.orderBy("payer_type", F.desc("lifetime_value_usd"), "user_id")
 
 
-def payer_cohort(purchases: DataFrame, report_date: Day, excluded: Excluded = ()) -> DataFrame:
+def payer_cohort(
+    purchases: DataFrame,
+    report_date: Day,
+    excluded: Excluded = (),
+    partition_date: str | None = None,
+) -> DataFrame:
     """The day's payers with their state and history, ordered."""
-    return cohort_order(cohort_rows(purchases, report_date, excluded))
+    return cohort_order(cohort_rows(purchases, report_date, excluded, partition_date))
 
 
 def returning_payers(cohort: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroom import params
-from tallyroom.functions import date_literal, py_round1, round2, stripped
+from tallyroom.functions import cents, date_literal, mean2, py_round1, stripped, utc_wall
 from tallyroom.operators.common import big
 from tallyroom.sources.schemas import (
     IDENTITY_COLUMNS,
@@ -21,6 +21,10 @@ from tallyroom.sources.schemas import (
 )
 
 
+# A cell of a sheet that reads as the number 0.
+ZERO = r"^\s*[+-]?(0+\.?0*|\.0+)\s*$"
+
+
 def latest_vendor_pricing(vendor_pricing: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     """Newest pricing row per order.
 
@@ -37,9 +41,13 @@ def latest_vendor_pricing(vendor_pricing: DataFrame, tie_break: Sequence[str] =
     )
 
 
-def procurement_cost_by_user(orders_created: DataFrame, latest_pricing: DataFrame) -> DataFrame:
+def procurement_cost_by_user(
+    orders_created: DataFrame, latest_pricing: DataFrame, users: DataFrame | None = None
+) -> DataFrame:
     """Latest price and fee over a user's orders, each counted as 0 where it is missing.
 
+    With ``users`` only their orders meet the prices; others are left out.
+
     Repeated events of one order by one user are counted before the join, so an order id that
     holds a large share of all rows reaches it as one row per user. Events without an order id
     cannot match and go around the join instead of piling up in one of its partitions.
@@ -51,8 +59,15 @@ def procurement_cost_by_user(orders_created: DataFrame, latest_pricing: DataFram
         .groupBy("order_id", "user_id")
         .agg(F.count("*").cast("decimal(18,0)").alias("events"))
     )
-    priced = events.join(latest_pricing, "order_id", "left").select(
-        "user_id", (cost * F.col("events")).alias("cost")
+    if users is not None:
+        events = events.join(users.select("user_id"), "user_id", "left_semi")
+    # The second key says nothing new, but with it the prices are shuffled for this join alone, and
+    # adaptive execution may then split an order id that very many users share.
+    again = F.xxhash64("order_id").alias("again")
+    priced = (
+        events.select("*", again)
+        .join(latest_pricing.select("*", again), ["order_id", "again"], "left")
+        .select("user_id", (cost * F.col("events")).alias("cost"))
     )
     unpriced = orders_created.filter(~ordered).select("user_id", F.lit(0).alias("cost"))
     return (
@@ -81,6 +96,15 @@ def vip_roster(
     tiers: Sequence[tuple[float, str]] = params.TIERS,
 ) -> DataFrame:
     """The VIP users' tier and figures, highest value first."""
+    return roster_rows(vip_users(user_crm, internal_users, tiers), procurement_costs, tiers)
+
+
+def roster_rows(
+    vips: DataFrame,
+    procurement_costs: DataFrame,
+    tiers: Sequence[tuple[float, str]] = params.TIERS,
+) -> DataFrame:
+    """Tier and figures of users already picked by ``vip_users``, highest value first."""
     ranked = params.ordered_tiers(tiers)
     spent = F.col("lifetime_purchases_usd")
     tier = reduce(
@@ -90,19 +114,18 @@ def vip_roster(
     )
     cost = F.coalesce("total_procurement_cost", F.lit(0.0))
     return (
-        vip_users(user_crm, internal_users, tiers)
-        .join(procurement_costs, "user_id", "left")
+        vips.join(procurement_costs, "user_id", "left")
         .select(
             "user_id",
             tier.alias("tier"),
             spent.cast("double").alias("ltv_usd"),
             (spent.cast("double") - cost).alias("net_spend_usd"),
-            F.to_date("last_purchase_at").alias("last_purchase_date"),
+            F.to_date(utc_wall(vips, "last_purchase_at")).alias("last_purchase_date"),
             "days_since_last_purchase",
             "days_since_last_session",
             "lifecycle_state",
             "total_purchases",
-            round2(spent / F.nullif("total_purchases", F.lit(0))).alias("avg_transaction_usd"),
+            mean2(cents(spent), F.col("total_purchases")).alias("avg_transaction_usd"),
             "country",
             "favorite_box_category",
         )
@@ -116,7 +139,7 @@ def merge_roster(
     """Fresh figures with the identity and manager columns of the previous roster.
 
     A user new to the roster starts at the "new" stage; everything else that is missing becomes
-    blank. Of repeated previous rows the last in ``sheet_order`` counts, rows without a user are
+    blank, and so does a cell that holds nothing but a zero. Of repeated previous rows the last in ``sheet_order`` counts, rows without a user are
     ignored, and users no longer on the roster drop out.
     """
     kept = (*IDENTITY_COLUMNS, *MANAGER_COLUMNS)
@@ -131,6 +154,7 @@ def merge_roster(
 
     def carried(name: str) -> Column:
         value = F.coalesce(name, F.lit(""))
+        value = F.when(value.rlike(ZERO), "").otherwise(value)
         if name == "relationship_stage":
             value = F.when(is_new, params.NEW_STAGE).otherwise(value)
         return value.alias(name)

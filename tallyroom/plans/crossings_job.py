@@ -27,6 +27,23 @@ class CrossingsReport:
         }
 
 
+def crossing_users(
+    user_crm: DataFrame,
+    internal_users: DataFrame,
+    as_of: dt.datetime | str,
+    tiers: Sequence[tuple[float, str]],
+    *tables: DataFrame,
+) -> tuple[DataFrame, list[DataFrame]]:
+    """The crossing users, staged, and the tables narrowed to them.
+
+    They are few on a usual day, so the pricing and the purchase history are cut at the scan; when
+    their counted number is too large for that, both are aggregated in full and joined by shuffle.
+    """
+    crossed = staged(crossings.newly_crossed(user_crm, internal_users, as_of, tiers))
+    few = fits_broadcast(crossed)
+    return crossed, [kept(table, crossed) if few else table for table in tables]
+
+
 def crossings_report(
     user_crm: DataFrame,
     vendor_pricing: DataFrame,
@@ -35,20 +52,18 @@ def crossings_report(
     as_of: dt.datetime | str,
     tiers: Sequence[tuple[float, str]] = params.TIERS,
     n_purchases: int = params.ENTRANT_PURCHASES,
+    partition_date: str | None = None,
 ) -> CrossingsReport:
-    """Both results and their feed from one reading of "now".
-
-    The crossing users are staged first. They are few on a usual day, so the pricing and the
-    purchase history are narrowed to them at the scan; when their counted number is too large
-    for that, both are aggregated in full and joined by shuffle.
-    """
-    crossed = staged(crossings.newly_crossed(user_crm, internal_users, as_of, tiers))
-    if fits_broadcast(crossed):
-        vendor_pricing, purchases = kept(vendor_pricing, crossed), kept(purchases, crossed)
+    """Both results and their feed from one reading of "now"."""
+    crossed, (vendor_pricing, purchases) = crossing_users(
+        user_crm, internal_users, as_of, tiers, vendor_pricing, purchases
+    )
     costs = crossings.vendor_cost_by_user(vendor_pricing)
     parts = staged_together(
         found=crossings.priced_rows(crossed, costs),
-        latest=crossings.last_purchase_rows(crossed, purchases, as_of, n_purchases),
+        latest=crossings.last_purchase_rows(
+            crossed, purchases, as_of, n_purchases, partition_date
+        ),
     )
     found, latest = parts["found"], parts["latest"]
     return CrossingsReport(

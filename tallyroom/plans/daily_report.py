@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from tallyroom import params
 from tallyroom.operators import boxes, daily
-from tallyroom.operators.common import Excluded, on_day, without_users
+from tallyroom.operators.common import Excluded, on_day, payers_of_day, without_users
 from tallyroom.operators.observations import observations
-from tallyroom.plans.stages import narrowed, staged_together
+from tallyroom.plans.stages import fits_broadcast, kept, staged, staged_together
 
 
 @dataclass(frozen=True)
@@ -34,6 +34,31 @@ class DailyReport:
         return {field.name: getattr(self, field.name) for field in fields(self)}
 
 
+def _cohort(
+    purchases: DataFrame,
+    payers: DataFrame,
+    few: bool,
+    report_date: dt.date | str,
+    excluded: Excluded,
+    partition_date: str | None,
+) -> DataFrame:
+    """The cohort over the history of the payers, whom the exclusion has already passed."""
+    history, excluded = (kept(purchases, payers), ()) if few else (purchases, excluded)
+    return daily.cohort_rows(history, report_date, excluded, partition_date)
+
+
+def narrowed_cohort(
+    purchases: DataFrame,
+    report_date: dt.date | str,
+    excluded: Excluded = (),
+    partition_date: str | None = None,
+) -> DataFrame:
+    """``daily.cohort_rows`` over the history of the day's payers alone, when they are few."""
+    payers = staged(payers_of_day(purchases, report_date, excluded, partition_date))
+    few = fits_broadcast(payers)
+    return _cohort(purchases, payers, few, report_date, excluded, partition_date)
+
+
 def daily_report(
     logins: DataFrame,
     purchases: DataFrame,
@@ -44,26 +69,30 @@ def daily_report(
     n_openers: int = params.TOP_OPENERS,
     n_spenders: int = params.TOP_SPENDERS,
     n_observations: int = params.TOP_OBSERVATIONS,
+    partition_date: str | None = None,
 ) -> DailyReport:
     """All results of one day, each computed once.
 
     Logins and box events are read once, purchases twice: the day and the history. The day's
     purchases, the box rollup and the payer cohort are staged, since several outputs
-    read them; the history behind the cohort is narrowed to the day's payers when their counted
-    number allows it, and aggregated in full otherwise.
+    read them; the history behind the cohort and the box events are narrowed to the day's payers
+    when their counted number allows it, and aggregated in full otherwise. The excluded users are
+    gone once the day's purchases are staged, so what is derived from those need not look again.
     """
     first = staged_together(
-        day=without_users(on_day(purchases, report_date), excluded),
-        active=daily.daily_active_users(logins, report_date, excluded),
+        day=without_users(on_day(purchases, report_date, partition_date), excluded),
+        active=daily.daily_active_users(logins, report_date, excluded, partition_date),
     )
     day, active = first["day"], first["active"]
     payers = day.select("user_id").distinct()
+    few = fits_broadcast(payers)
+    opened = on_day(kept(box_events, payers) if few else box_events, report_date, partition_date)
     second = staged_together(
-        summary=daily.purchase_summary(day, report_date, excluded),
-        products=daily.revenue_by_product(day, report_date, excluded),
-        spenders=daily.top_spenders(day, report_date, excluded, n_spenders),
-        cohort=daily.cohort_rows(narrowed(purchases, payers), report_date, excluded),
-        activity=boxes.payer_box_activity(box_events, day, report_date, excluded),
+        summary=daily.purchase_summary(day, report_date),
+        products=daily.revenue_by_product(day, report_date),
+        spenders=daily.top_spenders(day, report_date, n=n_spenders),
+        cohort=_cohort(purchases, payers, few, report_date, excluded, partition_date),
+        activity=boxes.payer_box_activity(opened, day, report_date),
     )
     cohort, activity = second["cohort"], second["activity"]
     third = staged_together(

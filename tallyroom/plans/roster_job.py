@@ -31,19 +31,42 @@ class RosterRefresh:
         }
 
 
-def scored_roster(
+def roster_inputs(
     user_crm: DataFrame,
     orders_created: DataFrame,
-    latest_pricing: DataFrame,
+    vendor_pricing: DataFrame,
     internal_users: DataFrame,
+    tiers: Sequence[tuple[float, str]] = params.TIERS,
+    tie_break: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """The VIP users, staged, and the procurement costs of their orders.
+
+    While the VIP users, and then their orders, are few enough to broadcast, the order and pricing
+    tables are narrowed to them at the scan. Beyond that the order events are combined per order
+    and user, cut to the VIP users by a shuffle, and only then meet the prices.
+    """
+    vips = staged(ops.vip_users(user_crm, internal_users, tiers))
+    users = vips
+    if fits_broadcast(vips):
+        users = None
+        orders_created = staged(kept(orders_created.select("order_id", "user_id"), vips))
+        order_ids = orders_created.select("order_id").distinct()
+        if fits_broadcast(order_ids, "order_id"):
+            vendor_pricing = kept(vendor_pricing, order_ids, "order_id")
+    latest = ops.latest_vendor_pricing(vendor_pricing, tie_break)
+    return vips, ops.procurement_cost_by_user(orders_created, latest, users)
+
+
+def scored_roster(
+    vips: DataFrame,
+    costs: DataFrame,
     roster_prev: DataFrame,
     today: dt.date | str,
     tiers: Sequence[tuple[float, str]] = params.TIERS,
     sheet_order: Sequence[str] = ("sheet_row",),
 ) -> DataFrame:
-    """The merged and scored roster as one lazy plan."""
-    costs = ops.procurement_cost_by_user(orders_created, latest_pricing)
-    fresh = ops.vip_roster(user_crm, costs, internal_users, tiers)
+    """The merged and scored roster of the VIP users."""
+    fresh = ops.roster_rows(vips, costs, tiers)
     return ops.heat_scores(ops.merge_roster(fresh, roster_prev, sheet_order), today)
 
 
@@ -63,30 +86,17 @@ def refresh_roster(
     """Publish a refreshed roster in ``store`` and summarise what was stored.
 
     The previous roster is the published one unless another (such as an edited sheet) is given.
-    The VIP users are staged first. While they, and then their orders, are few enough to
-    broadcast, the order and pricing tables are narrowed to them at the scan. Beyond that both
-    are aggregated in full, and the latest prices are staged: orders and prices then meet in a
-    plain join of two shuffles, of which adaptive execution can split an order id shared by very
-    many users. The scored roster is computed once: the summaries read the published files.
+    The scored roster is computed once: the summaries read the published files.
     """
     spark = user_crm.sparkSession
     if roster_prev is None:
         roster_prev = read_roster(spark, store)
-    vips = staged(ops.vip_users(user_crm, internal_users, tiers))
+    vips, costs = roster_inputs(
+        user_crm, orders_created, vendor_pricing, internal_users, tiers, tie_break
+    )
     if vips.isEmpty():
         raise EmptyRosterError("no user qualifies, the stored roster is kept")
-    few_orders = False
-    if fits_broadcast(vips):
-        orders_created = staged(kept(orders_created.select("order_id", "user_id"), vips))
-        order_ids = orders_created.select("order_id").distinct()
-        few_orders = fits_broadcast(order_ids, "order_id")
-        if few_orders:
-            vendor_pricing = kept(vendor_pricing, order_ids, "order_id")
-    latest = ops.latest_vendor_pricing(vendor_pricing, tie_break)
-    scored = scored_roster(
-        vips, orders_created, latest if few_orders else staged(latest), internal_users,
-        roster_prev, today, tiers, sheet_order,
-    )
+    scored = scored_roster(vips, costs, roster_prev, today, tiers, sheet_order)
     version = publish_roster(scored, store, today)
     stored = read_roster(spark, store, version).drop("sheet_row")
     return RosterRefresh(

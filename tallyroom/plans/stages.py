@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from functools import cache
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -16,26 +16,30 @@ MAX_BROADCAST_KEYS = 500_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tallyroom-")
+# Folders staged within each open scope, the innermost last.
+_scopes: list[list[str]] = []
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``, or set on the Spark context.
-
-    Only a local session may go without either and gets a temporary folder; on a cluster that
-    would lie on one machine.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    """The shared folder named in ``spark.checkpoint.dir``, or set on the Spark context."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = _local_folder()
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return folder.rstrip("/")
 
 
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what was staged inside once the results have been written, or the job has failed."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for folder in _scopes.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write a result that several outputs read to the shared folder and read it back.
 
@@ -44,6 +48,8 @@ def staged(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     target = f"{scratch_folder(spark)}/tallyroom-stage-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(target)
     df.write.mode("error").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
 

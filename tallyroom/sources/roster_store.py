@@ -1,8 +1,9 @@
 """The stored roster: versioned snapshots, and exchange with a hand-edited sheet as CSV.
 
 A snapshot is written under a fresh version directory, checked there and only then announced by
-one appended row in ``published``. Readers follow that row, so a failed, lost or empty write
-never touches the roster in use, and older versions with their notes stay readable.
+one appended row in ``published``. Readers follow the row with the highest sequence number, so
+clocks of different hosts do not matter, a failed, lost or empty write never touches the roster in
+use, and older versions with their notes stay readable.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from tallyroom.functions import date_literal, day_of
 from tallyroom.sources.schemas import ROSTER_COLUMNS, ROSTER_TYPES, SCHEMAS
 
-_POINTER = "version string, snapshot_date date, users bigint, published_at timestamp"
+_POINTER = "version string, snapshot_date date, users bigint, sequence bigint, published_at timestamp"
 
 
 class EmptyRosterError(ValueError):
@@ -40,22 +41,31 @@ def publish_roster(roster: DataFrame, path: str, snapshot_date: dt.date | str) -
         F.lit(version).alias("version"),
         date_literal(snapshot_date).alias("snapshot_date"),
         F.lit(users).cast("bigint").alias("users"),
+        F.lit((_current(spark, path)[1] or 0) + 1).cast("bigint").alias("sequence"),
         F.current_timestamp().alias("published_at"),
     ).write.mode("append").parquet(f"{path}/published")
     return version
 
 
+def _current(spark: SparkSession, path: str) -> tuple[str | None, int | None]:
+    """The version in use and its number; nothing before the first publication."""
+    try:
+        published = spark.read.schema(_POINTER).parquet(f"{path}/published")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None, None
+    place = F.struct(F.coalesce("sequence", F.lit(0)).alias("sequence"), "published_at", "version")
+    newest = published.agg(F.max(place).alias("p")).select("p.version", "p.sequence").first()
+    return newest["version"], newest["sequence"]
+
+
 def read_roster(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:
     """The current roster, or a given version; empty when nothing has been published yet."""
+    version = version or _current(spark, path)[0]
     if version is None:
-        try:
-            published = spark.read.schema(_POINTER).parquet(f"{path}/published")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            empty = spark.createDataFrame([], SCHEMAS["roster_prev"])
-            return empty.withColumn("sheet_row", F.lit(0).cast("bigint"))
-        version = published.agg(F.max_by("version", "published_at")).first()[0]
+        empty = spark.createDataFrame([], SCHEMAS["roster_prev"])
+        return empty.withColumn("sheet_row", F.lit(0).cast("bigint"))
     rows = spark.read.schema(SCHEMAS["roster_prev"]).parquet(f"{path}/versions/{version}")
     return rows.withColumn("sheet_row", F.monotonically_increasing_id())
 

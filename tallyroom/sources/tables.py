@@ -25,9 +25,8 @@ def _typed(name: str, source: DataType, target: DataType) -> Column:
     if source == target:
         return column
     if isinstance(source, TimestampType) and target.simpleString() == "timestamp_ntz":
-        # Independent of the session zone: an instant becomes its UTC wall time.
-        wall = column.cast("timestamp_ntz")
-        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), wall).alias(name)
+        # Stays an instant, which day filters can push to the scan; operators convert it behind them.
+        return column
     return column.cast(target).alias(name)
 
 

@@ -32,6 +32,8 @@ def found(spark):
         ("gold", "250.00", "0.01", "10:00"),
         ("on the hour", 120, 120, "2024-03-09 12:00:00"),
         ("too early", 120, 120, "2024-03-09 11:59:59"),
+        ("now", 110, 110, "2024-03-10 12:00:00"),
+        ("later", 125, 125, "2024-03-10 12:00:01"),
         ("staff", 120, 120, "10:00"),
         ("poor", "99.99", "99.99", "10:00"),
         (None, 130, 130, "10:00"),
@@ -50,6 +52,7 @@ def test_crossings(found):
         ("gold", 250.0, 250.0, False, "Gold"),
         (None, 130.0, 130.0, True, "VIP"),
         ("on the hour", 120.0, 120.0, True, "VIP"),
+        ("now", 110.0, 110.0, True, "VIP"),
         ("exact", 100.0, -50.1, False, "VIP"),
     ]
 
@@ -86,7 +89,7 @@ def test_last_purchases(found, bought):
 def test_feed_keeps_users_without_purchases(found, bought):
     feed = crossings.entrant_feed(found, crossings.entrant_last_purchases(found, bought, NOW))
     shown = {row.user_id: (row.purchase_count, row.purchases) for row in feed.collect()}
-    assert list(shown) == ["two tiers", "gold", None, "on the hour", "exact"]
+    assert list(shown) == ["two tiers", "gold", None, "on the hour", "now", "exact"]
     assert shown["two tiers"] == (0, None)
     assert [tuple(p) for p in shown["gold"][1]] == [(1, "Sat Jan 6, 12:07 AM", 9.0, "—")]
     assert [p.product_slug for p in shown["exact"][1]] == ["second of two", "first of two"]

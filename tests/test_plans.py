@@ -6,12 +6,19 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registry
 from tallyroom.operators import boxes, crossings, daily, roster
 from tallyroom.operators.common import on_day
+from tallyroom.sources import read_table
 from tallyroom.sources import testdata as td
 from tests.frames import DAY, crm, logins, pricing, purchases, users
 
 SF = "/root/testdata/sf0.01"
-QUERIES = registry.queries()
+QUERIES = {name: registry.queries()[name] for name in registry.base_queries()}
 LAZY = sorted(set(QUERIES) - {"observations", "entrant_feed", "write_roster_snapshot"})
+# Tables cut at the scan to a key set that was counted first.
+MEASURED = {
+    "payer_cohort", "returning_payers", "cohort_kpis", "tier_crossings", "tier_crossings_month_end",
+    "entrant_last_purchases", "entrant_last_purchases_month_end", "vip_roster", "merge_roster",
+    "heat_scores", "heat_summary", "needs_attention", "hot_list",
+}
 
 
 def plan(df) -> str:
@@ -41,7 +48,7 @@ def test_joins(spark, no_small_tables, name):
     for unwanted in ("CartesianProduct", "NestedLoop", "Python", "ArrowEval", "Pandas"):
         assert unwanted not in text
     limited = {"top_spenders", "top_box_openers", "box_mix"}
-    assert text.count("BroadcastExchange") == (name in limited)
+    assert text.count("BroadcastExchange") in ({0, 1} if name in MEASURED else {name in limited})
     if name in limited:
         assert "TakeOrderedAndProject" in text.split("BroadcastExchange")[1]
 
@@ -70,11 +77,62 @@ def test_days_laid_out_as_partitions_are_pruned(spark, tmp_path):
         "event_date"
     ).parquet(path)
     stored = spark.read.parquet(path)
-    text = plan(on_day(stored, DAY))
+    text = plan(on_day(stored, DAY, "event_date"))
     assert "PartitionFilters: [isnotnull(event_date" in text and "= 2024-03-10)" in text
-    assert daily.purchase_summary(stored, DAY).first().total_revenue_usd == 2.0
-    assert "<= 2024-03-10)" in plan(daily.payer_cohort(stored, DAY)).split("PartitionFilters")[1]
-    assert daily.payer_cohort(stored, DAY).count() == 1
+    summary = daily.purchase_summary(stored, DAY, partition_date="event_date")
+    assert summary.first().total_revenue_usd == 2.0
+    cohort = daily.payer_cohort(stored, DAY, partition_date="event_date")
+    assert "<= 2024-03-10)" in plan(cohort).split("PartitionFilters")[1]
+    assert cohort.count() == 1
+    newest = crossings.last_purchase_rows(
+        users(spark, "a", "b", "c"), stored, "2024-03-11 00:00:00", partition_date="event_date"
+    )
+    assert "<= 2024-03-10)" in plan(newest).split("PartitionFilters")[1]
+    assert sorted(row.user_id for row in newest.collect()) == ["a", "b"]
+
+
+def test_a_column_that_is_only_named_like_a_day_changes_nothing(spark):
+    events = purchases(spark, ("a", "10:00", 2), ("b", "11:00", 3))
+    loaded = events.withColumn("event_date", F.lit("2024-03-11").cast("date"))
+    for run in (daily.purchase_summary, daily.payer_cohort, daily.revenue_by_product):
+        assert run(loaded, DAY).collect() == run(events, DAY).collect()
+
+
+def test_instants_are_filtered_at_the_scan(spark, tmp_path):
+    path = str(tmp_path / "purchases")
+    spark.sql(
+        "SELECT 1L AS event_id, user_id, CAST(at AS TIMESTAMP) AS event_timestamp, "
+        "CAST(1 AS DECIMAL(18,2)) AS amount_usd, 'x' AS product_slug, CAST(NULL AS STRING) AS "
+        "coupon_code FROM VALUES ('a', '2024-11-03 05:30:00Z'), ('b', '2024-11-03 06:30:00Z'), "
+        "('c', '2024-11-04 00:00:00Z') AS t(user_id, at)"
+    ).write.parquet(path)
+    stored = read_table(spark, str(tmp_path), "purchases")
+    day, now = "2024-11-03", "2024-11-04 00:00:00"
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for df in (
+            daily.daily_active_users(stored, day),
+            daily.payer_cohort(stored, day),
+            crossings.last_purchase_rows(users(spark, "a"), stored, now),
+        ):
+            pushed = plan(df).split("PushedFilters:")[1].split("ReadSchema")[0]
+            assert "LessThan(event_timestamp,2024-11-04" in pushed
+        pushed = plan(daily.purchase_summary(stored, day)).split("PushedFilters:")[1]
+        assert "GreaterThanOrEqual(event_timestamp,2024-11-03" in pushed
+        assert daily.purchase_summary(stored, day).first().total_payers == 2
+        newest = crossings.last_purchase_rows(users(spark, "a", "b"), stored, now)
+        hours = sorted((row.user_id, row.event_timestamp.hour) for row in newest.collect())
+        assert hours == [("a", 5), ("b", 6)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_narrowed_queries_cut_their_tables_before_sorting_or_adding_up(spark):
+    for name in ("entrant_last_purchases", "tier_crossings", "payer_cohort", "vip_roster"):
+        text = plan(QUERIES[name](spark, SF))
+        assert "LeftSemi" in text, name
+        below = text.split("BroadcastHashJoin")[0] if name != "vip_roster" else text
+        assert "Exchange" in below, name
 
 
 def test_cohort_is_one_scan_and_one_shuffle_by_user(spark, no_small_tables):
@@ -115,11 +173,11 @@ def test_sorting_is_dropped_where_the_order_is_not_kept(spark, no_small_tables):
 
 
 def test_an_order_id_of_many_users_is_split(spark, no_small_tables, tmp_path):
-    """Over stored prices, adaptive execution cuts the hot key's partition into several tasks."""
-    path = str(tmp_path / "latest")
+    """Adaptive execution cuts the hot key's partition into several tasks."""
+    path = str(tmp_path / "pricing")
     spark.range(2000).selectExpr(
-        "id AS order_id", "CAST(1 AS DECIMAL(18,2)) AS vendor_price",
-        "CAST(0.5 AS DECIMAL(18,2)) AS vendor_fee",
+        "id AS order_id", "TIMESTAMP_NTZ'2024-03-10 01:00:00' AS event_timestamp",
+        "CAST(1 AS DECIMAL(18,2)) AS vendor_price", "CAST(0.5 AS DECIMAL(18,2)) AS vendor_fee",
     ).write.parquet(path)
     orders = spark.range(60000).repartition(8).selectExpr(
         "if(id % 3 = 0, 7, id % 2000) AS order_id", "CAST(id AS STRING) AS user_id"
@@ -133,7 +191,8 @@ def test_an_order_id_of_many_users_is_split(spark, no_small_tables, tmp_path):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        costs = roster.procurement_cost_by_user(orders, spark.read.parquet(path))
+        latest = roster.latest_vendor_pricing(spark.read.parquet(path))
+        costs = roster.procurement_cost_by_user(orders, latest)
         assert costs.filter("total_procurement_cost = 1.5").count() == 60000
         collected = costs.filter("total_procurement_cost > 1")
         collected.collect()

@@ -1,5 +1,7 @@
 """Relations between results, and independence from partitioning and from the road taken."""
 
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from tallyroom.sources import testdata as td
 from tests.frames import one, tuples
 
 SF = "/root/testdata/sf0.01"
-QUERIES = registry.queries()
+QUERIES = {name: registry.queries()[name] for name in registry.base_queries()}
 
 
 def rows(df):
@@ -86,8 +88,8 @@ def test_jobs_give_the_same_on_either_road(spark, monkeypatch, tmp_path, limits)
             return real(keys, on, **bounds)
 
         monkeypatch.setattr(stages, "fits_broadcast", bounded)
-        for job in ("roster_job", "crossings_job"):
-            monkeypatch.setattr(f"tallyroom.plans.{job}.fits_broadcast", bounded)
+        for job in ("roster_job", "crossings_job", "daily_report"):
+            monkeypatch.setattr(sys.modules[f"tallyroom.plans.{job}"], "fits_broadcast", bounded)
     as_of = td.CROSSINGS_AS_OF
     crossed = crossings_report(
         td.user_crm(spark, SF, as_of), td.vendor_pricing(spark, SF), td.internal_users(spark, SF),
@@ -148,7 +150,23 @@ class _Session:
 def test_scratch_folder():
     assert stages.scratch_folder(_Session("yarn", "/shared/scratch/")) == "/shared/scratch"
     assert stages.scratch_folder(_Session("yarn", None, "hdfs:/c/1")) == "hdfs:/c/1"
-    local = stages.scratch_folder(_Session("local[2]"))
-    assert local == stages.scratch_folder(_Session("local[*]"))
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        stages.scratch_folder(_Session("yarn"))
+    for master in ("yarn", "local[2]", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            stages.scratch_folder(_Session(master))
+
+
+def test_staged_folders_go_with_their_scope(spark):
+    def staged_folders():
+        path = spark._jvm.org.apache.hadoop.fs.Path(stages.scratch_folder(spark))
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+        return {str(f.getPath()) for f in files if "tallyroom-stage-" in str(f.getPath())}
+
+    before = staged_folders()
+    with stages.stage_scope(spark):
+        assert stages.staged(spark.range(3)).count() == 3
+        assert len(staged_folders()) == len(before) + 1
+    assert staged_folders() == before
+    with pytest.raises(RuntimeError), stages.stage_scope(spark):
+        stages.staged(spark.range(3))
+        raise RuntimeError
+    assert staged_folders() == before

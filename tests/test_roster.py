@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyroom.operators import roster
 from tallyroom.plans.roster_job import refresh_roster
@@ -129,6 +130,24 @@ def test_merge_keeps_hand_kept_columns(merged):
             assert rows["fresh"][name] == ""
 
 
+def test_a_cell_that_reads_as_zero_is_blank(spark):
+    cells = {"0": "", " -0.00 ": "", "000": "", ".0": "", "10": "10", "0x": "0x", "no. 0": "no. 0"}
+    previous = sheet(
+        spark,
+        *[
+            {"user_id": f"u{i}", "relationship_stage": cell, "conversation_note_1": cell, "sheet_row": i}
+            for i, cell in enumerate(cells)
+        ],
+    )
+    users_found = roster.merge_roster(fresh(spark, *[(f"u{i}", 100, 1) for i in range(len(cells))]), previous)
+    kept = {row.user_id: row for row in users_found.collect()}
+    for i, expected in enumerate(cells.values()):
+        assert kept[f"u{i}"].relationship_stage == expected
+        assert kept[f"u{i}"].conversation_note_1 == expected
+    contexts = dict(tuples(roster.heat_scores(users_found, TODAY), "user_id", "context_score"))
+    assert contexts["u0"] == 50 and contexts["u4"] == 70
+
+
 def expected_heat(days, notes):
     recency = 0.0 if days is None else round(max(0.0, 100.0 - (days / 30.0) * 100.0), 1)
     context = 70 if notes else 50
@@ -171,7 +190,7 @@ def scored(spark):
         spark,
         {"user_id": "cold padded", "relationship_stage": " new\t", "sheet_row": 1, **note},
         {"user_id": "cold other", "relationship_stage": "newer", "sheet_row": 2},
-        {"user_id": "hot noted", "conversation_note_1": "0", "sheet_row": 3},
+        {"user_id": "hot noted", "conversation_note_1": "1", "sheet_row": 3},
     )
     rows = fresh(
         spark, ("cold padded", 100, 30), ("cold other", 100, 30), ("cold rich", 900, 30),
@@ -213,6 +232,22 @@ def test_published_versions(spark, scored, tmp_path):
         publish_roster(scored.filter("false"), store, "2024-03-12")
     assert sorted(tuples(read_roster(spark, store), "user_id")) == [("cold rich",), ("hot",)]
     assert second.startswith("20240311-")
+    # An announcement stamped by a clock that runs ahead does not stay in front.
+    ahead = spark.read.parquet(f"{store}/published").filter(F.col("version") == first)
+    ahead.withColumns(
+        {"published_at": F.expr("TIMESTAMP'2999-01-01 00:00:00Z'"), "sequence": F.lit(1).cast("bigint")}
+    ).write.mode("append").parquet(f"{store}/published")
+    assert read_roster(spark, store).count() == 2
+    third = publish_roster(scored, store, "2024-03-13")
+    assert read_roster(spark, store).count() == 7 and third.startswith("20240313-")
+
+
+def test_an_empty_announcement_folder_holds_no_roster(spark, scored, tmp_path):
+    store = str(tmp_path / "store")
+    publish_roster(scored, f"{store}-other", TODAY)
+    none = spark.read.parquet(f"{store}-other/published").filter("false")
+    none.write.parquet(f"{store}/published")
+    assert read_roster(spark, store).count() == 0
 
 
 def test_sheet_round_trip(spark, scored, tmp_path):

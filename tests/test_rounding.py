@@ -4,9 +4,12 @@ import math
 import random
 from decimal import Decimal
 
+import duckdb
 from pyspark.sql import functions as F
 
-from tallyroom.functions import money_text, product_label, py_round1, round2, stripped, whole_pct
+from oracles.steps import _mean
+
+from tallyroom.functions import mean2, product_label, py_round1, round2, stripped, whole_pct
 
 
 def applied(spark, expression, values, kind):
@@ -36,11 +39,18 @@ def test_money_rounds_half_up(spark):
     assert applied(spark, round2, values, "decimal(38,10)") == [1.01, -1.01, 2.34, None]
 
 
-def test_money_text_matches_python(spark):
+def test_means_are_rounded_once(spark):
+    """(cents, count) -> half up on the exact ratio, also just beside a tie."""
     random.seed(8)
-    values = [random.uniform(-1, 1) * 10 ** random.randint(0, 12) for _ in range(5000)]
-    values += [i / 8 for i in range(4000)]  # binary ties
-    assert applied(spark, money_text, values, "double") == [f"{v:,.2f}" for v in values]
+    pairs = [(1005100, 10001), (-1005100, 10001), (1005, 10), (-1005, 10), (1, 2), (-1, 2), (0, 3), (7, 0)]
+    pairs += [(random.randint(-(10**13), 10**13), random.randint(1, 10**9)) for _ in range(2000)]
+    pairs += [(n // 2 + step, n) for n in (10**9, 10**9 + 1) for step in (-1, 0, 1)]
+    frame = spark.createDataFrame([(i, Decimal(c), n) for i, (c, n) in enumerate(pairs)], "i int, c decimal(38,0), n long")
+    found = [r.m for r in frame.select("i", mean2(F.col("c"), F.col("n")).alias("m")).orderBy("i").collect()]
+    half_up = [None if not n else (1 if c > 0 else -1) * ((2 * abs(c) + n) // (2 * n)) / 100 for c, n in pairs]
+    assert found == half_up and found[:2] == [1.0, -1.0]
+    sql = " UNION ALL ".join(f"SELECT {i} AS i, {_mean(str(c), str(n))} AS m" for i, (c, n) in enumerate(pairs[:50]))
+    assert [m for _, m in duckdb.sql(f"SELECT * FROM ({sql}) ORDER BY i").fetchall()] == half_up[:50]
 
 
 def test_labels_match_title_case(spark):
@@ -48,7 +58,10 @@ def test_labels_match_title_case(spark):
         "5k-coins-shop-item", "a-1b2c", "don't-stop", "ÉCOLE-été", "", "-", "x", "shop-item",
         "UPPER-case", "two--dashes", "9-9", "日本-pack",
     ]
-    expected = [s.replace("-shop-item", "").replace("-", " ").title() for s in slugs]
+    expected = [
+        "5K Coins", "A 1B2C", "Don'T Stop", "École Été", "", " ", "X", "Shop Item",
+        "Upper Case", "Two  Dashes", "9 9", "日本 Pack",
+    ]
     assert applied(spark, product_label, slugs, "string") == expected
 
 

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyroom.__main__ import main
+from tallyroom.functions import within
 from tallyroom.operators import daily
-from tallyroom.sources import SCHEMAS, conform, read_roster, read_table
+from tallyroom.sources import SCHEMAS, conform, read_roster, read_sheet_csv, read_table
 from tallyroom.sources import testdata as td
 from tests.frames import (
     DAY,
@@ -31,7 +32,8 @@ def test_conform_casts_keeps_extras_and_names_what_is_missing(spark):
     for zone in ("UTC", "Asia/Tokyo"):
         spark.conf.set("spark.sql.session.timeZone", zone)
         try:
-            row = conform(raw, SCHEMAS["logins"]).first()
+            logins_read = conform(raw, SCHEMAS["logins"])
+            row = within(logins_read, "event_timestamp").first()
         finally:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
         assert tuple(row) == ("7", dt.datetime(2024, 3, 10, 7, 30), dt.date(2024, 3, 10))
@@ -97,7 +99,9 @@ def test_command_line(spark, tmp_path):
     feed = one(spark.read.parquet(f"{out}/{DAY}/entrant_feed"))
     shown = (feed["tier_crossed"], feed["net_spend_usd"], feed["purchase_count"])
     assert shown == ("VIP", 114.0, 1)
-    main(["roster", "--tables", folder, "--store", store, "--date", DAY])
+    sheet = str(tmp_path / "sheet")
+    main(["roster", "--tables", folder, "--store", store, "--date", DAY, "--export-sheet", sheet])
+    assert [row.user_id for row in read_sheet_csv(spark, sheet).collect()] == ["a"]
     assert one(read_roster(spark, store).select("user_id", F.col("relationship_stage"))) == {
         "user_id": "a", "relationship_stage": "new",
     }
