@@ -47,7 +47,7 @@ _NOT_DIGIT = re.compile("[^0-9]")
 
 WINDOW, STRIDE = 64, 32
 MAX_WINDOWS = 1500
-TRAINING_STEPS = 160
+TRAINING_STEPS = 300
 BATCH = 512
 # Symbols: classes of characters, and the punctuation that matters on its own.
 OWN = "@.+-()_%:/,"
@@ -228,7 +228,7 @@ def train(symbols: np.ndarray, tags: np.ndarray, steps: int = TRAINING_STEPS) ->
     if not tags.any():
         return None
     model = LstmCrf(SYMBOLS, TAGS)
-    model.fit(symbols, tags, steps, batch=32)
+    model.fit(symbols, tags, steps, batch=32, rate=0.03)
     return model
 
 

@@ -35,7 +35,7 @@ HEX = "[0-9a-f]{32,}"
 MIN_ASSIGNED = 8
 
 KINDS = ("assign", "access", "hex", "live")
-OPAQUE = "[A-Za-z0-9+/_=-]{20,}"
+OPAQUE = "[A-Za-z0-9+/_-]{20,}={0,2}"
 PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|redacted|your|xxxx|0{8}|1234567|abcdef|(.)\1{5}"
 BLOCK = 256
 
