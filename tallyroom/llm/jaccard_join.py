@@ -3,8 +3,8 @@
 A document is the set of its word shingles, kept as 64-bit hashes. Sets linked at a similarity of
 ``percent`` share a token among the first ``n - ceil(percent * n) + 1`` tokens of each (its prefix)
 under every global order of the tokens. Candidates come from an index of the prefixes under the
-first order and must also share a prefix token under each further order; the pairs that all
-filters leave are verified on whole sets.
+first order, must share as many of its tokens as their sizes require, and must also share a prefix
+token under each further order; the pairs that all filters leave are verified on whole sets.
 
 *Orders.* Tokens that a task saw in several documents come last, by their summed counts, so that
 shared passages hardly enter a prefix; all others are ordered by a seeded hash. Any order gives the
@@ -22,9 +22,10 @@ still be many pairs, further leaders are tried; in the end all that are left are
 link is lost.
 
 Defined results: a null text or one without words has an empty set, links with nothing and is its
-own component. Fewer words than a shingle make one shingle. Repeated rows are rows of one class. Ids
-must not be null and name one row each; rows with equal ids share the smallest component. An empty
-table gives an empty result. Extra columns are ignored.
+own component. Fewer words than a shingle make one shingle. Repeated rows are rows of one class, and
+rows with equal ids and different texts keep a component each. A row without an id has a null
+component, links nothing, and stays when one of each component is kept. An empty table gives an
+empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -288,44 +289,50 @@ def _cross_pairs(rows: DataFrame, minor: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _counted(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share enough prefix tokens of the index.
+
+    Tokens past the shorter-reaching of two prefixes are at most ``n`` less the prefix length on one
+    side, so what the overlap needs beyond that has to be shared inside the prefixes.
+    """
+    for end in ("a", "b"):
+        side = shared.select(F.col("c").alias(end), F.col("n").alias(f"{end}_n"), F.col("tokens").alias(f"{end}_tokens"))
+        pairs = pairs.join(side, end)
+    overlap = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / F.lit(100 + percent))
+    beyond = F.ceil(percent * F.greatest("a_n", "b_n") / F.lit(100)) - 1
+    common = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    return pairs.filter((common > 0) & (common >= overlap - beyond)).select("a", "b")
+
+
 def _verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, words: int, percent: int, orders) -> DataFrame:
-    """The linked ones among pairs of classes, as ``a, b``."""
+    """The linked ones among pairs of classes, as ``a, b``: further orders first, then whole sets."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
     ids = staged(found.groupBy("c").agg(F.min("id").alias("id")).join(wanted, "c", "left_semi").select("id"))
     texts = docs.join(F.broadcast(ids) if fits_broadcast(ids, "id") else ids, "id", "left_semi")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, text, token, size, name in _shingled(batches, words):
-            ends = np.cumsum(size)
-            columns = [pa.array(name), pa.array([token[e - n : e].tobytes() for n, e in zip(size, ends, strict=True)], pa.binary())]
-            for seed in ORDERS[1:]:
-                at, first, _ = prefixes(text, token, size, orders.value.keys(token, seed), percent)
-                cuts = np.searchsorted(at, np.arange(len(size) + 1))
-                values = pa.array(first.view(np.int64))
-                columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), values))
-            yield pa.RecordBatch.from_arrays(columns, ["c", "tokens", *[f"p{s}" for s in ORDERS[1:]]])
-
-    further = [f"p{s}" for s in ORDERS[1:]]
-    sets = staged(texts.mapInArrow(run, "c bigint, tokens binary" + "".join(f", {p} array<bigint>" for p in further)))
-
-    # The further filters first: they travel lighter than whole sets.
-    for_a = sets.select(F.col("c").alias("a"), *[F.col(p).alias(f"a_{p}") for p in further])
-    for_b = sets.select(F.col("c").alias("b"), *[F.col(p).alias(f"b_{p}") for p in further])
-    passed = pairs.join(for_a, "a").join(for_b, "b")
-    for p in further:
-        passed = passed.filter(F.arrays_overlap(f"a_{p}", f"b_{p}"))
-    passed = staged(passed.select("a", "b"))
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, token, size, name in _shingled(batches, words):
+            tokens = [token[end - n : end].tobytes() for n, end in zip(size, np.cumsum(size), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(tokens, pa.binary())], ["c", "tokens"])
+
+    sets = staged(texts.mapInArrow(sets_of, "c bigint, tokens binary"))
+
+    def prefix(tokens: np.ndarray, seed: int) -> np.ndarray:
+        n = len(tokens)
+        first = n - (percent * n + 99) // 100 + 1
+        return tokens[np.argsort(orders.value.keys(tokens, seed), kind="stable")[:first]]
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
                 x, y = (np.frombuffer(t.as_buffer(), np.uint64) for t in (x, y))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * common >= percent * (len(x) + len(y) - common))
+                passed = all(len(np.intersect1d(prefix(x, seed), prefix(y, seed), True)) for seed in ORDERS[1:])
+                common = len(np.intersect1d(x, y, assume_unique=True)) if passed else 0
+                linked.append(passed and 100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    both = passed.join(sets.select(F.col("c").alias("a"), F.col("tokens").alias("x")), "a").join(
+    both = pairs.join(sets.select(F.col("c").alias("a"), F.col("tokens").alias("x")), "a").join(
         sets.select(F.col("c").alias("b"), F.col("tokens").alias("y")), "b"
     )
     return staged(both.select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint"))
@@ -344,8 +351,12 @@ def similar(
     found, counts = _sets(docs, words)
     orders = spark.sparkContext.broadcast(counts)
     groups = staged(_shared(_index(docs, words, percent, orders)))
+    shared = staged(groups.groupBy("c").agg(F.first("n").alias("n"), F.collect_list("token").alias("tokens")))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return _verified(staged(_counted(staged(pairs), shared, percent)), found, docs, words, percent, orders)
 
-    links = _verified(staged(_leader_pairs(groups, None, percent, [0])), found, docs, words, percent, orders)
+    links = linked(_leader_pairs(groups, None, percent, [0]))
     roots = components(links)
     total = groups.count()
     for attempt in range(MAX_LEADER_ROUNDS + 1):
@@ -357,7 +368,7 @@ def similar(
         else:
             open_groups = rows.join(minor.select("token").distinct(), "token", "left_semi").select("token", "c", "n", "position")
             pairs = _leader_pairs(open_groups, roots, percent, [attempt * LEADERS + i + 1 for i in range(LEADERS)])
-        more = _verified(staged(pairs), found, docs, words, percent, orders)
+        more = linked(pairs)
         links = links.unionByName(more)
         if not more.isEmpty():
             roots = components(links)
@@ -374,8 +385,9 @@ def similar(
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
     """The documents whose id is the smallest of their component, with their columns as they came."""
-    stays = similar(docs, id_col, text_col, words, percent).filter("id = component_id").select(F.col("id").alias(id_col))
-    return docs.join(stays.distinct(), id_col, "left_semi")
+    others = staged(similar(docs, id_col, text_col, words, percent).filter("id <> component_id").select("id").distinct())
+    gone = F.broadcast(others) if fits_broadcast(others, "id") else others
+    return docs.join(gone, F.col(id_col) == gone["id"], "left_anti")
 
 
 def op2_jaccard_join(spark, sf_dir) -> DataFrame:
