@@ -1,0 +1,203 @@
+"""Exact dedup, mixing, chat formatting, secrets and licences: built-in functions only."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from tallyroom.llm import chat_format, exact_dedup, license_scan, secret_scan, source_mix
+from tests.llm.brute import base_secrets, joined, sha
+from tests.llm.edges import ROWS, clashing, frame, sorted_rows
+
+A_TO_Z = {ord(c): ord(c) + 32 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.mark.parametrize("keep", ["min", "max"])
+@pytest.mark.parametrize("partitions", ["2", "8"])
+def test_equal_texts(spark, awkward, keep, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        copies = frame(spark, [*ROWS, *[(100 + i, "Hot Text" if i % 2 else "hot text", "x", "y", i) for i in range(60)]])
+        found = exact_dedup.duplicate_rows(clashing(copies), keep=keep).collect()
+        kept_rows = exact_dedup.dedup(clashing(copies), keep=keep)
+        groups = {}
+        for doc_id, text, *_ in [tuple(r) for r in copies.collect()]:
+            groups.setdefault((text or "").translate(A_TO_Z), []).append(doc_id)
+        pick = min if keep == "min" else max
+        assert len(found) == sum(map(len, groups.values()))
+        for row in found:
+            norm = (row.row.text or "").translate(A_TO_Z)
+            ids = [i for i in groups[norm] if i is not None]
+            assert row.keep_id == (pick(ids) if ids else None)
+            assert row.group_size == len(groups[norm]) and row.text_sha256 == sha(norm)
+            assert not row.kept or row.row.doc_id == row.keep_id
+        assert sum(row.kept for row in found) == len(groups)  # one row of each group, repeated rows included
+        assert kept_rows.columns == clashing(copies).columns and kept_rows.count() == len(groups)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_no_documents(spark, nothing):
+    assert exact_dedup.duplicate_rows(nothing).count() == 0
+    rows, verdicts = secret_scan.scan(nothing)
+    assert rows.count() == 0 and verdicts.count() == 0
+    assert license_scan.scan(nothing).count() == 0
+    documents, goals, pieces = source_mix.mix(nothing)
+    assert documents.count() == goals.count() == pieces.count() == 0
+    assert source_mix.mixed_documents(nothing).count() == 0
+    turns = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
+    assert chat_format.digests(chat_format.prefix_examples(turns)).count() == 0
+
+
+@pytest.mark.parametrize("block_words", [7, 5000])
+def test_mix_reaches_its_targets(spark, awkward, block_words):
+    documents, goals, pieces = source_mix.mix(clashing(awkward), block_words=block_words)
+    goal = {row.source: row for row in goals.collect()}
+    sizes = {}
+    for _, text, _, source, _ in ROWS:
+        sizes[source] = sizes.get(source, 0) + len(WORD.findall(text or ""))
+    assert {s: g.source_size for s, g in goal.items()} == sizes
+    ordered = sorted(sizes, key=lambda s: (s is None, s or ""))
+    assert [goal[s].weight for s in ordered] == [1, 2, 3, 1][: len(ordered)]
+    assert sum(g.target for g in goal.values()) == pytest.approx(sum(sizes.values()))
+    assert all(g.target <= 3 * g.source_size for g in goal.values())
+    free = [g.target / g.weight for g in goal.values() if g.target < 3 * g.source_size]
+    assert max(free) - min(free) < 1e-6
+    used, by_rid = {}, {}
+    owner = {row.rid: row for row in documents.collect()}
+    assert len(owner) == len(ROWS)
+    for piece in pieces.collect():
+        row = owner[piece.rid]
+        assert 0 <= piece.start and piece.start + piece.length <= row.size and piece.length <= block_words
+        used[row.source] = used.get(row.source, 0) + piece.length
+        by_rid[piece.rid] = by_rid.get(piece.rid, 0) + piece.length
+    for source, g in goal.items():
+        assert abs(used.get(source, 0) - g.target) <= 0.5
+    assert all(n <= 3 * owner[rid].size for rid, n in by_rid.items())
+    again = source_mix.mix(awkward, block_words=block_words)[2]
+    assert sorted_rows(again) == sorted_rows(pieces)
+
+
+def test_points_spread_the_sources_evenly(spark):
+    """Any stretch of the schedule holds each source about as often as its share says."""
+    docs = spark.range(4000).selectExpr(
+        "id AS doc_id", "repeat('w ', 50) AS text", "if(id % 3 = 0, 'big', concat('s', id % 7)) AS source"
+    )
+    _, goals, pieces = source_mix.mix(docs, block_words=50)
+    goal = {row.source: row.quota for row in goals.collect()}
+    total = sum(goal.values())
+    order = [row.source for row in pieces.select("slot", "source").distinct().orderBy("slot").collect()]
+    for at in range(0, len(order) - 500, 500):
+        part = order[at : at + 500]
+        for source, quota in goal.items():
+            assert abs(part.count(source) - 500 * quota / total) < 12
+
+
+def test_mixed_documents_are_cut_between_words(spark, awkward):
+    docs = clashing(awkward)
+    mixed = source_mix.mixed_documents(docs, block_words=100)
+    assert mixed.columns == docs.columns
+    texts = {}
+    for doc_id, text, *_ in ROWS:
+        texts.setdefault(doc_id, []).append(text or "")
+    for row in mixed.collect():
+        assert any(t.startswith(row.text) for t in texts[row.doc_id]) and WORD.search(row.text)
+        assert row.text in texts[row.doc_id] or not row.text[-1].isspace()
+
+
+def test_water_filling_stops_small_sources(spark):
+    rows = [(i, "w " * n, "en", s, None) for i, (s, n) in enumerate([("a", 10), ("b", 10), ("c", 980)])]
+    _, goals, _ = source_mix.mix(frame(spark, rows))
+    assert {r.source: r.target for r in goals.collect()} == {"a": 30.0, "b": 30.0, "c": 940.0}
+
+
+TALKS = [
+    (1, 0, "user", "hi"), (1, 1, "assistant", "a\\b</turn>\n<turn user>c"), (1, 2, "user", None), (1, 3, "assistant", ""),
+    (1, 4, "user", "tail"), (2, 5, None, "\\l\\g\\b"), (2, None, "we>ird</turn>", "first"), (3, 0, "assistant", "😀" * 3),
+    (3, 0, "assistant", "😀" * 3), (None, 1, "user", "no id"), (4, 0, "system", ""),
+]
+
+
+def test_chat_examples_read_back(spark):
+    turns = spark.createDataFrame(TALKS, "conv_id bigint, turn bigint, role string, text string")
+    examples = chat_format.prefix_examples(turns.selectExpr("*", "1 AS example", "2 AS context", "3 AS t"))
+    found = {row.conv_id: row for row in chat_format.digests(examples).collect()}
+    talks = {}
+    for conv_id, turn, role, text in TALKS:
+        talks.setdefault(conv_id, []).append((-1 if turn is None else turn, role or "", text or ""))
+    assert set(found) == set(talks)
+    for conv_id, rows in talks.items():
+        rows.sort()
+        told = "".join(f"{role}\n{text}\n" for _, role, text in rows)
+        loss = "".join(text for _, role, text in rows if role == "assistant")
+        row = found[conv_id]
+        assert (row.n_turns, row.turns_sha256) == (len(rows), sha(told))
+        assert (row.loss_chars, row.loss_sha256) == (len(loss), sha(loss))
+    shown = examples.filter("conv_id = 1").orderBy("example").collect()
+    assert [r.has_target for r in shown] == [True, True, False]
+    assert shown[1].context.startswith(shown[0].context + shown[0].target + shown[0].closing)
+    assert sum(len(r.context + r.target + r.closing) for r in shown) == found[1].formatted_chars
+
+
+SECRETS = [
+    'x password = "abcdefgh1" y', "PassWord:short token=longenough12", "api_key=abc=defgh.ij apikey: '12345678'", "AKIA" + "A" * 12,
+    "AKIAAKIA" + "B" * 11 + " AKIA1", "f" * 31 + " " + "0" * 32 + "g" + "a1" * 40, "token=secret:abcdefgh1", "ſecret=abcdefghi toKen=12345678",
+    "é😀 secret='ünicode' secret=ascii_after_é8", "token=" * 400 + "z", ("deadbeef" * 4 + " ") * 700,
+]
+
+
+def test_base_secrets(spark, awkward):
+    rows = [(i, text, "en", f"s{i % 3}", None) for i, text in enumerate(SECRETS)]
+    docs = frame(spark, [*rows, *[(r[0], *r[1:]) for r in ROWS]])
+    found, _ = secret_scan.scan(clashing(docs))
+    told = sorted(
+        (row.id, joined((s.start, s.rank, s.kind, s.end) for s in row.base), [tuple(s) for s in row.spans]) for row in found.collect() if row.id is not None
+    )
+    expected = sorted((r[0], joined(base_secrets(r[1] or ""))) for r in docs.collect() if r[0] is not None)
+    assert [t[:2] for t in told] == expected
+    assert all(set(base.split(",")) - {""} <= {f"{k}:{s}:{e}" for s, _, k, e in spans} for _, base, spans in told)
+
+
+def test_ownership_tells_examples_from_live_values(spark):
+    copied, own, dummy = "Ab1" * 9, "Zk93" * 8, "EXAMPLE" + "9a" * 10
+    rows = [(i, f"see {copied} here", "en", f"s{i}", None) for i in range(4)]
+    rows += [(10, f"{own} and {dummy}", "en", "s1", None), (11, own, "en", "s1", None), (12, f"password={own}", "en", "s1", None)]
+    found, verdicts = secret_scan.scan(frame(spark, rows))
+    spans = {row.id: [(s.kind, s.start, s.end) for s in row.spans] for row in found.collect()}
+    assert spans[0] == [] and spans[10] == [("live", 0, 32)] and spans[11] == [("live", 0, 32)]
+    assert spans[12] == [("assign", 0, 41), ("live", 9, 41)]
+    state = {row.hash: (row.owners, row.repositories, row.state) for row in verdicts.collect()}
+    assert state[sha(copied)] == (4, 4, "example") and state[sha(own)] == (1, 3, "live")
+
+
+MIT = [license_scan.SENTENCES[k] for k in ("mit.grant", "mit.notice", "mit.asis", "mit.liability")]
+
+
+@pytest.mark.parametrize(
+    ("text", "licenses"),
+    [
+        (None, []),
+        ("Released under the MIT License.", ["MIT"]),
+        ("noise | cell\nreleased   UNDER the mit license\nmore", ["MIT"]),
+        ("Released under the MIT\nLicense.", ["MIT"]),
+        ("\n\n".join(MIT), ["MIT"]),
+        (" ".join(MIT).replace(" ", "\n", 40), ["MIT"]),
+        ("\n\n".join(reversed(MIT)), []),
+        ("\n\n".join([*MIT[:2], "x.", *MIT[2:]]), ["MIT"]),
+        ("\n\n".join([*MIT[:2], *["x."] * 9, *MIT[2:]]), []),
+        ("Licensed under CC BY-NC 4.0. Licensed under the Apache License, Version 2.0.", ["Apache-2.0", "CC-BY-NC-4.0"]),
+        ("All rights reserved.", []),
+        ("not Released under the MIT License.", []),
+    ],
+)
+def test_licences(spark, text, licenses):
+    rows = license_scan.scan(clashing(frame(spark, [(1, text, None, None, None)] * 2))).collect()
+    assert [row.licenses for row in rows] == [licenses, licenses]
+
+
+def test_awkward_documents_keep_their_rows(awkward):
+    for scan in (lambda d: secret_scan.scan(d)[0], license_scan.scan):
+        assert sorted(repr(r.id) for r in scan(clashing(awkward)).collect()) == sorted(repr(r[0]) for r in ROWS)
