@@ -145,7 +145,7 @@ def _laid_out(docs: DataFrame, buckets: int) -> DataFrame:
     return (
         placed.select("id", "key", "text", F.explode(places).alias("at"))
         .select("id", "key", "text", "at.*")
-        .repartition(max(len(order), 1), "bucket")
+        .repartitionById(len(splits) + 1, F.col("bucket"))
         .sortWithinPartitions("bucket", "tail", F.col("key").desc(), "text")
     )
 
