@@ -35,10 +35,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.llm.components import components
+from tallyroom.llm.components import compact, components
 from tallyroom.llm.text import filled, table
 from tallyroom.llm.wordhash import WordHasher, column_bytes, distinct_pairs, mix64, slices
 from tallyroom.plans.stages import fits_broadcast, staged
@@ -49,7 +49,7 @@ SEEN_IN_TASK = 3
 FREQUENT = 10
 LEADERS = 4
 MAX_LEADER_ROUNDS = 4
-CROSS_PER_ROW = 8
+CROSS_PER_ROW = 64
 _STEPS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
 
 
@@ -228,49 +228,46 @@ def _shared(index: DataFrame) -> DataFrame:
     return laid.mapInArrow(run, "token bigint, c bigint, n bigint, position bigint")
 
 
-def _near_in_size(a: str, b: str, percent: int):
+def _near_in_size(a: Column, b: Column, percent: int) -> Column:
     small, large = F.least(a, b), F.greatest(a, b)
     return 100 * small >= percent * large
 
 
-def _leader_pairs(groups: DataFrame, roots: DataFrame | None, percent: int, seeds: list[int]) -> DataFrame:
-    """Pairs of each group's leaders with the members of other components."""
-    rows = _with_root(groups, roots)
-    found = None
-    for seed in seeds:
+def _leader_pairs(rows: DataFrame, percent: int, seeds: list[int], total: int) -> DataFrame:
+    """Pairs of each group's leaders, one a seed, with the members of other components."""
+
+    def leader(seed: int):
         # The first leader is the smallest class, which makes it the root of what it links.
         rank = F.col("c") if seed == 0 else F.xxhash64("c", F.lit(seed))
-        leader = F.min(F.struct(rank.alias("rank"), F.col("c"), F.col("n"), F.col("root")))
-        leaders = staged(
-            rows.groupBy("token").agg(leader.alias("l")).select("token", F.col("l.c").alias("lc"), F.col("l.n").alias("ln"), F.col("l.root").alias("lroot"))
-        )
-        pairs = (
-            rows.join(leaders, "token")
-            .filter((F.col("root") != F.col("lroot")) & _near_in_size("n", "ln", percent))
-            .select(F.least("c", "lc").alias("a"), F.greatest("c", "lc").alias("b"))
-            .distinct()
-        )
-        found = pairs if found is None else found.unionByName(pairs)
-    return found.distinct() if len(seeds) > 1 else found
-
-
-def _with_root(groups: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return groups.withColumn("root", F.col("c"))
-    named = roots.select(F.col("v").alias("c"), "root")
-    return staged(groups.join(named, "c", "left").withColumn("root", F.coalesce("root", "c")))
+        return F.min(F.struct(rank.alias("rank"), F.col("c"), F.col("n"), F.col("root")))
+
+    picked = rows.groupBy("token").agg(F.array(*[leader(seed) for seed in seeds]).alias("leaders"))
+    leaders = compact(picked, total)
+    apart = lambda x: (x.root != F.col("root")) & _near_in_size(F.col("n"), x.n, percent)
+    return (
+        rows.join(leaders, "token")
+        .select("c", F.explode(F.filter("leaders", apart)).alias("x"))
+        .select(F.least("c", "x.c").alias("a"), F.greatest("c", "x.c").alias("b"))
+        .distinct()
+    )
+
+
+def _with_root(groups: DataFrame, roots: DataFrame, total: int) -> DataFrame:
+    named = roots.select(F.col("v").alias("c"), F.col("root"))
+    return compact(groups.join(named, "c", "left").withColumn("root", F.coalesce("root", "c")), total)
 
 
-def _minor_rows(rows: DataFrame) -> DataFrame:
+def _minor_rows(rows: DataFrame, total: int) -> DataFrame:
     """Rows outside their group's most frequent component, and that group's number of rows."""
     per_root = rows.groupBy("token", "root").agg(F.count("*").alias("k"))
-    major = staged(
+    major = compact(
         per_root.groupBy("token")
         .agg(F.max_by("root", F.struct("k", "root")).alias("major"), F.sum("k").alias("rows"), F.count("*").alias("roots"))
         .filter("roots > 1")
-        .drop("roots")
+        .drop("roots"),
+        total,
     )
-    return staged(rows.join(major, "token").filter("root <> major"))
+    return compact(rows.join(major, "token").filter("root <> major"), total)
 
 
 def _cross_pairs(rows: DataFrame, minor: DataFrame, percent: int) -> DataFrame:
@@ -281,7 +278,7 @@ def _cross_pairs(rows: DataFrame, minor: DataFrame, percent: int) -> DataFrame:
     once = (F.col("yr") == F.col("major")) | (F.col("x") < F.col("y"))
     reach = 1 + F.least(F.col("xn") - 1 - F.col("xp"), F.col("yn") - 1 - F.col("yp"))
     needed = F.ceil(percent * (F.col("xn") + F.col("yn")) / F.lit(100 + percent))
-    apart = (F.col("xr") != F.col("yr")) & once & _near_in_size("xn", "yn", percent) & (reach >= needed)
+    apart = (F.col("xr") != F.col("yr")) & once & _near_in_size(F.col("xn"), F.col("yn"), percent) & (reach >= needed)
     return (
         left.join(right, (left["token"] == right["token"]) & apart)
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
@@ -307,13 +304,21 @@ def _counted(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, words: int, percent: int, orders) -> DataFrame:
     """The linked ones among pairs of classes, as ``a, b``: further orders first, then whole sets."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-    ids = staged(found.groupBy("c").agg(F.min("id").alias("id")).join(wanted, "c", "left_semi").select("id"))
+    ids = found.join(wanted, "c", "left_semi").groupBy("c").agg(F.min("id").alias("id")).select("id")
+    n = pairs.count()
+    ids = compact(ids, 2 * n)
     texts = docs.join(F.broadcast(ids) if fits_broadcast(ids, "id") else ids, "id", "left_semi")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()  # rows that repeat an id come once a task
         for _, _, token, size, name in _shingled(batches, words):
-            tokens = [token[end - n : end].tobytes() for n, end in zip(size, np.cumsum(size), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(tokens, pa.binary())], ["c", "tokens"])
+            ends = np.cumsum(size)
+            fresh = {c: i for i, c in enumerate(name.tolist()) if c not in done}
+            done |= fresh.keys()
+            tokens = [token[ends[i] - size[i] : ends[i]].tobytes() for i in fresh.values()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(fresh), pa.int64()), pa.array(tokens, pa.binary())], ["c", "tokens"]
+            )
 
     sets = staged(texts.mapInArrow(sets_of, "c bigint, tokens binary"))
 
@@ -335,7 +340,7 @@ def _verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, words: int, p
     both = pairs.join(sets.select(F.col("c").alias("a"), F.col("tokens").alias("x")), "a").join(
         sets.select(F.col("c").alias("b"), F.col("tokens").alias("y")), "b"
     )
-    return staged(both.select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint"))
+    return compact(both.select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint"), n, 2_000)
 
 
 def similar(
@@ -351,28 +356,30 @@ def similar(
     found, counts = _sets(docs, words)
     orders = spark.sparkContext.broadcast(counts)
     groups = staged(_shared(_index(docs, words, percent, orders)))
-    shared = staged(groups.groupBy("c").agg(F.first("n").alias("n"), F.collect_list("token").alias("tokens")))
+    total = groups.count()
+    shared = groups.groupBy("c").agg(F.first("n").alias("n"), F.collect_list("token").alias("tokens"))
+    shared = compact(shared, total)
 
     def linked(pairs: DataFrame) -> DataFrame:
-        return _verified(staged(_counted(staged(pairs), shared, percent)), found, docs, words, percent, orders)
+        counted = compact(_counted(compact(pairs, total), shared, percent), total)
+        return _verified(counted, found, docs, words, percent, orders)
 
-    links = linked(_leader_pairs(groups, None, percent, [0]))
+    links = linked(_leader_pairs(groups.withColumn("root", F.col("c")), percent, [0], total))
     roots = components(links)
-    total = groups.count()
     for attempt in range(MAX_LEADER_ROUNDS + 1):
-        rows = _with_root(groups, roots)
-        minor = _minor_rows(rows)
+        rows = _with_root(groups, roots, total)
+        minor = _minor_rows(rows, total)
         left = minor.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"]
-        if left <= CROSS_PER_ROW * total or attempt == MAX_LEADER_ROUNDS:
+        last = left <= CROSS_PER_ROW * total or attempt == MAX_LEADER_ROUNDS
+        if last:
             pairs = _cross_pairs(rows, minor, percent)
         else:
-            open_groups = rows.join(minor.select("token").distinct(), "token", "left_semi").select("token", "c", "n", "position")
-            pairs = _leader_pairs(open_groups, roots, percent, [attempt * LEADERS + i + 1 for i in range(LEADERS)])
+            pairs = _leader_pairs(rows, percent, [attempt * LEADERS + i + 1 for i in range(LEADERS)], total)
         more = linked(pairs)
-        links = links.unionByName(more)
         if not more.isEmpty():
+            links = links.unionByName(more)
             roots = components(links)
-        if left <= CROSS_PER_ROW * total:
+        if last:
             break
 
     named = roots.select(F.col("v").alias("c"), "root")
