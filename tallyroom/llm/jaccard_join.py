@@ -237,9 +237,10 @@ def _leader_pairs(rows: DataFrame, percent: int, seeds: list[int], total: int) -
     """Pairs of each group's leaders, one a seed, with the members of other components."""
 
     def leader(seed: int):
-        # The first leader is the smallest class, which makes it the root of what it links.
-        rank = F.col("c") if seed == 0 else F.xxhash64("c", F.lit(seed))
-        return F.min(F.struct(rank.alias("rank"), F.col("c"), F.col("n"), F.col("root")))
+        # Tokens of a document's own come first in its order, so the member with most tokens after
+        # the shared one has the fewest of its own: the text that the others are copies of.
+        rank = F.col("position") - F.col("n") if seed == 0 else F.xxhash64("c", F.lit(seed))
+        return F.min(F.struct(rank.alias("rank"), F.col("n"), F.col("c"), F.col("root")))
 
     picked = rows.groupBy("token").agg(F.array(*[leader(seed) for seed in seeds]).alias("leaders"))
     leaders = compact(picked, total)
