@@ -385,7 +385,8 @@ def similar(
 
     named = roots.select(F.col("v").alias("c"), "root")
     placed = staged(found.join(named, "c", "left").withColumn("root", F.when(F.col("n") > 0, F.coalesce("root", "c"))))
-    smallest = placed.filter("n > 0").groupBy("root").agg(F.min("id").alias("component_id"))
+    # Staged, so that the join below shuffles both sides and a large component's rows can be split.
+    smallest = staged(placed.filter("n > 0").groupBy("root").agg(F.min("id").alias("component_id")))
     return placed.join(smallest, "root", "left").select(
         "id", F.col("n").alias("n_shingles"), F.col("c").alias("class"), F.coalesce("component_id", "id").alias("component_id")
     )

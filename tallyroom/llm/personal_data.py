@@ -178,7 +178,7 @@ def rewritten(text: str, spans: list[Span], rng: np.random.Generator) -> tuple[s
         elif kind == "email":
             value = value.replace("@", " @ ")
         elif kind == "card":
-            value = re.sub("(?<=[0-9]{4})(?=[0-9]{4})", rng.choice([".", " ", "-"]), _digits(value))
+            value = re.sub("([0-9]{4})(?=[0-9])", rf"\1{rng.choice(['.', ' ', '-'])}", _digits(value))
         out += [text[at:start], value]
         size += start - at
         moved.append((size, rank, kind, size + len(value)))
