@@ -1,25 +1,32 @@
 """I-Match fingerprints over randomised lexicon subsets.
 
 Terms are runs of letters, digits and bytes beyond ASCII, lower-cased. The lexicon holds the terms
-whose share of documents lies in a band: neither so frequent that they say nothing nor so rare that
-a typing error makes one. A document keeps its distinct lexicon terms, sorted; a fingerprint part
+whose share of distinct texts lies in a band: neither so frequent that they say nothing nor so rare
+that a typing error makes one. A document keeps its distinct lexicon terms, sorted; a fingerprint part
 is a hash of those that fall into one random subset of the lexicon. Subsets come at several rates,
 from a half down to a 256th, so that short and long documents both have parts built on few terms,
 which survive an edit that leaves those terms alone.
 
+Copies count once for the shares, but near copies are distinct: a large group of them lifts all that
+it shares above the band. A text with fewer lexicon terms than half of its own (or than ``ENOUGH``)
+is therefore filled up to there with its terms nearest the band: by turns the least frequent of
+those above it, and of those below it, which are not counted one by one, the smallest hashes.
+
 *Likeness* of two fingerprints is the share of equal parts, taken from the sparsest rates up until
 enough parts are filled on either side: with about one term to a part this estimates the overlap of
 the two term sets.
 
 The band bounds the lexicon: a term has to stand in at least ``min_share`` of all documents, so
 there are at most (distinct terms of an average document) / ``min_share`` of them, however many
-documents there are. That bound is what allows broadcasting it.
+documents there are, those above the band included. That bound is what allows broadcasting it.
+
+Only texts whose hash falls into a cell that holds a repeated hash are shuffled to find the copies.
 
 For the edited text a document needs the one after it. Documents are range-partitioned by id with
 the texts shuffled once; the first document of each range is also sent to the range before it.
 
-Defined results: a null text is empty. A text without lexicon terms has a fingerprint from its whole
-text instead, and its likeness to another is 1 if equal and 0 if not. Null ids come last; rows with
+Defined results: a null text is empty. A text without terms has a fingerprint from its whole text
+instead, and its likeness to another is 1 if equal and 0 if not. Null ids come last; rows with
 equal ids are ordered by text. A single document is its own successor. An empty table gives an empty
 result. Extra columns are ignored.
 """
@@ -28,6 +35,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -42,11 +50,43 @@ MIN_SHARE = 1 / 2000
 MAX_SHARE = 1 / 5
 FAMILIES = 16
 RATES = 8  # subsets of rate 1/2, 1/4, ... 1/256
-ENOUGH = 16  # filled parts that a likeness rests on
+ENOUGH = 16  # filled parts that a likeness rests on, and terms that a text is filled up to
+CELLS = 1 << 24  # of text hashes, one bit each
+
+
+class Lexicon(NamedTuple):
+    """Hashes of terms, each array sorted: those of the band, and those above it with their documents."""
+
+    band: np.ndarray
+    above: np.ndarray
+    above_n: np.ndarray
+
+
+def distinct_texts(docs: DataFrame, text_col: str, cells: int = CELLS) -> tuple[DataFrame, int]:
+    """Every text once, as ``text``, and how many there are."""
+    keyed = docs.select(filled(text_col).alias("text")).withColumn("key", F.xxhash64("text"))
+    repeated = F.when(F.col("n") > 1, F.pmod("key", F.lit(cells)))
+    per_cell = keyed.groupBy("key").agg(F.count("*").alias("n")).groupBy(repeated.alias("cell")).count().toArrow()
+    found = per_cell["cell"].drop_null().to_numpy()
+    rows = sum(per_cell["count"].to_pylist())
+    if not len(found):
+        return keyed.select("text"), rows
+    marks = np.zeros(cells, dtype=bool)
+    marks[found] = True
+    marks = docs.sparkSession.sparkContext.broadcast(np.packbits(marks))
 
+    @F.pandas_udf("boolean")
+    def marked(key: pd.Series) -> pd.Series:
+        cell = np.mod(key.to_numpy(), cells)
+        return pd.Series((marks.value[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1)
 
-def lexicon(docs: DataFrame, text_col: str, min_share: float, max_share: float) -> np.ndarray:
-    """Sorted hashes of the terms whose document share lies in the band; at least two documents."""
+    keyed = keyed.withColumn("marked", marked("key"))
+    copied = keyed.filter("marked").groupBy(F.sha2("text", 256)).agg(F.first("text").alias("text"))
+    return keyed.filter("not marked").select("text").unionByName(copied.select("text")), rows
+
+
+def lexicon(docs: DataFrame, text_col: str, min_share: float, max_share: float) -> Lexicon:
+    """The terms whose share of distinct texts lies in the band, or above; at least two texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(NOT_ALNUM)
@@ -58,26 +98,65 @@ def lexicon(docs: DataFrame, text_col: str, min_share: float, max_share: float)
             term, n = np.unique(np.concatenate(terms) if terms else np.empty(0, np.uint64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n)], ["term", "n"])
 
-    rows = docs.count()
-    counted = docs.select(filled(text_col).alias("text")).mapInArrow(count, "term bigint, n bigint")
-    band = (
-        counted.groupBy("term")
-        .agg(F.sum("n").alias("n"))
-        .filter((F.col("n") >= max(2, min_share * rows)) & (F.col("n") <= max(2, max_share * rows)))
-        .select("term")
-    )
-    return np.sort(band.toArrow()["term"].to_numpy().astype(np.int64).view(np.uint64))
-
-
-def parts_of(hasher: WordHasher, known: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    texts, rows = distinct_texts(docs, text_col)
+    counted = texts.mapInArrow(count, "term bigint, n bigint")
+    frequent = counted.groupBy("term").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(2, min_share * rows)).toArrow()
+    term = frequent["term"].to_numpy().astype(np.int64).view(np.uint64)
+    n = frequent["n"].to_numpy().astype(np.int64)
+    order = np.argsort(term)
+    term, n = term[order], n[order]
+    above = n > max(2, max_share * rows)
+    return Lexicon(term[~above], term[above], n[above])
+
+
+def _places(known: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which values are known, and where those stand."""
+    if not len(known):
+        return np.zeros(len(value), dtype=bool), np.empty(0, np.int64)
+    place = np.minimum(np.searchsorted(known, value), len(known) - 1)
+    found = known[place] == value
+    return found, place[found]
+
+
+def _ranks(group: np.ndarray) -> np.ndarray:
+    """Place of each row within its run of equal values."""
+    if not len(group):
+        return np.empty(0, np.int64)
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    return np.arange(len(group)) - np.repeat(first, np.diff(np.r_[first, len(group)]))
+
+
+def kept_terms(known: Lexicon, text: np.ndarray, value: np.ndarray, n_texts: int) -> np.ndarray:
+    """Which of the distinct (text, term) pairs a fingerprint is built on."""
+    kept = _places(known.band, value)[0]
+    own = np.bincount(text, minlength=n_texts)
+    lack = np.minimum(own, np.maximum(ENOUGH, own // 2)) - np.bincount(text[kept], minlength=n_texts)
+    spare = np.flatnonzero(~kept & (lack[text] > 0))
+    if not len(spare):
+        return kept
+    owner, term = text[spare], value[spare]
+    above, place = _places(known.above, term)
+    far = np.zeros(len(spare), dtype=np.int64)
+    far[above] = known.above_n[place]
+    # Per text, the terms above the band and those below it, each from the nearest on.
+    order = np.lexsort((mix64(term), far, above, owner))
+    turn = np.empty(len(spare), dtype=np.int64)
+    turn[order] = 2 * _ranks(2 * owner[order] + above[order]) + ~above[order]
+    order = np.lexsort((turn, owner))
+    chosen = order[_ranks(owner[order]) < lack[owner[order]]]
+    kept[spare[chosen]] = True
+    return kept
+
+
+def parts_of(hasher: WordHasher, known: Lexicon, texts: list[bytes]) -> np.ndarray:
     """Fingerprint parts, one row per text and ``FAMILIES * RATES`` columns; 0 where a part is empty."""
     out = np.zeros((len(texts), FAMILIES, RATES), dtype=np.uint16)
     value, text = hasher.words(*joined_bytes(texts))
-    if not len(value) or not len(known):
+    if not len(value):
         return out.reshape(len(texts), -1)
-    place = np.minimum(np.searchsorted(known, value), len(known) - 1)
-    kept = known[place] == value
-    text, value = distinct_pairs(text[kept], value[kept])
+    text, value = distinct_pairs(text, value)
+    kept = kept_terms(known, text, value, len(texts))
+    text, value = text[kept], value[kept]
     for family in range(FAMILIES):
         draw = mix64(value + np.uint64(0x632BE59BD9B4E019 * (family + 1) % 2**64))
         owner, weight = text, mix64(draw ^ np.uint64(0xA5A5A5A5))

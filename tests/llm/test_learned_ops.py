@@ -272,6 +272,43 @@ def test_edited_texts_are_nearer_than_the_next(spark):
     assert np.mean([r.near_edited > r.near_next for r in found]) > 0.9
 
 
+# Two near copies share about 0.9 and 0.4 of their terms.
+@pytest.mark.parametrize(("differing", "alike"), [(3, 0.5), (30, 0.15)])
+def test_near_copies_of_a_third_of_the_rows_stay_alike(spark, differing, alike):
+    """What the group shares stands in a third of all texts, above the band."""
+    rng = random.Random(1)
+    some = lambda n, words: [f"w{rng.randrange(words)}" for _ in range(n)]
+    shared = [f"shared{i}" for i in range(120)]
+    rows = [(i, " ".join(some(120, 2000))) for i in range(400)]
+    for i in range(200):
+        words = list(shared)
+        for j in rng.sample(range(120), differing):
+            words[j] = some(1, 2000)[0]
+        rows.append((1000 + i, " ".join(words)))
+    found = imatch.fingerprints(frame(spark, [(i, text, "en", "a", None) for i, text in rows]).repartition(4)).collect()
+    near = [r for r in found if r.id > 1000]
+    assert np.mean([r.near_next for r in near]) > alike
+    assert np.mean([r.near_edited for r in near]) > alike
+    assert np.mean([r.near_next for r in found if r.id < 399]) < 0.1
+
+
+def test_texts_of_rare_terms_are_compared_by_them(spark):
+    rows = [(i, " ".join(f"rare{i}x{j}" for j in range(40)), "en", "a", None) for i in range(60)]
+    found = imatch.fingerprints(frame(spark, rows)).collect()
+    assert np.mean([r.near_edited for r in found]) > 0.2
+    assert max(r.near_next for r in found) < 0.1 and not any(r.fingerprint.startswith("text:") for r in found)
+
+
+@pytest.mark.parametrize("cells", [1, 1 << 24])
+def test_copies_count_once_for_the_lexicon(spark, cells):
+    texts = [f"own{i} common" for i in range(6)] + ["copied text"] * 5 + [None, "", ""]
+    docs = frame(spark, [(i, text, "en", "a", None) for i, text in enumerate(texts)]).repartition(5)
+    distinct, rows = imatch.distinct_texts(docs, "text", cells)
+    assert sorted(r.text for r in distinct.collect()) == sorted({t or "" for t in texts}) and rows == 8
+    known = imatch.lexicon(docs, "text", 0.1, 0.5)
+    assert len(known.band) == 0 and known.above_n.tolist() == [6]
+
+
 def test_quality_on_held_out_documents(spark):
     found = {r.doc_id: r for r in QUERIES["op1_quality"](spark, "/root/testdata/sf0.1").collect()}
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()
