@@ -7,7 +7,11 @@ words, known ones become identifiers, and the identifiers in order, with a break
 identifiers that must stand one after the other. The licences of all rules that match are reported.
 
 Everything happens inside a row: nothing is shuffled, so copies and large sources cost what they
-weigh. The tables of sentences and rules are parameters and part of the plan.
+weigh. The tables of sentences and rules are parameters and part of the plan. Known sentences are cut
+as texts are, so one with a full stop or semicolon inside becomes several identifiers in its rules.
+
+Full texts are known by their titles, as GPL-3.0-only and so on; the notice that the GNU texts quote
+at their end adds the licence with later versions.
 
 Defined results: a null or empty text has no sentences and no licences; a sentence that is repeated
 counts each time; rows that repeat keep their own results; an empty table gives an empty result.
@@ -23,8 +27,8 @@ from pyspark.sql import functions as F
 
 from tallyroom.llm.text import filled, table
 
-# Sentences of public licence texts and notices.
-SENTENCES = {
+# Sentences of public licence texts and notices, not cut yet.
+TEXTS = {
     "mit.name": "The MIT License",
     "mit.name.paren": "The MIT License (MIT)",
     "mit.short": "MIT License",
@@ -71,6 +75,43 @@ SENTENCES = {
         "you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
         "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
     ),
+    "gpl3.terms.semicolon": (
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+        "by the Free Software Foundation; either version 3 of the License, or (at your option) any later version."
+    ),
+    "gpl2.only": (
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as "
+        "published by the Free Software Foundation."
+    ),
+    "lgpl.free": "This library is free software:",
+    "lgpl2.terms": (
+        "you can redistribute it and/or modify it under the terms of the GNU Library General Public License as "
+        "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later "
+        "version."
+    ),
+    "lgpl21.terms": (
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any "
+        "later version."
+    ),
+    "lgpl3.terms": (
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+        "version."
+    ),
+    "agpl3.terms": (
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+        "version."
+    ),
+    "gpl2.title": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "gpl3.title": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "lgpl2.title": "GNU LIBRARY GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "lgpl21.title": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    "lgpl3.title": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "agpl3.title": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    "apache.title": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+    "mpl.title": "Mozilla Public License Version 2.0",
     "gpl.hope": (
         "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;"
     ),
@@ -105,18 +146,42 @@ SENTENCES = {
     "rights.reserved": "All rights reserved.",
 }
 
-# Licence and the identifiers that must follow one another; several rules may name one licence.
-RULES = (
+# Licence and the sentences that must follow one another; several rules may name one licence.
+TEXT_RULES = (
     ("MIT", ("mit.grant", "mit.notice", "mit.asis", "mit.liability")),
     ("MIT", ("mit.ref.released",)),
     ("MIT", ("mit.ref.licensed",)),
+    ("MIT", ("mit.name",)),
+    ("MIT", ("mit.name.paren",)),
+    ("MIT", ("mit.short",)),
     ("Apache-2.0", ("apache.notice", "apache.comply", "apache.obtain", "apache.asis")),
     ("Apache-2.0", ("apache.notice", "apache.comply", "apache.obtain")),
     ("Apache-2.0", ("apache.ref",)),
+    ("Apache-2.0", ("apache.name",)),
+    ("Apache-2.0", ("apache.title",)),
     ("GPL-3.0-or-later", ("gpl.free", "gpl3.terms")),
+    ("GPL-3.0-or-later", ("gpl.free", "gpl3.terms.semicolon")),
     ("GPL-3.0-only", ("gpl3.ref",)),
+    ("GPL-3.0-only", ("gpl3.name",)),
+    ("GPL-3.0-only", ("gpl3.title",)),
     ("GPL-2.0-or-later", ("gpl.free", "gpl2.terms")),
+    ("GPL-2.0-only", ("gpl.free", "gpl2.only")),
     ("GPL-2.0-only", ("gpl2.ref",)),
+    ("GPL-2.0-only", ("gpl2.title",)),
+    *[
+        (licence, (free, terms))
+        for free in ("gpl.free", "lgpl.free")
+        for licence, terms in (
+            ("LGPL-2.0-or-later", "lgpl2.terms"),
+            ("LGPL-2.1-or-later", "lgpl21.terms"),
+            ("LGPL-3.0-or-later", "lgpl3.terms"),
+        )
+    ],
+    ("LGPL-2.0-only", ("lgpl2.title",)),
+    ("LGPL-2.1-only", ("lgpl21.title",)),
+    ("LGPL-3.0-only", ("lgpl3.title",)),
+    ("AGPL-3.0-or-later", ("gpl.free", "agpl3.terms")),
+    ("AGPL-3.0-only", ("agpl3.title",)),
     ("BSD-3-Clause", ("bsd.grant", "bsd.source", "bsd.binary", "bsd.names")),
     ("BSD-2-Clause", ("bsd.grant", "bsd.source", "bsd.binary")),
     ("ISC", ("isc.grant",)),
@@ -126,6 +191,7 @@ RULES = (
     ("CC-BY-SA-4.0", ("cc.by-sa.ref",)),
     ("CC0-1.0", ("cc0.ref",)),
     ("MPL-2.0", ("mpl.notice",)),
+    ("MPL-2.0", ("mpl.title",)),
 )
 
 MAX_GAP = 3
@@ -137,6 +203,30 @@ def normalise(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
 
 
+Rules = tuple[tuple[str, tuple[str, ...]], ...]
+
+
+def cut_known(sentences: dict[str, str], rules: Rules) -> tuple[dict[str, str], Rules]:
+    """Sentences cut as texts are, and the rules in identifiers of the parts.
+
+    A part that several sentences have in common has the identifier of the first.
+    """
+    by_words: dict[str, str] = {}
+    known, names_of = {}, {}
+    for name, sentence in sentences.items():
+        parts = [p for p in re.split(r"(?<=[.!?;:])[\x20\t]+", sentence) if normalise(p)]
+        for i, part in enumerate(parts):
+            words = normalise(part)
+            if words not in by_words:
+                by_words[words] = name if len(parts) == 1 else f"{name}.{i + 1}"
+                known[by_words[words]] = part
+        names_of[name] = tuple(by_words[normalise(part)] for part in parts)
+    return known, tuple((licence, tuple(n for name in names for n in names_of[name])) for licence, names in rules)
+
+
+SENTENCES, RULES = cut_known(TEXTS, TEXT_RULES)
+
+
 def _normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
 
@@ -170,7 +260,7 @@ def recognised(sentences: Column, known: dict[str, str], max_gap: int) -> Column
     return F.concat(F.array_join(parts, ""), F.lit(" "))
 
 
-def matching(sequence: Column, rules: tuple[tuple[str, tuple[str, ...]], ...]) -> Column:
+def matching(sequence: Column, rules: Rules) -> Column:
     """Licences of the rules whose identifiers stand together in the sequence."""
     found = [
         F.when(F.contains(sequence, F.lit(f" {' '.join(names)} ")), F.lit(licence)) for licence, names in rules
@@ -183,10 +273,11 @@ def scan(
     id_col: str = "doc_id",
     text_col: str = "text",
     sentences: dict[str, str] = SENTENCES,
-    rules: tuple[tuple[str, tuple[str, ...]], ...] = RULES,
+    rules: Rules = RULES,
     max_gap: int = MAX_GAP,
 ) -> DataFrame:
     """``id, by_line, by_paragraph, licenses`` for every document."""
+    sentences, rules = cut_known(sentences, rules)
     read = docs.select(F.col(id_col).alias("id"), filled(text_col).alias("text"))
     marked = read.select(
         "id",

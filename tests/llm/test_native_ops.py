@@ -198,6 +198,51 @@ def test_licences(spark, text, licenses):
     assert [row.licenses for row in rows] == [licenses, licenses]
 
 
+GNU = """
+    This {0} is free software{1} you can redistribute it and/or modify
+    it under the terms of the GNU {2}General Public License as published by
+    the Free Software Foundation{3} either version {4} of the License, or
+    (at your option) any later version.
+
+    This {0} is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+"""
+PUBLISHED = [
+    (GNU.format("program", ";", "", ";", "2"), ["GPL-2.0-or-later"]),
+    (GNU.format("program", ":", "", ",", "3"), ["GPL-3.0-or-later"]),
+    (GNU.format("program", ";", "", ";", "3"), ["GPL-3.0-or-later"]),
+    (GNU.format("library", ";", "Library ", ";", "2"), ["LGPL-2.0-or-later"]),
+    (GNU.format("library", ";", "Lesser ", ";", "2.1"), ["LGPL-2.1-or-later"]),
+    (GNU.format("program", ":", "Lesser ", ",", "3"), ["LGPL-3.0-or-later"]),
+    (GNU.format("program", ":", "Affero ", ",", "3"), ["AGPL-3.0-or-later"]),
+    (
+        "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL"
+        " was not distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */".replace("\n *", "\n"),
+        ["MPL-2.0"],
+    ),
+    ("   GNU GENERAL PUBLIC LICENSE\n     Version 2, June 1991\n\n Copyright (C) 1989, 1991", ["GPL-2.0-only"]),
+    ("   GNU AFFERO GENERAL PUBLIC LICENSE\n     Version 3, 19 November 2007\n\n Copyright", ["AGPL-3.0-only"]),
+    ("  Apache License\n  Version 2.0, January 2004\n  http://www.apache.org/licenses/\n\n TERMS", ["Apache-2.0"]),
+    ("Mozilla Public License Version 2.0\n==================================\n\n1. Definitions", ["MPL-2.0"]),
+    ("The MIT License (MIT)\n\nCopyright (c) 2020", ["MIT"]),
+]
+
+
+def test_published_notices(spark):
+    rows = license_scan.scan(frame(spark, [(i, text, None, None, None) for i, (text, _) in enumerate(PUBLISHED)])).collect()
+    assert {row.id: row.licenses for row in rows} == {i: licenses for i, (_, licenses) in enumerate(PUBLISHED)}
+
+
+def test_every_rule_is_met_by_its_own_sentences(spark):
+    cut = [[license_scan.TEXTS[name] for name in names] for _, names in license_scan.TEXT_RULES]
+    texts = ["\n\n".join(parts) for parts in cut] + ["\n\n".join("\n".join(p.split()) for p in parts) for parts in cut]
+    found = license_scan.scan(frame(spark, [(i, text, None, None, None) for i, text in enumerate(texts)])).collect()
+    for row in found:
+        assert license_scan.TEXT_RULES[row.id % len(license_scan.TEXT_RULES)][0] in row.licenses, texts[row.id]
+    assert {name for _, names in license_scan.TEXT_RULES for name in names} >= set(license_scan.TEXTS) - {"rights.reserved", "gpl.hope"}
+
+
 def test_awkward_documents_keep_their_rows(awkward):
     for scan in (lambda d: secret_scan.scan(d)[0], license_scan.scan):
         assert sorted(repr(r.id) for r in scan(clashing(awkward)).collect()) == sorted(repr(r[0]) for r in ROWS)
