@@ -13,7 +13,7 @@ as texts are, so one with a full stop or semicolon inside becomes several identi
 Full texts are known by their titles, as GPL-3.0-only and so on; the notice that the GNU texts quote
 at their end adds the licence with later versions.
 
-Defined results: a null or empty text has no sentences and no licences; a sentence that is repeated
+Defined results: a line end may be LF, CRLF or CR; a null or empty text has no sentences and no licences; a sentence that is repeated
 counts each time; rows that repeat keep their own results; an empty table gives an empty result.
 Extra columns are ignored.
 """
@@ -278,7 +278,8 @@ def scan(
 ) -> DataFrame:
     """``id, by_line, by_paragraph, licenses`` for every document."""
     sentences, rules = cut_known(sentences, rules)
-    read = docs.select(F.col(id_col).alias("id"), filled(text_col).alias("text"))
+    text = F.regexp_replace(filled(text_col), r"\r\n?", "\n")
+    read = docs.select(F.col(id_col).alias("id"), text.alias("text"))
     marked = read.select(
         "id",
         recognised(cut_lines(F.col("text")), sentences, max_gap).alias("by_line"),

@@ -234,6 +234,17 @@ def test_published_notices(spark):
     assert {row.id: row.licenses for row in rows} == {i: licenses for i, (_, licenses) in enumerate(PUBLISHED)}
 
 
+@pytest.mark.parametrize("end", ["\r\n", "\r"])
+def test_line_ends_do_not_change_licences(spark, end):
+    wrapped = "\n\n".join(part.replace(", ", ",\n").replace(" the ", "\nthe ") for part in MIT)
+    texts = [wrapped, "first.\n" + wrapped.replace("\n\n", "\n") + "\nlast", *[text for text, _ in PUBLISHED]]
+    scanned = [
+        sorted_rows(license_scan.scan(frame(spark, [(i, t.replace("\n", e), None, None, None) for i, t in enumerate(texts)])))
+        for e in ("\n", end)
+    ]
+    assert scanned[0] == scanned[1] and all(licences for *_, licences in scanned[1])
+
+
 def test_every_rule_is_met_by_its_own_sentences(spark):
     cut = [[license_scan.TEXTS[name] for name in names] for _, names in license_scan.TEXT_RULES]
     texts = ["\n\n".join(parts) for parts in cut] + ["\n\n".join("\n".join(p.split()) for p in parts) for parts in cut]
