@@ -5,8 +5,10 @@
 
 *Model.* It is trained on windows of the corpus that the base spans label, some of them rewritten
 (no country prefix, blanks around the at sign, other separators), so that it learns the shape and
-surroundings of an address or number rather than the pattern. At most ``MAX_WINDOWS`` windows are
-drawn, those with the smallest hash, which is all that reaches the driver.
+surroundings of an address or number rather than the pattern. At most ``MAX_WINDOWS`` distinct windows
+are drawn, those with the smallest hash; a tenth of them is kept for each kind of span, and for windows
+without any, as far as the corpus holds so many. A task hands on as many of each at most, and so do
+all together to the driver.
 
 *Decoding.* Windows of ``WINDOW`` characters start every ``STRIDE`` characters, so each character lies
 in two. Only windows with a digit or an at sign are scored: no span of the four kinds is without.
@@ -35,6 +37,7 @@ from pyspark.sql import functions as F
 from tallyroom.llm.lstm_crf import LstmCrf
 from tallyroom.llm.text import filled, table
 from tallyroom.llm.wordhash import slices
+from tallyroom.plans.stages import staged
 
 KINDS = ("email", "ip", "card", "phone")
 TRIGGER = re.compile("[0-9@]")
@@ -187,12 +190,25 @@ def rewritten(text: str, spans: list[Span], rng: np.random.Generator) -> tuple[s
     return "".join([*out, text[at:]]), moved
 
 
+def strata_of(tags: np.ndarray) -> list[int]:
+    """Ranks of the kinds in a window, or one more where it holds none."""
+    return np.unique((tags[tags > 0] - 1) // 2).tolist() or [len(KINDS)]
+
+
+def drawn(strata: list[list[tuple[str, bytes, bytes]]], most: int) -> list[tuple[str, bytes, bytes]]:
+    """At most ``most`` rows in order: some of every stratum first, then the smallest of all."""
+    each = max(1, most // (2 * len(strata)))
+    chosen = sorted({row for rows in strata for row in sorted(rows)[:each]})[:most]
+    others = sorted({row for rows in strata for row in rows} - set(chosen))
+    return sorted(chosen + others[: most - len(chosen)])
+
+
 def training_windows(docs: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols and tags (WINDOW, n) of at most ``most`` windows, those with the smallest hash."""
+    """Symbols and tags (WINDOW, n) of at most ``most`` distinct windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[dict[str, tuple[bytes, bytes]]] = [{} for _ in range(len(KINDS) + 1)]
         for batch in batches:
-            best: list[tuple[str, bytes, bytes]] = []
             for column in batch.column("text"):
                 text = column.as_py()
                 spans = base_spans(text)
@@ -204,21 +220,30 @@ def training_windows(docs: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray
                     text, spans = rewritten(text, spans, rng)
                 symbols, tags = symbols_of(text), tags_of(len(text), spans)
                 for start in window_starts(symbols).tolist():
-                    key = hashlib.sha256(name + start.to_bytes(8, "little")).hexdigest()
                     part = [np.pad(x[start : start + WINDOW], (0, max(0, start + WINDOW - len(x)))) for x in (symbols, tags)]
-                    best.append((key, *(x.astype(np.uint8).tobytes() for x in part)))
-                if len(best) > 4 * most:
-                    best = sorted(best)[:most]
-            best = sorted(best)[:most]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in best], pa.string()), *[pa.array([r[i] for r in best], pa.binary()) for i in (1, 2)]],
-                ["key", "symbols", "tags"],
-            )
-
-    found = docs.mapInArrow(run, "key string, symbols binary, tags binary").orderBy("key").limit(most).toArrow()
+                    row = tuple(x.astype(np.uint8).tobytes() for x in part)
+                    # The window itself makes the key, so copies of it are one.
+                    key = hashlib.sha256(b"".join(row)).hexdigest()
+                    for stratum in strata_of(part[1]):
+                        best[stratum][key] = row
+                        if len(best[stratum]) > 4 * most:
+                            best[stratum] = dict(sorted(best[stratum].items())[:most])
+        rows = [(k, key, *row) for k, found in enumerate(best) for key, row in sorted(found.items())[:most]]
+        kinds = (("stratum", pa.int32()), ("key", pa.string()), ("symbols", pa.binary()), ("tags", pa.binary()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(kinds)], [column for column, _ in kinds]
+        )
+
+    found = staged(
+        docs.mapInArrow(run, "stratum int, key string, symbols binary, tags binary").dropDuplicates(["stratum", "key"])
+    )
+    strata = []
+    for k in range(len(KINDS) + 1):
+        rows = found.filter(F.col("stratum") == k).select("key", "symbols", "tags").orderBy("key").limit(most).toArrow()
+        strata.append(list(zip(*[rows[name].to_pylist() for name in rows.column_names], strict=True)))
+    rows = drawn(strata, most)
     arrays = [
-        np.frombuffer(b"".join(found[name].to_pylist()), dtype=np.uint8).reshape(-1, WINDOW).T.astype(np.int64)
-        for name in ("symbols", "tags")
+        np.frombuffer(b"".join(row[i] for row in rows), dtype=np.uint8).reshape(-1, WINDOW).T.astype(np.int64) for i in (1, 2)
     ]
     return arrays[0], arrays[1]
 

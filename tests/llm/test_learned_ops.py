@@ -200,6 +200,25 @@ def test_no_spans_no_model(nothing, awkward):
     assert personal_data.train(*personal_data.training_windows(awkward.selectExpr("coalesce(text, '') AS text"), 10)) is None
 
 
+def test_training_windows_are_distinct(spark):
+    """A text with more copies than there are windows to draw does not fill the sample."""
+    rows = [f"{'a' * i} 555" for i in range(1, 30)] + ["the one copied text 12345, mail a.b@example.org"] * 500
+    docs = spark.createDataFrame([(text,) for text in rows], "text string").repartition(4)
+    symbols, tags = personal_data.training_windows(docs, 20)
+    windows = np.vstack([symbols, tags]).T
+    assert len(windows) == 20 and len(np.unique(windows, axis=0)) == 20 and tags.any()
+
+
+def test_rare_spans_are_drawn(spark):
+    """Every kind that the corpus holds is among the windows, however many hold digits only."""
+    rows = [" ".join("x" * (i >> s & 7) + str(s) for s in range(0, 12, 3)) for i in range(4096)]
+    rows += ["mail a.b@example.org now", "host 10.20.30.40 is up", "call +49 30 1234567", "card 4111 1111 1111 1111 paid"]
+    docs = spark.createDataFrame([(text,) for text in rows], "text string").repartition(4)
+    symbols, tags = personal_data.training_windows(docs, 100)
+    assert symbols.shape[1] == 100 and set(np.unique((tags[tags > 0] - 1) // 2)) == {0, 1, 2, 3}
+    assert personal_data.train(symbols, tags, steps=1) is not None
+
+
 def test_gradients():
     rng = np.random.default_rng(0)
     model = LstmCrf(6, 5, 3, 4)
