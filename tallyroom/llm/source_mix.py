@@ -29,13 +29,15 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyroom.llm.text import WORD, filled, table, word_count
+from tallyroom.llm.text import WORD, filled, shuffle_partitions, table, word_count
 from tallyroom.plans.stages import staged
 
 POINTS = 1 << 32
 # 2^32 divided by the square of the golden ratio.
 STEP = 1640531527
 SLOTS_PER_CHUNK = 1024
+# Slots in a partition of mixed documents.
+MIN_RANGE_SLOTS, MAX_RANGE_SLOTS = 64, 8192
 
 
 def cycled_weights(sources: DataFrame, cycle: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
@@ -233,25 +235,39 @@ def first_words(text: Column, n: Column) -> Column:
 
 
 def mixed_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    block_words: int = 2048,
+    **options,
 ) -> DataFrame:
     """The documents of the mix with their own columns: one row per document and repeat.
 
+    The rows are in the order of the schedule: partitions are ranges of slots, and inside them each
+    use of a document stands at its first slot. Slots hold equally many words, and so do the ranges.
+
     A repeat that the target cuts short keeps the words it takes, up to the end of the last one.
     A document without words adds nothing to a mix and is not in it.
     """
     rows = staged(docs.select(F.monotonically_increasing_id().alias("rid"), F.struct("*").alias("row")))
-    placed, _, pieces = mix(
+    placed, goals, pieces = mix(
         rows.select("rid", *[f"row.{c}" for c in (id_col, text_col, source_col)]),
-        id_col=id_col, text_col=text_col, source_col=source_col, rid_col="rid", **options,
+        id_col=id_col, text_col=text_col, source_col=source_col, rid_col="rid", block_words=block_words, **options,
     )
-    taken = pieces.groupBy("rid", "epoch").agg(F.sum("length").alias("taken"))
+    words = goals.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
+    slots = -(-words // block_words)
+    ranges = max(1, -(-slots // MAX_RANGE_SLOTS), min(shuffle_partitions(docs.sparkSession), slots // MIN_RANGE_SLOTS))
+    taken = pieces.groupBy("rid", "epoch").agg(F.sum("length").alias("taken"), F.min("slot").alias("slot"))
     taken = taken.join(placed.select("rid", "size"), "rid")
     text = F.col(f"row.{text_col}")
     used = F.when(F.col("taken") < F.col("size"), first_words(text, F.col("taken"))).otherwise(text)
     return (
         rows.join(taken, "rid")
         .withColumn("row", F.col("row").withField(text_col, used))
+        .withColumn("range", F.least(F.floor(F.col("slot") * ranges / max(slots, 1)), F.lit(ranges - 1)).cast("int"))
+        .repartitionById(ranges, F.col("range"))
+        .sortWithinPartitions("slot", "epoch", "rid")
         .select("row.*")
     )
 

@@ -96,6 +96,19 @@ def test_points_spread_the_sources_evenly(spark):
             assert abs(part.count(source) - 500 * quota / total) < 12
 
 
+def test_mixed_documents_follow_the_schedule(spark):
+    """On a table sorted by source the rows come in the order of the slots, repeats apart."""
+    docs = spark.range(4000).selectExpr(
+        "id AS doc_id", "repeat('w ', 50) AS text", "if(id < 1300, 'big', if(id < 3900, 'other', 'small')) AS source"
+    )
+    pieces = source_mix.mix(docs, block_words=50)[2].groupBy("slot", "source").count()
+    due = [row.source for row in pieces.orderBy("slot", "source").collect() if row.slot < 4000]
+    mixed = source_mix.mixed_documents(docs, block_words=50).collect()
+    assert [row.source for row in mixed][: len(due)] == due and len(mixed) - len(due) < 10
+    assert len(mixed) > len({row.doc_id for row in mixed})
+    assert all(a.doc_id != b.doc_id for a, b in zip(mixed, mixed[1:], strict=False))
+
+
 def test_mixed_documents_are_cut_between_words(spark, awkward):
     docs = clashing(awkward)
     mixed = source_mix.mixed_documents(docs, block_words=100)
