@@ -7,11 +7,14 @@ from tallyroom.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 from tallyroom.llm.imatch import op7_imatch
 from tallyroom.llm.jaccard_join import op2_jaccard_join
 from tallyroom.llm.license_scan import OP9_SQL, op9_license_scan
+from tallyroom.llm.merkle import OP13_SQL, op13_merkle_manifest
 from tallyroom.llm.packing import op5_packing
 from tallyroom.llm.personal_data import op6_personal_data
 from tallyroom.llm.quality import op1_quality
 from tallyroom.llm.secret_scan import op3_secret_scan
+from tallyroom.llm.segments import OP11_SQL, op11_segment_resampling
 from tallyroom.llm.source_mix import OP4_SQL, op4_source_mix
+from tallyroom.llm.weak_rules import op12_weak_rules
 
 QUERIES = {
     "op1_quality": op1_quality,
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_license_scan": op9_license_scan,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_segment_resampling": op11_segment_resampling,
+    "op12_weak_rules": op12_weak_rules,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL = {
@@ -31,4 +37,6 @@ ORACLE_SQL = {
     "op8_chat_format": OP8_SQL,
     "op9_license_scan": OP9_SQL,
     "op10_exact_dedup": OP10_SQL,
+    "op11_segment_resampling": OP11_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }
