@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,25 @@ MAX_BROADCAST_KEYS = 500_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-# Folders staged within each open scope, the innermost last.
-_scopes: list[list[str]] = []
+class Scope:
+    """Folders staged in one job, or one part of it."""
+
+    def __init__(self, outer: Scope | None):
+        self.outer, self.folders = outer, []
+
+    def add(self, folder: str) -> None:
+        self.folders.append(folder)
+
+    def released(self) -> str:
+        """Hand what was staged last to the scope outside, where there is one, and return its folder."""
+        folder = self.folders.pop()
+        if self.outer is not None:
+            self.outer.add(folder)
+        return folder
+
+
+# The innermost open scope of this thread or task; threads started by ``staged_together`` share it.
+_scope: ContextVar[Scope | None] = ContextVar("tallyroom_stage_scope", default=None)
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -29,13 +47,18 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 @contextmanager
-def stage_scope(spark: SparkSession) -> Iterator[None]:
-    """Delete what was staged inside once the results have been written, or the job has failed."""
-    _scopes.append([])
+def stage_scope(spark: SparkSession) -> Iterator[Scope]:
+    """Delete what was staged inside once the results have been written, or the job has failed.
+
+    Jobs in different threads of one driver have scopes of their own.
+    """
+    scope = Scope(_scope.get())
+    token = _scope.set(scope)
     try:
-        yield
+        yield scope
     finally:
-        for folder in _scopes.pop():
+        _scope.reset(token)
+        for folder in scope.folders:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -48,8 +71,9 @@ def staged(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     target = f"{scratch_folder(spark)}/tallyroom-stage-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(target)
+    scope = _scope.get()
+    if scope is not None:
+        scope.add(target)
     df.write.mode("error").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
 
@@ -57,12 +81,13 @@ def staged(df: DataFrame) -> DataFrame:
 def staged_together(**frames: DataFrame) -> dict[str, DataFrame]:
     """Stage independent results at the same time: small ones do not wait for large ones.
 
-    The threads take over the caller's job group, tags and scheduler pool.
+    The threads take over the caller's scope, job group, tags and scheduler pool.
     """
     session = next(iter(frames.values())).sparkSession
     stage = inheritable_thread_target(session)(staged)
     with ThreadPoolExecutor(max_workers=len(frames)) as pool:
-        return dict(zip(frames, pool.map(stage, frames.values()), strict=True))
+        started = [pool.submit(copy_context().run, stage, frame) for frame in frames.values()]
+        return dict(zip(frames, [one.result() for one in started], strict=True))
 
 
 def fits_broadcast(
