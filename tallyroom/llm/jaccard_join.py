@@ -37,8 +37,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyroom.llm.components import compact, components
+from tallyroom.llm.stages import keyed_rows
 from tallyroom.llm.text import filled, table
 from tallyroom.llm.wordhash import WordHasher, column_bytes, distinct_pairs, mix64, slices
 from tallyroom.plans.stages import fits_broadcast, staged
@@ -130,23 +132,29 @@ def _shingled(batches: Iterator[pa.RecordBatch], words: int):
 
 
 def _sets(docs: DataFrame, words: int) -> tuple[DataFrame, Orders]:
-    """``id, n, c`` for every document, and the orders that the counts give."""
+    """``id, n, c`` and the further columns for every document, and the orders that the counts give."""
+    further = [name for name in docs.columns if name not in ("id", "text")]
+    kinds = [to_arrow_type(docs.schema[name].dataType) for name in further]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = []
-        names = ["id", "n", "c", "token", "seen"]
+        names = ["id", "n", "c", "token", "seen", *further]
         for part, _, token, size, name in _shingled(batches, words):
             none = pa.nulls(part.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column("id").cast(pa.int64()), pa.array(size), pa.array(name), none, none], names)
+            own = [part.column(name) for name in further]
+            yield pa.RecordBatch.from_arrays([part.column("id").cast(pa.int64()), pa.array(size), pa.array(name), none, none, *own], names)
             counts.append(np.unique(token, return_counts=True))
             if sum(len(t) for t, _ in counts) > 1 << 22:
                 counts = [_merged(counts, SEEN_IN_TASK)]
         if counts:
             token, seen = _merged(counts, SEEN_IN_TASK)
             none = pa.nulls(len(token), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(token.view(np.int64)), pa.array(seen)], names)
+            own = [pa.nulls(len(token), kind) for kind in kinds]
+            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(token.view(np.int64)), pa.array(seen), *own], names)
 
-    found = staged(docs.mapInArrow(run, "id bigint, n bigint, c bigint, token bigint, seen bigint"))
+    schema = "id bigint, n bigint, c bigint, token bigint, seen bigint"
+    schema += "".join(f", {name} {docs.schema[name].dataType.simpleString()}" for name in further)
+    found = staged(docs.mapInArrow(run, schema))
     often = (
         found.filter("token is not null")
         .groupBy("token")
@@ -159,7 +167,7 @@ def _sets(docs: DataFrame, words: int) -> tuple[DataFrame, Orders]:
     orders = Orders(
         often["token"].to_numpy().astype(np.int64).view(np.uint64), often["seen"].to_numpy().astype(np.int64)
     )
-    return found.filter("token is null").select("id", "n", "c"), orders
+    return found.filter("token is null").select("id", "n", "c", *further), orders
 
 
 def _merged(counts: list, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -344,18 +352,14 @@ def _verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, words: int, p
     return compact(both.select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint"), n, 2_000)
 
 
-def similar(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75
-) -> DataFrame:
-    """``id, n_shingles, class, component_id`` for every document.
+def _rows_with_root(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``id, n, c, root`` and the further columns for the rows of ``id, text`` and further columns.
 
-    ``component_id`` is the smallest id that links reach; a pair is linked when
-    ``100 * intersection >= percent * union``.
+    ``root`` names the component and is null for an empty set.
     """
-    spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("bigint").alias("id"), filled(text_col).alias("text"))
     found, counts = _sets(docs, words)
-    orders = spark.sparkContext.broadcast(counts)
+    docs = docs.select("id", "text")
+    orders = docs.sparkSession.sparkContext.broadcast(counts)
     groups = staged(_shared(_index(docs, words, percent, orders)))
     total = groups.count()
     shared = groups.groupBy("c").agg(F.first("n").alias("n"), F.collect_list("token").alias("tokens"))
@@ -384,7 +388,19 @@ def similar(
             break
 
     named = roots.select(F.col("v").alias("c"), "root")
-    placed = staged(found.join(named, "c", "left").withColumn("root", F.when(F.col("n") > 0, F.coalesce("root", "c"))))
+    return staged(found.join(named, "c", "left").withColumn("root", F.when(F.col("n") > 0, F.coalesce("root", "c"))))
+
+
+def similar(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75
+) -> DataFrame:
+    """``id, n_shingles, class, component_id`` for every document.
+
+    ``component_id`` is the smallest id that links reach; a pair is linked when
+    ``100 * intersection >= percent * union``.
+    """
+    docs = docs.select(F.col(id_col).cast("bigint").alias("id"), filled(text_col).alias("text"))
+    placed = _rows_with_root(docs, words, percent)
     # Staged, so that the join below shuffles both sides and a large component's rows can be split.
     smallest = staged(placed.filter("n > 0").groupBy("root").agg(F.min("id").alias("component_id")))
     return placed.join(smallest, "root", "left").select(
@@ -392,11 +408,26 @@ def similar(
     )
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
-    """The documents whose id is the smallest of their component, with their columns as they came."""
-    others = staged(similar(docs, id_col, text_col, words, percent).filter("id <> component_id").select("id").distinct())
-    gone = F.broadcast(others) if fits_broadcast(others, "id") else others
-    return docs.join(gone, F.col(id_col) == gone["id"], "left_anti")
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75, stored: bool = False
+) -> DataFrame:
+    """One row of every component, that with the smallest id, with its columns as they came.
+
+    Rows are told apart by a key of their own (``stages.keyed_rows``), not by their ids: different
+    texts under one id stay, near copies under one id leave one. Rows without an id or without words
+    stay.
+    """
+    rows = keyed_rows(docs, stored)
+    texts = rows.select("rid", F.col(f"row.{id_col}").cast("bigint").alias("id"), filled(F.col(f"row.{text_col}")).alias("text"))
+    placed = _rows_with_root(texts, words, percent).filter("n > 0 AND id IS NOT NULL").select("root", "id", "rid")
+    kept = staged(
+        placed.groupBy("root").agg(F.min(F.struct("id", "rid")).alias("first"), F.count("*").alias("rows")).filter("rows > 1")
+    )
+    others = staged(
+        placed.join(kept.select("root", F.col("first.rid").alias("stays")), "root").filter("rid <> stays").select("rid")
+    )
+    gone = F.broadcast(others) if fits_broadcast(others, "rid") else others
+    return rows.join(gone, "rid", "left_anti").select("row.*")
 
 
 def op2_jaccard_join(spark, sf_dir) -> DataFrame:

@@ -26,12 +26,13 @@ nothing speaks against. An empty table gives an empty result. Extra columns are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType
 
 from tallyroom.llm.text import filled, table
 from tallyroom.llm.wordhash import WordHasher, column_bytes, distinct_pairs, mix64, slices
@@ -156,11 +157,17 @@ class BradleyTerry:
         return np.where(moved >= np.log(accept / (1 - accept)), np.maximum(scores, accept), np.minimum(scores, np.nextafter(accept, 0)))
 
 
-def _mapped(docs: DataFrame, schema: str | StructType, make) -> DataFrame:
+@cache
+def _hashers() -> tuple[WordHasher, WordHasher]:
+    """Of words and of lines, made once a worker."""
+    return WordHasher(), WordHasher(b"\n\r")
+
+
+def _mapped(docs: DataFrame, schema: str, make) -> DataFrame:
     """``make(features, batch)`` for the texts of every task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, lines = WordHasher(), WordHasher(b"\n\r")
+        words, lines = _hashers()
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
                 yield make(features(words, lines, *column_bytes(part.column("text"))), part)
@@ -199,15 +206,20 @@ def score(docs: DataFrame, model: BradleyTerry, id_col: str = "doc_id", text_col
 
 
 def accepted(docs: DataFrame, model: BradleyTerry, text_col: str = "text", accept: float = ACCEPT) -> DataFrame:
-    """The documents that reach the threshold, with their columns as they came."""
+    """The documents that reach the threshold, with their columns as they came.
+
+    Only the texts are sent to Python, and a verdict comes back.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.struct("*").alias("row"), filled(text_col).alias("text"))
 
-    def make(values: np.ndarray, part: pa.RecordBatch) -> pa.RecordBatch:
-        keep = pa.array(shared.value.scores(values) >= accept)
-        return part.select(["row"]).filter(keep)
+    def reaches(text: pa.Array) -> pa.Array:
+        words, lines = _hashers()
+        batch = pa.RecordBatch.from_arrays([text], ["text"])
+        parts = [features(words, lines, *column_bytes(part.column("text"))) for part in slices(batch, "text", 2 << 20)]
+        scores = [shared.value.scores(values, accept) for values in parts]
+        return pa.array(np.concatenate(scores) >= accept if scores else [], pa.bool_())
 
-    return _mapped(rows, StructType([rows.schema["row"]]), make).select("row.*")
+    return docs.filter(F.arrow_udf(reaches, BooleanType())(filled(text_col)))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -2,35 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroom.plans.stages import staged
 
 
-def placed(rows: DataFrame, groups: list[str], order: list) -> DataFrame:
-    """The rows with ``pos``, their place from 0 within their group, and ``n``, the group's rows.
+def placed(rows: DataFrame, groups: list[str], order: list, weight: Column | None = None) -> DataFrame:
+    """The rows with ``pos``, what stands before them in their group, and ``n``, what the group holds.
+
+    Rows are counted, so that ``pos`` is a row's place from 0; with ``weight`` its values are summed.
 
     The rows are laid out by ranges of (groups, order), so a group with a third of them stands in
-    many partitions. Each (partition, group) is numbered by itself, behind the rows that the
-    earlier partitions hold of the group; rows that tie in everything are told apart by a number of
-    their own, so they spread too. The groups must not be null. The numbers of rows, one for each
-    partition and group, are all that is summed up across partitions.
+    many partitions. Each (partition, group) is summed up by itself, behind what the earlier
+    partitions hold of the group; rows that tie in everything are told apart by a number of their
+    own, so they spread too. The groups must not be null. One sum for each partition and group is
+    all that is looked at across partitions.
     """
-    rows = rows.withColumn("tie", F.monotonically_increasing_id())
+    one = F.lit(1).cast("bigint") if weight is None else weight
+    rows = rows.withColumns({"tie": F.monotonically_increasing_id(), "one": one})
     laid = staged(rows.repartitionByRange(*groups, *order, "tie").withColumn("part", F.spark_partition_id()))
-    earlier = Window.partitionBy(*groups).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    held = laid.groupBy("part", *groups).agg(F.count("*").alias("held"))
+    before = lambda w: F.coalesce(F.sum("one").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    held = laid.groupBy("part", *groups).agg(F.sum("one").alias("one"))
     bases = held.select(
         "part",
         *groups,
-        F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("base"),
-        F.sum("held").over(Window.partitionBy(*groups)).alias("n"),
+        before(Window.partitionBy(*groups).orderBy("part")).alias("base"),
+        F.sum("one").over(Window.partitionBy(*groups)).alias("n"),
     )
-    inside = Window.partitionBy("part", *groups).orderBy(*order, "tie")
     return (
-        laid.withColumn("inside", F.row_number().over(inside) - 1)
+        laid.withColumn("inside", before(Window.partitionBy("part", *groups).orderBy(*order, "tie")))
         .join(bases, ["part", *groups])
         .withColumn("pos", F.col("base") + F.col("inside"))
-        .drop("part", "tie", "inside", "base")
+        .drop("part", "tie", "one", "inside", "base")
     )

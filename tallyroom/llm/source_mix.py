@@ -13,8 +13,8 @@
    words (the last one ends at the target), and blocks and slots are joined.
 
 Intervals are found through a grid of cells joined by equality, ranks and offsets through two
-levels (inside a chunk, then over chunk totals), so no source, however large, has its slots or its
-documents in one task. Only the table of sources, one row each, is sorted as a whole.
+levels (inside a chunk or range, then over their totals), so no source, however large, has its slots
+or its documents in one task. Only the table of sources, one row each, is sorted as a whole.
 
 Defined results: a null text has no words. A document without words belongs to no block and takes
 nothing. A null source is a source of its own, the last. Repeated rows are documents of their own.
@@ -24,13 +24,13 @@ ignored, or carried along by ``mixed_documents``.
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyroom.llm.text import WORD, filled, shuffle_partitions, table, word_count
-from tallyroom.plans.stages import staged
+from tallyroom.llm.ranks import placed
+from tallyroom.llm.stages import keyed_rows
+from tallyroom.llm.text import filled, shuffle_partitions, table, word_count
+from tallyroom.plans.stages import fits_broadcast, staged
 
 POINTS = 1 << 32
 # 2^32 divided by the square of the golden ratio.
@@ -95,25 +95,14 @@ def shuffled_sizes(
     )
 
 
-def stream_offsets(sizes: DataFrame, rows: int) -> DataFrame:
-    """Where each document starts in its source's shuffled stream, in two levels."""
-    digits = max(1, math.ceil(math.log(max(rows, 1), 16) / 2))
-    sizes = sizes.withColumn("bucket", F.substring("u", 1, digits))
-    totals = sizes.groupBy("source", "bucket").agg(F.sum("size").alias("total"))
-    earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(
-        F.col("source").alias("b_source"),
-        F.col("bucket").alias("b_bucket"),
-        F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("base"),
-    )
-    inside = (
-        Window.partitionBy("source", "bucket").orderBy("u", "id", "size", "rid").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    within = sizes.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    same = F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket"))
-    return within.join(bases, same, "left").select(
-        "rid", "id", "source", "size", (F.col("base") + F.col("within")).alias("offset")
-    )
+def stream_offsets(sizes: DataFrame) -> DataFrame:
+    """Where each document starts in its source's shuffled stream.
+
+    The streams are cut into ranges that rows of one id, or without any, do not keep together.
+    """
+    key = F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("g")
+    found = placed(sizes.select("*", key), ["g"], ["u", "id", "size", "rid"], F.col("size"))
+    return found.select("rid", "id", "source", "size", F.col("pos").alias("offset"))
 
 
 def schedule(goals: DataFrame, words: int, block_words: int) -> DataFrame:
@@ -191,18 +180,18 @@ def mix(
     names a column that numbers the rows; without it they are numbered here.
     """
     sizes = staged(shuffled_sizes(docs, seed, id_col, text_col, source_col, rid_col))
-    known = sizes.agg(F.count("*").alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("words")).first()
+    words = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("words")).first()["words"]
     per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     if weights is None:
         weights = cycled_weights(per_source)
     goals = staged(
         targets(per_source, weights, max_repeat).withColumn("quota", F.floor(F.col("target") + 0.5))
     )
-    placed = stream_offsets(sizes, known["rows"])
+    documents = staged(stream_offsets(sizes))
 
     goal = goals.select(F.col("source").alias("g_source"), "source_size", "quota")
     copies = (
-        placed.filter("size > 0")
+        documents.filter("size > 0")
         .join(goal, F.col("source").eqNullSafe(F.col("g_source")))
         .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(max_repeat - 1))))
         .withColumn("begin", F.col("offset") + F.col("epoch") * F.col("source_size"))
@@ -218,20 +207,10 @@ def mix(
     cuts = cuts.select(
         F.col("source"), "block", "rid", "epoch", (first - F.col("begin")).alias("start"), (last - first).alias("length")
     )
-    slots = schedule(goals, known["words"], block_words).select(F.col("source").alias("s_source"), F.col("block").alias("s_block"), "slot")
+    slots = schedule(goals, words, block_words).select(F.col("source").alias("s_source"), F.col("block").alias("s_block"), "slot")
     same = F.col("source").eqNullSafe(F.col("s_source")) & (F.col("block") == F.col("s_block"))
     pieces = cuts.join(slots, same).select("slot", "source", "block", "rid", "epoch", "start", "length")
-    return placed, goals, pieces
-
-
-def first_words(text: Column, n: Column) -> Column:
-    """The text up to the end of its ``n``-th word."""
-    length = lambda parts: F.aggregate(
-        F.slice(parts, F.lit(1), n.cast("int")), F.lit(0), lambda a, x: a + F.char_length(x)
-    )
-    words = length(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
-    gaps = length(F.split(text, WORD))
-    return F.substr(text, F.lit(1), words + gaps)
+    return documents, goals, pieces
 
 
 def mixed_documents(
@@ -240,6 +219,7 @@ def mixed_documents(
     text_col: str = "text",
     source_col: str = "source",
     block_words: int = 2048,
+    stored: bool = False,
     **options,
 ) -> DataFrame:
     """The documents of the mix with their own columns: one row per document and repeat.
@@ -247,24 +227,24 @@ def mixed_documents(
     The rows are in the order of the schedule: partitions are ranges of slots, and inside them each
     use of a document stands at its first slot. Slots hold equally many words, and so do the ranges.
 
-    A repeat that the target cuts short keeps the words it takes, up to the end of the last one.
-    A document without words adds nothing to a mix and is not in it.
+    Texts stay whole: the use of a document that the target would end in is in the mix with all of
+    its words, so a source exceeds its target by less than one document. A document without words
+    adds nothing to a mix and is not in it. ``stored`` says that ``docs`` are the rows of a file
+    table as they lie there (``stages.keyed_rows``).
     """
-    rows = staged(docs.select(F.monotonically_increasing_id().alias("rid"), F.struct("*").alias("row")))
-    placed, goals, pieces = mix(
+    rows = keyed_rows(docs, stored)
+    _, goals, pieces = mix(
         rows.select("rid", *[f"row.{c}" for c in (id_col, text_col, source_col)]),
         id_col=id_col, text_col=text_col, source_col=source_col, rid_col="rid", block_words=block_words, **options,
     )
     words = goals.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     slots = -(-words // block_words)
     ranges = max(1, -(-slots // MAX_RANGE_SLOTS), min(shuffle_partitions(docs.sparkSession), slots // MIN_RANGE_SLOTS))
-    taken = pieces.groupBy("rid", "epoch").agg(F.sum("length").alias("taken"), F.min("slot").alias("slot"))
-    taken = taken.join(placed.select("rid", "size"), "rid")
-    text = F.col(f"row.{text_col}")
-    used = F.when(F.col("taken") < F.col("size"), first_words(text, F.col("taken"))).otherwise(text)
+    uses = staged(pieces.groupBy("rid", "epoch").agg(F.min("slot").alias("slot")))
+    # Few uses travel to the texts; else both meet by the row's key, and the texts move twice.
+    known = F.broadcast(uses) if fits_broadcast(uses, "rid") else uses
     return (
-        rows.join(taken, "rid")
-        .withColumn("row", F.col("row").withField(text_col, used))
+        rows.join(known, "rid")
         .withColumn("range", F.least(F.floor(F.col("slot") * ranges / max(slots, 1)), F.lit(ranges - 1)).cast("int"))
         .repartitionById(ranges, F.col("range"))
         .sortWithinPartitions("slot", "epoch", "rid")

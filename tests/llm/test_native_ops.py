@@ -109,16 +109,29 @@ def test_mixed_documents_follow_the_schedule(spark):
     assert all(a.doc_id != b.doc_id for a, b in zip(mixed, mixed[1:], strict=False))
 
 
-def test_mixed_documents_are_cut_between_words(spark, awkward):
+@pytest.mark.parametrize("stored", [False, True])
+def test_mixed_documents_are_whole(spark, awkward, stored):
     docs = clashing(awkward)
-    mixed = source_mix.mixed_documents(docs, block_words=100)
+    documents, goals, pieces = source_mix.mix(docs, block_words=100)
+    mixed = source_mix.mixed_documents(docs, block_words=100, stored=stored)
     assert mixed.columns == docs.columns
-    texts = {}
-    for doc_id, text, *_ in ROWS:
-        texts.setdefault(doc_id, []).append(text or "")
-    for row in mixed.collect():
-        assert any(t.startswith(row.text) for t in texts[row.doc_id]) and WORD.search(row.text)
-        assert row.text in texts[row.doc_id] or not row.text[-1].isspace()
+    texts = {(r[0], r[1]) for r in ROWS}
+    rows = mixed.collect()
+    assert all((row.doc_id, row.text) in texts and WORD.search(row.text) for row in rows)
+    # As many uses as the targets begin, and each source within one document of its target.
+    assert len(rows) == pieces.select("rid", "epoch").distinct().count()
+    largest = {r.source: r.m for r in documents.groupBy("source").agg({"size": "max"}).toDF("source", "m").collect()}
+    for goal in goals.collect():
+        held = sum(len(WORD.findall(row.text)) for row in rows if row.source == goal.source)
+        assert goal.quota <= held < goal.quota + max(largest[goal.source], 1)
+
+
+def test_documents_without_an_id_spread(spark):
+    """A stream in which all shuffle keys are equal is cut all the same."""
+    docs = spark.range(3000).selectExpr("CAST(NULL AS bigint) AS doc_id", "'a b c' AS text", "'s' AS source")
+    documents, _, pieces = source_mix.mix(docs, block_words=50)
+    assert sorted(r.offset for r in documents.collect()) == list(range(0, 9000, 3))
+    assert pieces.agg({"length": "sum"}).first()[0] == 9000
 
 
 def test_water_filling_stops_small_sources(spark):
