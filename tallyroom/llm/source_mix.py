@@ -253,8 +253,12 @@ def mixed_documents(
 
 
 def op4_source_mix(spark, sf_dir) -> DataFrame:
+    """``first_slot`` and ``n_slots`` tell where in the order of training a document stands, and how often."""
     documents, goals, pieces = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    taken = pieces.groupBy("rid").agg(F.sum("length").alias("taken"))
+    by_slot = pieces.groupBy("rid", "slot").agg(F.sum("length").alias("taken"))
+    taken = by_slot.groupBy("rid").agg(
+        F.sum("taken").alias("taken"), F.min("slot").alias("first_slot"), F.count("*").alias("n_slots")
+    )
     goal = goals.select(F.col("source").alias("g_source"), "source_size", "target")
     return (
         documents.join(taken, "rid", "left")
@@ -265,12 +269,14 @@ def op4_source_mix(spark, sf_dir) -> DataFrame:
             "source_size",
             "target",
             F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"),
+            "first_slot",
+            F.coalesce("n_slots", F.lit(0)).cast("bigint").alias("n_slots"),
         )
     )
 
 
-# Ranking by running sums instead of slots: the blocks 0, 1, 2, ... up to the target are what every
-# schedule must take, so the words taken from a document follow from its place in the stream.
+# Words come from running sums: the blocks 0, 1, 2, ... up to the target are what every schedule must
+# take. Slots come from the points of the schedule.
 OP4_SQL = """
 WITH sizes AS (
     SELECT doc_id, source, md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '')) AS u,
@@ -303,11 +309,45 @@ WITH sizes AS (
     SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY u, doc_id, size
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS off
     FROM sizes
+), quotas AS (
+    SELECT source, source_size, target, CAST(floor(target + 0.5) AS BIGINT) AS quota FROM goals
+), spans AS (
+    SELECT source, (quota + 2047) // 2048 AS need,
+           coalesce(CAST(sum(quota) OVER before AS DOUBLE), 0) / CAST(sum(quota) OVER () AS DOUBLE) * 4294967296 AS low,
+           CAST(sum(quota) OVER upto AS DOUBLE) / CAST(sum(quota) OVER () AS DOUBLE) * 4294967296 AS high
+    FROM quotas WHERE quota > 0
+    WINDOW before AS (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+           upto AS (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), points AS (
+    SELECT slot, slot * 1640531527 % 4294967296 AS point
+    FROM range((SELECT CAST((coalesce(sum(size), 0) + 2047) // 2048 AS BIGINT) FROM sizes)) r(slot)
+), ranked AS (
+    SELECT slot, source, need, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS block
+    FROM points JOIN spans ON point >= low AND point < high
+), slots AS (
+    SELECT slot, source, block FROM ranked WHERE block < need
+    UNION ALL
+    SELECT (SELECT count(*) FROM points), s.source, unnest(range(coalesce(n, 0), need))
+    FROM spans s LEFT JOIN (SELECT source, count(*) AS n FROM ranked GROUP BY source) c ON c.source IS NOT DISTINCT FROM s.source
+    WHERE coalesce(n, 0) < need
+), uses AS (
+    SELECT p.*, g.source_size, g.target,
+           p.off + e.epoch * g.source_size AS begins, least(p.off + e.epoch * g.source_size + p.size, g.quota) AS ends
+    FROM placed p
+    JOIN quotas g ON p.source IS NOT DISTINCT FROM g.source
+    CROSS JOIN (VALUES (0), (1), (2)) AS e(epoch)
+), blocks AS (
+    SELECT doc_id, source, off, u, size, unnest(range(begins // 2048, (ends - 1) // 2048 + 1)) AS block
+    FROM uses WHERE size > 0 AND begins < ends
+), stands AS (
+    SELECT b.doc_id, b.source, b.off, b.u, b.size, min(slot) AS first_slot, count(DISTINCT slot) AS n_slots
+    FROM blocks b JOIN slots s ON s.source IS NOT DISTINCT FROM b.source AND s.block = b.block
+    GROUP BY ALL
 )
-SELECT p.doc_id, p.size, g.source_size, g.target,
-       CAST(sum(greatest(0, least(p.size, CAST(floor(g.target + 0.5) AS BIGINT) - p.off - e.epoch * g.source_size))) AS BIGINT) AS taken
-FROM placed p
-JOIN goals g ON p.source IS NOT DISTINCT FROM g.source
-CROSS JOIN (VALUES (0), (1), (2)) AS e(epoch)
-GROUP BY p.doc_id, p.size, p.off, p.u, p.source, g.source_size, g.target
+SELECT x.doc_id, x.size, x.source_size, x.target, x.taken, first_slot, coalesce(n_slots, 0) AS n_slots
+FROM (SELECT doc_id, source, off, u, size, source_size, target,
+             CAST(sum(greatest(0, ends - begins)) AS BIGINT) AS taken
+      FROM uses GROUP BY ALL) x
+LEFT JOIN stands s ON s.doc_id IS NOT DISTINCT FROM x.doc_id AND s.source IS NOT DISTINCT FROM x.source
+                  AND s.off = x.off AND s.u = x.u AND s.size = x.size
 """

@@ -9,6 +9,7 @@ import pytest
 from tallyroom.llm import chat_format, exact_dedup, license_scan, secret_scan, source_mix
 from tests.llm.brute import base_secrets, joined, sha
 from tests.llm.edges import ROWS, clashing, frame, sorted_rows
+from tests.parity import duck, duck_rows, spark_rows
 
 A_TO_Z = {ord(c): ord(c) + 32 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -126,6 +127,14 @@ def test_mixed_documents_are_whole(spark, awkward, stored):
         assert goal.quota <= held < goal.quota + max(largest[goal.source], 1)
 
 
+def test_the_schedule_shows_in_the_query(spark, monkeypatch):
+    folder = "/root/testdata/sf0.01"
+    wanted = duck_rows(duck(folder), source_mix.OP4_SQL)
+    assert spark_rows(source_mix.op4_source_mix(spark, folder)) == wanted
+    monkeypatch.setattr(source_mix, "STEP", 1)
+    assert spark_rows(source_mix.op4_source_mix(spark, folder)) != wanted
+
+
 def test_documents_without_an_id_spread(spark):
     """A stream in which all shuffle keys are equal is cut all the same."""
     docs = spark.range(3000).selectExpr("CAST(NULL AS bigint) AS doc_id", "'a b c' AS text", "'s' AS source")
