@@ -178,6 +178,22 @@ def _merge_roster(spark: SparkSession, sf: str) -> DataFrame:
     return roster.merge_roster(_vip_roster(spark, sf), td.roster_prev(spark, sf))
 
 
+def _sheet_merge(spark: SparkSession, sf: str) -> DataFrame:
+    return roster.merge_sheet(
+        td.roster_prev(spark, sf), td.roster_sheet(spark, sf), td.roster_now(spark, sf)
+    )
+
+
+def _merge_sheet(spark: SparkSession, sf: str) -> DataFrame:
+    return _sheet_merge(spark, sf).withColumn("conflicts", F.size("conflicts").cast("bigint")).withColumnRenamed(
+        "conflicts", "n_conflicts"
+    )
+
+
+def _sheet_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    return roster.sheet_conflicts(_sheet_merge(spark, sf))
+
+
 def _heat_scores(spark: SparkSession, sf: str) -> DataFrame:
     vips, costs = _roster_inputs(spark, sf)
     return scored_roster(vips, costs, td.roster_prev(spark, sf), td.ROSTER_AS_OF[:10])
@@ -271,6 +287,8 @@ def base_queries() -> dict[str, Query]:
         "procurement_cost_by_user": _procurement_cost_by_user,
         "vip_roster": _vip_roster,
         "merge_roster": _merge_roster,
+        "merge_sheet": _merge_sheet,
+        "sheet_conflicts": _sheet_conflicts,
         "heat_scores": _heat_scores,
         "write_roster_snapshot": _write_roster_snapshot,
         "heat_summary": _heat_summary,

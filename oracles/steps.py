@@ -143,6 +143,32 @@ def _newest(crossed: str, as_of: str) -> str:
   QUALIFY rn <= 2"""
 
 
+# A kept cell of customer k in the sheet that was exported; changes are put around it.
+_CELLS = {
+    "first_name": "'Customer'",
+    "last_name": "split_part(c_name, '#', 2)",
+    "email": "'u' || k || '@example.com'",
+    "preferred_channel": "'email'",
+    "relationship_stage": "CASE k % 4 WHEN 0 THEN 'new' WHEN 1 THEN 'engaged' WHEN 3 THEN ' new ' END",
+    "last_contacted_at": "NULL",
+    "conversation_note_1": "CASE WHEN k % 5 = 0 THEN c_mktsegment END",
+    "conversation_note_2": "CASE WHEN k % 5 = 1 THEN '   ' END",
+    "conversation_note_3": "NULL",
+    "manager_notes": "NULL",
+}
+
+
+def _cells(where: str, **changes: str) -> str:
+    """Long form of one side: a row per user and kept cell; a cell that reads as zero is blank."""
+    long = " UNION ALL ".join(
+        f"SELECT CAST(k AS VARCHAR) AS user_id, '{name}' AS field, coalesce({changes.get(name, cell)}, '') AS v "
+        f"FROM numbered_customer WHERE {where}"
+        for name, cell in _CELLS.items()
+    )
+    zero = r"\s*[+-]?(0+\.?0*|\.0+)\s*"
+    return f"SELECT user_id, field, CASE WHEN regexp_full_match(v, '{zero}') THEN '' ELSE v END AS v FROM ({long})"
+
+
 # Coins per opened box in whole units of the twelfth digit.
 _BOX_PRICE = (
     "CASE WHEN boxes_opened_count > 0 THEN (2 * CAST(total_coins_spent * 100 AS HUGEINT) * 10000000000 "
@@ -424,6 +450,29 @@ STEPS: dict[str, tuple[list[str], str]] = {
   FROM roster r
   LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0)
     ON CAST(c_custkey AS VARCHAR) = r.user_id"""),
+    "numbered_customer": ([], "SELECT c_custkey AS k, c_name, c_mktsegment FROM customer"),
+    "base_cells": (["numbered_customer"], _cells("k % 3 <> 0")),
+    "sheet_cells": (["numbered_customer"], _cells(
+        "k % 3 <> 0 AND k % 7 <> 6 OR k % 12 = 0",
+        manager_notes="CASE WHEN k % 11 = 0 THEN 'sheet ' || k END",
+        relationship_stage=f"CASE WHEN k % 8 = 1 THEN 'won' ELSE {_CELLS['relationship_stage']} END",
+        conversation_note_1="CASE WHEN k % 10 <> 0 AND k % 5 = 0 THEN c_mktsegment END",
+        preferred_channel="CASE WHEN k % 13 = 0 THEN 'phone' ELSE 'email' END")),
+    "now_cells": (["numbered_customer"], _cells(
+        "k % 3 <> 0 AND k % 9 <> 8 OR k % 6 = 3",
+        manager_notes="CASE WHEN k % 22 = 0 THEN 'other ' || k WHEN k % 55 = 0 THEN 'sheet ' || k END",
+        relationship_stage=f"CASE WHEN k % 16 = 1 THEN 'lost' ELSE {_CELLS['relationship_stage']} END",
+        preferred_channel="CASE WHEN k % 26 = 0 THEN 'phone' WHEN k % 17 = 0 THEN '0' ELSE 'email' END")),
+    "sheet_merge": (["base_cells", "sheet_cells", "now_cells"], """
+  SELECT user_id, field, base, sheet, current, sheet <> base AND current <> base AND sheet <> current AS clash,
+         CASE WHEN sheet <> base THEN sheet ELSE current END AS taken
+  FROM (SELECT k.user_id, k.field, coalesce(b.v, '') AS base, coalesce(s.v, b.v, '') AS sheet,
+               coalesce(n.v, b.v, '') AS current
+        FROM (SELECT user_id, field FROM base_cells UNION SELECT user_id, field FROM sheet_cells
+              UNION SELECT user_id, field FROM now_cells) k
+        LEFT JOIN base_cells b USING (user_id, field)
+        LEFT JOIN sheet_cells s USING (user_id, field)
+        LEFT JOIN now_cells n USING (user_id, field))"""),
     "halves": (["merged"], """
   SELECT *, CASE WHEN trim(conversation_note_1) <> '' OR trim(conversation_note_2) <> ''
                    OR trim(conversation_note_3) <> '' THEN 70 ELSE 50 END AS context_score,
@@ -480,6 +529,11 @@ SELECT order_id, vendor_price, vendor_fee FROM latest_pricing"""),
     "procurement_cost_by_user": (["procurement"], "SELECT * FROM procurement"),
     "vip_roster": (["roster"], "SELECT * FROM roster"),
     "merge_roster": (["merged"], "SELECT * FROM merged"),
+    "merge_sheet": (["sheet_merge"], "SELECT user_id, "
+        + ", ".join(f"max(taken) FILTER (field = '{name}') AS {name}" for name in _CELLS)
+        + ", count(*) FILTER (clash) AS n_conflicts FROM sheet_merge GROUP BY user_id"),
+    "sheet_conflicts": (["sheet_merge"], """
+SELECT user_id, field, base, sheet, current, taken FROM sheet_merge WHERE clash"""),
     "heat_scores": (["scored"], "SELECT * FROM scored"),
     "write_roster_snapshot": (["scored"], "SELECT * FROM scored"),
     "heat_summary": (["scored"], """

@@ -21,6 +21,7 @@ from tallyroom.sources.schemas import (
 )
 
 
+KEPT_COLUMNS = (*IDENTITY_COLUMNS, *MANAGER_COLUMNS)
 # A cell of a sheet that reads as the number 0.
 ZERO = r"^\s*[+-]?(0+\.?0*|\.0+)\s*$"
 
@@ -142,7 +143,7 @@ def merge_roster(
     blank, and so does a cell that holds nothing but a zero. Of repeated previous rows the last in ``sheet_order`` counts, rows without a user are
     ignored, and users no longer on the roster drop out.
     """
-    kept = (*IDENTITY_COLUMNS, *MANAGER_COLUMNS)
+    kept = KEPT_COLUMNS
     last = Window.partitionBy("user_id").orderBy(*map(F.desc, sheet_order))
     previous = (
         roster_prev.filter(F.col("user_id") != "")
@@ -153,8 +154,7 @@ def merge_roster(
     is_new = F.col("known").isNull()
 
     def carried(name: str) -> Column:
-        value = F.coalesce(name, F.lit(""))
-        value = F.when(value.rlike(ZERO), "").otherwise(value)
+        value = _cell(name)
         if name == "relationship_stage":
             value = F.when(is_new, params.NEW_STAGE).otherwise(value)
         return value.alias(name)
@@ -164,6 +164,85 @@ def merge_roster(
     )
 
 
+def _cell(name: str) -> Column:
+    """A kept cell as the roster holds it: blank for nothing, and for nothing but a zero."""
+    value = F.coalesce(name, F.lit(""))
+    return F.when(value.rlike(ZERO), "").otherwise(value).alias(name)
+
+
+def _last_rows(rows: DataFrame, order: Sequence[str], side: str) -> DataFrame:
+    """The kept cells of each user's last row as one struct."""
+    cells = F.struct(*map(_cell, KEPT_COLUMNS))
+    return (
+        rows.filter(F.col("user_id") != "")
+        .select("user_id", cells.alias("cells"), F.struct(*order).alias("place"))
+        .groupBy("user_id")
+        .agg(F.max_by("cells", "place").alias(side))
+    )
+
+
+def merge_sheet(
+    base: DataFrame,
+    sheet: DataFrame,
+    current: DataFrame,
+    sheet_order: Sequence[str] = ("sheet_row",),
+    prefer: str = "sheet",
+) -> DataFrame:
+    """Three-way merge of an edited sheet: ``user_id``, the kept columns and ``conflicts``.
+
+    ``base`` is the roster the sheet was exported from, ``current`` the one stored now. A cell that
+    only one of sheet and current has changed takes the changed value; one that both have changed
+    to the same value takes that; where they differ it takes the value of ``prefer`` (``sheet`` or
+    ``current``) and ``conflicts`` holds the field, the three values and the one taken.
+
+    Every user of any of the three has a row. A user without a row in the base has blank cells there.
+    One who is missing in the sheet or in the current roster counts as not edited there: people who
+    joined after the export keep their notes, and a row deleted from the sheet deletes nothing. Of
+    repeated rows the last in ``sheet_order`` counts (in ``sheet_row`` for the other two), and rows
+    without a user are ignored. Each side is combined per user before it travels.
+    """
+    if prefer not in ("sheet", "current"):
+        raise ValueError(f"prefer must be sheet or current, not {prefer}")
+    sides = {"base": base, "current": current}
+    rows = _last_rows(sheet, sheet_order, "sheet")
+    for name, side in sides.items():
+        order = ["sheet_row"] if "sheet_row" in side.columns else ["user_id"]
+        rows = rows.join(_last_rows(side, order, name), "user_id", "full")
+
+    def value(side: str, name: str) -> Column:
+        before = F.coalesce(f"base.{name}", F.lit(""))
+        return before if side == "base" else F.coalesce(f"{side}.{name}", before)
+
+    def clash(name: str) -> Column:
+        ours, theirs, before = value("sheet", name), value("current", name), value("base", name)
+        return (ours != before) & (theirs != before) & (ours != theirs)
+
+    def merged(name: str) -> Column:
+        edited = value("sheet", name) != value("base", name)
+        taken = F.when(edited, value("sheet", name)).otherwise(value("current", name))
+        return F.when(clash(name), value(prefer, name)).otherwise(taken)
+
+    listed = [
+        F.when(
+            clash(name),
+            F.struct(
+                F.lit(name).alias("field"),
+                *[value(side, name).alias(side) for side in ("base", "sheet", "current")],
+                merged(name).alias("taken"),
+            ),
+        )
+        for name in KEPT_COLUMNS
+    ]
+    return rows.select(
+        "user_id", *[merged(name).alias(name) for name in KEPT_COLUMNS], F.array_compact(F.array(*listed)).alias("conflicts")
+    )
+
+
+def sheet_conflicts(merged_sheet: DataFrame) -> DataFrame:
+    """One row per cell that sheet and current roster have changed in different ways."""
+    return merged_sheet.select("user_id", F.inline("conflicts"))
+
+
 def heat_scores(merged: DataFrame, today: dt.date | str) -> DataFrame:
     """Recency, context and heat score of every roster row, coldest first."""
     per_day = F.col("days_since_last_session").cast("double") / F.lit(float(params.RECENCY_DAYS))

@@ -11,7 +11,13 @@ from pyspark.sql import DataFrame
 from tallyroom import params
 from tallyroom.operators import roster as ops
 from tallyroom.plans.stages import fits_broadcast, kept, staged
-from tallyroom.sources.roster_store import EmptyRosterError, publish_roster, read_roster
+from tallyroom.sources.roster_store import (
+    EmptyRosterError,
+    RosterConflictError,
+    current_roster,
+    publish_roster,
+    read_roster,
+)
 
 
 @dataclass(frozen=True)
@@ -21,14 +27,16 @@ class RosterRefresh:
     heat_summary: DataFrame
     needs_attention: DataFrame
     hot_list: DataFrame
+    conflicts: DataFrame | None = None
 
     def results(self) -> dict[str, DataFrame]:
-        return {
+        found = {
             "roster": self.roster,
             "heat_summary": self.heat_summary,
             "needs_attention": self.needs_attention,
             "hot_list": self.hot_list,
         }
+        return found if self.conflicts is None else found | {"conflicts": self.conflicts}
 
 
 def roster_inputs(
@@ -82,22 +90,50 @@ def refresh_roster(
     tie_break: Sequence[str] = (),
     sheet_order: Sequence[str] = ("sheet_row",),
     n_attention: int = params.NEEDS_ATTENTION,
+    sheet_base: str | None = None,
+    prefer: str = "sheet",
+    attempts: int = 3,
 ) -> RosterRefresh:
     """Publish a refreshed roster in ``store`` and summarise what was stored.
 
     The previous roster is the published one unless another (such as an edited sheet) is given.
+    ``sheet_base`` names the version that such a sheet was exported from: its edits are then merged
+    with what has been stored since (``operators.roster.merge_sheet``), and ``conflicts`` lists the
+    cells changed on both sides.
+
+    If another refresh publishes in the meantime, the merge is done again on its roster, up to
+    ``attempts`` times in all; the figures are staged and not computed again. A sheet without a base
+    cannot be merged twice: it replaces what was read before it, and ``RosterConflictError`` is raised.
     The scored roster is computed once: the summaries read the published files.
     """
     spark = user_crm.sparkSession
-    if roster_prev is None:
-        roster_prev = read_roster(spark, store)
+    start = current_roster(spark, store)
     vips, costs = roster_inputs(
         user_crm, orders_created, vendor_pricing, internal_users, tiers, tie_break
     )
     if vips.isEmpty():
         raise EmptyRosterError("no user qualifies, the stored roster is kept")
-    scored = scored_roster(vips, costs, roster_prev, today, tiers, sheet_order)
-    version = publish_roster(scored, store, today)
+    fresh = staged(ops.roster_rows(vips, costs, tiers))
+    conflicts = None
+    for attempt in range(attempts):
+        if attempt:
+            start = current_roster(spark, store)
+        previous, order = roster_prev, sheet_order
+        if roster_prev is None:
+            previous, order = read_roster(spark, store, start.version), ("sheet_row",)
+        elif sheet_base is not None:
+            known = read_roster(spark, store, sheet_base), read_roster(spark, store, start.version)
+            edited = staged(ops.merge_sheet(known[0], roster_prev, known[1], sheet_order, prefer))
+            previous, order = edited, ("user_id",)
+            conflicts = ops.sheet_conflicts(edited)
+        scored = ops.heat_scores(ops.merge_roster(fresh, previous, order), today)
+        try:
+            version = publish_roster(scored, store, today, base=start.sequence)
+            break
+        except RosterConflictError:
+            mergeable = roster_prev is None or sheet_base is not None
+            if attempt + 1 == attempts or not mergeable:
+                raise
     stored = read_roster(spark, store, version).drop("sheet_row")
     return RosterRefresh(
         version=version,
@@ -105,4 +141,5 @@ def refresh_roster(
         heat_summary=ops.heat_summary(stored),
         needs_attention=ops.needs_attention(stored, n_attention),
         hot_list=ops.hot_list(stored),
+        conflicts=conflicts,
     )

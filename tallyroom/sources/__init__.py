@@ -2,9 +2,13 @@
 
 from tallyroom.sources.roster_store import (
     EmptyRosterError,
+    MixedSheetError,
+    RosterConflictError,
+    current_roster,
     publish_roster,
     read_roster,
     read_sheet_csv,
+    sheet_base,
     write_sheet_csv,
 )
 from tallyroom.sources.schemas import SCHEMAS
@@ -12,12 +16,16 @@ from tallyroom.sources.tables import conform, read_table, read_tables
 
 __all__ = [
     "EmptyRosterError",
+    "MixedSheetError",
+    "RosterConflictError",
     "SCHEMAS",
     "conform",
+    "current_roster",
     "publish_roster",
     "read_roster",
     "read_sheet_csv",
     "read_table",
     "read_tables",
+    "sheet_base",
     "write_sheet_csv",
 ]

@@ -134,23 +134,50 @@ def user_crm(spark: SparkSession, sf_dir: str, as_of: dt.datetime | str) -> Data
     )
 
 
-def roster_prev(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _table(spark, sf_dir, "customer")
-        .where("c_custkey % 3 <> 0")
-        .selectExpr(
-            "c_custkey AS sheet_row",
-            "CAST(c_custkey AS STRING) AS user_id",
-            "'Customer' AS first_name",
-            "substring_index(c_name, '#', -1) AS last_name",
-            "concat('u', c_custkey, '@example.com') AS email",
-            "'email' AS preferred_channel",
-            "CASE c_custkey % 4 WHEN 0 THEN 'new' WHEN 1 THEN 'engaged' WHEN 3 THEN ' new ' END "
-            "AS relationship_stage",
-            "CAST(NULL AS STRING) AS last_contacted_at",
-            "CASE WHEN c_custkey % 5 = 0 THEN c_mktsegment END AS conversation_note_1",
-            "CASE WHEN c_custkey % 5 = 1 THEN '   ' END AS conversation_note_2",
-            "CAST(NULL AS STRING) AS conversation_note_3",
-            "CAST(NULL AS STRING) AS manager_notes",
-        )
+def _kept_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS sheet_row",
+        "CAST(c_custkey AS STRING) AS user_id",
+        "'Customer' AS first_name",
+        "substring_index(c_name, '#', -1) AS last_name",
+        "concat('u', c_custkey, '@example.com') AS email",
+        "'email' AS preferred_channel",
+        "CASE c_custkey % 4 WHEN 0 THEN 'new' WHEN 1 THEN 'engaged' WHEN 3 THEN ' new ' END "
+        "AS relationship_stage",
+        "CAST(NULL AS STRING) AS last_contacted_at",
+        "CASE WHEN c_custkey % 5 = 0 THEN c_mktsegment END AS conversation_note_1",
+        "CASE WHEN c_custkey % 5 = 1 THEN '   ' END AS conversation_note_2",
+        "CAST(NULL AS STRING) AS conversation_note_3",
+        "CAST(NULL AS STRING) AS manager_notes",
     )
+
+
+def roster_prev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept_rows(spark, sf_dir).where("sheet_row % 3 <> 0")
+
+
+def roster_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``roster_prev`` as a manager has edited it: cells changed and cleared, rows deleted and added."""
+    k = F.col("sheet_row")
+    edited = {
+        "manager_notes": F.when(k % 11 == 0, F.concat(F.lit("sheet "), k)),
+        "relationship_stage": F.when(k % 8 == 1, "won").otherwise(F.col("relationship_stage")),
+        "conversation_note_1": F.when(k % 10 == 0, "").otherwise(F.col("conversation_note_1")),
+        "preferred_channel": F.when(k % 13 == 0, "phone").otherwise("email"),
+    }
+    rows = _kept_rows(spark, sf_dir).where("sheet_row % 3 <> 0 AND sheet_row % 7 <> 6 OR sheet_row % 12 = 0")
+    return rows.withColumns(edited)
+
+
+def roster_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``roster_prev`` as another manager has changed it in the meantime."""
+    k = F.col("sheet_row")
+    edited = {
+        "manager_notes": F.when(k % 22 == 0, F.concat(F.lit("other "), k)).when(
+            k % 55 == 0, F.concat(F.lit("sheet "), k)
+        ),
+        "relationship_stage": F.when(k % 16 == 1, "lost").otherwise(F.col("relationship_stage")),
+        "preferred_channel": F.when(k % 26 == 0, "phone").when(k % 17 == 0, "0").otherwise("email"),
+    }
+    rows = _kept_rows(spark, sf_dir).where("sheet_row % 3 <> 0 AND sheet_row % 9 <> 8 OR sheet_row % 6 = 3")
+    return rows.withColumns(edited)

@@ -1,17 +1,24 @@
 """Edge cases of the roster operators, its store and the sheet exchange."""
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyroom.operators import roster
+from tallyroom.plans import roster_job
 from tallyroom.plans.roster_job import refresh_roster
 from tallyroom.sources import (
     EmptyRosterError,
+    MixedSheetError,
+    RosterConflictError,
+    commits,
+    current_roster,
     publish_roster,
     read_roster,
     read_sheet_csv,
+    sheet_base,
     write_sheet_csv,
 )
 from tallyroom.sources.roster_store import SHEET_ORDER
@@ -232,22 +239,168 @@ def test_published_versions(spark, scored, tmp_path):
         publish_roster(scored.filter("false"), store, "2024-03-12")
     assert sorted(tuples(read_roster(spark, store), "user_id")) == [("cold rich",), ("hot",)]
     assert second.startswith("20240311-")
-    # An announcement stamped by a clock that runs ahead does not stay in front.
-    ahead = spark.read.parquet(f"{store}/published").filter(F.col("version") == first)
-    ahead.withColumns(
-        {"published_at": F.expr("TIMESTAMP'2999-01-01 00:00:00Z'"), "sequence": F.lit(1).cast("bigint")}
-    ).write.mode("append").parquet(f"{store}/published")
-    assert read_roster(spark, store).count() == 2
     third = publish_roster(scored, store, "2024-03-13")
     assert read_roster(spark, store).count() == 7 and third.startswith("20240313-")
+    assert current_roster(spark, store) == (third, 3)
+
+
+def announced(spark, store, *rows):
+    """An older layout: versions as rows of a table, (version, clock, number)."""
+    spark.createDataFrame(
+        [(version, dt.date(2024, 3, 10), 7, number, dt.datetime.fromisoformat(clock)) for version, clock, number in rows],
+        "version string, snapshot_date date, users bigint, sequence bigint, published_at timestamp",
+    ).write.mode("append").parquet(f"{store}/published")
 
 
-def test_an_empty_announcement_folder_holds_no_roster(spark, scored, tmp_path):
+def test_announcements_as_rows_are_continued(spark, scored, tmp_path):
     store = str(tmp_path / "store")
-    publish_roster(scored, f"{store}-other", TODAY)
-    none = spark.read.parquet(f"{store}-other/published").filter("false")
-    none.write.parquet(f"{store}/published")
-    assert read_roster(spark, store).count() == 0
+    announced(spark, store)
+    assert read_roster(spark, store).count() == 0 and current_roster(spark, store) == (None, 0)
+    for name, rows in (("first", scored), ("second", scored.filter("ltv_usd > 100"))):
+        rows.write.parquet(f"{store}/versions/{name}")
+    # A clock that runs ahead does not stay in front.
+    announced(spark, store, ("second", "2024-03-11", 2), ("first", "2999-01-01", 1))
+    assert current_roster(spark, store) == ("second", 2) and read_roster(spark, store).count() == 2
+    third = publish_roster(scored, store, "2024-03-13")
+    assert current_roster(spark, store) == (third, 3) and read_roster(spark, store).count() == 7
+
+
+def test_of_two_writers_on_one_base_one_gets_the_number(spark, scored, tmp_path):
+    store = str(tmp_path / "store")
+    publish_roster(scored, store, TODAY)
+    base = current_roster(spark, store).sequence
+    won = publish_roster(scored.filter("ltv_usd > 100"), store, TODAY, base=base)
+    with pytest.raises(RosterConflictError, match="started from 1"):
+        publish_roster(scored, store, TODAY, base=base)
+    assert current_roster(spark, store) == (won, 2)
+    # What the loser wrote is gone, and so are the files beside the commits.
+    assert len(list((tmp_path / "store" / "versions").iterdir())) == 2
+    assert sorted(f.name for f in (tmp_path / "store" / "commits").iterdir() if not f.name.startswith(".")) == [
+        "000000000001.json", "000000000002.json",
+    ]
+
+
+def test_writers_at_the_same_time_get_a_number_each(spark, scored, tmp_path):
+    store = str(tmp_path / "store")
+    small = scored.limit(2)
+    with ThreadPoolExecutor(6) as pool:
+        versions = list(pool.map(lambda _: publish_roster(small, store, TODAY), range(6)))
+    entries = [commits.entry_of(spark, f"{store}/commits", n)["version"] for n in range(1, 7)]
+    assert sorted(entries) == sorted(versions) and current_roster(spark, store) == (entries[-1], 6)
+
+
+def test_one_commit_of_many_at_once(spark, tmp_path):
+    def attempt(n):
+        try:
+            commits.commit(spark, str(tmp_path / "c"), 1, {"writer": n})
+            return n
+        except commits.CommitConflictError:
+            return None
+
+    assert commits.latest(spark, str(tmp_path / "c")) is None
+    with ThreadPoolExecutor(8) as pool:
+        won = [n for n in pool.map(attempt, range(16)) if n is not None]
+    assert len(won) == 1 and commits.latest(spark, str(tmp_path / "c")) == (1, {"writer": won[0]})
+
+
+def refresh_inputs(spark):
+    people = crm(spark, ("a", 300, 1, "10:00", 2, 1), ("b", 120, 1, "10:00", 2, 29), ("c", 150, 1, "10:00", 1, 3))
+    orders = table(spark, "orders_created", [{"order_id": 1, "user_id": "a"}])
+    return people, orders, pricing(spark, (1, "a", "01:00", 5, 1)), users(spark)
+
+
+def noted(spark, rows):
+    return sheet(spark, *[{"user_id": user, "manager_notes": note, "sheet_row": i} for i, (user, note) in enumerate(rows)])
+
+
+def notes(refreshed):
+    return dict(tuples(refreshed.roster, "user_id", "manager_notes"))
+
+
+def test_a_refresh_that_is_overtaken_merges_again(spark, tmp_path, monkeypatch):
+    args = (*refresh_inputs(spark), str(tmp_path / "store"), TODAY)
+    refresh_roster(*args)
+    overtaking = iter([noted(spark, [("a", "from the other refresh")])])
+    publish = roster_job.publish_roster
+
+    def overtaken(*given, **named):
+        other = next(overtaking, None)
+        if other is not None:
+            refresh_roster(*args, roster_prev=other)
+        return publish(*given, **named)
+
+    monkeypatch.setattr(roster_job, "publish_roster", overtaken)
+    late = refresh_roster(*args)
+    assert notes(late) == {"a": "from the other refresh", "b": "", "c": ""}
+    assert current_roster(spark, args[4]) == (late.version, 3)
+    # Without a base there is nothing to merge with, and with no attempts left there is no time to.
+    overtaking = iter([noted(spark, [("a", "again")])])
+    with pytest.raises(RosterConflictError):
+        refresh_roster(*args, roster_prev=noted(spark, [("b", "x")]))
+    overtaking = iter([noted(spark, [("a", "again")])])
+    with pytest.raises(RosterConflictError):
+        refresh_roster(*args, attempts=1)
+    assert notes(refresh_roster(*args)) == {"a": "again", "b": "", "c": ""}
+
+
+def test_notes_saved_between_export_and_import_survive(spark, tmp_path):
+    store = str(tmp_path / "store")
+    args = (*refresh_inputs(spark), store, TODAY)
+    first = refresh_roster(*args, roster_prev=noted(spark, [("a", "old a"), ("b", "old b")]))
+    write_sheet_csv(first.roster, str(tmp_path / "sheet"), first.version)
+    # Another manager saves notes of a and c; the sheet has edits of a and b.
+    refresh_roster(*args, roster_prev=noted(spark, [("a", "other a"), ("b", "old b"), ("c", "other c")]))
+    exported = read_sheet_csv(spark, str(tmp_path / "sheet"))
+    assert sheet_base(exported) == first.version
+    edits = {"a": "sheet a", "b": "sheet b"}
+    own = F.create_map(*[F.lit(x) for pair in edits.items() for x in pair])
+    note = F.coalesce(F.try_element_at(own, F.col("user_id")), "manager_notes")
+    edited = exported.withColumn("manager_notes", note)
+    found = refresh_roster(*args, roster_prev=edited, sheet_order=SHEET_ORDER, sheet_base=first.version)
+    assert notes(found) == {"a": "sheet a", "b": "sheet b", "c": "other c"}
+    clash = ("a", "manager_notes", "old a", "sheet a", "other a", "sheet a")
+    assert tuples(found.conflicts) == [clash] and set(found.results()) >= {"conflicts", "roster"}
+    kept = refresh_roster(*args, roster_prev=edited, sheet_order=SHEET_ORDER, sheet_base=first.version, prefer="current")
+    assert notes(kept)["c"] == "other c"
+    mixed = exported.withColumn("roster_version", F.when(F.col("user_id") == "a", "x").otherwise("y"))
+    with pytest.raises(MixedSheetError):
+        sheet_base(mixed)
+
+
+def test_merge_of_single_cells(spark):
+    cases = {  # base, sheet, current -> with the sheet preferred, with the current one, conflict
+        "none": ("x", "x", "x", "x", "x", False),
+        "edited": ("x", "y", "x", "y", "y", False),
+        "moved on": ("x", "x", "y", "y", "y", False),
+        "same": ("x", "y", "y", "y", "y", False),
+        "both": ("x", "y", "z", "y", "z", True),
+        "cleared": ("x", "", "x", "", "", False),
+        "cleared by both": ("x", "", None, "", "", False),
+        "cleared and changed": ("x", "", "z", "", "z", True),
+        "zero is blank": ("x", "0", " 0.0 ", "", "", False),
+        "blank to blank": (None, "", "0", "", "", False),
+    }
+    sides = [noted(spark, [(user, case[side]) for user, case in cases.items()]) for side in range(3)]
+    for prefer, at in (("sheet", 3), ("current", 4)):
+        found = roster.merge_sheet(*sides, prefer=prefer)
+        rows = {r.user_id: r for r in found.collect()}
+        assert {u: r.manager_notes for u, r in rows.items()} == {u: case[at] for u, case in cases.items()}
+        assert {u: bool(r.conflicts) for u, r in rows.items()} == {u: case[5] for u, case in cases.items()}
+        listed = tuples(roster.sheet_conflicts(found), "user_id", "base", "sheet", "current", "taken")
+        assert sorted(listed) == [(u, case[0], case[1], case[2], case[at]) for u, case in sorted(cases.items()) if case[5]]
+    with pytest.raises(ValueError, match="prefer"):
+        roster.merge_sheet(*sides, prefer="both")
+
+
+def test_merge_of_rows_that_only_some_sides_have(spark):
+    base = noted(spark, [("a", "x"), ("b", "x"), ("c", "x"), ("twice", "x")])
+    edited = noted(spark, [("a", "y"), ("added", "y"), ("twice", "first"), ("twice", "last"), ("", "nobody"), (None, "nobody")])
+    now = noted(spark, [("b", "z"), ("joined", "z"), ("added", "w"), ("twice", "x")])
+    found = dict(tuples(roster.merge_sheet(base, edited, now), "user_id", "manager_notes"))
+    assert found == {"a": "y", "b": "z", "c": "x", "twice": "last", "added": "y", "joined": "z"}
+    nothing = base.filter("false")
+    assert dict(tuples(roster.merge_sheet(nothing, edited, nothing), "user_id", "manager_notes"))["added"] == "y"
+    assert roster.merge_sheet(nothing, nothing, nothing).count() == 0
 
 
 def test_sheet_round_trip(spark, scored, tmp_path):
