@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from oracles import ORACLE_SQL
 from tallyroom import params
-from tallyroom.operators import boxes, crossings, daily, roster
+from tallyroom.operators import boxes, crossings, daily, daily_range, distinct_users, roster
 from tallyroom.plans import crossings_report, daily_report, refresh_roster
+from tallyroom.plans.cohort_job import advance_cohort, start_state
 from tallyroom.plans.crossings_job import crossing_users
 from tallyroom.plans.daily_report import narrowed_cohort
 from tallyroom.plans.roster_job import roster_inputs, scored_roster
@@ -101,6 +102,77 @@ def _observations(spark: SparkSession, sf: str) -> DataFrame:
     ).observations
 
 
+RANGE = (td.RANGE_START, td.RANGE_END, td.EXCLUDED)
+
+
+def _payer_cohort_from_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The cohort of the report day from a stored state moved on by its last days, late rows included."""
+    arrived = td.purchase_arrivals(spark, sf)
+    store = f"{scratch_folder(spark)}/payers-{uuid.uuid4().hex}"
+    start, *days = td.ARRIVAL_DAYS
+    start_state(arrived.filter(F.col("arrival_date") <= F.lit(start).cast("date")), store, start, td.EXCLUDED)
+    for day in days:
+        cohort = advance_cohort(arrived.filter(F.col("arrival_date") == F.lit(day).cast("date")), store, day, td.EXCLUDED)
+    return cohort
+
+
+def _daily_active_users_range(spark: SparkSession, sf: str) -> DataFrame:
+    return daily_range.daily_active_users_range(td.logins(spark, sf), *RANGE)
+
+
+def _purchase_summary_range(spark: SparkSession, sf: str) -> DataFrame:
+    return daily_range.purchase_summary_range(td.purchases(spark, sf), *RANGE)
+
+
+def _revenue_by_product_range(spark: SparkSession, sf: str) -> DataFrame:
+    return daily_range.revenue_by_product_range(td.purchases(spark, sf), *RANGE)
+
+
+def _payer_cohort_range(spark: SparkSession, sf: str) -> DataFrame:
+    return daily_range.payer_cohort_range(td.purchases(spark, sf), *RANGE)
+
+
+def _cohort_kpis_range(spark: SparkSession, sf: str) -> DataFrame:
+    return daily_range.cohort_kpis_range(
+        _daily_active_users_range(spark, sf), _purchase_summary_range(spark, sf), _payer_cohort_range(spark, sf)
+    )
+
+
+def _box_activity_range(spark: SparkSession, sf: str) -> DataFrame:
+    return daily_range.payer_box_activity_range(td.box_events(spark, sf), td.purchases(spark, sf), *RANGE)
+
+
+def _top_boxes_range(spark: SparkSession, sf: str) -> DataFrame:
+    return daily_range.top_boxes_range(_box_activity_range(spark, sf))
+
+
+def _top_openers_range(spark: SparkSession, sf: str) -> DataFrame:
+    return daily_range.top_openers_range(_box_activity_range(spark, sf))
+
+
+def _user_days(spark: SparkSession, sf: str, rows: DataFrame, *keys: str) -> DataFrame:
+    """The day rows that the counts of longer spans are united from."""
+    rows = rows.withColumn("day", F.to_date("event_timestamp"))
+    numbers = staged(distinct_users.numbered_users(rows))
+    return staged(distinct_users.user_bitmaps(rows, numbers, ["day", *keys]))
+
+
+def _weekly_active_users(spark: SparkSession, sf: str) -> DataFrame:
+    week = F.date_trunc("week", "day").cast("date").alias("week")
+    return distinct_users.united_counts(_user_days(spark, sf, td.logins(spark, sf)), [week], "active_users")
+
+
+def _monthly_payers(spark: SparkSession, sf: str) -> DataFrame:
+    """Per product and month, and over all products (``all_products``), from rows per day and product."""
+    days = _user_days(spark, sf, td.purchases(spark, sf), "product_slug")
+    month = F.date_trunc("month", "day").cast("date").alias("month")
+    by_product = distinct_users.united_counts(days, [month, "product_slug"], "payers")
+    over_all = distinct_users.united_counts(days, [month], "payers")
+    return by_product.withColumn("all_products", F.lit(False)).unionByName(
+        over_all.withColumns({"product_slug": F.lit(None).cast("string"), "all_products": F.lit(True)})
+    )
+
+
 def _vendor_cost_by_user(spark: SparkSession, sf: str) -> DataFrame:
     return crossings.vendor_cost_by_user(td.vendor_pricing(spark, sf))
 
@@ -277,6 +349,16 @@ def base_queries() -> dict[str, Query]:
         "returning_payers": _returning_payers,
         "box_mix": _box_mix,
         "observations": _observations,
+        "payer_cohort_from_state": _payer_cohort_from_state,
+        "daily_active_users_range": _daily_active_users_range,
+        "purchase_summary_range": _purchase_summary_range,
+        "revenue_by_product_range": _revenue_by_product_range,
+        "payer_cohort_range": _payer_cohort_range,
+        "cohort_kpis_range": _cohort_kpis_range,
+        "top_boxes_range": _top_boxes_range,
+        "top_openers_range": _top_openers_range,
+        "weekly_active_users": _weekly_active_users,
+        "monthly_payers": _monthly_payers,
         "vendor_cost_by_user": _vendor_cost_by_user,
         "tier_crossings": _tier_crossings(td.CROSSINGS_AS_OF),
         "tier_crossings_month_end": _tier_crossings(td.ROSTER_AS_OF),

@@ -403,6 +403,36 @@ STEPS: dict[str, tuple[list[str], str]] = {
               ELSE 'Only ' || format('{{:.1f}}', conversion) || '% of ' || dau
                 || ' active users made a purchase today.' END
   FROM d_shares WHERE total_payers > 0 AND (conversion >= 10 OR conversion <= 2)"""),
+    "range_days": ([], """
+  SELECT CAST(d AS DATE) AS report_date
+  FROM generate_series(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-31', INTERVAL 1 DAY) g(d)"""),
+    "range_purchases": ([], f"""
+  SELECT *, CAST(event_timestamp AS DATE) AS report_date FROM purchases
+  WHERE CAST(event_timestamp AS DATE) <= DATE '2024-01-31' AND user_id NOT IN {EXCLUDED}"""),
+    "r_active": (["range_days"], f"""
+  SELECT report_date, count(DISTINCT user_id) AS daily_active_users
+  FROM range_days LEFT JOIN (SELECT * FROM logins WHERE user_id NOT IN {EXCLUDED}) l
+    ON CAST(event_timestamp AS DATE) = report_date GROUP BY report_date"""),
+    "r_summary": (["range_days", "range_purchases"], f"""
+  SELECT d.report_date, count(DISTINCT user_id) AS total_payers, count(event_id) AS total_transactions,
+         {_money("sum(amount_usd)")} AS total_revenue_usd,
+         {_mean("sum(CAST(amount_usd * 100 AS BIGINT))", "count(amount_usd)")} AS avg_transaction_usd,
+         count(coupon_code) AS transactions_with_coupon
+  FROM range_days d LEFT JOIN range_purchases p ON p.report_date = d.report_date GROUP BY d.report_date"""),
+    "r_cohort": (["range_days", "range_purchases"], f"""
+  SELECT report_date, user_id, CASE WHEN last_prior IS NULL THEN 'new' ELSE 'return' END AS payer_type,
+         lifetime_purchases, lifetime_value_usd, today_revenue_usd,
+         last_prior AS last_prior_purchase_date, CAST(report_date - last_prior AS BIGINT) AS days_since_last_purchase
+  FROM (SELECT d.report_date, p.user_id,
+               max(CASE WHEN p.report_date < d.report_date THEN p.report_date END) AS last_prior,
+               count(*) AS lifetime_purchases, {_money("sum(amount_usd)")} AS lifetime_value_usd,
+               {_money("sum(CASE WHEN p.report_date = d.report_date THEN amount_usd ELSE 0 END)")} AS today_revenue_usd
+        FROM range_days d JOIN range_purchases p ON p.report_date <= d.report_date
+        GROUP BY d.report_date, p.user_id HAVING count(*) FILTER (p.report_date = d.report_date) > 0)"""),
+    "r_boxes": (["range_purchases"], f"""
+  SELECT b.*, CAST(b.event_timestamp AS DATE) AS report_date FROM box_events b
+  WHERE (CAST(b.event_timestamp AS DATE), user_id) IN
+        (SELECT report_date, user_id FROM range_purchases WHERE report_date >= DATE '2024-01-02')"""),
     "vendor_costs": ([], f"""
   SELECT user_id, {_money("sum(vendor_price + vendor_fee)")} AS total_vendor_cost
   FROM vendor_pricing GROUP BY user_id"""),
@@ -509,6 +539,61 @@ FROM d_cohort WHERE payer_type = 'return'"""),
 SELECT row_number() OVER (ORDER BY priority DESC, rule) AS rank,
        CAST(priority AS BIGINT) AS priority, CAST(rule AS BIGINT) AS rule, label, detail
 FROM d_candidates QUALIFY rank <= 3"""),
+    "payer_cohort_from_state": (["d_cohort"], "SELECT * FROM d_cohort"),
+    "daily_active_users_range": (["r_active"], "SELECT * FROM r_active"),
+    "purchase_summary_range": (["r_summary"], "SELECT * FROM r_summary"),
+    "revenue_by_product_range": (["range_purchases"], f"""
+SELECT report_date, product_slug,
+       list_aggregate(list_transform(
+         regexp_extract_all(replace(replace(product_slug, '-shop-item', ''), '-', ' '), '[A-Za-z]+|[^A-Za-z]+'),
+         lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', '') AS product_label,
+       count(DISTINCT user_id) AS payers, count(*) AS transactions, {_money("sum(amount_usd)")} AS revenue_usd,
+       {_mean("sum(CAST(amount_usd * 100 AS BIGINT))", "count(amount_usd)")} AS avg_usd
+FROM range_purchases WHERE report_date >= DATE '2024-01-02' GROUP BY report_date, product_slug"""),
+    "payer_cohort_range": (["r_cohort"], "SELECT * FROM r_cohort"),
+    "cohort_kpis_range": (["r_active", "r_summary", "r_cohort"], f"""
+SELECT report_date, dau, total_payers, total_transactions, total_revenue_usd, avg_transaction_usd,
+       transactions_with_coupon, new_count, ret_count, pct_new, 100 - pct_new AS pct_ret, new_rev, ret_rev,
+       CASE WHEN new_count = 0 THEN 0 ELSE new_rev / new_count END AS new_avg,
+       CASE WHEN ret_count = 0 THEN 0 ELSE ret_rev / ret_count END AS ret_avg,
+       {_pct("new_rev", "total_revenue_usd")} AS new_rev_pct, {_pct("ret_rev", "total_revenue_usd")} AS ret_rev_pct,
+       CASE WHEN total_payers = 0 THEN 0 ELSE total_revenue_usd / total_payers END AS arppu
+FROM (SELECT a.report_date, daily_active_users AS dau, total_payers, total_transactions,
+             coalesce(total_revenue_usd, 0) AS total_revenue_usd,
+             coalesce(avg_transaction_usd, 0) AS avg_transaction_usd, transactions_with_coupon,
+             coalesce(new_count, 0) AS new_count, coalesce(ret_count, 0) AS ret_count,
+             coalesce(new_rev, 0) AS new_rev, coalesce(ret_rev, 0) AS ret_rev,
+             {_pct("coalesce(new_count, 0)", "total_payers")} AS pct_new
+      FROM r_active a JOIN r_summary s ON s.report_date = a.report_date
+      LEFT JOIN (SELECT report_date, CAST(count(*) FILTER (payer_type = 'new') AS BIGINT) AS new_count,
+                        CAST(count(*) FILTER (payer_type = 'return') AS BIGINT) AS ret_count,
+                        CAST(sum(CAST(today_revenue_usd AS DECIMAL(18,2))) FILTER (payer_type = 'new') AS DOUBLE) AS new_rev,
+                        CAST(sum(CAST(today_revenue_usd AS DECIMAL(18,2))) FILTER (payer_type = 'return') AS DOUBLE) AS ret_rev
+                 FROM r_cohort GROUP BY report_date) c ON c.report_date = a.report_date)"""),
+    "top_boxes_range": (["r_boxes"], f"""
+SELECT * FROM (
+  SELECT report_date, box_display_name, box_volatility, CAST(sum(boxes_opened_count) AS BIGINT) AS total_opens,
+         count(DISTINCT user_id) AS unique_openers,
+         {_mean(f"sum({_BOX_PRICE})", f"count({_BOX_PRICE})", 12)} AS box_price_coins
+  FROM r_boxes GROUP BY report_date, box_display_name, box_volatility)
+QUALIFY row_number() OVER (PARTITION BY report_date
+  ORDER BY total_opens DESC NULLS LAST, box_display_name, box_volatility) <= 10"""),
+    "top_openers_range": (["r_boxes"], """
+SELECT * FROM (
+  SELECT report_date, user_id, CAST(sum(boxes_opened_count) AS BIGINT) AS total_boxes_opened,
+         count(DISTINCT box_display_name) AS distinct_boxes,
+         CAST(round(sum(total_coins_spent), 0) AS DOUBLE) AS total_coins_spent
+  FROM r_boxes GROUP BY report_date, user_id)
+QUALIFY row_number() OVER (PARTITION BY report_date ORDER BY total_boxes_opened DESC NULLS LAST, user_id) <= 5"""),
+    "weekly_active_users": ([], """
+SELECT CAST(date_trunc('week', event_timestamp) AS DATE) AS week, count(DISTINCT user_id) AS active_users
+FROM logins GROUP BY ALL"""),
+    "monthly_payers": ([], """
+SELECT CAST(date_trunc('month', event_timestamp) AS DATE) AS month, product_slug, count(DISTINCT user_id) AS payers,
+       false AS all_products
+FROM purchases GROUP BY ALL
+UNION ALL
+SELECT CAST(date_trunc('month', event_timestamp) AS DATE), NULL, count(DISTINCT user_id), true FROM purchases GROUP BY ALL"""),
     "vendor_cost_by_user": (["vendor_costs"], "SELECT * FROM vendor_costs"),
     "tier_crossings": (["priced_early"], "SELECT * FROM priced_early"),
     "tier_crossings_month_end": (["vendor_costs", "crossed_late"], _priced("crossed_late")),

@@ -41,31 +41,45 @@ def payer_box_activity(
     partition_date: str | None = None,
 ) -> DataFrame:
     """Opens, coins and price parts per payer, box and volatility: one row each."""
+    events = without_users(on_day(box_events, report_date, partition_date), excluded)
+    return payer_boxes(events, payers_of_day(purchases, report_date, excluded, partition_date))
+
+
+def payer_boxes(events: DataFrame, payers: DataFrame, *keys: str) -> DataFrame:
+    """The rollup of the payers' rows, per ``keys`` as well."""
     units = F.col("total_coins_spent").cast("decimal(18,2)") * F.lit(Decimal(10**PRICE_SCALE))
     price = F.round(units / F.nullif("boxes_opened_count", F.lit(0)), 0).cast("decimal(38,0)")
-    per_user = (
-        without_users(on_day(box_events, report_date, partition_date), excluded)
-        .groupBy("user_id", "box_display_name", "box_volatility")
-        .agg(
-            F.sum("boxes_opened_count").alias("opens"),
-            F.sum("total_coins_spent").alias("coins"),
-            F.sum(price).alias("price_sum"),
-            F.count(price).alias("price_rows"),
-        )
+    per_user = events.groupBy(*keys, "user_id", "box_display_name", "box_volatility").agg(
+        F.sum("boxes_opened_count").alias("opens"),
+        F.sum("total_coins_spent").alias("coins"),
+        F.sum(price).alias("price_sum"),
+        F.count(price).alias("price_rows"),
+    )
+    return per_user.join(payers, [*keys, "user_id"], "left_semi")
+
+
+def prices_by(activity: DataFrame, *keys: str) -> DataFrame:
+    """Opens, openers and price per box, and per ``keys``; the price is the plain mean of coins per opened box."""
+    return activity.groupBy(*keys, "box_display_name", "box_volatility").agg(
+        F.sum("opens").alias("total_opens"),
+        F.count("*").alias("unique_openers"),
+        mean2(F.sum("price_sum"), F.sum("price_rows"), PRICE_SCALE).alias("box_price_coins"),
+    )
+
+
+def openers_by(activity: DataFrame, *keys: str) -> DataFrame:
+    """Opens, boxes and coins per payer, and per ``keys``."""
+    return activity.groupBy(*keys, "user_id").agg(
+        F.sum("opens").alias("total_boxes_opened"),
+        F.count_distinct("box_display_name").alias("distinct_boxes"),
+        F.round(F.sum("coins"), 0).cast("double").alias("total_coins_spent"),
     )
-    payers = payers_of_day(purchases, report_date, excluded, partition_date)
-    return per_user.join(payers, "user_id", "left_semi")
 
 
 def top_boxes_of(activity: DataFrame, n: int = params.TOP_BOXES) -> DataFrame:
-    """Most opened boxes of a rollup; the price is the plain mean of coins per opened box."""
+    """Most opened boxes of a rollup."""
     return (
-        activity.groupBy("box_display_name", "box_volatility")
-        .agg(
-            F.sum("opens").alias("total_opens"),
-            F.count("*").alias("unique_openers"),
-            mean2(F.sum("price_sum"), F.sum("price_rows"), PRICE_SCALE).alias("box_price_coins"),
-        )
+        prices_by(activity)
         .orderBy(F.desc("total_opens"), "box_display_name", "box_volatility")
         .limit(n)
     )
@@ -73,16 +87,7 @@ def top_boxes_of(activity: DataFrame, n: int = params.TOP_BOXES) -> DataFrame:
 
 def top_openers_of(activity: DataFrame, n: int = params.TOP_OPENERS) -> DataFrame:
     """Payers of a rollup who opened most."""
-    return (
-        activity.groupBy("user_id")
-        .agg(
-            F.sum("opens").alias("total_boxes_opened"),
-            F.count_distinct("box_display_name").alias("distinct_boxes"),
-            F.round(F.sum("coins"), 0).cast("double").alias("total_coins_spent"),
-        )
-        .orderBy(F.desc("total_boxes_opened"), "user_id")
-        .limit(n)
-    )
+    return openers_by(activity).orderBy(F.desc("total_boxes_opened"), "user_id").limit(n)
 
 
 def top_box_opener_rows(activity: DataFrame) -> DataFrame:

@@ -59,6 +59,17 @@ def up_to_day(rows: DataFrame, day: dt.date | str, partition_date: str | None =
     return before(rows, _midnight(day) + dt.timedelta(days=1), partition_date)
 
 
+def in_days(
+    rows: DataFrame, first_day: dt.date | str, last_day: dt.date | str, partition_date: str | None = None
+) -> DataFrame:
+    """Rows of the UTC days from the first to the last."""
+    if partition_date:
+        rows = rows.filter(F.col(partition_date).between(date_literal(first_day), date_literal(last_day)))
+    return within(
+        rows, "event_timestamp", since=_midnight(first_day), below=_midnight(last_day) + dt.timedelta(days=1)
+    )
+
+
 def payers_of_day(
     purchases: DataFrame, day: dt.date | str, excluded: Excluded, partition_date: str | None = None
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom import params
@@ -185,19 +185,28 @@ def returning_payers(cohort: DataFrame) -> DataFrame:
     )
 
 
-def cohort_kpis(active: DataFrame, summary: DataFrame, cohort: DataFrame) -> DataFrame:
-    """KPIs of the day in one row; every zero denominator and missing sum gives 0."""
+def new_and_returning() -> list[Column]:
+    """Payers and revenue of the two halves of a cohort, as aggregates."""
     is_new = F.col("payer_type") == "new"
     # Two-digit doubles go back to decimals: the sum must not depend on the order of the rows.
     today = F.col("today_revenue_usd").cast("decimal(18,2)")
-    split = cohort.agg(
+    return [
         F.count_if(is_new).alias("new_count"),
         F.count_if(~is_new).alias("ret_count"),
         F.sum(F.when(is_new, today)).cast("double").alias("new_rev"),
         F.sum(F.when(~is_new, today)).cast("double").alias("ret_rev"),
-    )
-    row = side_by_side(active, summary, split)
+    ]
+
+
+def cohort_kpis(active: DataFrame, summary: DataFrame, cohort: DataFrame) -> DataFrame:
+    """KPIs of the day in one row; every zero denominator and missing sum gives 0."""
+    return kpi_columns(side_by_side(active, summary, cohort.agg(*new_and_returning())))
+
+
+def kpi_columns(row: DataFrame, *keys: str) -> DataFrame:
+    """The KPIs of rows that hold active users, totals and both halves of the cohort."""
     row = row.select(
+        *keys,
         F.col("daily_active_users").alias("dau"),
         "total_payers",
         "total_transactions",

@@ -11,6 +11,8 @@ from tallyroom.functions import utc_literal
 
 # Parameters of the test runs.
 REPORT_DATE = "2024-01-04"
+RANGE_START, RANGE_END = "2024-01-02", "2024-01-31"
+ARRIVAL_DAYS = ("2024-01-01", "2024-01-02", "2024-01-03", REPORT_DATE)
 CROSSINGS_AS_OF = "2024-01-05 00:00:00"
 ROSTER_AS_OF = "2024-01-31 00:00:00"
 EXCLUDED = tuple(str(user) for user in (3, 7, 11, 19, 23, 29, 31, 37, 41, 43, 47, 53, 59))
@@ -57,6 +59,14 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def purchase_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases with the day they arrive on: every seventh two days late, all by the report day."""
+    late = "date_add(to_date(event_timestamp), if(event_id % 7 = 0, 2, 0))"
+    day = f"DATE '{REPORT_DATE}'"
+    arrival = f"if(to_date(event_timestamp) <= {day}, least({late}, {day}), to_date(event_timestamp)) AS arrival_date"
+    return purchases(spark, sf_dir).selectExpr("*", arrival)
+
+
 def box_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _table(spark, sf_dir, "events")
