@@ -23,6 +23,8 @@ from tallyroom.plans.daily_report import narrowed_cohort
 from tallyroom.plans.roster_job import roster_inputs, scored_roster
 from tallyroom.plans.stages import scratch_folder, staged
 from tallyroom.sources import testdata as td
+from tallyroom.sources.buckets import hot_keys, read_buckets, write_buckets
+from tallyroom.sources.cells import changed_cells
 
 try:
     import corpus_pipeline
@@ -266,6 +268,27 @@ def _sheet_conflicts(spark: SparkSession, sf: str) -> DataFrame:
     return roster.sheet_conflicts(_sheet_merge(spark, sf))
 
 
+def _last_notes(spark: SparkSession, sf: str) -> DataFrame:
+    """The last notes of every user over three versions, from what each changed."""
+    versions = [td.roster_prev(spark, sf), td.roster_now(spark, sf), td.roster_sheet(spark, sf)]
+    logs = [
+        changed_cells(version, before).withColumn("sequence", F.lit(number).cast("bigint"))
+        for number, (version, before) in enumerate(zip(versions, [None, *versions], strict=False), 1)
+    ]
+    return roster.last_notes(logs[0].unionByName(logs[1]).unionByName(logs[2]))
+
+
+def _procurement_cost_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The cost per user from order and pricing tables stored in buckets of the order id."""
+    name, folder = f"t{uuid.uuid4().hex}", f"{scratch_folder(spark)}/buckets-{uuid.uuid4().hex}"
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
+    write_buckets(td.orders_created(spark, sf), f"{name}_orders", f"{folder}/orders", "order_id", buckets)
+    write_buckets(td.vendor_pricing(spark, sf), f"{name}_pricing", f"{folder}/pricing", "order_id", buckets)
+    orders, pricing = read_buckets(spark, f"{name}_orders"), read_buckets(spark, f"{name}_pricing")
+    hot = hot_keys(orders, "order_id", buckets)
+    return roster.stored_procurement_cost(orders, pricing, hot, td.PRICING_TIE_BREAK)
+
+
 def _heat_scores(spark: SparkSession, sf: str) -> DataFrame:
     vips, costs = _roster_inputs(spark, sf)
     return scored_roster(vips, costs, td.roster_prev(spark, sf), td.ROSTER_AS_OF[:10])
@@ -369,6 +392,8 @@ def base_queries() -> dict[str, Query]:
         "procurement_cost_by_user": _procurement_cost_by_user,
         "vip_roster": _vip_roster,
         "merge_roster": _merge_roster,
+        "last_notes": _last_notes,
+        "procurement_cost_stored": _procurement_cost_stored,
         "merge_sheet": _merge_sheet,
         "sheet_conflicts": _sheet_conflicts,
         "heat_scores": _heat_scores,

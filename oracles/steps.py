@@ -617,6 +617,11 @@ SELECT order_id, vendor_price, vendor_fee FROM latest_pricing"""),
     "merge_sheet": (["sheet_merge"], "SELECT user_id, "
         + ", ".join(f"max(taken) FILTER (field = '{name}') AS {name}" for name in _CELLS)
         + ", count(*) FILTER (clash) AS n_conflicts FROM sheet_merge GROUP BY user_id"),
+    "last_notes": (["base_cells", "sheet_cells", "now_cells"], "SELECT user_id, "
+        + ", ".join(f"coalesce(arg_max(v, version) FILTER (field = '{name}' AND v <> ''), '') AS {name}" for name in _CELLS)
+        + " FROM (SELECT *, 1 AS version FROM base_cells UNION ALL SELECT *, 2 FROM now_cells "
+        "UNION ALL SELECT *, 3 FROM sheet_cells) GROUP BY user_id"),
+    "procurement_cost_stored": (["procurement"], "SELECT * FROM procurement"),
     "sheet_conflicts": (["sheet_merge"], """
 SELECT user_id, field, base, sheet, current, taken FROM sheet_merge WHERE clash"""),
     "heat_scores": (["scored"], "SELECT * FROM scored"),

@@ -3,11 +3,12 @@
     daily      --tables T --out O --date 2024-01-04 [--excluded id,id | --excluded-table NAME]
     crossings  --tables T --out O --as-of "2024-01-05 00:00:00"
     roster     --tables T --store S --date 2024-01-31 [--sheet in.csv] [--export-sheet out.csv]
-               [--prefer sheet|current]
+               [--prefer sheet|current] [--recall]
 
 ``T`` is a folder with one table per name, or a catalog schema with ``--format table``.
 An exported sheet names its version, and importing it merges its edits with what was stored since;
 ``--prefer`` says whose value a cell takes that both sides changed (they are listed in ``conflicts``).
+``--recall`` gives users who come back the notes they had.
 ``--partition-date COLUMN`` (daily, crossings) names the column of the UTC day by which the event
 tables are laid out. Each result is written as Parquet under ``O/<day>/<name>``; intermediate
 tables go to ``spark.checkpoint.dir`` and are deleted at the end.
@@ -59,7 +60,7 @@ def _roster(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.sheet:
         sheet = read_sheet_csv(spark, args.sheet)
         edited = {"roster_prev": sheet, "sheet_order": SHEET_ORDER, "sheet_base": sheet_base(sheet), "prefer": args.prefer}
-    refresh = refresh_roster(**tables, store=args.store, today=args.date, **edited)
+    refresh = refresh_roster(**tables, store=args.store, today=args.date, recall=args.recall, **edited)
     results = refresh.results()
     del results["roster"]  # already published
     _write(results, f"{args.store}/summaries/{refresh.version}")
@@ -84,6 +85,7 @@ def main(argv: list[str] | None = None) -> None:
     roster.add_argument("--store", required=True)
     roster.add_argument("--sheet")
     roster.add_argument("--export-sheet")
+    roster.add_argument("--recall", action="store_true")
     roster.add_argument("--prefer", choices=("sheet", "current"), default="sheet")
     roster.set_defaults(run=_roster)
     for job in (daily, crossings, roster):

@@ -13,17 +13,10 @@ from pyspark.sql import functions as F
 from tallyroom import params
 from tallyroom.functions import cents, date_literal, mean2, py_round1, stripped, utc_wall
 from tallyroom.operators.common import big
-from tallyroom.sources.schemas import (
-    IDENTITY_COLUMNS,
-    MANAGER_COLUMNS,
-    NOTE_COLUMNS,
-    ROSTER_COLUMNS,
-)
+from tallyroom.sources.cells import KEPT_COLUMNS, cell, last_rows, row_order
+from tallyroom.sources.schemas import NOTE_COLUMNS, ROSTER_COLUMNS
 
 
-KEPT_COLUMNS = (*IDENTITY_COLUMNS, *MANAGER_COLUMNS)
-# A cell of a sheet that reads as the number 0.
-ZERO = r"^\s*[+-]?(0+\.?0*|\.0+)\s*$"
 
 
 def latest_vendor_pricing(vendor_pricing: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
@@ -42,6 +35,34 @@ def latest_vendor_pricing(vendor_pricing: DataFrame, tie_break: Sequence[str] =
     )
 
 
+def stored_procurement_cost(
+    orders_created: DataFrame, vendor_pricing: DataFrame, hot_orders: list, tie_break: Sequence[str] = ()
+) -> DataFrame:
+    """``procurement_cost_by_user`` over tables stored in buckets of the order id (``sources.buckets``).
+
+    Newest price, events per order and user, and their join all find the rows of an order in one
+    bucket: nothing is shuffled until costs are summed per user. ``hot_orders`` are the few orders
+    with more rows than an average bucket; their events, which ``orders_created`` should give from a
+    reading that splits files, meet their prices in a broadcast.
+    """
+    cost = F.coalesce("vendor_price", F.lit(0)) + F.coalesce("vendor_fee", F.lit(0))
+    hot = F.coalesce(F.col("order_id").isin(*hot_orders), F.lit(False)) if hot_orders else F.lit(False)
+    latest = latest_vendor_pricing(vendor_pricing.filter(F.col("order_id").isNotNull()), tie_break)
+    events = F.count("*").cast("decimal(18,0)").alias("events")
+    per_order = orders_created.filter(F.col("order_id").isNotNull() & ~hot).groupBy("order_id", "user_id").agg(events)
+    parts = [per_order.join(latest.filter(~hot), "order_id", "left")]
+    if hot_orders:
+        of_hot = orders_created.filter(hot).groupBy("order_id", "user_id").agg(events)
+        parts.append(of_hot.join(F.broadcast(latest.filter(hot)), "order_id", "left"))
+    rows = [part.select("user_id", (cost * F.col("events")).alias("cost")) for part in parts]
+    rows.append(orders_created.filter(F.col("order_id").isNull()).select("user_id", F.lit(0).alias("cost")))
+    return (
+        reduce(DataFrame.unionByName, rows)
+        .groupBy("user_id")
+        .agg(F.sum("cost").cast("double").alias("total_procurement_cost"))
+    )
+
+
 def procurement_cost_by_user(
     orders_created: DataFrame, latest_pricing: DataFrame, users: DataFrame | None = None
 ) -> DataFrame:
@@ -154,7 +175,7 @@ def merge_roster(
     is_new = F.col("known").isNull()
 
     def carried(name: str) -> Column:
-        value = _cell(name)
+        value = cell(name)
         if name == "relationship_stage":
             value = F.when(is_new, params.NEW_STAGE).otherwise(value)
         return value.alias(name)
@@ -164,23 +185,6 @@ def merge_roster(
     )
 
 
-def _cell(name: str) -> Column:
-    """A kept cell as the roster holds it: blank for nothing, and for nothing but a zero."""
-    value = F.coalesce(name, F.lit(""))
-    return F.when(value.rlike(ZERO), "").otherwise(value).alias(name)
-
-
-def _last_rows(rows: DataFrame, order: Sequence[str], side: str) -> DataFrame:
-    """The kept cells of each user's last row as one struct."""
-    cells = F.struct(*map(_cell, KEPT_COLUMNS))
-    return (
-        rows.filter(F.col("user_id") != "")
-        .select("user_id", cells.alias("cells"), F.struct(*order).alias("place"))
-        .groupBy("user_id")
-        .agg(F.max_by("cells", "place").alias(side))
-    )
-
-
 def merge_sheet(
     base: DataFrame,
     sheet: DataFrame,
@@ -204,10 +208,9 @@ def merge_sheet(
     if prefer not in ("sheet", "current"):
         raise ValueError(f"prefer must be sheet or current, not {prefer}")
     sides = {"base": base, "current": current}
-    rows = _last_rows(sheet, sheet_order, "sheet")
+    rows = last_rows(sheet, sheet_order, "sheet")
     for name, side in sides.items():
-        order = ["sheet_row"] if "sheet_row" in side.columns else ["user_id"]
-        rows = rows.join(_last_rows(side, order, name), "user_id", "full")
+        rows = rows.join(last_rows(side, row_order(side), name), "user_id", "full")
 
     def value(side: str, name: str) -> Column:
         before = F.coalesce(f"base.{name}", F.lit(""))
@@ -243,6 +246,29 @@ def sheet_conflicts(merged_sheet: DataFrame) -> DataFrame:
     return merged_sheet.select("user_id", F.inline("conflicts"))
 
 
+def last_notes(log: DataFrame) -> DataFrame:
+    """``user_id`` and the kept columns from a log ``user_id, field, value, sequence``.
+
+    Each cell is the last value that was not blank, over all versions: what a user who has left the
+    roster had when leaving, or before it was cleared. Rows are combined per user before they travel.
+    """
+    cells = [
+        F.coalesce(F.max_by(F.when(F.col("field") == name, F.col("value")), F.when(F.col("field") == name, F.col("sequence"))), F.lit("")).alias(name)
+        for name in KEPT_COLUMNS
+    ]
+    return log.groupBy("user_id").agg(*cells)
+
+
+def with_returning(roster_prev: DataFrame, notes: DataFrame, sheet_order: Sequence[str] = ("sheet_row",)) -> DataFrame:
+    """The previous roster and the ``last_notes`` of users who are not on it.
+
+    Merged with it, users who come back find their notes instead of starting at the "new" stage.
+    """
+    known = roster_prev.filter(F.col("user_id") != "").select("user_id")
+    away = notes.join(known, "user_id", "left_anti")
+    return roster_prev.select("user_id", *KEPT_COLUMNS, *sheet_order).unionByName(away, allowMissingColumns=True)
+
+
 def heat_scores(merged: DataFrame, today: dt.date | str) -> DataFrame:
     """Recency, context and heat score of every roster row, coldest first."""
     per_day = F.col("days_since_last_session").cast("double") / F.lit(float(params.RECENCY_DAYS))

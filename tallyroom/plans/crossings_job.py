@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from tallyroom import params
 from tallyroom.operators import crossings
-from tallyroom.plans.stages import fits_broadcast, kept, staged, staged_together
+from tallyroom.plans.stages import fits_broadcast, kept, sieve, staged, staged_together
 
 
 @dataclass(frozen=True)
@@ -37,11 +37,14 @@ def crossing_users(
     """The crossing users, staged, and the tables narrowed to them.
 
     They are few on a usual day, so the pricing and the purchase history are cut at the scan; when
-    their counted number is too large for that, both are aggregated in full and joined by shuffle.
+    their counted number is too large for that, a filter of bounded size cuts most, and what is left
+    is aggregated and joined by shuffle.
     """
     crossed = staged(crossings.newly_crossed(user_crm, internal_users, as_of, tiers))
-    few = fits_broadcast(crossed)
-    return crossed, [kept(table, crossed) if few else table for table in tables]
+    if fits_broadcast(crossed):
+        return crossed, [kept(table, crossed) for table in tables]
+    cut = sieve(crossed)
+    return crossed, [cut(table) for table in tables]
 
 
 def crossings_report(

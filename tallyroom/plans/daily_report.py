@@ -12,7 +12,7 @@ from tallyroom import params
 from tallyroom.operators import boxes, daily
 from tallyroom.operators.common import Excluded, on_day, payers_of_day, without_users
 from tallyroom.operators.observations import observations
-from tallyroom.plans.stages import fits_broadcast, kept, staged, staged_together
+from tallyroom.plans.stages import fits_broadcast, kept, sieve, staged, staged_together
 
 
 @dataclass(frozen=True)
@@ -43,7 +43,7 @@ def _cohort(
     partition_date: str | None,
 ) -> DataFrame:
     """The cohort over the history of the payers, whom the exclusion has already passed."""
-    history, excluded = (kept(purchases, payers), ()) if few else (purchases, excluded)
+    history, excluded = (kept(purchases, payers), ()) if few else (sieve(payers)(purchases), excluded)
     return daily.cohort_rows(history, report_date, excluded, partition_date)
 
 
@@ -53,7 +53,7 @@ def narrowed_cohort(
     excluded: Excluded = (),
     partition_date: str | None = None,
 ) -> DataFrame:
-    """``daily.cohort_rows`` over the history of the day's payers alone, when they are few."""
+    """``daily.cohort_rows`` over the history of the day's payers, and few others when they are many."""
     payers = staged(payers_of_day(purchases, report_date, excluded, partition_date))
     few = fits_broadcast(payers)
     return _cohort(purchases, payers, few, report_date, excluded, partition_date)
@@ -76,7 +76,7 @@ def daily_report(
     Logins and box events are read once, purchases twice: the day and the history. The day's
     purchases, the box rollup and the payer cohort are staged, since several outputs
     read them; the history behind the cohort and the box events are narrowed to the day's payers
-    when their counted number allows it, and aggregated in full otherwise. The excluded users are
+    when their counted number allows it, and by a filter of bounded size otherwise. The excluded users are
     gone once the day's purchases are staged, so what is derived from those need not look again.
     """
     first = staged_together(
@@ -86,7 +86,7 @@ def daily_report(
     day, active = first["day"], first["active"]
     payers = day.select("user_id").distinct()
     few = fits_broadcast(payers)
-    opened = on_day(kept(box_events, payers) if few else box_events, report_date, partition_date)
+    opened = on_day(kept(box_events, payers) if few else sieve(payers)(box_events), report_date, partition_date)
     second = staged_together(
         summary=daily.purchase_summary(day, report_date),
         products=daily.revenue_by_product(day, report_date),

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame
 
 from tallyroom import params
 from tallyroom.operators import roster as ops
-from tallyroom.plans.stages import fits_broadcast, kept, staged
+from tallyroom.plans.stages import fits_broadcast, kept, narrowed, sieve, staged
 from tallyroom.sources.roster_store import (
     EmptyRosterError,
     RosterConflictError,
     current_roster,
+    note_log,
     publish_roster,
     read_roster,
 )
@@ -49,9 +50,10 @@ def roster_inputs(
 ) -> tuple[DataFrame, DataFrame]:
     """The VIP users, staged, and the procurement costs of their orders.
 
-    While the VIP users, and then their orders, are few enough to broadcast, the order and pricing
-    tables are narrowed to them at the scan. Beyond that the order events are combined per order
-    and user, cut to the VIP users by a shuffle, and only then meet the prices.
+    While the VIP users are few enough to broadcast, the order table is narrowed to them at the
+    scan, and the pricing table to their orders, by the orders themselves or a filter of bounded size.
+    Beyond that such a filter of the users cuts the order events at the scan; the rest are combined
+    per order and user, cut to the VIP users by a shuffle, and only then meet the prices.
     """
     vips = staged(ops.vip_users(user_crm, internal_users, tiers))
     users = vips
@@ -59,8 +61,9 @@ def roster_inputs(
         users = None
         orders_created = staged(kept(orders_created.select("order_id", "user_id"), vips))
         order_ids = orders_created.select("order_id").distinct()
-        if fits_broadcast(order_ids, "order_id"):
-            vendor_pricing = kept(vendor_pricing, order_ids, "order_id")
+        vendor_pricing = narrowed(vendor_pricing, staged(order_ids), "order_id")
+    else:
+        orders_created = sieve(vips)(orders_created.select("order_id", "user_id"))
     latest = ops.latest_vendor_pricing(vendor_pricing, tie_break)
     return vips, ops.procurement_cost_by_user(orders_created, latest, users)
 
@@ -93,6 +96,7 @@ def refresh_roster(
     sheet_base: str | None = None,
     prefer: str = "sheet",
     attempts: int = 3,
+    recall: bool = False,
 ) -> RosterRefresh:
     """Publish a refreshed roster in ``store`` and summarise what was stored.
 
@@ -101,6 +105,9 @@ def refresh_roster(
     with what has been stored since (``operators.roster.merge_sheet``), and ``conflicts`` lists the
     cells changed on both sides.
 
+    With ``recall`` users who are back on the roster after some versions without them get the last
+    notes they had (``operators.roster.last_notes``); otherwise they start at the "new" stage.
+
     If another refresh publishes in the meantime, the merge is done again on its roster, up to
     ``attempts`` times in all; the figures are staged and not computed again. A sheet without a base
     cannot be merged twice: it replaces what was read before it, and ``RosterConflictError`` is raised.
@@ -126,6 +133,8 @@ def refresh_roster(
             edited = staged(ops.merge_sheet(known[0], roster_prev, known[1], sheet_order, prefer))
             previous, order = edited, ("user_id",)
             conflicts = ops.sheet_conflicts(edited)
+        if recall:
+            previous = ops.with_returning(previous, ops.last_notes(note_log(spark, store)), order)
         scored = ops.heat_scores(ops.merge_roster(fresh, previous, order), today)
         try:
             version = publish_roster(scored, store, today, base=start.sequence)

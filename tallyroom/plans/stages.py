@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
@@ -12,6 +12,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyroom.operators import sift
+
 # A key set is broadcast only when it was counted and stays within both bounds.
 MAX_BROADCAST_KEYS = 500_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
@@ -90,20 +92,26 @@ def staged_together(**frames: DataFrame) -> dict[str, DataFrame]:
         return dict(zip(frames, [one.result() for one in started], strict=True))
 
 
-def fits_broadcast(
-    keys: DataFrame,
-    on: str = "user_id",
-    max_keys: int = MAX_BROADCAST_KEYS,
-    max_bytes: int = MAX_BROADCAST_BYTES,
-) -> bool:
-    """Measure a key set taken from a staged table and hold it against the limits.
+def measured(keys: DataFrame, on: str = "user_id") -> tuple[int, int]:
+    """Rows and bytes of a key column taken from a staged table.
 
     One column is read and every task returns one row; a ``limit`` would instead gather that
     many rows of each partition in a single task.
     """
     key = F.col(on).cast("string")
     size = keys.agg(F.count("*").alias("n"), F.sum(F.octet_length(key)).alias("bytes")).first()
-    return size["n"] <= max_keys and (size["bytes"] or 0) <= max_bytes
+    return size["n"], size["bytes"] or 0
+
+
+def fits_broadcast(
+    keys: DataFrame,
+    on: str = "user_id",
+    max_keys: int = MAX_BROADCAST_KEYS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> bool:
+    """Measure a key set taken from a staged table and hold it against the limits."""
+    n, size = measured(keys, on)
+    return n <= max_keys and size <= max_bytes
 
 
 def kept(rows: DataFrame, keys: DataFrame, on: str = "user_id") -> DataFrame:
@@ -111,11 +119,22 @@ def kept(rows: DataFrame, keys: DataFrame, on: str = "user_id") -> DataFrame:
     return rows.join(F.broadcast(keys.select(on)), on, "left_semi")
 
 
-def narrowed(rows: DataFrame, keys: DataFrame, on: str = "user_id", **limits: int) -> DataFrame:
-    """Drop rows of other keys at the scan when ``keys`` is small enough to broadcast.
+def sieve(keys: DataFrame, on: str = "user_id", max_keys: int = sift.MAX_KEYS) -> Callable[[DataFrame], DataFrame]:
+    """Drops most rows of other keys at the scan, for key sets that ``fits_broadcast`` has turned down.
+
+    What is broadcast is a filter of bounded size (``operators.sift``), staged once for all tables
+    that go through the sieve; beyond ``max_keys`` keys rows pass unchanged. Some rows of other keys
+    slip through: callers join or filter by the key afterwards, so only the road differs.
+    """
+    if measured(keys, on)[0] > max_keys:
+        return lambda rows: rows
+    words = staged(sift.key_words(keys, on))
+    return lambda rows: sift.sifted(rows, words, on)
+
 
-    Otherwise the rows come back unchanged: callers join or filter by the key afterwards anyway,
-    behind their own aggregation, so the result is the same and only the road differs. ``keys``
-    should come from a staged table: it is counted here and read again by the join.
+def narrowed(rows: DataFrame, keys: DataFrame, on: str = "user_id") -> DataFrame:
+    """Drop rows of other keys at the scan: all of them when ``keys`` is small enough to broadcast,
+    else those that a ``sieve`` holds back. ``keys`` should come from a staged table: it is counted
+    here and read again by the join.
     """
-    return kept(rows, keys, on) if fits_broadcast(keys, on, **limits) else rows
+    return kept(rows, keys, on) if fits_broadcast(keys, on) else sieve(keys, on)(rows)

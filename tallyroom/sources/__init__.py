@@ -5,6 +5,7 @@ from tallyroom.sources.roster_store import (
     MixedSheetError,
     RosterConflictError,
     current_roster,
+    note_log,
     publish_roster,
     read_roster,
     read_sheet_csv,
@@ -21,6 +22,7 @@ __all__ = [
     "SCHEMAS",
     "conform",
     "current_roster",
+    "note_log",
     "publish_roster",
     "read_roster",
     "read_sheet_csv",

@@ -19,8 +19,10 @@ from typing import NamedTuple
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyroom.functions import day_of
+from tallyroom.sources.cells import NOTE_LOG, changed_cells
 from tallyroom.sources.commits import CommitConflictError, commit, latest
 from tallyroom.sources.schemas import ROSTER_COLUMNS, ROSTER_TYPES, SCHEMAS
 
@@ -65,6 +67,10 @@ def publish_roster(
         "users": users,
         "published_at": dt.datetime.now(dt.UTC).isoformat(),
     }
+    before = current_roster(spark, path).version
+    was = None if before is None else read_roster(spark, path, before)
+    stored = spark.read.schema(SCHEMAS["roster_prev"]).parquet(target)
+    changed_cells(stored, was).write.mode("error").parquet(f"{path}/notes/version={version}")
     while True:
         number = (current_roster(spark, path).sequence if base is None else base) + 1
         try:
@@ -72,8 +78,9 @@ def publish_roster(
         except CommitConflictError:
             if base is None:
                 continue
-            folder = spark._jvm.org.apache.hadoop.fs.Path(target)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            for name in (target, f"{path}/notes/version={version}"):
+                folder = spark._jvm.org.apache.hadoop.fs.Path(name)
+                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
             raise RosterConflictError(
                 f"roster {number} was published by another refresh, this one started from {base}"
             ) from None
@@ -96,6 +103,17 @@ def current_roster(spark: SparkSession, path: str) -> Current:
     return Current(newest["version"], newest["sequence"] or 0)
 
 
+def note_log(spark: SparkSession, path: str) -> DataFrame:
+    """``user_id, field, value, sequence``: every kept cell that a published version has changed."""
+    log = StructType.fromDDL(f"{NOTE_LOG}, version string")
+    if latest(spark, f"{path}/commits") is None:
+        return spark.createDataFrame([], log).select("user_id", "field", "value", F.lit(0).cast("bigint").alias("sequence"))
+    number = F.regexp_extract("_metadata.file_name", r"(\d+)", 1).cast("bigint").alias("sequence")
+    published = spark.read.schema("version string").json(f"{path}/commits").select("version", number)
+    cells = spark.read.schema(log).parquet(f"{path}/notes")
+    return cells.join(published, "version").select("user_id", "field", "value", "sequence")
+
+
 def read_roster(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:
     """The current roster, or a given version; empty when nothing has been published yet."""
     version = version or current_roster(spark, path).version

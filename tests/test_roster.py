@@ -15,6 +15,7 @@ from tallyroom.sources import (
     RosterConflictError,
     commits,
     current_roster,
+    note_log,
     publish_roster,
     read_roster,
     read_sheet_csv,
@@ -453,3 +454,38 @@ def test_refresh_twice_changes_nothing_but_the_version(spark, tmp_path):
     with pytest.raises(EmptyRosterError):
         refresh_roster(nobody, *args[1:])
     assert read_roster(spark, store).count() == 2
+
+
+def test_users_who_come_back_get_their_notes(spark, tmp_path):
+    people, *rest = refresh_inputs(spark)
+    store = str(tmp_path / "store")
+    first = noted(spark, [("a", "old"), ("b", "keep")]).withColumn("email", F.concat("user_id", F.lit("@x")))
+    refresh_roster(people, *rest, store, TODAY, roster_prev=first)
+    refresh_roster(people, *rest, store, TODAY, roster_prev=noted(spark, [("a", "newer"), ("b", "keep")]))
+    refresh_roster(people, *rest, store, TODAY, roster_prev=noted(spark, [("a", ""), ("b", "keep")]))
+    # Only what a version changed is in the log.
+    log = sorted(tuples(note_log(spark, store)), key=repr)
+    assert [row for row in log if row[1] == "manager_notes"] == [
+        ("a", "manager_notes", "newer", 2), ("a", "manager_notes", "old", 1), ("b", "manager_notes", "keep", 1),
+    ]
+    without = people.filter("user_id <> 'a'")
+    refresh_roster(without, *rest, store, TODAY)
+    plainly = refresh_roster(people, *rest, store, TODAY)
+    assert notes(plainly)["a"] == "" and ("a", "new") in tuples(plainly.roster, "user_id", "relationship_stage")
+    refresh_roster(without, *rest, store, TODAY)
+    recalled = refresh_roster(people, *rest, store, TODAY, recall=True)
+    assert notes(recalled) == {"a": "newer", "b": "keep", "c": ""}
+    assert ("a", "a@x") in tuples(recalled.roster, "user_id", "email")
+    # Recalling changes nothing for those who are there, blank cells included.
+    again = refresh_roster(people, *rest, store, TODAY, roster_prev=noted(spark, [("a", ""), ("b", "b2")]), recall=True)
+    assert notes(again) == {"a": "", "b": "b2", "c": ""}
+    assert tuples(note_log(spark, str(tmp_path / "none"))) == []
+
+
+def test_a_version_that_lost_leaves_no_notes(spark, scored, tmp_path):
+    store = str(tmp_path / "store")
+    noted_rows = scored.withColumn("manager_notes", F.lit("won"))
+    publish_roster(noted_rows, store, TODAY, base=0)
+    with pytest.raises(RosterConflictError):
+        publish_roster(scored.withColumn("manager_notes", F.lit("lost")), store, TODAY, base=0)
+    assert {row.value for row in note_log(spark, store).filter("field = 'manager_notes'").collect()} == {"won"}
