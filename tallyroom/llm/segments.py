@@ -24,7 +24,6 @@ Extra columns are ignored.
 from __future__ import annotations
 
 import math
-import re
 import zlib
 
 import pyarrow as pa
@@ -39,59 +38,84 @@ from tallyroom.plans.stages import staged
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BUCKETS = 10_000
 HASH_RANGE = 1 << 32
-_WORD = re.compile(WORD)
+KEPT_GRAMS = 1 << 18
+# No byte of a character outside of ASCII is a blank, so words can be cut in UTF-8.
+_BLANKED = bytes(b if b > 0x7F or chr(b).isalnum() and not chr(b).isupper() else 0x20 for b in range(256))
 
 
-def bucket_of(gram: Column, buckets: int) -> Column:
-    return (F.crc32(gram.cast("binary")) % buckets).cast("int")
+def words_of(text: bytes) -> list[bytes]:
+    """The words of a lower-cased text, in UTF-8."""
+    return text.translate(_BLANKED).split()
 
 
-def line_features(line: Column, most: int, buckets: int) -> tuple[Column, Column]:
-    """The number of words of a line, and the buckets of its n-grams of 1 to ``most`` words."""
-    words = F.regexp_extract_all(line, F.lit(WORD), F.lit(0))
+def grams_of(words: list[bytes], n: int) -> list[bytes]:
+    return words if n == 1 else [b" ".join(words[i : i + n]) for i in range(len(words) - n + 1)]
+
+
+class Buckets:
+    """Deals n-grams into buckets; those seen last are kept at hand."""
+
+    def __init__(self, count: int):
+        self.count, self.known = count, {}
 
-    def grams_of(own: Column, n: int) -> Column:
-        starts = F.when(F.size(own) >= n, F.sequence(F.lit(0), F.size(own) - n)).otherwise(F.array().cast("array<int>"))
-        gram = lambda i: F.concat_ws(" ", *[F.get(own, i + place) for place in range(n)])
-        return F.transform(starts, lambda i: bucket_of(gram(i), buckets))
+    def of(self, grams: list[bytes]) -> list[int]:
+        if len(self.known) > KEPT_GRAMS:
+            self.known = {}
+        known, count = self.known, self.count
+        out = []
+        for gram in grams:
+            bucket = known.get(gram)
+            if bucket is None:
+                bucket = known[gram] = zlib.crc32(gram) % count
+            out.append(bucket)
+        return out
+
+
+def line_features(most: int, count: int):
+    """The number of words of a line, and the buckets of its n-grams of 1 to ``most`` words."""
 
-    def grams(own: Column) -> Column:
-        singles = F.transform(own, lambda word: bucket_of(word, buckets))
-        return F.concat(singles, *[grams_of(own, n) for n in range(2, most + 1)])
+    def run(lines: pa.Array) -> pa.Array:
+        buckets, sizes, found = Buckets(count), [], []
+        for line in lines.cast(pa.binary()).to_pylist():
+            words = words_of(line)
+            sizes.append(len(words))
+            found.append([b for n in range(1, most + 1) for b in buckets.of(grams_of(words, n))])
+        columns = [pa.array(sizes, pa.int32()), pa.array(found, pa.list_(pa.int32()))]
+        return pa.StructArray.from_arrays(columns, ["words", "features"])
 
-    # A lambda over the one list of words: named inside another lambda, it would be cut again for each word.
-    return F.size(words), F.get(F.transform(F.array(words), grams), 0)
+    return F.arrow_udf(run, "words int, features array<int>")
 
 
-def crossing_buckets(text: str, most: int, buckets: int) -> list[int]:
-    """Buckets of the n-grams of a lower-cased text that reach over a newline.
+def crossing_grams(text: bytes, most: int) -> list[bytes]:
+    """The n-grams of a lower-cased text that reach over a newline.
 
     Only the first and last ``most - 1`` words of a line can be in one, and a line of fewer words
     can lie inside of one; so of a longer line only its ends are looked at.
     """
     reach, out = most - 1, []
-    open_: list[tuple[str, int]] = []  # the last words so far, each with its line's number
-    for number, line in enumerate(text.split("\n")):
-        words = _WORD.findall(line)
+    last: list[tuple[bytes, int]] = []  # the words so far that can still begin one, each with its line's number
+    for number, line in enumerate(text.split(b"\n")):
+        words = words_of(line)
         for word in words[:reach]:
-            open_.append((word, number))
+            last.append((word, number))
             for n in range(2, most + 1):
-                if n <= len(open_) and open_[-n][1] != number:
-                    out.append(zlib.crc32(" ".join(w for w, _ in open_[-n:]).encode()) % buckets)
+                if n <= len(last) and last[-n][1] != number:
+                    out.append(b" ".join(w for w, _ in last[-n:]))
         if len(words) > reach:
-            open_ = [(word, number) for word in words[-reach:]]
-        open_ = open_[-most:]
+            last = [(word, number) for word in words[-reach:]]
+        last = last[-most:]
     return out
 
 
-def _crossing(most: int, buckets: int):
-    """The buckets of each text's n-grams over newlines, as a column function."""
+def crossing(most: int, count: int):
+    """The buckets of a text's n-grams over newlines, as a column function."""
 
-    @F.arrow_udf("array<int>")
-    def run(text: pa.Array) -> pa.Array:
-        return pa.array([crossing_buckets(t, most, buckets) for t in text.to_pylist()], pa.list_(pa.int32()))
+    def run(texts: pa.Array) -> pa.Array:
+        buckets = Buckets(count)
+        found = [buckets.of(crossing_grams(t, most)) for t in texts.cast(pa.binary()).to_pylist()]
+        return pa.array(found, pa.list_(pa.int32()))
 
-    return run
+    return F.arrow_udf(run, "array<int>")
 
 
 class Segmented:
@@ -112,20 +136,18 @@ class Segmented:
         names = F.transform(
             with_word, lambda x: F.struct(F.xxhash64(F.lit(1), x).alias("a"), F.xxhash64(F.lit(2), x).alias("b"))
         )
-        over = _crossing(most, buckets)("text") if most > 1 else F.array().cast("array<int>")
+        over = crossing(most, buckets)("text") if most > 1 else F.array().cast("array<int>")
         cut = staged(docs.select("rid", "id", names.alias("names"), over.alias("crossing")))
         self.documents = cut.select("rid", "id")
         self.occurring = cut.select("rid", F.inline("names"))
-        words, features = line_features(F.col("line"), most, buckets)
         counted = docs.select(F.explode(with_word).alias("line")).groupBy("line").agg(F.count("*").alias("occurrences"))
         self.lines = staged(
             counted.select(
                 F.xxhash64(F.lit(1), "line").alias("a"),
                 F.xxhash64(F.lit(2), "line").alias("b"),
-                words.alias("words"),
-                features.alias("features"),
+                line_features(most, buckets)("line").alias("found"),
                 "occurrences",
-            )
+            ).select("a", "b", "found.*", "occurrences")
         )
         self.crossing = cut.select("rid", "crossing") if most > 1 else None
 
