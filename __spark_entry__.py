@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from oracles import ORACLE_SQL
 from tallyroom import params
 from tallyroom.operators import boxes, crossings, daily, daily_range, distinct_users, roster
-from tallyroom.plans import crossings_report, daily_report, refresh_roster
+from tallyroom.plans import crossings_report, daily_report, range_report, refresh_roster
 from tallyroom.plans.cohort_job import advance_cohort, start_state
 from tallyroom.plans.crossings_job import crossing_users
 from tallyroom.plans.daily_report import narrowed_cohort
@@ -152,6 +152,22 @@ def _top_openers_range(spark: SparkSession, sf: str) -> DataFrame:
     return daily_range.top_openers_range(_box_activity_range(spark, sf))
 
 
+def _top_spenders_range(spark: SparkSession, sf: str) -> DataFrame:
+    return daily_range.top_spenders_range(td.purchases(spark, sf), *RANGE)
+
+
+def _returning_payers_range(spark: SparkSession, sf: str) -> DataFrame:
+    return daily_range.returning_payers_range(_payer_cohort_range(spark, sf))
+
+
+def _of_range_report(name: str) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        tables = td.logins(spark, sf), td.purchases(spark, sf), td.box_events(spark, sf)
+        return range_report(*tables, *RANGE).results()[name]
+
+    return run
+
+
 def _user_days(spark: SparkSession, sf: str, rows: DataFrame, *keys: str) -> DataFrame:
     """The day rows that the counts of longer spans are united from."""
     rows = rows.withColumn("day", F.to_date("event_timestamp"))
@@ -380,6 +396,11 @@ def base_queries() -> dict[str, Query]:
         "cohort_kpis_range": _cohort_kpis_range,
         "top_boxes_range": _top_boxes_range,
         "top_openers_range": _top_openers_range,
+        "top_spenders_range": _top_spenders_range,
+        "returning_payers_range": _returning_payers_range,
+        "top_box_openers_range": _of_range_report("top_box_openers"),
+        "box_mix_range": _of_range_report("box_mix"),
+        "observations_range": _of_range_report("observations"),
         "weekly_active_users": _weekly_active_users,
         "monthly_payers": _monthly_payers,
         "vendor_cost_by_user": _vendor_cost_by_user,

@@ -25,3 +25,17 @@ def _compose(steps: list[str], select: str) -> str:
 ORACLE_SQL: dict[str, str] = {
     query: _compose(steps, select) for query, (steps, select) in FINAL.items()
 }
+
+
+def _each_day(name: str) -> str:
+    """The query of one day for every day of the range, one below the other."""
+    days = [f"2024-01-{day:02d}" for day in range(2, 32)]
+    return "\nUNION ALL\n".join(
+        f"SELECT DATE '{day}' AS report_date, * FROM ({ORACLE_SQL[name].replace('2024-01-04', day)})" for day in days
+    )
+
+
+ORACLE_SQL |= {
+    f"{name}_range": _each_day(name)
+    for name in ("top_spenders", "returning_payers", "top_box_openers", "box_mix", "observations")
+}

@@ -1,6 +1,7 @@
-"""Command line of the three jobs; run it with ``spark-submit`` or ``python -m tallyroom``.
+"""Command line of the jobs; run it with ``spark-submit`` or ``python -m tallyroom``.
 
     daily      --tables T --out O --date 2024-01-04 [--excluded id,id | --excluded-table NAME]
+    range      --tables T --out O --date 2024-01-01 --last-date 2024-01-31 [--excluded ...]
     crossings  --tables T --out O --as-of "2024-01-05 00:00:00"
     roster     --tables T --store S --date 2024-01-31 [--sheet in.csv] [--export-sheet out.csv]
                [--prefer sheet|current] [--recall]
@@ -20,7 +21,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyroom.plans import crossings_report, daily_report, refresh_roster
+from tallyroom.plans import crossings_report, daily_report, range_report, refresh_roster
 from tallyroom.plans.stages import stage_scope
 from tallyroom.sources import read_sheet_csv, read_table, read_tables, sheet_base
 from tallyroom.sources.roster_store import SHEET_ORDER, write_sheet_csv
@@ -31,21 +32,33 @@ def _write(results: dict[str, DataFrame], folder: str) -> None:
         df.write.mode("overwrite").parquet(f"{folder}/{name}")
 
 
+def _excluded(spark: SparkSession, args: argparse.Namespace) -> list[str] | DataFrame:
+    if args.excluded_table:
+        return read_table(spark, args.tables, "internal_users", args.format, args.excluded_table)
+    return [user for user in args.excluded.split(",") if user]
+
+
 def _daily(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = read_tables(
         spark, args.tables, ("logins", "purchases", "box_events"), args.format
     )
-    excluded = [user for user in args.excluded.split(",") if user]
-    if args.excluded_table:
-        excluded = read_table(
-            spark, args.tables, "internal_users", args.format, args.excluded_table
-        )
     report = daily_report(
-        **tables, report_date=args.date, excluded=excluded, partition_date=args.partition_date
+        **tables, report_date=args.date, excluded=_excluded(spark, args), partition_date=args.partition_date
     )
     _write(report.results(), f"{args.out}/{args.date}")
 
 
+def _range(spark: SparkSession, args: argparse.Namespace) -> None:
+    tables = read_tables(
+        spark, args.tables, ("logins", "purchases", "box_events"), args.format
+    )
+    report = range_report(
+        **tables, first_day=args.date, last_day=args.last_date, excluded=_excluded(spark, args),
+        partition_date=args.partition_date,
+    )
+    _write(report.results(), f"{args.out}/{args.date}--{args.last_date}")
+
+
 def _crossings(spark: SparkSession, args: argparse.Namespace) -> None:
     names = ("user_crm", "vendor_pricing", "internal_users", "purchases")
     tables = read_tables(spark, args.tables, names, args.format)
@@ -73,10 +86,14 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tallyroom", description=__doc__.splitlines()[0])
     jobs = parser.add_subparsers(dest="job", required=True)
     daily = jobs.add_parser("daily")
-    daily.add_argument("--date", required=True)
-    daily.add_argument("--excluded", default="")
-    daily.add_argument("--excluded-table")
     daily.set_defaults(run=_daily)
+    several = jobs.add_parser("range")
+    several.add_argument("--last-date", required=True)
+    several.set_defaults(run=_range)
+    for job in (daily, several):
+        job.add_argument("--date", required=True)
+        job.add_argument("--excluded", default="")
+        job.add_argument("--excluded-table")
     crossings = jobs.add_parser("crossings")
     crossings.add_argument("--as-of", required=True)
     crossings.set_defaults(run=_crossings)
@@ -88,10 +105,10 @@ def main(argv: list[str] | None = None) -> None:
     roster.add_argument("--recall", action="store_true")
     roster.add_argument("--prefer", choices=("sheet", "current"), default="sheet")
     roster.set_defaults(run=_roster)
-    for job in (daily, crossings, roster):
+    for job in (daily, several, crossings, roster):
         job.add_argument("--tables", required=True)
         job.add_argument("--format", default="parquet")
-    for job in (daily, crossings):
+    for job in (daily, several, crossings):
         job.add_argument("--out", required=True)
         job.add_argument("--partition-date")
     args = parser.parse_args(argv)

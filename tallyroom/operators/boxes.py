@@ -9,6 +9,7 @@ broadcasts the payers only when they really are small.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -20,6 +21,7 @@ from tallyroom.operators.common import (
     Excluded,
     big,
     descending,
+    folded,
     limited,
     on_day,
     payers_of_day,
@@ -92,14 +94,15 @@ def top_openers_of(activity: DataFrame, n: int = params.TOP_OPENERS) -> DataFram
 
 def top_box_opener_rows(activity: DataFrame) -> DataFrame:
     """Who opened the first box of ``top_boxes_of``, over all its volatilities, in no order."""
-    leader = (
-        top_boxes_of(activity, 1)
-        .filter(F.col("box_display_name") != "")
-        .select("box_display_name")
-    )
+    return openers_of(activity, limited(top_boxes_of(activity, 1), 1))
+
+
+def openers_of(activity: DataFrame, leaders: DataFrame, *keys: str) -> DataFrame:
+    """Who opened the leading box, which must have a name, per ``keys``."""
+    named = leaders.filter(F.col("box_display_name") != "").select(*keys, "box_display_name")
     return (
-        activity.join(limited(leader, 1), "box_display_name")
-        .groupBy("box_display_name", "user_id")
+        activity.join(named, [*keys, "box_display_name"])
+        .groupBy(*keys, "box_display_name", "user_id")
         .agg(
             F.sum("opens").alias("opens"),
             round2(F.sum("coins")).alias("coins_spent"),
@@ -150,9 +153,14 @@ def top_box_openers(
 
 def box_mix(boxes: DataFrame, openers: DataFrame) -> DataFrame:
     """Concentration and volatility mix over the listed boxes (one row)."""
+    return mix_by(boxes, openers)
+
+
+def mix_by(boxes: DataFrame, openers: DataFrame, *keys: str, every: Sequence[DataFrame] = ()) -> DataFrame:
+    """The mix per ``keys``; ``every`` frames name values of the keys that get a row in any case."""
     opens = F.col("total_opens")
     risky = F.when(F.col("box_volatility") >= params.HIGH_VOLATILITY, opens).otherwise(0)
-    listed = boxes.agg(
+    listed = folded(boxes, keys).agg(
         F.sum(opens).alias("total_opens_all"),
         F.min(
             F.struct(descending("total_opens"), "box_display_name", "box_volatility", opens)
@@ -160,18 +168,20 @@ def box_mix(boxes: DataFrame, openers: DataFrame) -> DataFrame:
         F.sum(F.col("box_volatility") * opens).alias("volatility_opens"),
         F.sum(risky).alias("high_vol_opens"),
     ).select(
+        *keys,
         "total_opens_all",
         F.col("top.total_opens").alias("top_box_opens"),
         "volatility_opens",
         "high_vol_opens",
     )
-    first_user = openers.agg(
+    first_user = folded(openers, keys).agg(
         F.min(F.struct(descending("opens"), "user_id", "opens")).alias("top")
-    ).select(F.col("top.opens").alias("top_user_opens"))
-    row = side_by_side(listed, first_user)
+    ).select(*keys, F.col("top.opens").alias("top_user_opens"))
+    row = side_by_side(listed, first_user, *every, keys=keys)
     total = F.col("total_opens_all")
     zero = big(F.lit(0))
     return row.select(
+        *keys,
         F.coalesce(total, zero).alias("total_opens_all"),
         F.coalesce("top_box_opens", zero).alias("top_box_opens"),
         whole_pct(F.col("top_box_opens"), total).alias("top_box_pct"),

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from tallyroom.functions import date_literal, day_of, within
@@ -92,11 +92,16 @@ def descending(name: str) -> Column:
     return F.coalesce(-F.col(name).cast("double"), F.lit(float("inf")))
 
 
-def side_by_side(*frames: DataFrame) -> DataFrame:
-    """One row out of several frames of at most one row each.
+def folded(rows: DataFrame, keys: Sequence[str]) -> GroupedData:
+    """All rows as one group, or a group for each value of the keys."""
+    return rows.groupBy(*keys)
+
+
+def side_by_side(*frames: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """One row out of several frames of at most one row each; with ``keys`` one for each of their values.
 
     The frames are stacked, with NULL where a column is not theirs, and folded by ``max``;
     an empty frame leaves NULLs. No join is needed to line them up.
     """
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
+    return folded(stacked, keys).agg(*[F.max(name).alias(name) for name in stacked.columns if name not in keys])

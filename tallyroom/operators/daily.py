@@ -103,12 +103,18 @@ def top_spenders(
         .orderBy(F.desc("total_spend_usd"), "user_id")
         .limit(n)
     )
-    keys = ["user_id", "transactions", "total_spend_usd"]
+    return with_products(day, limited(leaders, n)).orderBy(F.desc("total_spend_usd"), "user_id")
+
+
+def with_products(rows: DataFrame, leaders: DataFrame, *keys: str) -> DataFrame:
+    """The leaders, one row per user and ``keys``, with the products of their rows in time order."""
+    keys = (*keys, "user_id")
+    known = [*keys, "transactions", "total_spend_usd"]
     minute = F.hour("event_timestamp") * 60 + F.minute("event_timestamp")
     listed = (
-        day.select("user_id", "event_timestamp", "event_id", "product_slug")
-        .join(limited(leaders, n), "user_id")
-        .groupBy(*keys, minute.alias("minute"))
+        rows.select(*keys, "event_timestamp", "event_id", "product_slug")
+        .join(leaders, list(keys))
+        .groupBy(*known, minute.alias("minute"))
         .agg(
             F.expr(
                 "listagg(product_slug, ', ') WITHIN GROUP "
@@ -116,11 +122,8 @@ def top_spenders(
             ).alias("part")
         )
     )
-    return (
-        listed.groupBy(*keys)
-        .agg(F.expr("listagg(part, ', ') WITHIN GROUP (ORDER BY minute)").alias("products_bought"))
-        .orderBy(F.desc("total_spend_usd"), "user_id")
-    )
+    parts = F.expr("listagg(part, ', ') WITHIN GROUP (ORDER BY minute)")
+    return listed.groupBy(*known).agg(parts.alias("products_bought"))
 
 
 def cohort_rows(

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from tallyroom import params
 from tallyroom.functions import cents, date_literal, day_of, mean2, product_label, round2
-from tallyroom.operators.boxes import openers_by, payer_boxes, prices_by
-from tallyroom.operators.common import Excluded, big, in_days, up_to_day, without_users
-from tallyroom.operators.daily import kpi_columns, new_and_returning
+from tallyroom.operators.boxes import mix_by, openers_by, openers_of, payer_boxes, prices_by
+from tallyroom.operators.common import Excluded, big, in_days, limited, up_to_day, without_users
+from tallyroom.operators.daily import kpi_columns, new_and_returning, with_products
+from tallyroom.operators.observations import observation_figures, ranked_observations
 
 Day = dt.date | str
 _DAY_OF_EVENT = "to_date(event_timestamp)"
@@ -90,6 +91,25 @@ def revenue_by_product_range(
     )
 
 
+def top_spenders_range(
+    purchases: DataFrame,
+    first_day: Day,
+    last_day: Day,
+    excluded: Excluded = (),
+    n: int = params.TOP_SPENDERS,
+    partition_date: str | None = None,
+) -> DataFrame:
+    """Every day's n highest spenders with the products they bought that day, in time order."""
+    rows = _dated(purchases, first_day, last_day, excluded, partition_date)
+    spent = rows.groupBy("report_date", "user_id").agg(
+        F.count("*").alias("transactions"), round2(F.sum("amount_usd")).alias("total_spend_usd")
+    )
+    order = [F.desc("total_spend_usd"), F.asc("user_id")]
+    leaders = _first_of_day(spent, order, n)
+    days = (day_of(last_day) - day_of(first_day)).days + 1
+    return with_products(rows, limited(leaders, n * days), "report_date").orderBy("report_date", *order)
+
+
 def payer_cohort_range(
     purchases: DataFrame, first_day: Day, last_day: Day, excluded: Excluded = (), partition_date: str | None = None
 ) -> DataFrame:
@@ -125,6 +145,15 @@ def payer_cohort_range(
     ).orderBy("report_date", "payer_type", F.desc("lifetime_value_usd"), "user_id")
 
 
+def returning_payers_range(cohort: DataFrame) -> DataFrame:
+    """Returning part of every day's cohort, highest lifetime value first."""
+    return (
+        cohort.filter(F.col("payer_type") == "return")
+        .select("report_date", "user_id", "lifetime_value_usd", "lifetime_purchases", "days_since_last_purchase")
+        .orderBy("report_date", F.desc("lifetime_value_usd"), "user_id")
+    )
+
+
 def cohort_kpis_range(active: DataFrame, summary: DataFrame, cohort: DataFrame) -> DataFrame:
     """KPIs of every day from the three range results; one row per day, those without payers included."""
     split = cohort.groupBy("report_date").agg(*new_and_returning())
@@ -163,3 +192,30 @@ def top_openers_range(activity: DataFrame, n: int = params.TOP_OPENERS) -> DataF
     """The payers who opened most, every day."""
     order = [F.desc("total_boxes_opened"), F.asc("user_id")]
     return _first_of_day(openers_by(activity, "report_date"), order, n).orderBy("report_date", *order)
+
+
+def top_box_openers_range(activity: DataFrame) -> DataFrame:
+    """All payers who opened their day's top box."""
+    openers = openers_of(activity, top_boxes_range(activity, 1), "report_date")
+    return openers.orderBy("report_date", F.desc("opens"), "user_id")
+
+
+def box_mix_range(boxes: DataFrame, openers: DataFrame, first_day: Day, last_day: Day) -> DataFrame:
+    """Concentration and volatility mix of every day's listed boxes; days without boxes have a row of zeros."""
+    days = days_between(boxes.sparkSession, first_day, last_day)
+    return mix_by(boxes, openers, "report_date", every=[days]).orderBy("report_date")
+
+
+def observations_range(
+    products: DataFrame,
+    boxes: DataFrame,
+    spenders: DataFrame,
+    openers: DataFrame,
+    kpis: DataFrame,
+    returning: DataFrame,
+    mix: DataFrame,
+    n: int = params.TOP_OBSERVATIONS,
+) -> DataFrame:
+    """Every day's n observations of highest priority, from the range results."""
+    figures = observation_figures(products, boxes, spenders, openers, kpis, returning, mix)
+    return ranked_observations(figures, n, keep=["report_date"]).orderBy("report_date", "rank")

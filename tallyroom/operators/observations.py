@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyroom import params
 from tallyroom.functions import day_of, product_label, py_round1, whole_pct
-from tallyroom.operators.common import side_by_side
+from tallyroom.operators.common import folded, side_by_side
 
 
 class Case(NamedTuple):
@@ -33,7 +33,7 @@ class Case(NamedTuple):
 # marks, {name:count} thousands marks, {name:tenth} one digit, {name:text} is taken as it is.
 NO_PAYERS = Case(
     "total_payers = 0", 10, "No payers today",
-    "Zero purchase transactions were recorded for {report_date:text}.",
+    "Zero purchase transactions were recorded for {date_text:text}.",
 )
 RULES: dict[int, tuple[Case, ...]] = {
     1: (
@@ -163,13 +163,18 @@ def observation_figures(
     kpis: DataFrame,
     returning: DataFrame,
     mix: DataFrame,
-    report_date: dt.date | str,
+    report_date: dt.date | str | None = None,
 ) -> DataFrame:
-    """Every figure the rules look at, in one row."""
+    """Every figure the rules look at, in one row.
+
+    Without ``report_date`` the frames have a column of that name, and every day has a row.
+    """
+    keys = () if report_date is not None else ("report_date",)
     by_revenue = _first(
         {"revenue_usd": True, "product_slug": False}, "revenue_usd AS rev", "transactions"
     )
-    product = products.selectExpr(f"{by_revenue} AS top").select(
+    product = folded(products, keys).agg(F.expr(by_revenue).alias("top")).select(
+        *keys,
         F.when(
             F.col("top").isNotNull(),
             F.coalesce(product_label(F.col("top.product_slug")), F.lit(NO_PRODUCT)),
@@ -181,17 +186,18 @@ def observation_figures(
         {"total_opens": True, "box_display_name": False, "box_volatility": False},
         "unique_openers",
     )
-    box = boxes.selectExpr(f"{by_opens} AS top").selectExpr(
-        "top.box_display_name AS box", "top.unique_openers AS box_openers"
+    box = folded(boxes, keys).agg(F.expr(by_opens).alias("top")).selectExpr(
+        *keys, "top.box_display_name AS box", "top.unique_openers AS box_openers"
     )
     by_spend = _first(
         {"total_spend_usd": True, "user_id": False}, "transactions", "total_spend_usd AS spend"
     )
-    spender = spenders.selectExpr(
-        f"{by_spend} AS top",
-        f"{by_spend} FILTER (WHERE transactions >= 3) AS again",
-        "count_if(transactions >= 3) AS repeat_users",
+    spender = folded(spenders, keys).agg(
+        F.expr(by_spend).alias("top"),
+        F.expr(f"{by_spend} FILTER (WHERE transactions >= 3)").alias("again"),
+        F.count_if(F.col("transactions") >= 3).alias("repeat_users"),
     ).selectExpr(
+        *keys,
         "top.user_id AS spender",
         "top.spend",
         "top.transactions AS spend_transactions",
@@ -205,20 +211,21 @@ def observation_figures(
         "lifetime_value_usd AS ltv",
         "lifetime_purchases AS purchases",
     )
-    gap = returning.selectExpr(
-        f"{by_gap} FILTER (WHERE days_since_last_purchase > 0) AS top"
+    gap = folded(returning, keys).agg(
+        F.expr(f"{by_gap} FILTER (WHERE days_since_last_purchase > 0)").alias("top")
     ).selectExpr(
+        *keys,
         "top.user_id AS gap_user",
         "top.days AS gap_days",
         "top.ltv AS gap_ltv",
         "top.purchases AS gap_purchases",
     )
-    opened = openers.selectExpr("count(*) > 0 AS has_openers")
-    row = side_by_side(kpis, mix, product, box, spender, gap, opened)
+    opened = folded(openers, keys).agg((F.count("*") > 0).alias("has_openers"))
+    row = side_by_side(kpis, mix, product, box, spender, gap, opened, keys=keys)
     revenue = F.col("total_revenue_usd")
     return row.select(
         "*",
-        F.lit(day_of(report_date).isoformat()).alias("report_date"),
+        (F.col("report_date").cast("string") if keys else F.lit(day_of(report_date).isoformat())).alias("date_text"),
         F.expr("if(ret_avg > new_avg, 'returners', 'new users') AS bigger_spenders"),
         F.expr("if(repeat_users > 1, 'users', 'user') AS repeat_noun"),
         F.expr("CAST(rint(weighted_vol) AS BIGINT) AS mean_vol"),

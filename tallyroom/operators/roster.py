@@ -266,7 +266,8 @@ def with_returning(roster_prev: DataFrame, notes: DataFrame, sheet_order: Sequen
     """
     known = roster_prev.filter(F.col("user_id") != "").select("user_id")
     away = notes.join(known, "user_id", "left_anti")
-    return roster_prev.select("user_id", *KEPT_COLUMNS, *sheet_order).unionByName(away, allowMissingColumns=True)
+    order = [name for name in sheet_order if name != "user_id"]
+    return roster_prev.select("user_id", *KEPT_COLUMNS, *order).unionByName(away, allowMissingColumns=True)
 
 
 def heat_scores(merged: DataFrame, today: dt.date | str) -> DataFrame:

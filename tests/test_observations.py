@@ -9,7 +9,7 @@ from tests.frames import DAY, box_events, logins, purchases, tuples
 
 # A day on which only the cohort rule speaks.
 QUIET = {
-    "report_date": DAY, "dau": 100, "total_payers": 5, "total_transactions": 4,
+    "date_text": DAY, "dau": 100, "total_payers": 5, "total_transactions": 4,
     "total_revenue_usd": 1000.0, "transactions_with_coupon": 1, "new_count": 2, "ret_count": 3,
     "pct_new": 40, "pct_ret": 60, "new_rev": 400.0, "ret_rev": 600.0, "new_avg": 200.0,
     "ret_avg": 200.0, "new_rev_pct": 40, "ret_rev_pct": 60, "bigger_spenders": "new users",

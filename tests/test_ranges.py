@@ -2,11 +2,13 @@
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyroom.operators import boxes, daily, daily_range, distinct_users, payer_state
+from tallyroom.plans import daily_report, range_report
 from tallyroom.plans.cohort_job import StateDayError, advance_cohort, read_state, start_state
 from tallyroom.sources.commits import CommitConflictError
 from tests.frames import purchases, table, tuples
@@ -109,6 +111,40 @@ def test_boxes_of_every_day(spark, bought):
         assert openers.get(day, []) == tuples(boxes.top_openers(rows, bought, day, EXCLUDED, 2))
 
 
+def test_the_report_of_a_range_is_that_of_its_days(spark, tmp_path):
+    """Every result of the job for several days at once, days without any rows included."""
+    rng = random.Random(5)
+    bought = purchases(spark, *drawn_purchases(5, 250))
+    names = ["hot", "staff", None, *[f"u{i}" for i in range(20)]]
+    opened = table(
+        spark,
+        "box_events",
+        [
+            {
+                "user_id": rng.choice(names),
+                "event_timestamp": dt.datetime.combine(rng.choice(DAYS[:12]), dt.time(9)),
+                "box_display_name": rng.choice(["A", "B", "C", ""]),
+                "box_volatility": rng.choice([10, 80, None]),
+                "boxes_opened_count": rng.choice([1, 5, 2]),
+                "total_coins_spent": Decimal("12.50"),
+            }
+            for _ in range(300)
+        ],
+    )
+    logged = table(
+        spark, "logins", [{"user_id": rng.choice(names), "event_timestamp": dt.datetime.combine(rng.choice(DAYS[:9]), dt.time(1))} for _ in range(80)]
+    )
+    stored = []
+    for name, df in (("l", logged), ("p", bought), ("b", opened)):
+        df.write.parquet(str(tmp_path / name))
+        stored.append(spark.read.parquet(str(tmp_path / name)))
+    found = {name: per_day(df, *[c for c in df.columns if c != "report_date"]) for name, df in range_report(*stored, DAYS[2], DAYS[7], EXCLUDED).results().items()}
+    for day in DAYS[2:8]:
+        for name, df in daily_report(*stored, day, EXCLUDED).results().items():
+            assert tuples(df) == found[name].get(day, []), (name, day)
+    assert {day for days in found.values() for day in days} == set(DAYS[2:8])
+
+
 def test_a_range_is_pruned_where_days_are_partitions(spark, tmp_path, bought):
     bought.withColumn("event_date", F.to_date("event_timestamp")).write.partitionBy("event_date").parquet(str(tmp_path / "p"))
     stored = spark.read.parquet(str(tmp_path / "p"))

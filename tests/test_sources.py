@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyroom.__main__ import main
 from tallyroom.functions import within
 from tallyroom.operators import daily
-from tallyroom.sources import SCHEMAS, conform, read_roster, read_sheet_csv, read_table
+from tallyroom.sources import SCHEMAS, conform, current_roster, read_roster, read_sheet_csv, read_table
 from tallyroom.sources import testdata as td
 from tests.frames import (
     DAY,
@@ -105,3 +105,11 @@ def test_command_line(spark, tmp_path):
     assert one(read_roster(spark, store).select("user_id", F.col("relationship_stage"))) == {
         "user_id": "a", "relationship_stage": "new",
     }
+    last = "2024-03-12"
+    main(["range", "--tables", folder, "--out", out, "--date", DAY, "--last-date", last, "--excluded", "staff"])
+    days = spark.read.parquet(f"{out}/{DAY}--{last}/cohort_kpis").orderBy("report_date")
+    assert [(row.total_payers, row.dau) for row in days.collect()] == [(1, 2), (0, 0), (0, 0)]
+    main(["roster", "--tables", folder, "--store", store, "--date", DAY, "--sheet", sheet, "--recall"])
+    version = current_roster(spark, store).version
+    assert spark.read.parquet(f"{store}/summaries/{version}/conflicts").count() == 0
+    assert one(read_roster(spark, store).select("user_id")) == {"user_id": "a"}
