@@ -11,7 +11,7 @@ from tallyroom.llm.merkle import OP13_SQL, op13_merkle_manifest
 from tallyroom.llm.packing import op5_packing
 from tallyroom.llm.personal_data import op6_personal_data
 from tallyroom.llm.quality import op1_quality
-from tallyroom.llm.secret_scan import op3_secret_scan
+from tallyroom.llm.secret_scan import OP3_SQL, op3_secret_scan
 from tallyroom.llm.segments import OP11_SQL, op11_segment_resampling
 from tallyroom.llm.source_mix import OP4_SQL, op4_source_mix
 from tallyroom.llm.weak_rules import op12_weak_rules
@@ -33,6 +33,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_secret_scan": OP3_SQL,
     "op4_source_mix": OP4_SQL,
     "op8_chat_format": OP8_SQL,
     "op9_license_scan": OP9_SQL,

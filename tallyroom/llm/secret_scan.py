@@ -204,3 +204,64 @@ def op3_secret_scan(spark, sf_dir) -> DataFrame:
         F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
         span_text(F.col("spans")).alias("spans"),
     )
+
+
+def _either_case(word: str) -> str:
+    """SQL's ``(?i)`` also folds letters outside of ASCII."""
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+_WORDS = "|".join(_either_case(w) for w in ("password", "passwd", "secret", "token")) + "|" + _either_case("api") + "_?" + _either_case("key")
+_SQL_PATTERNS = {
+    "assign": (f"""({_WORDS})["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2),
+    "access": (ACCESS, 0),
+    "hex": (HEX, 0),
+    "live": (OPAQUE, 0),
+}
+# SQL's patterns have no back reference: six equal characters, one alternative for each.
+_SAME = "|".join(
+    f"{_either_case(c) if c.isalpha() else '[' + c + ']'}{{6}}" for c in "abcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
+)
+_DUMMY = "|".join(_either_case(w) for w in ("example", "sample", "dummy", "placeholder", "changeme", "redacted", "your", "xxxx", "abcdef"))
+_HITS = " UNION ALL ".join(
+    f"SELECT rid, '{kind}' AS kind, {KINDS.index(kind)} AS rank, generate_subscripts(hits, 1) AS i, "
+    f"unnest(hits) AS hit, unnest(vals) AS val, unnest(gaps[1:len(hits)]) AS gap "
+    f"FROM (SELECT rid, regexp_extract_all(text, '{pattern}') AS hits, regexp_extract_all(text, '{pattern}', {group}) AS vals, "
+    f"string_split_regex(text, '{pattern}') AS gaps FROM texts)"
+    for kind, (pattern, group) in _SQL_PATTERNS.items()
+)
+
+OP3_SQL = f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents
+), hits AS ({_HITS}), placed AS (
+    SELECT rid, kind, rank, val, length(hit) AS long,
+           CAST(sum(length(gap) + length(hit)) OVER (PARTITION BY rid, kind ORDER BY i) AS BIGINT) AS e
+    FROM hits
+), base AS (
+    SELECT rid, kind, rank, val, e - long AS s, e FROM placed
+    WHERE kind <> 'live' AND (kind <> 'assign' OR length(val) >= {MIN_ASSIGNED})
+), candidates AS (
+    SELECT rid, e - length(val) AS s, e, val FROM base
+    UNION
+    SELECT rid, e - long, e, val FROM placed
+    WHERE kind = 'live' AND regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Za-z]')
+), owned AS (
+    SELECT val, count(DISTINCT coalesce('=' || source, '')) AS owners FROM candidates JOIN texts USING (rid) GROUP BY val
+), live AS (
+    SELECT DISTINCT rid, 'live' AS kind, {KINDS.index("live")} AS rank, s, e FROM candidates JOIN owned USING (val)
+    WHERE owners = 1 AND NOT regexp_matches(val, '{_DUMMY}|0{{8}}|1234567|{_SAME}')
+), copied AS (
+    SELECT rid, count(*) AS n_copied FROM candidates JOIN owned USING (val) WHERE owners >= 3 GROUP BY rid
+), spans AS (
+    SELECT rid, kind, rank, s, e, true AS of_base FROM base UNION ALL SELECT rid, kind, rank, s, e, false FROM live
+), listed AS (
+    SELECT rid, {", ".join(f"count(*) FILTER (kind = '{kind}') AS n_{kind}" for kind in KINDS)},
+           string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, kind, e) FILTER (of_base) AS base_spans,
+           string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, kind, e) AS spans
+    FROM spans GROUP BY rid
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind in KINDS)}, coalesce(n_copied, 0) AS n_copied,
+       sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN listed USING (rid) LEFT JOIN copied USING (rid)
+"""

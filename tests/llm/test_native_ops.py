@@ -197,6 +197,20 @@ def test_base_secrets(spark, awkward):
     assert all(set(base.split(",")) - {""} <= {f"{k}:{s}:{e}" for s, _, k, e in spans} for _, base, spans in told)
 
 
+def test_secrets_by_sql(spark, tmp_path):
+    """Live and copied values of awkward texts as well."""
+    copied, own = "Ab1" * 9, "Zk93" * 8
+    more = [f"see {copied} here", f"{own} and EXAMPLE{'9a' * 10}", f"password={own} {copied}", "q7" * 12 + "=" * 3 + " AAAAAA1" * 4]
+    rows = [(i, text, "en", None if i % 5 == 0 else f"s{i % 4}", None) for i, text in enumerate([*SECRETS, *more, *more[:1] * 9])]
+    docs = frame(spark, [*rows, *ROWS])
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    found = spark_rows(secret_scan.op3_secret_scan(spark, str(tmp_path)))
+    assert found == duck_rows(connection, secret_scan.OP3_SQL)
+    assert sum(dict((name, value) for name, _, value in row)["n_live"] for row in found) > 2
+
+
 def test_ownership_tells_examples_from_live_values(spark):
     copied, own, dummy = "Ab1" * 9, "Zk93" * 8, "EXAMPLE" + "9a" * 10
     rows = [(i, f"see {copied} here", "en", f"s{i}", None) for i in range(4)]
