@@ -464,3 +464,37 @@ def one_of_each(
 def op2_jaccard_join(spark, sf_dir) -> DataFrame:
     found = similar(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+OP2_SQL = """
+WITH RECURSIVE cut AS (
+    SELECT row_number() OVER () AS rid, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT rid, doc_id,
+           CASE WHEN len(w) = 0 THEN []
+                WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS s
+    FROM cut
+), documents_of AS (
+    SELECT rid, doc_id, len(s) AS n, md5(array_to_string(s, chr(10))) AS c FROM sets
+), shingles AS (
+    SELECT c, n, unnest(s) AS shingle
+    FROM (SELECT md5(array_to_string(s, chr(10))) AS c, len(s) AS n, any_value(s) AS s FROM sets WHERE len(s) > 0 GROUP BY ALL)
+), links AS (
+    SELECT a.c AS a, b.c AS b
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.c <> b.c
+    GROUP BY a.c, b.c, a.n, b.n
+    HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT DISTINCT c, c AS r FROM shingles
+    UNION
+    SELECT reach.c, b FROM reach JOIN links ON a = r
+), named AS (
+    SELECT reach.c, min(doc_id) AS component_id FROM reach JOIN documents_of d ON d.c = r WHERE n > 0 GROUP BY reach.c
+)
+SELECT doc_id, n AS n_shingles, CASE WHEN n > 0 AND doc_id IS NOT NULL THEN component_id ELSE doc_id END AS component_id
+FROM documents_of LEFT JOIN named USING (c)
+"""

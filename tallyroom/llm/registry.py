@@ -5,7 +5,7 @@ from __future__ import annotations
 from tallyroom.llm.chat_format import OP8_SQL, op8_chat_format
 from tallyroom.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 from tallyroom.llm.imatch import op7_imatch
-from tallyroom.llm.jaccard_join import op2_jaccard_join
+from tallyroom.llm.jaccard_join import OP2_SQL, op2_jaccard_join
 from tallyroom.llm.license_scan import OP9_SQL, op9_license_scan
 from tallyroom.llm.merkle import OP13_SQL, op13_merkle_manifest
 from tallyroom.llm.packing import op5_packing
@@ -33,6 +33,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_jaccard_join": OP2_SQL,
     "op3_secret_scan": OP3_SQL,
     "op4_source_mix": OP4_SQL,
     "op8_chat_format": OP8_SQL,
