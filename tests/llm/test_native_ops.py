@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import duckdb
 import pytest
 
 from tallyroom.llm import chat_format, exact_dedup, license_scan, secret_scan, source_mix
+from tallyroom.plans.stages import staged
 from tests.llm.brute import base_secrets, joined, sha
 from tests.llm.edges import ROWS, clashing, frame, sorted_rows
 from tests.parity import duck, duck_rows, spark_rows
@@ -51,7 +53,8 @@ def test_no_documents(spark, nothing):
     assert documents.count() == goals.count() == pieces.count() == 0
     assert source_mix.mixed_documents(nothing).count() == 0
     turns = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
-    assert chat_format.digests(chat_format.prefix_examples(turns)).count() == 0
+    formatted = chat_format.formatted_turns(turns)
+    assert chat_format.digests(formatted, chat_format.prefix_examples(formatted)).count() == 0
 
 
 @pytest.mark.parametrize("block_words", [7, 5000])
@@ -159,8 +162,9 @@ TALKS = [
 
 def test_chat_examples_read_back(spark):
     turns = spark.createDataFrame(TALKS, "conv_id bigint, turn bigint, role string, text string")
-    examples = chat_format.prefix_examples(turns.selectExpr("*", "1 AS example", "2 AS context", "3 AS t"))
-    found = {row.conv_id: row for row in chat_format.digests(examples).collect()}
+    formatted = chat_format.formatted_turns(turns.selectExpr("*", "1 AS example", "2 AS context", "3 AS t", "4 AS place", "'k' AS key"))
+    examples = chat_format.prefix_examples(formatted)
+    found = {row.conv_id: row for row in chat_format.digests(formatted, examples).collect()}
     talks = {}
     for conv_id, turn, role, text in TALKS:
         talks.setdefault(conv_id, []).append((-1 if turn is None else turn, role or "", text or ""))
@@ -172,12 +176,40 @@ def test_chat_examples_read_back(spark):
         row = found[conv_id]
         assert (row.n_turns, row.turns_sha256) == (len(rows), sha(told))
         assert (row.loss_chars, row.loss_sha256) == (len(loss), sha(loss))
-    shown = examples.filter("conv_id = 1").orderBy("example").collect()
+    texts = chat_format.example_texts(examples, formatted)
+    assert texts.count() == examples.count() == sum(sum(r[1] == "assistant" for r in rows) + (rows[-1][1] != "assistant") for rows in talks.values())
+    assert all(r.chars == len(r.context + r.target + r.closing) for r in texts.collect())
+    shown = texts.filter("conv_id = 1").orderBy("example").collect()
+    assert [(r.example, r.is_last) for r in shown] == [(1, False), (2, False), (3, True)]
     assert [r.has_target for r in shown] == [True, True, False]
     assert shown[1].context.startswith(shown[0].context + shown[0].target + shown[0].closing)
     assert sum(len(r.context + r.target + r.closing) for r in shown) == found[1].formatted_chars
 
 
+def test_a_long_conversation(spark, monkeypatch):
+    """20,000 turns beside short talks: the tables grow with the turns, and no window holds a talk."""
+    monkeypatch.setattr(chat_format, "BLOCK_TURNS", 300)
+    turns = spark.range(20_000).selectExpr(
+        "1 AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('turn ', id, ' </turn> é') AS text"
+    )
+    turns = turns.unionByName(spark.createDataFrame([(2, 0, "user", "x")], turns.schema)).repartition(7)
+    formatted = staged(chat_format.formatted_turns(turns))
+    examples = chat_format.prefix_examples(formatted)
+    assert formatted.count() == 20_001 and examples.count() == 10_001
+    texts = [f"turn {i} </turn> é" for i in range(20_000)]
+    row = chat_format.digests(formatted, examples).filter("conv_id = 1").first()
+    told = "".join(f"{'assistant' if i % 2 else 'user'}\n{t}\n" for i, t in enumerate(texts))
+    assert (row.n_turns, row.turns_sha256) == (20_000, sha(told))
+    assert row.loss_sha256 == sha("".join(texts[1::2]))
+    sizes = [len(f"<turn {'assistant' if i % 2 else 'user'}>{t.replace('</turn>', chr(92) + 'l/turn>')}</turn>\n") for i, t in enumerate(texts)]
+    upto = list(itertools.accumulate(sizes))
+    assert row.formatted_chars == sum(upto[1::2])
+    late = examples.filter("conv_id = 1 AND example IN (1, 5000)")
+    shown = chat_format.example_texts(late, formatted).orderBy("example").collect()
+    assert [len(r.context + r.target + r.closing) for r in shown] == [upto[1], upto[9999]]
+    assert shown[1].target == texts[9999].replace("</turn>", "\\l/turn>")
+
+
 SECRETS = [
     'x password = "abcdefgh1" y', "PassWord:short token=longenough12", "api_key=abc=defgh.ij apikey: '12345678'", "AKIA" + "A" * 12,
     "AKIAAKIA" + "B" * 11 + " AKIA1", "f" * 31 + " " + "0" * 32 + "g" + "a1" * 40, "token=secret:abcdefgh1", "ſecret=abcdefghi toKen=12345678",
