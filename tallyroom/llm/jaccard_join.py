@@ -41,9 +41,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyroom.llm.components import compact, components
 from tallyroom.llm.stages import keyed_rows
-from tallyroom.llm.text import filled, shuffle_partitions, table
+from tallyroom.llm.text import filled, table
 from tallyroom.llm.wordhash import WordHasher, column_bytes, distinct_pairs, mix64, slices
-from tallyroom.plans.stages import MAX_BROADCAST_BYTES, fits_broadcast, staged
+from tallyroom.plans.stages import fits_broadcast, staged
 
 ORDERS = (1, 2, 3)  # seeds; the first is the order of the index
 MAX_FREQUENT = 1 << 20
@@ -346,41 +346,11 @@ def _verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, words: int, p
                 linked.append(passed and 100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    return compact(_with_sets(pairs, sets, n).mapInArrow(verify, "a bigint, b bigint"), n, 2_000)
-
-
-def _with_sets(pairs: DataFrame, sets: DataFrame, n: int) -> DataFrame:
-    """``a, b, x, y``: the pairs with the sets of both ends.
-
-    A leader stands in the pairs of all members of its group. Ends of more pairs than an average
-    partition has are few (twice as many as partitions at most); where their sets together are small
-    enough to broadcast, their pairs are shuffled by the other end.
-    """
-    average = max(n // shuffle_partitions(pairs.sparkSession), 1)
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.count("*").alias("k"))
-    hot = staged(sets.join(F.broadcast(compact(ends.filter(F.col("k") > average), 0).select("c")), "c", "left_semi"))
-    held = hot.agg(F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0)).alias("bytes")).first()["bytes"]
-
-    def named(rows: DataFrame, key: str, tokens: str) -> DataFrame:
-        return rows.select(F.col("c").alias(key), F.col("tokens").alias(tokens))
-
-    if not 0 < held <= MAX_BROADCAST_BYTES:
-        both = pairs.join(named(sets, "a", "x"), "a").join(named(sets, "b", "y"), "b")
-        return both.select("a", "b", "x", "y")
-    marks = F.broadcast(hot.select(F.col("c").alias("h"), F.lit(True).alias("hot")))
-    marked = pairs.join(marks, F.col("a") == F.col("h"), "left").withColumnRenamed("hot", "a_hot").drop("h")
-    marked = marked.join(marks, F.col("b") == F.col("h"), "left").withColumnRenamed("hot", "b_hot").drop("h")
-    # The likeness of a pair does not depend on its order: a hot end comes first.
-    swap = F.col("a_hot").isNull() & F.col("b_hot").isNotNull()
-    turned = marked.select(
-        F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"),
-        F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"),
-        (F.col("a_hot").isNotNull() | F.col("b_hot").isNotNull()).alias("hot"),
+    both = pairs.join(sets.select(F.col("c").alias("a"), F.col("tokens").alias("x")), "a").join(
+        sets.select(F.col("c").alias("b"), F.col("tokens").alias("y")), "b"
     )
-    of_hot = turned.filter("hot").join(named(sets, "b", "y"), "b").join(F.broadcast(named(hot, "a", "x")), "a")
-    of_cold = turned.filter("not hot").join(named(sets, "a", "x"), "a").join(named(sets, "b", "y"), "b")
-    columns = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "x", "y"]
-    return of_hot.select(*columns).unionByName(of_cold.select(*columns))
+    # Not in fewer tasks than the join gives: its rows are wide, and adaptive execution sizes them.
+    return staged(both.select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint"))
 
 
 def _rows_with_root(docs: DataFrame, words: int, percent: int) -> DataFrame:
