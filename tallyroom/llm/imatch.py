@@ -20,14 +20,17 @@ The band bounds the lexicon: a term has to stand in at least ``min_share`` of al
 there are at most (distinct terms of an average document) / ``min_share`` of them, however many
 documents there are, those above the band included. That bound is what allows broadcasting it.
 
-Only texts whose hash falls into a cell that holds a repeated hash are shuffled to find the copies.
+Texts whose hash is repeated are counted first; while those hashes are few enough to broadcast, only
+their texts are shuffled to find the copies.
 
 For the edited text a document needs the one after it. Documents are range-partitioned by id with
-the texts shuffled once; the first document of each range is also sent to the range before it.
+the texts shuffled once, into as many ranges as there are shuffle partitions; an id of very many
+rows, or none, is cut further by the texts' hashes. The first document of each range is also sent to
+the range before it.
 
 Defined results: a null text is empty. A text without terms has a fingerprint from its whole text
 instead, and its likeness to another is 1 if equal and 0 if not. Null ids come last; rows with
-equal ids are ordered by text. A single document is its own successor. An empty table gives an empty
+equal ids are ordered by a hash of the text. A single document is its own successor. An empty table gives an empty
 result. Extra columns are ignored.
 """
 
@@ -45,13 +48,13 @@ from pyspark.sql import functions as F
 
 from tallyroom.llm.text import filled, shuffle_partitions, table
 from tallyroom.llm.wordhash import NOT_ALNUM, WordHasher, column_bytes, distinct_pairs, joined_bytes, mix64, slices
+from tallyroom.plans.stages import fits_broadcast, staged
 
 MIN_SHARE = 1 / 2000
 MAX_SHARE = 1 / 5
 FAMILIES = 16
 RATES = 8  # subsets of rate 1/2, 1/4, ... 1/256
 ENOUGH = 16  # filled parts that a likeness rests on, and terms that a text is filled up to
-CELLS = 1 << 24  # of text hashes, one bit each
 
 
 class Lexicon(NamedTuple):
@@ -62,27 +65,22 @@ class Lexicon(NamedTuple):
     above_n: np.ndarray
 
 
-def distinct_texts(docs: DataFrame, text_col: str, cells: int = CELLS) -> tuple[DataFrame, int]:
-    """Every text once, as ``text``, and how many there are."""
-    keyed = docs.select(filled(text_col).alias("text")).withColumn("key", F.xxhash64("text"))
-    repeated = F.when(F.col("n") > 1, F.pmod("key", F.lit(cells)))
-    per_cell = keyed.groupBy("key").agg(F.count("*").alias("n")).groupBy(repeated.alias("cell")).count().toArrow()
-    found = per_cell["cell"].drop_null().to_numpy()
-    rows = sum(per_cell["count"].to_pylist())
-    if not len(found):
-        return keyed.select("text"), rows
-    marks = np.zeros(cells, dtype=bool)
-    marks[found] = True
-    marks = docs.sparkSession.sparkContext.broadcast(np.packbits(marks))
+def distinct_texts(docs: DataFrame, text_col: str) -> tuple[DataFrame, int]:
+    """Every text once, as ``text``, and how many there are.
 
-    @F.pandas_udf("boolean")
-    def marked(key: pd.Series) -> pd.Series:
-        cell = np.mod(key.to_numpy(), cells)
-        return pd.Series((marks.value[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1)
-
-    keyed = keyed.withColumn("marked", marked("key"))
-    copied = keyed.filter("marked").groupBy(F.sha2("text", 256)).agg(F.first("text").alias("text"))
-    return keyed.filter("not marked").select("text").unionByName(copied.select("text")), rows
+    Hashes that come more than once are counted first. While they are few enough to broadcast, only
+    texts with such a hash are shuffled; beyond that all texts are.
+    """
+    texts = docs.select(filled(text_col).alias("text"))
+    keyed = texts.withColumn("key", F.xxhash64("text"))
+    counted = staged(keyed.groupBy("key").agg(F.count("*").alias("n")))
+    rows, repeated = counted.count(), counted.filter("n > 1").select("key")
+    once = lambda copies: copies.groupBy(F.sha2("text", 256)).agg(F.first("text").alias("text")).select("text")
+    if not fits_broadcast(repeated, "key"):
+        return once(texts), rows
+    known = F.broadcast(repeated)
+    single = keyed.join(known, "key", "left_anti").select("text")
+    return single.unionByName(once(keyed.join(known, "key", "left_semi"))), rows
 
 
 def lexicon(docs: DataFrame, text_col: str, min_share: float, max_share: float) -> Lexicon:
@@ -192,29 +190,50 @@ def likeness(a: np.ndarray, b: np.ndarray, same_text: np.ndarray) -> np.ndarray:
     return np.where(n > 0, equal[rows, level] / np.maximum(n, 1), same_text.astype(float))
 
 
+def _ranges(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where ranges of ids begin, and into how many parts each is cut by the texts' hashes.
+
+    An id that more rows have than an average range holds, or no id, is a range of its own. There are
+    fewer such ids than ranges; that and the ranges' bounds are all that comes to the driver.
+    """
+    most = max(docs.count() // buckets, 1)
+    hot = docs.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > most).collect()
+    cuts = docs.approxQuantile("id", [i / buckets for i in range(1, buckets)], 0.2 / buckets) if buckets > 1 else []
+    alone = {row["key"]: -(-row["n"] // most) for row in hot}
+    begins = {int(cut) for cut in cuts} | alone.keys() | {key + 1 for key in alone if key < (1 << 63) - 1}
+    begins = np.array(sorted(begins), dtype=np.int64)
+    return begins, np.array([1, *[alone.get(key, 1) for key in begins.tolist()]], dtype=np.int64)
+
+
 def _laid_out(docs: DataFrame, buckets: int) -> DataFrame:
-    """``id, text, bucket, tail`` sorted by descending id within ranges, heads repeated as tails."""
-    spark = docs.sparkSession
+    """``id, text, tail`` sorted by descending id, then the text's hash, within ranges; heads repeated as tails."""
     key = F.coalesce(F.col("id").cast("bigint"), F.lit(-(1 << 63)))
-    docs = docs.withColumn("key", key)
-    cuts = docs.approxQuantile("id", [i / buckets for i in range(1, buckets)], 0.2 / buckets) if buckets > 1 else []
-    splits = np.unique(np.array(cuts, dtype=np.float64)).astype(np.int64)
+    docs = docs.withColumns({"key": key, "h": F.xxhash64("text")})
+    begins, parts = _ranges(docs, buckets)
+    first = np.concatenate([[0], np.cumsum(parts)])
 
     @F.pandas_udf("int")
-    def bucket_of(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(splits, key.to_numpy(), side="right").astype(np.int32))
-
-    heads = (
-        docs.select("key").withColumn("bucket", bucket_of("key")).groupBy("bucket").agg(F.max("key").alias("key")).collect()
-    )
+    def bucket_of(key: pd.Series, h: pd.Series) -> pd.Series:
+        at = np.searchsorted(begins, key.to_numpy(), side="right")
+        part = np.floor((h.to_numpy().astype(np.float64) / 2.0**64 + 0.5) * parts[at]).astype(np.int64)
+        # Rows come from the last range to the first, and in a range by ascending hash.
+        return pd.Series((first[at] + parts[at] - 1 - np.minimum(part, parts[at] - 1)).astype(np.int32))
+
+    # The order of hashes turned around: the largest is that of the first row.
+    head = F.max(F.struct("key", F.bitwise_not("h").alias("not_h"))).alias("head")
+    heads = docs.select("key", "h", bucket_of("key", "h").alias("bucket")).groupBy("bucket").agg(head).collect()
     order = sorted(heads, key=lambda r: r["bucket"])
-    before = {r["key"]: order[(i + 1) % len(order)]["bucket"] for i, r in enumerate(order)}
+    before = {(r["head"]["key"], ~r["head"]["not_h"]): order[(i + 1) % len(order)]["bucket"] for i, r in enumerate(order)}
+    head_keys, head_hashes = (np.array([x[i] for x in before], dtype=np.int64) for i in (0, 1))
 
     @F.pandas_udf("int")
-    def tail_of(key: pd.Series) -> pd.Series:
-        return key.map(before).astype("Int32")
+    def tail_of(key: pd.Series, h: pd.Series) -> pd.Series:
+        out = pd.Series(pd.NA, index=key.index, dtype="Int32")
+        for i in np.flatnonzero(np.isin(key.to_numpy(), head_keys) & np.isin(h.to_numpy(), head_hashes)):
+            out.iloc[i] = before.get((int(key.iloc[i]), int(h.iloc[i])), pd.NA)
+        return out
 
-    placed = docs.withColumns({"bucket": bucket_of("key"), "tail_of": tail_of("key")})
+    placed = docs.withColumns({"bucket": bucket_of("key", "h"), "tail_of": tail_of("key", "h")})
     places = F.array_compact(
         F.array(
             F.struct(F.col("bucket"), F.lit(False).alias("tail")),
@@ -222,10 +241,10 @@ def _laid_out(docs: DataFrame, buckets: int) -> DataFrame:
         )
     )
     return (
-        placed.select("id", "key", "text", F.explode(places).alias("at"))
-        .select("id", "key", "text", "at.*")
-        .repartitionById(len(splits) + 1, F.col("bucket"))
-        .sortWithinPartitions("bucket", "tail", F.col("key").desc(), "text")
+        placed.select("id", "key", "h", "text", F.explode(places).alias("at"))
+        .select("id", "key", "h", "text", "at.*")
+        .repartitionById(int(first[-1]), F.col("bucket"))
+        .sortWithinPartitions("bucket", "tail", F.col("key").desc(), "h", "text")
     )
 
 
@@ -235,7 +254,6 @@ def fingerprints(
     text_col: str = "text",
     min_share: float = MIN_SHARE,
     max_share: float = MAX_SHARE,
-    max_bucket_rows: int = 50_000,
 ) -> DataFrame:
     """Every document's fingerprint, that of its edited text, and their likeness.
 
@@ -245,7 +263,6 @@ def fingerprints(
     spark = docs.sparkSession
     known = spark.sparkContext.broadcast(lexicon(docs, text_col, min_share, max_share))
     read = docs.select(F.col(id_col).alias("id"), filled(text_col).alias("text"))
-    buckets = max(shuffle_partitions(spark), -(-docs.count() // max_bucket_rows))
     kind = docs.schema[id_col].dataType.simpleString()
     schema = (
         f"id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -293,7 +310,7 @@ def fingerprints(
                     yield judged(hasher, pending, id_type)
                     pending = pending[-1:]
 
-    laid = _laid_out(read, buckets).select("id", "text", "tail")
+    laid = _laid_out(read, shuffle_partitions(spark)).select("id", "text", "tail")
     return laid.mapInArrow(run, schema)
 
 

@@ -333,16 +333,124 @@ def test_texts_of_rare_terms_are_compared_by_them(spark):
     assert max(r.near_next for r in found) < 0.1 and not any(r.fingerprint.startswith("text:") for r in found)
 
 
-@pytest.mark.parametrize("cells", [1, 1 << 24])
-def test_copies_count_once_for_the_lexicon(spark, cells):
+@pytest.mark.parametrize("few", [True, False])
+def test_copies_count_once_for_the_lexicon(spark, monkeypatch, few):
+    monkeypatch.setattr(imatch, "fits_broadcast", lambda *_: few)
     texts = [f"own{i} common" for i in range(6)] + ["copied text"] * 5 + [None, "", ""]
     docs = frame(spark, [(i, text, "en", "a", None) for i, text in enumerate(texts)]).repartition(5)
-    distinct, rows = imatch.distinct_texts(docs, "text", cells)
+    distinct, rows = imatch.distinct_texts(docs, "text")
     assert sorted(r.text for r in distinct.collect()) == sorted({t or "" for t in texts}) and rows == 8
     known = imatch.lexicon(docs, "text", 0.1, 0.5)
     assert len(known.band) == 0 and known.above_n.tolist() == [6]
 
 
+@pytest.mark.parametrize("partitions", ["2", "8"])
+def test_ids_of_very_many_rows(spark, partitions):
+    """A third of the rows has no id and a third one id: both are cut by the texts, every row has its successor."""
+    rows = [(None if i % 3 == 0 else 77 if i % 3 == 1 else i, f"text {i // 2} of {i % 5}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    order = [(r.doc_id, r.text) for r in docs.orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text").collect()]
+    expected = []
+    for i, (doc_id, text) in enumerate(order):
+        after, half = order[(i + 1) % len(order)][1], len(text) // 2
+        expected.append((doc_id, sha(text[: len(text) - half] + after[:half])))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        found = imatch.fingerprints(docs)
+        assert Counter((r.id, r.edited_sha256) for r in found.collect()) == Counter(expected)
+        read = docs.select(F.col("doc_id").alias("id"), "text")
+        laid = imatch._laid_out(read, int(partitions)).filter("NOT tail").withColumn("p", F.spark_partition_id())
+        largest = max(r["count"] for r in laid.groupBy("p").count().collect())
+        assert largest <= 2 * 300 // int(partitions)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+# I-Match in plain Python: numbers of 64 bits, one term at a time.
+
+WORD_64 = (1 << 64) - 1
+
+
+def mixed(x):
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 & WORD_64
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB & WORD_64
+    return x ^ x >> 31
+
+
+def plain_terms(text):
+    values = [mixed((b + 1) * 0xD1B54A32D192ED03 & WORD_64) for b in range(256)]
+    out = set()
+    for term in re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text.translate(A_TO_Z)):
+        total, power = 0, 1
+        for byte in term.encode():
+            total += values[byte] * power
+            power = power * 0x9E3779B97F4A7C13 & WORD_64
+        out.add(mixed(total + len(term.encode()) & WORD_64))
+    return out
+
+
+def plain_lexicon(texts):
+    distinct = set(texts)
+    seen = Counter(term for text in distinct for term in plain_terms(text))
+    low, high = max(2, imatch.MIN_SHARE * len(distinct)), max(2, imatch.MAX_SHARE * len(distinct))
+    counted = {t: n for t, n in seen.items() if n >= low}
+    return {t for t, n in counted.items() if n <= high}, {t: n for t, n in counted.items() if n > high}
+
+
+def plain_parts(text, band, above):
+    terms = plain_terms(text)
+    kept = terms & band
+    lack = min(len(terms), max(imatch.ENOUGH, len(terms) // 2)) - len(kept)
+    if lack > 0:
+        high = sorted((t for t in terms - band if t in above), key=lambda t: (above[t], mixed(t)))
+        low = sorted((t for t in terms - band if t not in above), key=mixed)
+        turns = [(2 * i, t) for i, t in enumerate(high)] + [(2 * i + 1, t) for i, t in enumerate(low)]
+        kept |= {t for _, t in sorted(turns)[:lack]}
+    parts = {}
+    for family in range(imatch.FAMILIES):
+        for term in kept:
+            draw = mixed(term + (0x632BE59BD9B4E019 * (family + 1)) & WORD_64)
+            weight = mixed(draw ^ 0xA5A5A5A5)
+            for rate in range(imatch.RATES):
+                if draw >> rate & 1:
+                    break
+                parts[family, rate] = parts.get((family, rate), 0) + weight & WORD_64
+    return {at: mixed(total) % 65535 + 1 for at, total in parts.items()}
+
+
+def plain_likeness(a, b, same):
+    filled = equal = 0
+    for rate in reversed(range(imatch.RATES)):
+        for family in range(imatch.FAMILIES):
+            x, y = a.get((family, rate), 0), b.get((family, rate), 0)
+            filled += x != 0 or y != 0
+            equal += x == y != 0
+        if filled >= imatch.ENOUGH:
+            break
+    return equal / filled if filled else float(same)
+
+
+def test_fingerprints_against_plain_python(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()][:70]
+    rows += [(9000 + i, t) for i, t in enumerate(["", "  ", "one", "the the THE", rows[0][1], "é ß 日本 " * 9])]
+    band, above = plain_lexicon([t for _, t in rows])
+    order = sorted(rows, reverse=True)
+    parts = [plain_parts(t, band, above) for _, t in order]
+    written = lambda p, t: "".join(f"{p.get((f, r), 0):04x}" for f in range(imatch.FAMILIES) for r in range(imatch.RATES)) if p else "text:" + sha(t)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = {r.id: r for r in imatch.fingerprints(docs).collect()}
+    for i, (doc_id, text) in enumerate(order):
+        after, half = order[(i + 1) % len(order)][1], len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        changed, row = plain_parts(edited, band, above), found[doc_id]
+        assert (row.fingerprint, row.edited_fingerprint) == (written(parts[i], text), written(changed, edited))
+        assert row.near_edited == pytest.approx(plain_likeness(parts[i], changed, text == edited))
+        assert row.near_next == pytest.approx(plain_likeness(parts[i], parts[(i + 1) % len(order)], text == after))
+
+
 def test_quality_on_held_out_documents(spark):
     found = {r.doc_id: r for r in QUERIES["op1_quality"](spark, "/root/testdata/sf0.1").collect()}
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()
