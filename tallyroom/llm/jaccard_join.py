@@ -4,7 +4,8 @@ A document is the set of its word shingles, kept as 64-bit hashes. Sets linked a
 ``percent`` share a token among the first ``n - ceil(percent * n) + 1`` tokens of each (its prefix)
 under every global order of the tokens. Candidates come from an index of the prefixes under the
 first order, must share as many of its tokens as their sizes require, and must also share a prefix
-token under each further order; the pairs that all filters leave are verified on whole sets.
+token under each further order, which is seen from the prefixes alone; only for the pairs that all
+filters leave do whole sets travel, and are verified.
 
 *Orders.* Tokens that a task saw in several documents come last, by their summed counts, so that
 shared passages hardly enter a prefix; all others are ordered by a seeded hash. Any order gives the
@@ -310,45 +311,65 @@ def _counted(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
     return pairs.filter((common > 0) & (common >= overlap - beyond)).select("a", "b")
 
 
-def _verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, words: int, percent: int, orders) -> DataFrame:
-    """The linked ones among pairs of classes, as ``a, b``: further orders first, then whole sets."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-    ids = found.join(wanted, "c", "left_semi").groupBy("c").agg(F.min("id").alias("id")).select("id")
-    n = pairs.count()
-    ids = compact(ids, 2 * n)
-    texts = docs.join(F.broadcast(ids) if fits_broadcast(ids, "id") else ids, "id", "left_semi")
+def _candidate_sets(texts: DataFrame, words: int, percent: int, orders) -> DataFrame:
+    """``c, tokens`` and, for every further order, ``order_K``: the prefix in halves of its hashes.
 
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Half of a hash is enough for a filter: equal halves of different tokens only let a pair through.
+    """
+    names = [f"order_{seed}" for seed in ORDERS[1:]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()  # rows that repeat an id come once a task
-        for _, _, token, size, name in _shingled(batches, words):
+        for _, text, token, size, name in _shingled(batches, words):
+            fresh = np.zeros(len(name), dtype=bool)
+            fresh[[i for c, i in {c: i for i, c in enumerate(name.tolist())}.items() if c not in done]] = True
+            done |= set(name[fresh].tolist())
+            wanted, number = fresh[text], np.cumsum(fresh) - 1
+            text, token, size, name = number[text[wanted]], token[wanted], size[fresh], name[fresh]
             ends = np.cumsum(size)
-            fresh = {c: i for i, c in enumerate(name.tolist()) if c not in done}
-            done |= fresh.keys()
-            tokens = [token[ends[i] - size[i] : ends[i]].tobytes() for i in fresh.values()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(fresh), pa.int64()), pa.array(tokens, pa.binary())], ["c", "tokens"]
-            )
+            columns = [pa.array(name), pa.array([token[e - n : e].tobytes() for n, e in zip(size, ends, strict=True)], pa.binary())]
+            for seed in ORDERS[1:]:
+                owner, first, _ = prefixes(text, token, size, orders.value.keys(token, seed), percent)
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(size)))])
+                halves = (first >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(halves)))
+            yield pa.RecordBatch.from_arrays(columns, ["c", "tokens", *names])
 
-    sets = staged(texts.mapInArrow(sets_of, "c bigint, tokens binary"))
+    schema = "c bigint, tokens binary" + "".join(f", {name} array<int>" for name in names)
+    return staged(texts.mapInArrow(run, schema))
 
-    def prefix(tokens: np.ndarray, seed: int) -> np.ndarray:
-        n = len(tokens)
-        first = n - (percent * n + 99) // 100 + 1
-        return tokens[np.argsort(orders.value.keys(tokens, seed), kind="stable")[:first]]
+
+def _in_all_orders(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs that share a prefix token under every further order; only prefixes travel."""
+    names = [f"order_{seed}" for seed in ORDERS[1:]]
+    for end in ("a", "b"):
+        side = sets.select(F.col("c").alias(end), *[F.col(name).alias(f"{end}_{name}") for name in names])
+        pairs = pairs.join(side, end)
+    for name in names:
+        pairs = pairs.filter(F.arrays_overlap(f"a_{name}", f"b_{name}"))
+    return pairs.select("a", "b")
+
+
+def _verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, words: int, percent: int, orders) -> DataFrame:
+    """The linked ones among pairs of classes, as ``a, b``: further orders first, then whole sets."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+    ids = found.join(wanted, "c", "left_semi").groupBy("c").agg(F.min("id").alias("id")).select("id")
+    ids = compact(ids, 2 * pairs.count())
+    texts = docs.join(F.broadcast(ids) if fits_broadcast(ids, "id") else ids, "id", "left_semi")
+    sets = _candidate_sets(texts, words, percent, orders)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
                 x, y = (np.frombuffer(t.as_buffer(), np.uint64) for t in (x, y))
-                passed = all(len(np.intersect1d(prefix(x, seed), prefix(y, seed), True)) for seed in ORDERS[1:])
-                common = len(np.intersect1d(x, y, assume_unique=True)) if passed else 0
-                linked.append(passed and 100 * common >= percent * (len(x) + len(y) - common))
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                linked.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    both = pairs.join(sets.select(F.col("c").alias("a"), F.col("tokens").alias("x")), "a").join(
-        sets.select(F.col("c").alias("b"), F.col("tokens").alias("y")), "b"
-    )
+    both = _in_all_orders(pairs, sets)
+    both = both.join(sets.select(F.col("c").alias("a"), F.col("tokens").alias("x")), "a")
+    both = both.join(sets.select(F.col("c").alias("b"), F.col("tokens").alias("y")), "b")
     # Not in fewer tasks than the join gives: its rows are wide, and adaptive execution sizes them.
     return staged(both.select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint"))
 
