@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from tallyroom import params
 from tallyroom.functions import cents, date_literal, mean2, py_round1, stripped, utc_wall
-from tallyroom.operators.common import big
 from tallyroom.sources.cells import KEPT_COLUMNS, cell, last_rows, row_order
 from tallyroom.sources.schemas import NOTE_COLUMNS, ROSTER_COLUMNS
 

@@ -18,6 +18,8 @@ from pyspark.sql import SparkSession
 
 # File systems whose rename or link creates a name at most once.
 EXCLUSIVE = ("file", "hdfs", "viewfs")
+# Those of them where a link is exclusive and a rename is not.
+LINKED = ("file",)
 _NAME = re.compile(r"^(\d{12})\.json$")
 
 
@@ -53,7 +55,7 @@ def commit(spark: SparkSession, folder: str, number: int, entry: dict) -> None:
     out.write(bytearray(json.dumps(entry), "utf-8"))
     out.close()
     try:
-        if kind == "file":
+        if kind in LINKED:
             jvm.java.nio.file.Files.createLink(files.pathToFile(target).toPath(), files.pathToFile(made).toPath())
         else:
             option = jvm.org.apache.hadoop.fs.Options.Rename

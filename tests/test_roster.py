@@ -304,6 +304,20 @@ def test_one_commit_of_many_at_once(spark, tmp_path):
     assert len(won) == 1 and commits.latest(spark, str(tmp_path / "c")) == (1, {"writer": won[0]})
 
 
+def test_commits_by_rename(spark, tmp_path, monkeypatch):
+    """The road of file systems that rename without overwriting, as far as a local one can show it."""
+    monkeypatch.setattr(commits, "LINKED", ())
+    folder = str(tmp_path / "c")
+    commits.commit(spark, folder, 1, {"writer": "first"})
+    with pytest.raises(commits.CommitConflictError, match="number 1"):
+        commits.commit(spark, folder, 1, {"writer": "second"})
+    commits.commit(spark, folder, 2, {"writer": "é"})
+    assert commits.latest(spark, folder) == (2, {"writer": "é"}) and commits.entry_of(spark, folder, 1) == {"writer": "first"}
+    monkeypatch.setattr(commits, "EXCLUSIVE", ("hdfs",))
+    with pytest.raises(ValueError, match="not file"):
+        commits.commit(spark, folder, 3, {})
+
+
 def refresh_inputs(spark):
     people = crm(spark, ("a", 300, 1, "10:00", 2, 1), ("b", 120, 1, "10:00", 2, 29), ("c", 150, 1, "10:00", 1, 3))
     orders = table(spark, "orders_created", [{"order_id": 1, "user_id": "a"}])
