@@ -545,3 +545,37 @@ def test_pipeline_of_awkward_documents(spark, tmp_path):
 def test_pipeline_of_no_documents(spark, nothing):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing, SF).count() == 0
+
+
+def plain_features(text: str) -> list[float]:
+    """The features of a text one by one, with words and lines themselves in place of their hashes."""
+    data = text.encode()
+    lower = bytes(b + 32 if 65 <= b <= 90 else b for b in data)
+    words, lines = lower.split(), [x for x in re.split(rb"[\n\r]+", lower) if x]
+    kinds = [sum(b in chars for b in data) for chars in quality._KINDS]
+    kinds += [sum(b < 128 and not any(b in chars for chars in quality._KINDS) for b in data), sum(b >= 128 for b in data)]
+    size, blank = len(data), kinds[3] + kinds[4]
+    letters = kinds[0] + kinds[1] + kinds[-1]
+    share = lambda part, whole: part / max(whole, 1)
+    return [
+        np.log1p(size), np.log1p(len(words)), share(size - blank, len(words)), share(len(words), len(lines)),
+        share(letters, size - blank), share(len(set(words)), len(words)), share(max(Counter(words).values(), default=0), len(words)),
+        share(len(set(zip(words, words[1:], strict=False))), max(len(words) - 1, 0)), share(len(set(lines)), len(lines)),
+        share(kinds[1], letters), *[share(k, size) for k in kinds],
+    ]
+
+
+def test_quality_scores_against_plain_python(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    extra = [(9000 + i, t) for i, t in enumerate(["", " \n", "One", "É ß\r\n\x00!!", "a b a b a b\na b"])]
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame(extra, "doc_id bigint, text string"))
+    model = quality.learned(spark, docs, SF)
+    found = {r.id: r.score for r in quality.score(docs, model).collect()}
+    for doc_id, text in [tuple(r) for r in docs.collect()]:
+        latent = 0.0
+        for start, cuts, value in zip(model.starts, model.cuts, plain_features(text or ""), strict=False):
+            latent += model.w[start + sum(cut < value for cut in cuts)]
+        moved = latent - model.threshold + np.log(0.7 / 0.3)
+        score = 1 / (1 + np.exp(-moved))
+        assert found[doc_id] == pytest.approx(score, abs=1e-9)
+        assert (found[doc_id] >= 0.7) == (latent >= model.threshold)
