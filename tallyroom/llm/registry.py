@@ -14,7 +14,7 @@ from tallyroom.llm.quality import op1_quality
 from tallyroom.llm.secret_scan import OP3_SQL, op3_secret_scan
 from tallyroom.llm.segments import OP11_SQL, op11_segment_resampling
 from tallyroom.llm.source_mix import OP4_SQL, op4_source_mix
-from tallyroom.llm.weak_rules import op12_weak_rules
+from tallyroom.llm.weak_rules import OP12_SQL, op12_weak_rules
 
 QUERIES = {
     "op1_quality": op1_quality,
@@ -40,5 +40,6 @@ ORACLE_SQL = {
     "op9_license_scan": OP9_SQL,
     "op10_exact_dedup": OP10_SQL,
     "op11_segment_resampling": OP11_SQL,
+    "op12_weak_rules": OP12_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }

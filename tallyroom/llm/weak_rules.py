@@ -47,6 +47,8 @@ SHARE, DOUBT = 0.95, 0.4
 # What a rule without votes is believed to do.
 ON_GOOD, ON_BAD = 0.95, 0.5
 LEAST = 0.01  # no vote is taken for a proof
+# What two engines agree on, whatever order they add up in.
+POSTERIOR_DIGITS = 4
 
 
 def _table(inside: bytes) -> np.ndarray:
@@ -251,5 +253,76 @@ def op12_weak_rules(spark, sf_dir) -> DataFrame:
         *STATISTICS[:5],
         fails().alias("base_failed"),
         (~fails() & (F.col("posterior") >= 0.5)).alias("kept"),
-        "posterior",
+        F.round("posterior", POSTERIOR_DIGITS).alias("posterior"),
     )
+
+
+def _clipped(value: str, low: str = f"{LEAST}") -> str:
+    return f"least(greatest({value}, {low}), {1 - LEAST})"
+
+
+def _maximised(good: str) -> str:
+    """SQL's M-step: share and accuracies from the good part of each combination's rows, ``good`` of ``n``."""
+    parts = [_clipped(f"(sum({good}) + {SHARE}) / (sum(n) + 1)") + " AS share"]
+    for j in range(len(RULES)):
+        voted = f"FILTER (v{j} > 0)"
+        on_good = _clipped(f"(coalesce(sum({good}) FILTER (v{j} = 1), 0) + {ON_GOOD}) / (coalesce(sum({good}) {voted}, 0) + 1)")
+        of_bad = f"(coalesce(sum(n - {good}) FILTER (v{j} = 2), 0) + {ON_BAD}) / (coalesce(sum(n - {good}) {voted}, 0) + 1)"
+        parts += [f"{on_good} AS a{j}", _clipped(of_bad, f"1 - {on_good}") + f" AS b{j}"]
+    return ", ".join(parts)
+
+
+_SQL_ODDS = "ln(share) - ln(1 - share) + " + " + ".join(
+    f"CASE v{j} WHEN 1 THEN ln(a{j}) - ln(1 - b{j}) WHEN 2 THEN ln(1 - a{j}) - ln(b{j}) ELSE 0 END" for j in range(len(RULES))
+)
+_VOTES = ", ".join(
+    f"CASE WHEN n_words = 0 THEN 0 WHEN {bad} THEN 2 WHEN {good} THEN 1 ELSE 0 END AS v{j}"
+    for j, (good, bad) in enumerate(RULES.values())
+)
+_V = ", ".join(f"v{j}" for j in range(len(RULES)))
+
+OP12_SQL = f"""
+WITH RECURSIVE texts AS (
+    SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents
+), cut AS (
+    SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w,
+           list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+    FROM texts
+), windows AS (
+    SELECT rid, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS i FROM cut)
+), twice AS (
+    SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY rid, g) > 1
+), covered AS (
+    SELECT rid, count(DISTINCT i + j) AS n_repeat_words FROM twice CROSS JOIN range(5) r(j) GROUP BY rid
+), stats AS (
+    SELECT cut.rid, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+           length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+           coalesce(n_repeat_words, 0) AS n_repeat_words,
+           len(lines) AS n_lines,
+           length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals,
+           length(regexp_replace(text, '[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]', '', 'g')) AS n_letters,
+           len(list_filter(w, lambda x: regexp_matches(x, '[.,;:!?#*$%&|<>]$'))) AS n_stopped,
+           len(list_distinct(w)) AS n_distinct
+    FROM cut LEFT JOIN covered ON covered.rid = cut.rid
+), voted AS (
+    SELECT *, {_VOTES} FROM stats
+), seen AS (
+    SELECT {_V}, CAST(count(*) AS DOUBLE) AS n FROM voted GROUP BY ALL
+), started AS (
+    SELECT *, n * {SHARE} * pow({DOUBT}, {" + ".join(f"CAST(v{j} = 2 AS INT)" for j in range(len(RULES)))}) AS good FROM seen
+), em AS (
+    SELECT 1 AS round, {_maximised("good")} FROM started HAVING count(*) > 0
+    UNION ALL
+    SELECT round + 1, {_maximised("good")}
+    FROM (SELECT round, n, {_V}, n / (1 + exp(-({_SQL_ODDS}))) AS good FROM em CROSS JOIN seen WHERE round < {ROUNDS})
+    GROUP BY round
+), judged AS (
+    SELECT voted.*, 1 / (1 + exp(-({_SQL_ODDS}))) AS posterior,
+           n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+    FROM voted CROSS JOIN (SELECT * FROM em ORDER BY round DESC LIMIT 1)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND posterior >= 0.5 AS kept, round(posterior, {POSTERIOR_DIGITS}) AS posterior
+FROM judged
+"""
