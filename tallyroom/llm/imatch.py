@@ -73,9 +73,10 @@ def distinct_texts(docs: DataFrame, text_col: str) -> tuple[DataFrame, int]:
     """
     texts = docs.select(filled(text_col).alias("text"))
     keyed = texts.withColumn("key", F.xxhash64("text"))
-    counted = staged(keyed.groupBy("key").agg(F.count("*").alias("n")))
-    rows, repeated = counted.count(), counted.filter("n > 1").select("key")
-    once = lambda copies: copies.groupBy(F.sha2("text", 256)).agg(F.first("text").alias("text")).select("text")
+    repeated = staged(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
+    copies = repeated.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n")).first()["n"]
+    rows, repeated = docs.count() - copies, repeated.select("key")
+    once = lambda copies: copies.groupBy(F.unhex(F.sha2("text", 256))).agg(F.first("text").alias("text")).select("text")
     if not fits_broadcast(repeated, "key"):
         return once(texts), rows
     known = F.broadcast(repeated)
@@ -241,10 +242,10 @@ def _laid_out(docs: DataFrame, buckets: int) -> DataFrame:
         )
     )
     return (
-        placed.select("id", "key", "h", "text", F.explode(places).alias("at"))
-        .select("id", "key", "h", "text", "at.*")
+        placed.select("id", "text", F.explode(places).alias("at"))
+        .select("id", "text", "at.*")
         .repartitionById(int(first[-1]), F.col("bucket"))
-        .sortWithinPartitions("bucket", "tail", F.col("key").desc(), "h", "text")
+        .sortWithinPartitions("bucket", "tail", key.desc(), F.xxhash64("text"), "text")
     )
 
 
