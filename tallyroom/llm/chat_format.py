@@ -12,14 +12,16 @@ is a turn. Inside roles and texts a backslash becomes ``\\b`` and the ``<`` of a
 becomes ``\\l``; in a role ``>`` becomes ``\\g``. No control string is left inside, and reading back
 undoes it exactly.
 
-The output is two tables. ``formatted_turns`` holds every turn once, formatted, with its place;
-``prefix_examples`` holds a narrow row per example: the range of turns that are its text, and where in
-the last of them the target lies. So the output grows with the turns, although the texts of the
-examples grow with the square of a conversation; ``example_texts`` writes those out for the examples
-it is given. Turns are numbered by ranges (``ranks.running``): no task holds a conversation.
+``formatted_turns`` holds every turn once, formatted, with its place; ``prefix_examples`` holds a narrow
+row per example: the range of turns that are its text, and where in the last of them the target lies;
+``example_texts`` expands those ranges into the examples themselves, one row with its whole text each.
+The query expands all examples and reads its digests back from their texts.
 
-The digests of the query are of whole conversations, so there a conversation's text must fit a row.
-It is put together block by block.
+The texts of the examples grow with the square of a conversation, that is the method. They are made and
+read row by row and never shuffled or stored: what is shuffled is every turn once, and for conversations
+of several blocks of turns the text before each block. The examples of a block are in one task, those of
+a long conversation in many. Turns are numbered by ranges (``ranks.running``). An example is one row, so
+the text of a conversation must fit a row.
 
 Defined results: a null text or role is empty; turns with equal numbers are ordered by role, then
 text, null turn numbers first; repeated rows are repeated turns; rows with a null conversation id
@@ -32,11 +34,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.llm.ranks import running
-from tallyroom.llm.text import filled, table
+from tallyroom.llm.text import filled, shuffle_partitions, table
 from tallyroom.plans.stages import staged
 
 END = "</turn>\n"
-BLOCK_TURNS = 1024
+# A turn in a formatted text: no role holds ``>`` and no body ``</turn>``.
+TURN = r"(?s)<turn ([^>]*)>(.*?)</turn>\n"
+BLOCK_TURNS = 256
 
 
 def escape(text: Column) -> Column:
@@ -116,72 +120,94 @@ def prefix_examples(formatted: DataFrame) -> DataFrame:
     )
 
 
-def example_texts(examples: DataFrame, formatted: DataFrame) -> DataFrame:
-    """The examples with ``context, target, closing``: as long as all their prefixes together."""
-    turns = formatted.select(F.col("key").alias("k"), "place", "formatted")
-    prefixes = (
-        examples.join(turns, (F.col("key") == F.col("k")) & (F.col("place") <= F.col("last")))
-        .groupBy(*examples.columns)
-        .agg(F.array_sort(F.collect_list(F.struct("place", "formatted"))).alias("t"))
-        .withColumn("text", F.array_join(F.transform("t", lambda t: t.formatted), ""))
-        .withColumn("before", F.char_length("text") - F.char_length(F.element_at("t", -1).formatted))
+def _block(place: str) -> Column:
+    return F.expr(f"({place} - 1) div {BLOCK_TURNS}")
+
+
+def _prefixes(formatted: DataFrame) -> DataFrame:
+    """``key, block, prefix``: the text of each conversation up to the end of each of its blocks of turns.
+
+    Partitioned by (key, block), into as many partitions as asked for: the rows are few and small
+    against the examples that are made of them, so they must not be put together into fewer.
+    """
+    turns = formatted.select("key", "place", "formatted", "turns", _block("place").alias("block"))
+    own = (
+        turns.repartition(shuffle_partitions(formatted.sparkSession), "key", "block")
+        .groupBy("key", "block")
+        .agg(F.expr("listagg(formatted, '') WITHIN GROUP (ORDER BY place)").alias("own"))
     )
-    start = F.col("before") + F.col("target_at")
-    end = start + F.col("target_chars")
-    cut = lambda at, to, other: F.when(F.col("has_target"), F.substr("text", at, to)).otherwise(other)
-    return prefixes.select(
-        *examples.columns,
-        cut(F.lit(1), start - 1, F.col("text")).alias("context"),
-        cut(start, F.col("target_chars"), F.lit("")).alias("target"),
-        cut(end, F.lit(len(END)), F.lit("")).alias("closing"),
+    earlier = (
+        turns.filter(F.col("turns") > BLOCK_TURNS)
+        .groupBy("key", F.col("block").alias("at"), _block("turns").alias("final"))
+        .agg(F.expr("listagg(formatted, '') WITHIN GROUP (ORDER BY place)").alias("part"))
+        .filter("at < final")
+        .select("key", "at", "part", F.explode(F.expr("sequence(at + 1, final)")).alias("block"))
+        .groupBy("key", "block")
+        .agg(F.expr("listagg(part, '') WITHIN GROUP (ORDER BY at)").alias("earlier"))
+    )
+    return own.join(earlier, ["key", "block"], "left").select(
+        "key", "block", F.concat(F.coalesce("earlier", F.lit("")), "own").alias("prefix")
     )
 
 
-def read_turn(formatted: Column) -> Column:
-    """``role, text`` of a formatted turn."""
-    body = F.substr(formatted, F.locate(">", formatted) + 1)
-    return F.struct(
-        unescape(F.substring_index(F.substr(formatted, F.lit(7)), ">", 1)).alias("role"),
-        unescape(F.substr(body, F.lit(1), F.char_length(body) - len(END))).alias("text"),
+def example_texts(examples: DataFrame, formatted: DataFrame) -> DataFrame:
+    """The examples with ``block, context, target, closing``: as long as all their prefixes together.
+
+    ``block`` is that of the last turn; the rows are partitioned by (key, block).
+    """
+    chars, target_chars = F.col("chars").cast("int"), F.coalesce("target_chars", F.lit(0))
+    start = chars - F.when(F.col("has_target"), target_chars + len(END)).otherwise(0)
+    whole = (
+        examples.withColumn("block", _block("last"))
+        .join(_prefixes(formatted), ["key", "block"])
+        .select(*examples.columns, "block", F.left("prefix", start).alias("context"), F.substr("prefix", start + 1, chars - start).alias("tail"))
+    )
+    return whole.select(
+        *examples.columns,
+        "block",
+        "context",
+        F.left("tail", target_chars).alias("target"),
+        F.substr("tail", target_chars + 1, F.lit(len(END))).alias("closing"),
     )
 
 
-def _in_order(rows: DataFrame, text: str, name: str) -> DataFrame:
-    """The texts of each conversation by place, one after another; by blocks of turns first."""
-    blocks = rows.groupBy("key", F.expr(f"place div {BLOCK_TURNS}").alias("block")).agg(
-        F.expr(f"listagg({text}, '') WITHIN GROUP (ORDER BY place)").alias("part")
-    )
-    return blocks.groupBy("key").agg(F.expr("listagg(part, '') WITHIN GROUP (ORDER BY block)").alias(name))
+def read_told(text: Column) -> Column:
+    """Role and text of every turn of a formatted text, each with a line break behind it."""
+    return unescape(F.regexp_replace(text, TURN, "$1\n$2\n"))
 
 
 def digests(formatted: DataFrame, examples: DataFrame) -> DataFrame:
-    """What the formatted output holds, read back from it.
+    """What the texts of the examples hold, read back from them.
 
-    The last example of a conversation has all of its turns; the losses are read from the examples.
+    The last example of a conversation has all of its turns; the losses are the targets of all.
     """
-    whole = examples.filter("is_last").select("key", "last")
-    held = formatted.join(whole, "key").filter("place <= last")
-    turn = read_turn(F.col("formatted"))
-    told = held.select("key", "place", F.concat(turn.role, F.lit("\n"), turn.text, F.lit("\n")).alias("told"))
-    targets = examples.filter("has_target").select("key", F.col("last").alias("place"), F.col("target_at").alias("at"), F.col("target_chars").alias("long"))
-    losses = formatted.join(targets, ["key", "place"]).select(
-        "key", "place", unescape(F.substr("formatted", F.col("at"), F.col("long"))).alias("loss")
-    )
-    sums = examples.groupBy("key").agg(
-        F.first("conv_id").alias("conv_id"), F.max("last").alias("n_turns"), F.sum("chars").alias("formatted_chars")
+    text = F.concat("context", "target", "closing")
+    read = example_texts(examples, formatted).select(
+        "key",
+        "block",
+        "conv_id",
+        "example",
+        sum((F.char_length(part).cast("bigint") for part in ("context", "target", "closing")), F.lit(0)).alias("chars"),
+        F.when(F.col("is_last"), F.regexp_count(text, F.lit(TURN)).cast("bigint")).alias("n_turns"),
+        F.when(F.col("is_last"), F.sha2(read_told(text), 256)).alias("turns_sha256"),
+        F.when(F.col("has_target"), unescape(F.col("target"))).alias("loss"),
     )
+    merged = [
+        F.first("conv_id").alias("conv_id"),
+        F.max("n_turns").alias("n_turns"),
+        F.max("turns_sha256").alias("turns_sha256"),
+        F.sum("chars").alias("chars"),
+    ]
+    blocks = read.groupBy("key", "block").agg(*merged, F.expr("listagg(loss, '') WITHIN GROUP (ORDER BY example)").alias("loss"))
+    talks = blocks.groupBy("key").agg(*merged, F.expr("listagg(loss, '') WITHIN GROUP (ORDER BY block)").alias("loss"))
     loss = F.coalesce("loss", F.lit(""))
-    return (
-        sums.join(_in_order(told, "told", "told"), "key")
-        .join(_in_order(losses, "loss", "loss"), "key", "left")
-        .select(
-            "conv_id",
-            "n_turns",
-            F.sha2("told", 256).alias("turns_sha256"),
-            F.char_length(loss).cast("bigint").alias("loss_chars"),
-            F.sha2(loss, 256).alias("loss_sha256"),
-            "formatted_chars",
-        )
+    return talks.select(
+        "conv_id",
+        "n_turns",
+        "turns_sha256",
+        F.char_length(loss).cast("bigint").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.col("chars").alias("formatted_chars"),
     )
 
 

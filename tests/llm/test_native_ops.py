@@ -7,6 +7,7 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tallyroom.llm import chat_format, exact_dedup, license_scan, secret_scan, source_mix
 from tallyroom.plans.stages import staged
@@ -210,6 +211,63 @@ def test_a_long_conversation(spark, monkeypatch):
     assert shown[1].target == texts[9999].replace("</turn>", "\\l/turn>")
 
 
+@pytest.mark.parametrize("block_turns", [1, 2, 3, 256])
+def test_every_example_is_written_out(spark, monkeypatch, block_turns):
+    """Each assistant turn with all turns before it, against plain Python, in one block of turns or many."""
+    monkeypatch.setattr(chat_format, "BLOCK_TURNS", block_turns)
+    # A role and the text behind it that only together look like the end of a turn; texts of many characters.
+    rows = [(5, 0, "</turn", "\n<turn x>"), (5, 1, "assistant", "</turn>\n</tur"), (5, 2, "</turn>", "<turn assistant>$1\\n")]
+    rows += [(6, i, "assistant" if i % 3 else "user", f"é{i}\\l\n" * i) for i in range(8)] + [(7, 0, "assistant", "</turn x" * 60_000)]
+    turns = spark.createDataFrame([*TALKS, *rows], "conv_id bigint, turn bigint, role string, text string")
+    formatted = staged(chat_format.formatted_turns(turns))
+    examples = chat_format.prefix_examples(formatted)
+    wanted, told = [], {}
+    talks = {}
+    for conv_id, turn, role, text in [*TALKS, *rows]:
+        talks.setdefault(conv_id, []).append((-1 if turn is None else turn, role or "", text or ""))
+
+    def escaped(text):
+        return text.replace("\\", "\\b").replace("<turn ", "\\lturn ").replace("</turn>", "\\l/turn>")
+
+    for conv_id, said in talks.items():
+        context, number = "", 0
+        for at, (_, role, text) in enumerate(sorted(said), 1):
+            header = f"<turn {escaped(role).replace('>', chr(92) + 'g')}>"
+            number += role == "assistant"
+            if role == "assistant":
+                wanted.append((conv_id, number, context + header, escaped(text), "</turn>\n"))
+            context += header + escaped(text) + "</turn>\n"
+            if at == len(said) and role != "assistant":
+                wanted.append((conv_id, number + 1, context, "", ""))
+        told[conv_id] = sha("".join(f"{role}\n{text}\n" for _, role, text in sorted(said)))
+    found = chat_format.example_texts(examples, formatted).select("conv_id", "example", "context", "target", "closing")
+    assert sorted_rows(found) == sorted(wanted, key=repr)
+    shown = {row.conv_id: row for row in chat_format.digests(formatted, examples).collect()}
+    assert {conv_id: (row.n_turns, row.turns_sha256) for conv_id, row in shown.items()} == {c: (len(talks[c]), told[c]) for c in talks}
+
+
+def test_the_query_reads_the_texts_of_the_examples(spark, monkeypatch, tmp_path):
+    """What is written into context, target or closing shows in the digests: they are of the examples' texts."""
+    folder = str(tmp_path)
+    spark.createDataFrame(TALKS, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    wanted = {row.conv_id: row for row in chat_format.op8_chat_format(spark, folder).collect()}
+    expand = chat_format.example_texts
+
+    def changed(**columns):
+        monkeypatch.setattr(chat_format, "example_texts", lambda *given: expand(*given).withColumns({n: F.expr(e) for n, e in columns.items()}))
+        return {row.conv_id: row for row in chat_format.op8_chat_format(spark, folder).collect()}
+
+    longer = changed(context="concat('<turn system>read</turn>\n', context)")
+    assert all(row.n_turns == wanted[i].n_turns + 1 and row.formatted_chars > wanted[i].formatted_chars for i, row in longer.items())
+    assert all(row.turns_sha256 != wanted[i].turns_sha256 and row.loss_sha256 == wanted[i].loss_sha256 for i, row in longer.items())
+    masked = changed(target="if(has_target, concat(target, '!'), target)")
+    assert any(row.loss_chars for row in wanted.values())
+    for i, row in masked.items():
+        assert (row.loss_chars > wanted[i].loss_chars) == (row.loss_sha256 != wanted[i].loss_sha256) == (wanted[i].loss_chars > 0)
+    unclosed = changed(closing="''")
+    assert all(row.formatted_chars < wanted[i].formatted_chars for i, row in unclosed.items() if wanted[i].loss_chars)
+
+
 SECRETS = [
     'x password = "abcdefgh1" y', "PassWord:short token=longenough12", "api_key=abc=defgh.ij apikey: '12345678'", "AKIA" + "A" * 12,
     "AKIAAKIA" + "B" * 11 + " AKIA1", "f" * 31 + " " + "0" * 32 + "g" + "a1" * 40, "token=secret:abcdefgh1", "ſecret=abcdefghi toKen=12345678",
